@@ -18,8 +18,60 @@ from eventide.sources import tables as T
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _behavior(spark, sf):
+    return T.as_user_behavior(T.events(spark, sf))
+
+
 def q_page_views(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.page_views(T.as_user_behavior(T.events(spark, sf)), "1 hour")
+    return jobs.page_views(_behavior(spark, sf), "1 hour")
+
+
+def q_hot_items(spark, sf):
+    return jobs.hot_items(_behavior(spark, sf), 3, "1 hour", "5 minutes")
+
+
+def q_hot_items_avg_ts(spark, sf):
+    return jobs.hot_items(_behavior(spark, sf), 3, "1 hour", "5 minutes", metric="avg_ts")
+
+
+def q_hot_items_report(spark, sf):
+    return jobs.hot_items_report(_behavior(spark, sf), 3, "1 hour", "5 minutes")
+
+
+def q_unique_visitors(spark, sf):
+    return jobs.unique_visitors(_behavior(spark, sf), "1 hour")
+
+
+def q_unique_visitors_hll(spark, sf):
+    return jobs.unique_visitors_approx(_behavior(spark, sf), "1 hour")
+
+
+def q_unique_visitors_bitmap(spark, sf):
+    return jobs.unique_visitors_bitmap(_behavior(spark, sf), "1 hour")
+
+
+def q_unique_visitors_running(spark, sf):
+    return jobs.unique_visitors_running(_behavior(spark, sf), "1 hour")
+
+
+def _marketing(spark, sf):
+    return T.as_marketing(T.events(spark, sf))
+
+
+def q_marketing_total(spark, sf):
+    return jobs.marketing_total(_marketing(spark, sf), "1 hour", "10 seconds", exclude="error")
+
+
+def q_marketing_by_channel(spark, sf):
+    return jobs.marketing_by_channel(_marketing(spark, sf), "1 hour", "10 seconds", exclude="error")
+
+
+def q_top_urls(spark, sf):
+    return jobs.top_urls(T.as_access_log(T.events(spark, sf)), 5, "10 minutes", "5 seconds")
+
+
+def q_top_urls_report(spark, sf):
+    return jobs.top_urls_report(T.as_access_log(T.events(spark, sf)), 5, "10 minutes", "5 seconds")
 
 
 # ---------------------------------------------------------------------------------------
@@ -27,12 +79,85 @@ def q_page_views(spark: SparkSession, sf: str) -> DataFrame:
 E = """(select *, epoch_us(ts) as us, epoch_us(ts) // 1000 as ms,
            cast(json_extract(props, '$.k') as bigint) as k from events)"""
 
+# the reference's bitmap offset: base-61 polynomial hash of the decimal text, mod 2^29
+HASH = ("list_reduce(list_transform(string_split(cast({c} as varchar), ''), lambda x: ascii(x)::BIGINT), "
+        "lambda a, b: (a * 61 + b) % 536870912)")
+
+# The reference's hot-items report labels (see functions.text)
+_TS_TEXT = "strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M:%S') || '.0'"
+
+
+def _sliding(key_cols: str, size_ms: int, slide_ms: int, where: str, agg: str = "count(*) as cnt",
+             start: bool = False) -> str:
+    n = size_ms // slide_ms
+    we = f"ms - ms % {slide_ms} + (u.j + 1) * {slide_ms}"
+    ws = f"{we} - {size_ms} as window_start, " if start else ""
+    keys = f"{key_cols}, " if key_cols else ""
+    return f"""select {keys}{ws}{we} as window_end, {agg}
+        from {E} e, range({n}) u(j) where {where} group by all"""
+
+
+def _top(counts: str, n: int, key: str, metric: str = "cnt") -> str:
+    return f"""with c as ({counts}),
+        r as (select *, row_number() over (partition by window_end order by {metric} desc, {key}) as rank
+              from c)
+        select window_end, rank, {key}, {metric} from r where rank <= {n}"""
+
+
+def _report(top: str, key: str, label: str, footer: str) -> str:
+    return f"""with t as ({top})
+        select window_end,
+               '时间：' || {_TS_TEXT} || chr(10)
+               || string_agg('No' || rank || ':' || '{label}' || {key} || ' 浏览量=' || cnt || chr(10), ''
+                             order by rank)
+               || '{footer}' as report
+        from t group by window_end"""
+
+
+_HOT = _top(_sliding("k as item_id", 3_600_000, 300_000, "event_type = 'view'"), 3, "item_id")
+_HOT_AVG = _top(_sliding("k as item_id", 3_600_000, 300_000, "event_type = 'view'",
+                         "sum(us // 1000000) // count(*) as cnt"), 3, "item_id")
+_URLS = _top(_sliding("'/item/' || k as url", 600_000, 5_000, "true"), 5, "url")
+_VIEWS = f"""(select *, ms - ms % 3600000 + 3600000 as window_end from {E} x
+             where event_type = 'view')"""
+
 SQL = {
     "page_views": f"""
         select ms - ms % 3600000 + 3600000 as window_end, count(*) as pv
         from {E} e where event_type = 'view' group by 1""",
+    "hot_items": _HOT,
+    "hot_items_avg_ts": _HOT_AVG,
+    "hot_items_report": _report(_HOT, "item_id", " 商品ID=", "=" * 24),
+    "unique_visitors": f"""
+        select window_end, count(distinct user_id) as uv from {_VIEWS} v group by 1""",
+    "unique_visitors_bitmap": f"""
+        select window_end, count(distinct {HASH.format(c="user_id")}) as uv from {_VIEWS} v group by 1""",
+    "unique_visitors_running": f"""
+        with b as (select event_id as seq, window_end, us, {HASH.format(c="user_id")} as o from {_VIEWS} v),
+        f as (select *, case when row_number() over (partition by window_end, o order by us, seq) = 1
+                             then 1 else 0 end as new from b)
+        select seq, window_end,
+               sum(new) over (partition by window_end order by us, seq rows unbounded preceding) as uv
+        from f""",
+    "marketing_total": _sliding("", 3_600_000, 10_000, "event_type <> 'error'", start=True),
+    "marketing_by_channel": _sliding(
+        "event_type as behavior, ['HUAWEI', 'XIAOMI', 'OPPO', 'APPLE', 'SANXING'][k % 5 + 1] as channel",
+        3_600_000, 10_000, "event_type <> 'error'", start=True),
+    "top_urls": _URLS,
+    "top_urls_report": _report(_URLS, "url", " url=", "=" * 28),
 }
 
 QUERIES: dict[str, Query] = {
     "page_views": q_page_views,
+    "hot_items": q_hot_items,
+    "hot_items_avg_ts": q_hot_items_avg_ts,
+    "hot_items_report": q_hot_items_report,
+    "unique_visitors": q_unique_visitors,
+    "unique_visitors_hll": q_unique_visitors_hll,
+    "unique_visitors_bitmap": q_unique_visitors_bitmap,
+    "unique_visitors_running": q_unique_visitors_running,
+    "marketing_total": q_marketing_total,
+    "marketing_by_channel": q_marketing_by_channel,
+    "top_urls": q_top_urls,
+    "top_urls_report": q_top_urls_report,
 }

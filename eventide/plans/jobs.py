@@ -10,10 +10,102 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.aggs import Count
-from eventide.operators.windows import tumbling_agg
+from eventide.functions.text import URL_FOOTER, URL_LABEL, format_ranking
+from eventide.operators.aggs import Count, IntAvg
+from eventide.operators.distinct import (
+    approx_distinct_per_window, bitmap_distinct_per_window, distinct_per_window, running_distinct,
+)
+from eventide.operators.topn import top_n_per_window
+from eventide.operators.windows import sliding_agg, tumbling_agg
 
 
 def page_views(behavior: DataFrame, size="1 hour", pv: str = "pv") -> DataFrame:
     """Q2: ``pv`` events per tumbling window -> window_end, pv (BIGINT)."""
     return tumbling_agg(behavior.filter(F.col("behavior") == pv), size, [Count("pv")])
+
+
+# ---- Q1 hot items ---------------------------------------------------------------------
+
+def item_counts(behavior: DataFrame, size="1 hour", slide="5 minutes", metric: str = "count",
+                pv: str = "pv") -> DataFrame:
+    """Per (item, sliding window): ``cnt`` = number of views (``metric="count"``), or the
+    reference's as-shipped ``metric="avg_ts"`` = integer average of the epoch-second time."""
+    agg = Count("cnt") if metric == "count" else IntAvg("cnt", "ts_s")
+    if metric not in ("count", "avg_ts"):
+        raise ValueError("metric must be 'count' or 'avg_ts'")
+    return sliding_agg(behavior.filter(F.col("behavior") == pv), size, slide, [agg], keys=["item_id"])
+
+
+def hot_items(behavior: DataFrame, n: int = 3, size="1 hour", slide="5 minutes",
+              metric: str = "count", pv: str = "pv") -> DataFrame:
+    """Q1: top ``n`` items per sliding window -> window_end, rank, item_id, cnt."""
+    counts = item_counts(behavior, size, slide, metric, pv)
+    return (top_n_per_window(counts, n, "cnt", "item_id")
+            .select("window_end", "rank", "item_id", "cnt"))
+
+
+def hot_items_report(behavior: DataFrame, n: int = 3, size="1 hour", slide="5 minutes",
+                     metric: str = "count") -> DataFrame:
+    """Q1 as text: one ranking report per window (T3) -> window_end, report."""
+    return format_ranking(hot_items(behavior, n, size, slide, metric), "item_id", "cnt")
+
+
+# ---- Q3 / Q4 unique visitors ----------------------------------------------------------
+
+def unique_visitors(behavior: DataFrame, size="1 hour", pv: str = "pv") -> DataFrame:
+    """Q3: exact distinct users per tumbling window -> window_end, uv."""
+    return distinct_per_window(behavior.filter(F.col("behavior") == pv), "user_id", size)
+
+
+def unique_visitors_approx(behavior: DataFrame, size="1 hour", pv: str = "pv") -> DataFrame:
+    """Q4 with a standard sketch (A6): HLL estimate per window -> window_end, uv."""
+    return approx_distinct_per_window(behavior.filter(F.col("behavior") == pv), "user_id", size)
+
+
+def unique_visitors_bitmap(behavior: DataFrame, size="1 hour", pv: str = "pv") -> DataFrame:
+    """Q4 final counts: distinct bitmap offsets per window (A7) -> window_end, uv."""
+    return bitmap_distinct_per_window(behavior.filter(F.col("behavior") == pv), "user_id", size)
+
+
+def unique_visitors_running(behavior: DataFrame, size="1 hour", pv: str = "pv",
+                            hashed: bool = True) -> DataFrame:
+    """Q4 as shipped: one row per view with the window's distinct count so far
+    -> seq, window_end, uv."""
+    return running_distinct(behavior.filter(F.col("behavior") == pv), "user_id", size, hashed=hashed)
+
+
+# ---- Q5 / Q6 marketing ----------------------------------------------------------------
+
+def marketing_total(marketing: DataFrame, size="1 hour", slide="10 seconds",
+                    exclude: str = "UNINSTALL") -> DataFrame:
+    """Q5: events per sliding window, ``behavior != exclude`` -> window_start, window_end, cnt."""
+    return sliding_agg(marketing.filter(F.col("behavior") != exclude), size, slide,
+                       [Count("cnt")], with_start=True)
+
+
+def marketing_by_channel(marketing: DataFrame, size="1 hour", slide="10 seconds",
+                         exclude: str = "UNINSTALL") -> DataFrame:
+    """Q6: the same per (behavior, channel) -> behavior, channel, window_start, window_end, cnt."""
+    return sliding_agg(marketing.filter(F.col("behavior") != exclude), size, slide,
+                       [Count("cnt")], keys=["behavior", "channel"], with_start=True)
+
+
+# ---- Q12 hot URLs ---------------------------------------------------------------------
+
+def url_counts(log: DataFrame, size="10 minutes", slide="5 seconds") -> DataFrame:
+    return sliding_agg(log, size, slide, [Count("cnt")], keys=["url"])
+
+
+def top_urls(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -> DataFrame:
+    """Q12: top ``n`` URLs per sliding window -> window_end, rank, url, cnt.
+
+    The batch form counts every row (the final answer once all late rows are in);
+    apply ``operators.late.admit_late`` first to reproduce the drop of rows later
+    than the watermark delay plus allowed lateness."""
+    return (top_n_per_window(url_counts(log, size, slide), n, "cnt", "url")
+            .select("window_end", "rank", "url", "cnt"))
+
+
+def top_urls_report(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -> DataFrame:
+    return format_ranking(top_urls(log, n, size, slide), "url", "cnt",
+                          key_label=URL_LABEL, footer=URL_FOOTER)
