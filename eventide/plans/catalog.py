@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventide.plans import jobs
 from eventide.sources import tables as T
@@ -74,6 +75,114 @@ def q_top_urls_report(spark, sf):
     return jobs.top_urls_report(T.as_access_log(T.events(spark, sf)), 5, "10 minutes", "5 seconds")
 
 
+# ---- Q7 -------------------------------------------------------------------------------
+AD_CAP = 10  # per-user clicks in the driver table are at most ~30, so 100 would never bind
+AD_DAILY_CAP = 1  # a user clicks at most a few times a day; 1 per day binds on many days
+
+
+def _ads(spark, sf, reset="never"):
+    cap = AD_CAP if reset == "never" else AD_DAILY_CAP
+    return jobs.ad_clicks_by_province(T.as_ad_clicks(T.events(spark, sf)), cap=cap,
+                                      size="1 hour", keys=["user_id"], reset=reset)
+
+
+def q_ad_clicks_by_province(spark, sf):
+    return _ads(spark, sf).province_counts
+
+
+def q_ad_blacklist(spark, sf):
+    return _ads(spark, sf).warnings
+
+
+def q_ad_clicks_by_province_daily(spark, sf):
+    return _ads(spark, sf, "event_day").province_counts
+
+
+def q_ad_blacklist_daily(spark, sf):
+    return _ads(spark, sf, "event_day").warnings
+
+
+# ---- Q8 -------------------------------------------------------------------------------
+def q_login_failures(spark, sf):
+    return jobs.login_failures(T.as_logins(T.events(spark, sf)), "1 day", keyed=True)
+
+
+def q_login_failures_unkeyed(spark, sf):
+    return jobs.login_failures(T.as_logins(T.events(spark, sf)), "10 minutes", keyed=False)
+
+
+# ---- Q9 -------------------------------------------------------------------------------
+def _orders(spark, sf):
+    return jobs.order_timeout(T.as_order_events(T.events(spark, sf)), "12 hours")
+
+
+def q_order_paid(spark, sf):
+    return _orders(spark, sf).paid
+
+
+def q_order_timeout(spark, sf):
+    return _orders(spark, sf).timed_out
+
+
+# ---- Q10 ------------------------------------------------------------------------------
+def _receipts(spark, sf, timeout=None):
+    ev = T.events(spark, sf)
+    return jobs.receipt_match(T.as_pays(ev).drop("event_id"), T.as_receipts(ev).drop("event_id"),
+                              timeout=timeout)
+
+
+def q_receipt_matched(spark, sf):
+    return _receipts(spark, sf).matched.select("pay_id", "pay_seq", "receipt_seq")
+
+
+def q_receipt_unmatched_pays(spark, sf):
+    return _receipts(spark, sf).left_only.select("pay_id", "pay_seq", "reason")
+
+
+def q_receipt_unmatched_receipts(spark, sf):
+    return _receipts(spark, sf).right_only.select("pay_id", "receipt_seq", "reason")
+
+
+def q_receipt_overwritten(spark, sf):
+    return _receipts(spark, sf).overwritten.select("pay_id", "side", "seq")
+
+
+def q_receipt_matched_timeout(spark, sf):
+    return _receipts(spark, sf, "1 hour").matched.select("pay_id", "pay_seq", "receipt_seq")
+
+
+def q_receipt_unmatched_pays_timeout(spark, sf):
+    return _receipts(spark, sf, "1 hour").left_only.select("pay_id", "pay_seq", "reason")
+
+
+def q_receipt_unmatched_receipts_timeout(spark, sf):
+    return _receipts(spark, sf, "1 hour").right_only.select("pay_id", "receipt_seq", "reason")
+
+
+# ---- Q11 ------------------------------------------------------------------------------
+def q_interval_join(spark, sf):
+    ev = T.events(spark, sf)
+    clicks = (ev.filter("event_type = 'click'").select(F.col("user_id").alias("pay_id"), "ts", "seq"))
+    pays = T.as_pays(ev).drop("event_id")
+    return (jobs.receipt_interval_join(pays, clicks, "-1 hour", "1 hour")
+            .select(F.col("pay_id").alias("user_id"), "pay_seq", F.col("receipt_seq").alias("click_seq")))
+
+
+def q_interval_join_orders(spark, sf):
+    from eventide.functions.time import to_event_time
+    from eventide.operators.joins import interval_join
+    o = to_event_time(T.read_table(spark, sf, "orders"), "o_orderdate", out="ts") \
+        .select(F.col("o_orderkey").alias("orderkey"), "ts", "o_custkey")
+    l = to_event_time(T.read_table(spark, sf, "lineitem"), "l_shipdate", out="ts") \
+        .select(F.col("l_orderkey").alias("orderkey"), "ts", "l_linenumber", "l_partkey")
+    return (interval_join(o, l, "orderkey", "-15 days", "15 days", left_prefix="o_", right_prefix="l_")
+            .select(F.col("orderkey").alias("o_orderkey"), "o_o_custkey", "l_l_linenumber", "l_l_partkey",
+                    F.unix_millis("o_ts").alias("o_ms"), F.unix_millis("l_ts").alias("l_ms"))
+            .withColumnRenamed("o_o_custkey", "o_custkey")
+            .withColumnRenamed("l_l_linenumber", "l_linenumber")
+            .withColumnRenamed("l_l_partkey", "l_partkey"))
+
+
 # ---------------------------------------------------------------------------------------
 # DuckDB oracle SQL.  `E` is the events table with ms / us time and k.
 E = """(select *, epoch_us(ts) as us, epoch_us(ts) // 1000 as ms,
@@ -121,6 +230,71 @@ _URLS = _top(_sliding("'/item/' || k as url", 600_000, 5_000, "true"), 5, "url")
 _VIEWS = f"""(select *, ms - ms % 3600000 + 3600000 as window_end from {E} x
              where event_type = 'view')"""
 
+_CLICKS = f"""(select *, row_number() over (partition by user_id order by us, event_id) as r
+               from {E} x where event_type = 'click')"""
+_CLICKS_DAY = f"""(select *, row_number() over (partition by user_id, ms - ms % 86400000
+                                                order by us, event_id) as r
+                   from {E} x where event_type = 'click')"""
+
+
+def _province(c, cap=AD_CAP):
+    return f"""select cast(k % 10 as varchar) as province, ms - ms % 3600000 + 3600000 as window_end,
+               count(*) as cnt from {c} c where r <= {cap} group by all"""
+
+
+def _blacklist(c, cap=AD_CAP):
+    return f"select user_id, event_id as seq, 'Input blacklist' as msg from {c} c where r = {cap + 1}"
+
+
+def _login(part: str, within_us: int) -> str:
+    return f"""select user_id, first_seq, second_seq, first_time, last_time,
+               'two time next fail to login' as msg from (
+          select user_id, event_type as a, event_id as first_seq, us, us // 1000000 as first_time,
+                 lead(event_type) over w as b, lead(event_id) over w as second_seq,
+                 lead(us) over w as us2, lead(us) over w // 1000000 as last_time
+          from {E} x window w as ({part} order by us, event_id))
+        where a = 'error' and b = 'error' and us2 - us < {within_us}"""
+
+
+_ORDERS = f"""(select user_id as order_id, event_id as create_seq, us,
+        first_value(case when event_type = 'purchase' then event_id end ignore nulls) over w as pay_seq,
+        first_value(case when event_type = 'purchase' then us end ignore nulls) over w as pay_us,
+        event_type
+     from {E} x
+     window w as (partition by user_id order by us, event_id
+                  rows between 1 following and unbounded following))"""
+
+
+def _pairs(timeout_us: int | None) -> str:
+    gap_brk = f" or us - lag(us) over w > {timeout_us}" if timeout_us else ""
+    ngap = f"lead(us) over w - us" if timeout_us else "0"
+    return f"""(with x as (select user_id as pay_id, case when event_type = 'purchase' then 0 else 1 end as side,
+                         us, event_id as seq from {E} e where event_type in ('purchase', 'signup')),
+      a as (select *, case when lag(side) over w is null or side = lag(side) over w{gap_brk}
+                           then 1 else 0 end as brk,
+                   row_number() over w as rn, lag(seq) over w as pseq, lead(side) over w as nside,
+                   {ngap} as ngap
+            from x window w as (partition by pay_id order by us, seq, side)),
+      b as (select *, rn - max(case when brk = 1 then rn end) over
+                      (partition by pay_id order by us, seq, side rows unbounded preceding) + 1 as pos,
+                   lead(brk) over (partition by pay_id order by us, seq, side) as nbrk from a)
+      select *, pos % 2 = 0 as closes,
+             pos % 2 = 1 and coalesce(nbrk, 1) = 1 as pending,
+             pos % 2 = 1 and coalesce(nbrk, 1) = 1 and nside is not null and nside = side
+               {f"and ngap <= {timeout_us}" if timeout_us else ""} as over
+      from b)"""
+
+
+def _matched(p):
+    return f"""select pay_id, case when side = 0 then seq else pseq end as pay_seq,
+                      case when side = 1 then seq else pseq end as receipt_seq from {p} p where closes"""
+
+
+def _unmatched(p, side, name):
+    return f"""select pay_id, seq as {name}, case when nside is null then 'end' else 'timeout' end as reason
+               from {p} p where pending and not over and side = {side}"""
+
+
 SQL = {
     "page_views": f"""
         select ms - ms % 3600000 + 3600000 as window_end, count(*) as pv
@@ -145,6 +319,32 @@ SQL = {
         3_600_000, 10_000, "event_type <> 'error'", start=True),
     "top_urls": _URLS,
     "top_urls_report": _report(_URLS, "url", " url=", "=" * 28),
+    "ad_clicks_by_province": _province(_CLICKS),
+    "ad_blacklist": _blacklist(_CLICKS),
+    "ad_clicks_by_province_daily": _province(_CLICKS_DAY, AD_DAILY_CAP),
+    "ad_blacklist_daily": _blacklist(_CLICKS_DAY, AD_DAILY_CAP),
+    "login_failures": _login("partition by user_id", 86_400_000_000),
+    "login_failures_unkeyed": _login("", 600_000_000),
+    "order_paid": f"""select order_id, create_seq, pay_seq, 'pay success' as msg from {_ORDERS} o
+        where event_type = 'view' and pay_us - us < 43200000000""",
+    "order_timeout": f"""select order_id, create_seq, 'pay timeout' as msg from {_ORDERS} o
+        where event_type = 'view' and (pay_us is null or pay_us - us >= 43200000000)""",
+    "receipt_matched": _matched(_pairs(None)),
+    "receipt_unmatched_pays": _unmatched(_pairs(None), 0, "pay_seq"),
+    "receipt_unmatched_receipts": _unmatched(_pairs(None), 1, "receipt_seq"),
+    "receipt_overwritten": f"""select pay_id, case when side = 0 then 'left' else 'right' end as side, seq
+        from {_pairs(None)} p where over""",
+    "receipt_matched_timeout": _matched(_pairs(3_600_000_000)),
+    "receipt_unmatched_pays_timeout": _unmatched(_pairs(3_600_000_000), 0, "pay_seq"),
+    "receipt_unmatched_receipts_timeout": _unmatched(_pairs(3_600_000_000), 1, "receipt_seq"),
+    "interval_join": f"""select p.user_id, p.event_id as pay_seq, c.event_id as click_seq
+        from {E} p join {E} c on p.user_id = c.user_id
+         and c.us between p.us - 3600000000 and p.us + 3600000000
+        where p.event_type = 'purchase' and c.event_type = 'click'""",
+    "interval_join_orders": """select o.o_orderkey, o.o_custkey, l.l_linenumber, l.l_partkey,
+               epoch_us(o.o_orderdate) // 1000 as o_ms, epoch_us(l.l_shipdate) // 1000 as l_ms
+        from orders o join lineitem l on o.o_orderkey = l.l_orderkey
+         and l.l_shipdate between o.o_orderdate - interval 15 day and o.o_orderdate + interval 15 day""",
 }
 
 QUERIES: dict[str, Query] = {
@@ -160,4 +360,21 @@ QUERIES: dict[str, Query] = {
     "marketing_by_channel": q_marketing_by_channel,
     "top_urls": q_top_urls,
     "top_urls_report": q_top_urls_report,
+    "ad_clicks_by_province": q_ad_clicks_by_province,
+    "ad_blacklist": q_ad_blacklist,
+    "ad_clicks_by_province_daily": q_ad_clicks_by_province_daily,
+    "ad_blacklist_daily": q_ad_blacklist_daily,
+    "login_failures": q_login_failures,
+    "login_failures_unkeyed": q_login_failures_unkeyed,
+    "order_paid": q_order_paid,
+    "order_timeout": q_order_timeout,
+    "receipt_matched": q_receipt_matched,
+    "receipt_unmatched_pays": q_receipt_unmatched_pays,
+    "receipt_unmatched_receipts": q_receipt_unmatched_receipts,
+    "receipt_overwritten": q_receipt_overwritten,
+    "receipt_matched_timeout": q_receipt_matched_timeout,
+    "receipt_unmatched_pays_timeout": q_receipt_unmatched_pays_timeout,
+    "receipt_unmatched_receipts_timeout": q_receipt_unmatched_receipts_timeout,
+    "interval_join": q_interval_join,
+    "interval_join_orders": q_interval_join_orders,
 }

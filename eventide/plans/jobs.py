@@ -7,6 +7,8 @@ NamedTuple of DataFrames.  Parameters default to the reference's values.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from eventide.operators.aggs import Count, IntAvg
 from eventide.operators.distinct import (
     approx_distinct_per_window, bitmap_distinct_per_window, distinct_per_window, running_distinct,
 )
+from eventide.operators.joins import PairResult, interval_join, pair_one_to_one
+from eventide.operators.limits import cap_per_key
+from eventide.operators.patterns import followed_by, strict_pairs
 from eventide.operators.topn import top_n_per_window
 from eventide.operators.windows import sliding_agg, tumbling_agg
 
@@ -109,3 +114,84 @@ def top_urls(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -
 def top_urls_report(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -> DataFrame:
     return format_ranking(top_urls(log, n, size, slide), "url", "cnt",
                           key_label=URL_LABEL, footer=URL_FOOTER)
+
+
+# ---- Q7 ad clicks with a blacklist ----------------------------------------------------
+
+class AdReport(NamedTuple):
+    province_counts: DataFrame  # province, window_end, cnt
+    warnings: DataFrame         # keys, seq, msg
+
+
+def ad_clicks_by_province(clicks: DataFrame, cap: int = 100, size="1 hour",
+                          keys=("user_id", "ad_id"), reset: str = "never") -> AdReport:
+    """Q7: cap clicks per (user, ad) at ``cap`` (one warning at the first refused click),
+    then count the kept clicks per province and tumbling window."""
+    capped = cap_per_key(clicks, list(keys), cap, reset=reset)
+    counts = tumbling_agg(capped.kept, size, [Count("cnt")], keys=["province"])
+    return AdReport(counts, capped.warnings.select(*keys, "seq", "msg"))
+
+
+# ---- Q8 login failures ----------------------------------------------------------------
+
+# Fixed value: the reference's message for two consecutive failures.
+LOGIN_FAIL_MSG = "two time next fail to login"
+
+
+def login_failures(logins: DataFrame, within="2 seconds", keyed: bool = True,
+                   fail: str = "fail") -> DataFrame:
+    """Q8: two consecutive failed logins less than ``within`` apart
+    -> user_id, first_seq, second_seq, first_time, last_time (epoch s), msg.
+
+    ``keyed=False`` is the reference as shipped: consecutive over all users, reported
+    under the first failure's user."""
+    is_fail = F.col("event_type") == fail
+    pairs = strict_pairs(logins, is_fail, is_fail, within,
+                         keys=["user_id"] if keyed else [], carry=[] if keyed else ["user_id"])
+    user = F.col("user_id") if keyed else F.col("first_user_id").alias("user_id")
+    return pairs.select(user, "first_seq", "second_seq",
+                        F.unix_seconds("first_ts").alias("first_time"),
+                        F.unix_seconds("second_ts").alias("last_time"),
+                        F.lit(LOGIN_FAIL_MSG).alias("msg"))
+
+
+# ---- Q9 order pay timeout -------------------------------------------------------------
+
+# The reference's result messages.
+PAY_SUCCESS_MSG = "pay success"
+PAY_TIMEOUT_MSG = "pay timeout"
+
+
+class PayOutcome(NamedTuple):
+    paid: DataFrame       # order_id, create_seq, pay_seq, msg
+    timed_out: DataFrame  # order_id, create_seq, msg
+
+
+def order_timeout(orders: DataFrame, within="15 minutes", create: str = "create",
+                  pay: str = "pay") -> PayOutcome:
+    """Q9: each create takes the first later pay of the same order; paid if less than
+    ``within`` later, else (or when no pay follows) timed out."""
+    res = followed_by(orders, F.col("pay_status") == create, F.col("pay_status") == pay,
+                      within, keys=["order_id"])
+    paid = res.matched.select("order_id", F.col("begin_seq").alias("create_seq"),
+                              F.col("follow_seq").alias("pay_seq"), F.lit(PAY_SUCCESS_MSG).alias("msg"))
+    late = res.timed_out.select("order_id", F.col("begin_seq").alias("create_seq"),
+                                F.lit(PAY_TIMEOUT_MSG).alias("msg"))
+    return PayOutcome(paid, late)
+
+
+# ---- Q10 / Q11 payments and receipts --------------------------------------------------
+
+def receipt_match(pays: DataFrame, receipts: DataFrame, timeout=None, key: str = "pay_id") -> PairResult:
+    """Q10: one-to-one pairing of payments and receipts by pay id; pending rows that are
+    never closed come out as unmatched pays / receipts (with ``timeout``: once it passes)."""
+    return pair_one_to_one(pays, receipts, key, timeout=timeout,
+                           left_prefix="pay_", right_prefix="receipt_")
+
+
+def receipt_interval_join(pays: DataFrame, receipts: DataFrame, lower="-15 seconds",
+                          upper="15 seconds", key: str = "pay_id", bucket="auto") -> DataFrame:
+    """Q11: every (pay, receipt) of the same pay id with
+    ``pay.ts + lower <= receipt.ts <= pay.ts + upper``."""
+    return interval_join(pays, receipts, key, lower, upper, left_prefix="pay_",
+                         right_prefix="receipt_", bucket=bucket)
