@@ -31,17 +31,19 @@ def timestamp_text(ms: Column) -> Column:
 
 def format_ranking(ranked: DataFrame, key: str, metric: str, window_end: str = "window_end",
                    rank: str = "rank", key_label: str = ITEM_LABEL,
-                   footer: str = ITEM_FOOTER) -> DataFrame:
+                   footer: str = ITEM_FOOTER, group_extra=()) -> DataFrame:
     """One report string per window from the output of ``top_n_per_window``.
 
     Groups hold at most n rows (the top-N), so ``collect_list`` is bounded.
+    ``group_extra`` are columns determined by the window (such as the time bucket of
+    ``sliding_top_n``) added to the grouping so the existing partitioning is reused.
     """
     line = F.concat(F.lit(RANK_PREFIX), F.col(rank).cast("string"), F.lit(":"),
                     F.lit(key_label), F.col(key).cast("string"),
                     F.lit(COUNT_LABEL), F.col(metric).cast("string"), F.lit("\n"))
     lines = F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), line.alias("l"))))
     body = F.array_join(F.transform(lines, lambda x: x["l"]), "")
-    return (ranked.groupBy(window_end)
+    return (ranked.groupBy(*group_extra, window_end)
             .agg(body.alias("_body"))
             .select(window_end,
                     F.concat(F.lit(REPORT_HEADER), timestamp_text(F.col(window_end)), F.lit("\n"),

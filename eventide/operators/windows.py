@@ -43,43 +43,87 @@ def tumbling_agg(df: DataFrame, size, aggs: Sequence[Agg], keys=(), ts: str = "t
 
 
 def pane_windows(pane_start_ms: Column, size_ms: int, slide_ms: int) -> Column:
-    """Ends of the ``size/slide`` sliding windows that contain the pane starting at ``pane_start_ms``."""
-    n = size_ms // slide_ms
-    return F.transform(F.sequence(F.lit(1), F.lit(n)),
-                       lambda j: pane_start_ms + j.cast("long") * F.lit(slide_ms))
+    """Ends of the ``size/slide`` sliding windows that contain the pane starting at
+    ``pane_start_ms`` (``sequence`` is code-generated; no lambda functions)."""
+    return F.sequence(pane_start_ms + F.lit(slide_ms), pane_start_ms + F.lit(size_ms), F.lit(slide_ms))
 
 
 def row_windows(t_ms: Column, size_ms: int, slide_ms: int, offset_ms: int = 0) -> Column:
-    """Ends of all sliding windows ``[s, s+size)`` with ``s = offset + m*slide`` holding ``t_ms``
+    """Ends of all sliding windows ``[e - size, e)`` on the slide grid holding ``t_ms``
     (general form, also when size is not a multiple of slide)."""
-    last_start = floor_to(t_ms, slide_ms, offset_ms)
-    n = -(-size_ms // slide_ms)  # ceil
-    ends = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                       lambda j: last_start - j.cast("long") * F.lit(slide_ms) + F.lit(size_ms))
-    return F.filter(ends, lambda e: e - F.lit(size_ms) <= t_ms)
+    first = floor_to(t_ms, slide_ms, offset_ms) + F.lit(slide_ms)
+    last = floor_to(t_ms + F.lit(size_ms), slide_ms, offset_ms)
+    return F.sequence(first, last, F.lit(slide_ms))
+
+
+BUCKET_WINDOWS = 4  # time bucket width for the local window expansion, in window sizes
+
+
+def pane_aggregates(df: DataFrame, slide_ms: int, aggs: Sequence[Agg], keys, ts: str,
+                    offset_ms: int = 0) -> DataFrame:
+    """Partial aggregates per (keys, pane); pane = ``_pane`` start (epoch ms)."""
+    return (df.groupBy(*keys, floor_to(millis(ts), slide_ms, offset_ms).alias("_pane"))
+              .agg(*partial_exprs(aggs)))
+
+
+def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequence[Agg], keys,
+                       spread_keys=None, bucket_ms: int | None = None, offset_ms: int = 0) -> DataFrame:
+    """Merge pane partials into sliding windows with one small shuffle.
+
+    Window ends are grouped in time buckets of ``bucket_ms`` (>= size).  A pane
+    reaches at most two buckets, so pane rows are copied at most twice, then
+    hash-partitioned by (spread_keys, bucket).  The expansion to ``size/slide``
+    window ends and the merge run inside each partition: the exchange carries
+    pane aggregates only, never one row per (key, window).  Output keeps the
+    bucket as ``_bkt`` so later operators (top-N) can stay in the same partitions.
+    """
+    spread_keys = list(keys if spread_keys is None else spread_keys)
+    b = bucket_ms or BUCKET_WINDOWS * size_ms
+    if b < size_ms or b % slide_ms:
+        raise ValueError("bucket must be a whole number of slides, at least one window long")
+    pane = F.col("_pane")
+    first = floor_to(pane + F.lit(slide_ms - 1), b, offset_ms)
+    last = floor_to(pane + F.lit(size_ms - 1), b, offset_ms)
+    partial_cols = [n for a in aggs for n, _ in a.partials()]
+    # a fixed partition count: the rows multiply after the exchange, so AQE must not
+    # coalesce these partitions by their (small) shuffle size
+    n_parts = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = (panes.withColumn("_bkt", F.explode(F.array_distinct(F.array(first, last))))
+                   .repartition(n_parts, *[F.col(k) for k in spread_keys], F.col("_bkt")))
+    # window ends e of this pane with bucket < e <= bucket + b, on the slide grid
+    lo = F.greatest(pane + F.lit(slide_ms), F.col("_bkt") + F.lit(slide_ms))
+    hi = F.least(pane + F.lit(size_ms), F.col("_bkt") + F.lit(b))
+    return (spread.select(*keys, "_bkt", F.explode(F.sequence(lo, hi, F.lit(slide_ms))).alias("window_end"),
+                          *partial_cols)
+                  .groupBy(*keys, "_bkt", "window_end")
+                  .agg(*merge_exprs(aggs)))
 
 
 def sliding_agg(df: DataFrame, size, slide, aggs: Sequence[Agg], keys=(), ts: str = "ts",
-                offset=0, method: str = "panes", with_start: bool = False) -> DataFrame:
+                offset=0, method: str = "panes", with_start: bool = False,
+                spread_keys=None, keep_bucket: bool = False) -> DataFrame:
     """Aggregate per (keys, sliding window of ``size`` every ``slide``).
 
-    ``method="panes"`` (default, H1) needs ``size % slide == 0``; otherwise, or with
-    ``method="expand"``, every row is copied to its windows before aggregating.
-    Output: keys, [window_start], window_end, aggs.
+    ``method="panes"`` (default, H1) needs ``size % slide == 0``: rows are aggregated
+    per (keys, pane) with map-side partial aggregation, and only pane aggregates are
+    shuffled and expanded (see ``expand_panes_local``).  ``method="expand"`` (or a
+    size that is not a multiple of the slide) copies every row to its windows first.
+    ``spread_keys`` picks the partitioning of the expansion (default: the keys;
+    ``[]`` = by time bucket only, so all keys of a window meet in one partition).
+    Output: keys, [window_start], window_end, aggs (+ ``_bkt`` with ``keep_bucket``).
     """
     keys = _keys(keys)
     size_ms, slide_ms, off_ms = interval_millis(size), interval_millis(slide), interval_millis(offset)
-    if size_ms == slide_ms:
+    if size_ms == slide_ms and not keep_bucket:
         return tumbling_agg(df, size, aggs, keys, ts, offset, with_start)
+    extra = []
     if method == "panes" and size_ms % slide_ms == 0:
-        panes = (df.groupBy(*keys, floor_to(millis(ts), slide_ms, off_ms).alias("_pane"))
-                 .agg(*partial_exprs(aggs)))
-        partial_cols = [n for a in aggs for n, _ in a.partials()]
-        out = (panes.select(*keys, F.explode(pane_windows(F.col("_pane"), size_ms, slide_ms))
-                            .alias("window_end"), *partial_cols)
-               .groupBy(*keys, "window_end")
-               .agg(*merge_exprs(aggs)))
+        panes = pane_aggregates(df, slide_ms, aggs, keys, ts, off_ms)
+        out = expand_panes_local(panes, size_ms, slide_ms, aggs, keys, spread_keys, offset_ms=off_ms)
+        extra = ["_bkt"] if keep_bucket else []
     elif method in ("panes", "expand"):
+        if keep_bucket:
+            raise ValueError("keep_bucket needs pane aggregation")
         out = (df.withColumn("window_end", F.explode(row_windows(millis(ts), size_ms, slide_ms, off_ms)))
                .groupBy(*keys, "window_end")
                .agg(*partial_exprs(aggs)))
@@ -88,4 +132,4 @@ def sliding_agg(df: DataFrame, size, slide, aggs: Sequence[Agg], keys=(), ts: st
     cols = [*keys]
     if with_start:
         cols.append((F.col("window_end") - F.lit(size_ms)).alias("window_start"))
-    return out.select(*cols, "window_end", *finish_exprs(aggs))
+    return out.select(*cols, "window_end", *finish_exprs(aggs), *extra)

@@ -20,7 +20,7 @@ from eventide.operators.distinct import (
 from eventide.operators.joins import PairResult, interval_join, pair_one_to_one
 from eventide.operators.limits import cap_per_key
 from eventide.operators.patterns import followed_by, strict_pairs
-from eventide.operators.topn import top_n_per_window
+from eventide.operators.topn import sliding_top_n, top_n_per_window
 from eventide.operators.windows import sliding_agg, tumbling_agg
 
 
@@ -41,18 +41,24 @@ def item_counts(behavior: DataFrame, size="1 hour", slide="5 minutes", metric: s
     return sliding_agg(behavior.filter(F.col("behavior") == pv), size, slide, [agg], keys=["item_id"])
 
 
+def _hot_items(behavior, n, size, slide, metric, pv):
+    if metric not in ("count", "avg_ts"):
+        raise ValueError("metric must be 'count' or 'avg_ts'")
+    agg = Count("cnt") if metric == "count" else IntAvg("cnt", "ts_s")
+    return sliding_top_n(behavior.filter(F.col("behavior") == pv), size, slide, [agg], "item_id", n, "cnt")
+
+
 def hot_items(behavior: DataFrame, n: int = 3, size="1 hour", slide="5 minutes",
               metric: str = "count", pv: str = "pv") -> DataFrame:
     """Q1: top ``n`` items per sliding window -> window_end, rank, item_id, cnt."""
-    counts = item_counts(behavior, size, slide, metric, pv)
-    return (top_n_per_window(counts, n, "cnt", "item_id")
-            .select("window_end", "rank", "item_id", "cnt"))
+    return _hot_items(behavior, n, size, slide, metric, pv).select("window_end", "rank", "item_id", "cnt")
 
 
 def hot_items_report(behavior: DataFrame, n: int = 3, size="1 hour", slide="5 minutes",
-                     metric: str = "count") -> DataFrame:
+                     metric: str = "count", pv: str = "pv") -> DataFrame:
     """Q1 as text: one ranking report per window (T3) -> window_end, report."""
-    return format_ranking(hot_items(behavior, n, size, slide, metric), "item_id", "cnt")
+    return format_ranking(_hot_items(behavior, n, size, slide, metric, pv), "item_id", "cnt",
+                          group_extra=["_bkt"])
 
 
 # ---- Q3 / Q4 unique visitors ----------------------------------------------------------
@@ -105,15 +111,16 @@ def top_urls(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -
     """Q12: top ``n`` URLs per sliding window -> window_end, rank, url, cnt.
 
     The batch form counts every row (the final answer once all late rows are in);
-    apply ``operators.late.admit_late`` first to reproduce the drop of rows later
-    than the watermark delay plus allowed lateness."""
-    return (top_n_per_window(url_counts(log, size, slide), n, "cnt", "url")
-            .select("window_end", "rank", "url", "cnt"))
+    apply ``operators.late`` first to reproduce the drop of rows later than the
+    watermark delay plus the allowed lateness."""
+    return sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt") \
+        .select("window_end", "rank", "url", "cnt")
 
 
 def top_urls_report(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -> DataFrame:
-    return format_ranking(top_urls(log, n, size, slide), "url", "cnt",
-                          key_label=URL_LABEL, footer=URL_FOOTER)
+    ranked = sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt")
+    return format_ranking(ranked, "url", "cnt", key_label=URL_LABEL, footer=URL_FOOTER,
+                          group_extra=["_bkt"])
 
 
 # ---- Q7 ad clicks with a blacklist ----------------------------------------------------
