@@ -49,11 +49,11 @@ def pane_windows(pane_start_ms: Column, size_ms: int, slide_ms: int) -> Column:
 
 
 def row_windows(t_ms: Column, size_ms: int, slide_ms: int, offset_ms: int = 0) -> Column:
-    """Ends of all sliding windows ``[e - size, e)`` on the slide grid holding ``t_ms``
-    (general form, also when size is not a multiple of slide)."""
-    first = floor_to(t_ms, slide_ms, offset_ms) + F.lit(slide_ms)
-    last = floor_to(t_ms + F.lit(size_ms), slide_ms, offset_ms)
-    return F.sequence(first, last, F.lit(slide_ms))
+    """Ends of all sliding windows ``[s, s + size)`` holding ``t_ms``, where starts ``s``
+    lie on the slide grid (general form, also when size is not a multiple of slide)."""
+    first_start = floor_to(t_ms - F.lit(size_ms), slide_ms, offset_ms) + F.lit(slide_ms)
+    last_start = floor_to(t_ms, slide_ms, offset_ms)
+    return F.sequence(first_start + F.lit(size_ms), last_start + F.lit(size_ms), F.lit(slide_ms))
 
 
 BUCKET_WINDOWS = 4  # time bucket width for the local window expansion, in window sizes
