@@ -86,12 +86,20 @@ class PairResult(NamedTuple):
 
 
 def pair_one_to_one(left: DataFrame, right: DataFrame, on, ts: str = "ts", seq: str = "seq",
-                    timeout=None, left_prefix: str = "left_", right_prefix: str = "right_") -> PairResult:
+                    timeout=None, left_prefix: str = "left_", right_prefix: str = "right_",
+                    bucket="1 hour") -> PairResult:
     """One-to-one pairing of two keyed inputs (order (ts, seq) per key; on equal
     (ts, seq) the left row goes first).  ``timeout=None`` is the reference as shipped
     (pending rows are reported at the end of input); a timeout makes a pending row
     unmatched once the other side has not arrived within it (a row exactly
-    ``timeout`` later still pairs)."""
+    ``timeout`` later still pairs).
+
+    ``bucket`` (default one hour; ``None`` = whole keys per task) splits each key's
+    history into time buckets that are numbered in parallel; only one summary row
+    per (key, bucket) travels to a per-key window, which carries the run position and
+    the neighbouring rows across bucket borders.  A key holding a third of all rows
+    is then spread over its buckets instead of landing in one task.
+    """
     keys = _keys(on)
     lcols = [c for c in left.columns if c not in keys]
     rcols = [c for c in right.columns if c not in keys]
@@ -101,24 +109,21 @@ def pair_one_to_one(left: DataFrame, right: DataFrame, on, ts: str = "ts", seq:
                     F.struct(*lcols).alias("_l"), F.lit(None).cast(rtype).alias("_r")).unionByName(
         right.select(*keys, F.col(ts).alias("_t"), F.col(seq).alias("_s"), F.lit(1).alias("_side"),
                      F.lit(None).cast(ltype).alias("_l"), F.struct(*rcols).alias("_r")))
-    w = Window.partitionBy(*keys).orderBy("_t", "_s", "_side")
-    gap = micros("_t") - micros(F.lag("_t").over(w))
-    brk = F.lag("_side").over(w).isNull() | (F.col("_side") == F.lag("_side").over(w))
-    if timeout is not None:
-        brk = brk | (gap > F.lit(interval_micros(timeout)))
-    a = u.select("*", brk.alias("_brk"), F.row_number().over(w).alias("_rn"),
-                 F.lag("_l").over(w).alias("_pl"), F.lag("_r").over(w).alias("_pr"))
-    wrun = w.rowsBetween(Window.unboundedPreceding, 0)
-    b = a.select("*", (F.col("_rn") - F.max(F.when(F.col("_brk"), F.col("_rn"))).over(wrun) + 1).alias("_pos"),
-                 F.lead("_brk").over(w).alias("_nbrk"), F.lead("_side").over(w).alias("_nside"))
+    t_us = interval_micros(timeout) if timeout is not None else None
+    if bucket is None:
+        b = _runs_plain(u, keys, t_us)
+    else:
+        b = _runs_bucketed(u, keys, t_us, interval_micros(bucket))
+    # b has per row: _brk (row starts a run), _pos (position in its run), _pl/_pr (previous
+    # row's payloads), _nside/_nt (next row of the key, null at the end)
+    nbrk = F.when(F.col("_nside").isNull(), F.lit(None)).otherwise(_starts_run(
+        F.col("_nside"), F.col("_side"), micros("_nt") - micros("_t"), t_us))
     closes = (F.col("_pos") % 2) == 0
-    pending = ((F.col("_pos") % 2) == 1) & F.coalesce(F.col("_nbrk"), F.lit(True))
+    pending = ((F.col("_pos") % 2) == 1) & F.coalesce(nbrk, F.lit(True))
     overwritten = pending & F.col("_nside").isNotNull() & (F.col("_nside") == F.col("_side"))
-    if timeout is not None:
+    if t_us is not None:
         # a same-side successor after the timeout means the timer fired first
-        nxt_gap = micros(F.lead("_t").over(w)) - micros("_t")
-        b = b.withColumn("_ngap", nxt_gap)
-        overwritten = overwritten & (F.col("_ngap") <= F.lit(interval_micros(timeout)))
+        overwritten = overwritten & ((micros("_nt") - micros("_t")) <= F.lit(t_us))
     b = b.withColumn("_closes", closes).withColumn("_pending", pending).withColumn("_over", overwritten)
 
     def side_cols(struct: str, names, prefix):
@@ -137,6 +142,74 @@ def pair_one_to_one(left: DataFrame, right: DataFrame, on, ts: str = "ts", seq:
     return PairResult(matched, left_only, right_only, over)
 
 
+def _starts_run(side, prev_side, gap_us, t_us):
+    """A row starts a new run when it is on the same side as the previous row, or when
+    the previous row is more than the timeout older."""
+    c = side == prev_side
+    if t_us is not None:
+        c = c | (gap_us > F.lit(t_us))
+    return c
+
+
+def _runs_plain(u: DataFrame, keys, t_us) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy("_t", "_s", "_side")
+    prev_side = F.lag("_side").over(w)
+    brk = prev_side.isNull() | _starts_run(F.col("_side"), prev_side,
+                                           micros("_t") - micros(F.lag("_t").over(w)), t_us)
+    a = u.select("*", brk.alias("_brk"), F.row_number().over(w).alias("_rn"),
+                 F.lag("_l").over(w).alias("_pl"), F.lag("_r").over(w).alias("_pr"),
+                 F.lead("_side").over(w).alias("_nside"), F.lead("_t").over(w).alias("_nt"))
+    wrun = w.rowsBetween(Window.unboundedPreceding, 0)
+    return a.withColumn("_pos", F.col("_rn") - F.max(F.when(F.col("_brk"), F.col("_rn"))).over(wrun) + 1)
+
+
+def _runs_bucketed(u: DataFrame, keys, t_us, width_us: int) -> DataFrame:
+    us = micros("_t")
+    u = u.withColumn("_b", us - F.pmod(us, F.lit(width_us)))
+    wb = Window.partitionBy(*keys, "_b").orderBy("_t", "_s", "_side")
+    lside = F.lag("_side").over(wb)
+    brk_loc = F.when(lside.isNull(), F.lit(None)).otherwise(
+        _starts_run(F.col("_side"), lside, us - micros(F.lag("_t").over(wb)), t_us))
+    a = u.select("*", brk_loc.alias("_brk_loc"), F.row_number().over(wb).alias("_rn"),
+                 F.lag("_l").over(wb).alias("_pl_loc"), F.lag("_r").over(wb).alias("_pr_loc"),
+                 F.lead("_side").over(wb).alias("_nside_loc"), F.lead("_t").over(wb).alias("_nt_loc"))
+    a = a.withColumn("_lastbrk", F.max(F.when(F.col("_brk_loc"), F.col("_rn"))).over(
+        wb.rowsBetween(Window.unboundedPreceding, 0)))
+    row = F.struct("_t", "_s", "_side", "_l", "_r")
+    summary = a.groupBy(*keys, "_b").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(row).alias("_first"), F.max(row).alias("_last"),
+        F.max(F.when(F.col("_brk_loc"), F.col("_rn"))).alias("_lb"))
+    wk = Window.partitionBy(*keys).orderBy("_b")
+    prev_last = F.lag("_last").over(wk)
+    brk_first = prev_last.isNull() | _starts_run(
+        F.col("_first._side"), prev_last["_side"], micros(F.col("_first._t")) - micros(prev_last["_t"]), t_us)
+    s1 = summary.select("*", brk_first.alias("_brk_first"), prev_last.alias("_prev_last"),
+                        F.lead("_first").over(wk).alias("_next_first"),
+                        F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, 0)).alias("_c"))
+    # position of the bucket's last row in its run: counted from the latest bucket with a break
+    tail = F.when(F.col("_lb").isNotNull(), F.col("_n") - F.col("_lb") + 1) \
+            .when(F.col("_brk_first"), F.col("_n"))
+    latest = F.last(F.when(tail.isNotNull(), F.struct(tail.alias("tl"), F.col("_c").alias("c"))),
+                    ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, 0))
+    s2 = s1.withColumn("_latest", latest) \
+           .withColumn("_pos_last", F.col("_latest.tl") + F.col("_c") - F.col("_latest.c"))
+    s3 = s2.select(*keys, "_b", "_brk_first", "_prev_last", "_next_first",
+                   F.lag("_pos_last").over(wk).alias("_carry"))
+    j = a.join(s3, [*keys, "_b"])
+    first_row = F.col("_rn") == 1
+    pos = F.when(F.col("_lastbrk").isNotNull(), F.col("_rn") - F.col("_lastbrk") + 1) \
+           .when(F.col("_brk_first"), F.col("_rn")).otherwise(F.col("_carry") + F.col("_rn"))
+    return j.select(
+        *keys, "_t", "_s", "_side", "_l", "_r",
+        F.when(first_row, F.col("_brk_first")).otherwise(F.col("_brk_loc")).alias("_brk"),
+        pos.alias("_pos"),
+        F.when(first_row, F.col("_prev_last._l")).otherwise(F.col("_pl_loc")).alias("_pl"),
+        F.when(first_row, F.col("_prev_last._r")).otherwise(F.col("_pr_loc")).alias("_pr"),
+        F.when(F.col("_nside_loc").isNull(), F.col("_next_first._side")).otherwise(F.col("_nside_loc"))
+         .alias("_nside"),
+        F.when(F.col("_nside_loc").isNull(), F.col("_next_first._t")).otherwise(F.col("_nt_loc")).alias("_nt"))
+
+
 def _matched(b: DataFrame, keys, lcols, rcols, lp, rp) -> DataFrame:
     """The closing row of a pair carries the opening row in ``_pl``/``_pr``."""
     lsrc = F.when(F.col("_side") == 0, F.col("_l")).otherwise(F.col("_pl"))

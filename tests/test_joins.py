@@ -59,10 +59,11 @@ def _py_pairs(events, timeout=None):
     return sorted(matched), sorted(left_only), sorted(right_only), sorted(over)
 
 
-def _run(spark, events, timeout):
+def _run(spark, events, timeout, bucket="1 hour"):
     L = _pays(spark, [(e[0], e[1], e[2]) for e in events if e[3] == 0])
     R = _pays(spark, [(e[0], e[1], e[2]) for e in events if e[3] == 1])
-    res = pair_one_to_one(L, R, "pay_id", timeout=None if timeout is None else f"{timeout} seconds")
+    res = pair_one_to_one(L, R, "pay_id", timeout=None if timeout is None else f"{timeout} seconds",
+                          bucket=bucket)
     return (rows(res.matched, "left_seq", "right_seq"), [r[0] for r in rows(res.left_only, "left_seq")],
             [r[0] for r in rows(res.right_only, "right_seq")], [r[0] for r in rows(res.overwritten, "seq")])
 
@@ -81,7 +82,11 @@ def test_pairing_equals_loop_random(spark):
     random.seed(4)
     for timeout in (None, 40):
         ev = [(random.choice("abcd"), T0 + random.randint(0, 600), i, random.randint(0, 1)) for i in range(300)]
-        assert _run(spark, ev, timeout) == _py_pairs(ev, timeout), timeout
+        # same-second rows across sides exercise the (ts, seq, side) order
+        ev += [(e[0], e[1], 1000 + e[2], 1 - e[3]) for e in ev[:20]]
+        expect = _py_pairs(ev, timeout)
+        for bucket in (None, "1 hour", "45 seconds", "7 seconds"):
+            assert _run(spark, ev, timeout, bucket) == expect, (timeout, bucket)
 
 
 def test_pairing_timeout_edge(spark):
