@@ -32,13 +32,14 @@ def top_n_per_window(df: DataFrame, n: int, metric: str, key: str | Sequence[str
 
 
 def sliding_top_n(df: DataFrame, size, slide, aggs, key: str, n: int, metric: str, ts: str = "ts",
-                  rank: str = "rank") -> DataFrame:
+                  rank: str = "rank", admit: str | None = None) -> DataFrame:
     """Top ``n`` keys per sliding window by an aggregate (Q1, Q12) with one shuffle of
     pane aggregates: panes are spread by time bucket only, so every key of a window
     is counted and ranked inside one partition (the ranking's partition spec includes
     the bucket, which the window end determines, so no exchange is added)."""
     from eventide.operators.windows import sliding_agg
-    counts = sliding_agg(df, size, slide, aggs, keys=[key], ts=ts, spread_keys=[], keep_bucket=True)
+    counts = sliding_agg(df, size, slide, aggs, keys=[key], ts=ts, spread_keys=[], keep_bucket=True,
+                         admit=admit)
     return top_n_per_window(counts, n, metric, key, window_end=["_bkt", "window_end"], rank=rank)
 
 

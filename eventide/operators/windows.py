@@ -30,11 +30,16 @@ def _keys(keys) -> list[str]:
 
 
 def tumbling_agg(df: DataFrame, size, aggs: Sequence[Agg], keys=(), ts: str = "ts",
-                 offset=0, with_start: bool = False) -> DataFrame:
-    """Aggregate per (keys, tumbling window).  Output: keys, [window_start], window_end, aggs."""
+                 offset=0, with_start: bool = False, admit: str | None = None) -> DataFrame:
+    """Aggregate per (keys, tumbling window).  Output: keys, [window_start], window_end, aggs.
+
+    ``admit`` names a column with the smallest window end (epoch ms) each row may count
+    in (see ``operators.late.admit_from``); null admits the row everywhere."""
     keys = _keys(keys)
     size_ms, off_ms = interval_millis(size), interval_millis(offset)
     we = floor_to(millis(ts), size_ms, off_ms) + F.lit(size_ms)
+    if admit is not None:
+        df = df.filter(F.col(admit).isNull() | (we >= F.col(admit)))
     out = df.groupBy(*keys, we.alias("window_end")).agg(*partial_exprs(aggs))
     cols = [*keys]
     if with_start:
@@ -60,10 +65,21 @@ BUCKET_WINDOWS = 4  # time bucket width for the local window expansion, in windo
 
 
 def pane_aggregates(df: DataFrame, slide_ms: int, aggs: Sequence[Agg], keys, ts: str,
-                    offset_ms: int = 0) -> DataFrame:
-    """Partial aggregates per (keys, pane); pane = ``_pane`` start (epoch ms)."""
-    return (df.groupBy(*keys, floor_to(millis(ts), slide_ms, offset_ms).alias("_pane"))
-              .agg(*partial_exprs(aggs)))
+                    offset_ms: int = 0, size_ms: int | None = None, admit: str | None = None) -> DataFrame:
+    """Partial aggregates per (keys, pane); pane = ``_pane`` start (epoch ms).
+
+    With ``admit`` the rows of a pane are also split by ``_first``, the first window
+    end they count in (rows on time share ``pane + slide``); rows admitted nowhere
+    are dropped."""
+    pane = floor_to(millis(ts), slide_ms, offset_ms)
+    first = pane + F.lit(slide_ms)
+    if admit is not None:
+        # smallest end on the slide grid that is >= admit
+        a = F.col(admit)
+        aligned = floor_to(a - F.lit(1), slide_ms, offset_ms) + F.lit(slide_ms)
+        first = F.when(a.isNull(), first).otherwise(F.greatest(first, aligned))
+        df = df.filter(first <= pane + F.lit(size_ms))
+    return df.groupBy(*keys, pane.alias("_pane"), first.alias("_first")).agg(*partial_exprs(aggs))
 
 
 def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequence[Agg], keys,
@@ -82,7 +98,7 @@ def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequ
     if b < size_ms or b % slide_ms:
         raise ValueError("bucket must be a whole number of slides, at least one window long")
     pane = F.col("_pane")
-    first = floor_to(pane + F.lit(slide_ms - 1), b, offset_ms)
+    first = floor_to(F.col("_first") - F.lit(1), b, offset_ms)
     last = floor_to(pane + F.lit(size_ms - 1), b, offset_ms)
     partial_cols = [n for a in aggs for n, _ in a.partials()]
     # a fixed partition count: the rows multiply after the exchange, so AQE must not
@@ -91,7 +107,7 @@ def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequ
     spread = (panes.withColumn("_bkt", F.explode(F.array_distinct(F.array(first, last))))
                    .repartition(n_parts, *[F.col(k) for k in spread_keys], F.col("_bkt")))
     # window ends e of this pane with bucket < e <= bucket + b, on the slide grid
-    lo = F.greatest(pane + F.lit(slide_ms), F.col("_bkt") + F.lit(slide_ms))
+    lo = F.greatest(F.col("_first"), F.col("_bkt") + F.lit(slide_ms))
     hi = F.least(pane + F.lit(size_ms), F.col("_bkt") + F.lit(b))
     return (spread.select(*keys, "_bkt", F.explode(F.sequence(lo, hi, F.lit(slide_ms))).alias("window_end"),
                           *partial_cols)
@@ -101,7 +117,7 @@ def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequ
 
 def sliding_agg(df: DataFrame, size, slide, aggs: Sequence[Agg], keys=(), ts: str = "ts",
                 offset=0, method: str = "panes", with_start: bool = False,
-                spread_keys=None, keep_bucket: bool = False) -> DataFrame:
+                spread_keys=None, keep_bucket: bool = False, admit: str | None = None) -> DataFrame:
     """Aggregate per (keys, sliding window of ``size`` every ``slide``).
 
     ``method="panes"`` (default, H1) needs ``size % slide == 0``: rows are aggregated
@@ -110,21 +126,26 @@ def sliding_agg(df: DataFrame, size, slide, aggs: Sequence[Agg], keys=(), ts: st
     size that is not a multiple of the slide) copies every row to its windows first.
     ``spread_keys`` picks the partitioning of the expansion (default: the keys;
     ``[]`` = by time bucket only, so all keys of a window meet in one partition).
+    ``admit`` names a column with the smallest window end each row may count in
+    (allowed lateness, see ``operators.late.admit_from``).
     Output: keys, [window_start], window_end, aggs (+ ``_bkt`` with ``keep_bucket``).
     """
     keys = _keys(keys)
     size_ms, slide_ms, off_ms = interval_millis(size), interval_millis(slide), interval_millis(offset)
     if size_ms == slide_ms and not keep_bucket:
-        return tumbling_agg(df, size, aggs, keys, ts, offset, with_start)
+        return tumbling_agg(df, size, aggs, keys, ts, offset, with_start, admit)
     extra = []
     if method == "panes" and size_ms % slide_ms == 0:
-        panes = pane_aggregates(df, slide_ms, aggs, keys, ts, off_ms)
+        panes = pane_aggregates(df, slide_ms, aggs, keys, ts, off_ms, size_ms, admit)
         out = expand_panes_local(panes, size_ms, slide_ms, aggs, keys, spread_keys, offset_ms=off_ms)
         extra = ["_bkt"] if keep_bucket else []
     elif method in ("panes", "expand"):
         if keep_bucket:
             raise ValueError("keep_bucket needs pane aggregation")
-        out = (df.withColumn("window_end", F.explode(row_windows(millis(ts), size_ms, slide_ms, off_ms)))
+        exploded = df.withColumn("window_end", F.explode(row_windows(millis(ts), size_ms, slide_ms, off_ms)))
+        if admit is not None:
+            exploded = exploded.filter(F.col(admit).isNull() | (F.col("window_end") >= F.col(admit)))
+        out = (exploded
                .groupBy(*keys, "window_end")
                .agg(*partial_exprs(aggs)))
     else:

@@ -183,6 +183,31 @@ def q_interval_join_orders(spark, sf):
             .withColumnRenamed("l_l_partkey", "l_partkey"))
 
 
+# ---- late data (E6, E7): orders arrive in o_orderkey order, dates are not ordered ---------
+LATE_DELAY_DAYS, LATE_LATENESS_DAYS = 365, 30
+
+
+def _orders_arrival(spark, sf):
+    from eventide.functions.time import to_event_time
+    o = to_event_time(T.read_table(spark, sf, "orders"), "o_orderdate", out="ts")
+    return o.select("o_orderkey", "o_orderpriority", "ts", F.col("o_orderkey").alias("seq"))
+
+
+def q_late_orders(spark, sf):
+    from eventide.operators.late import late_rows
+    return (late_rows(_orders_arrival(spark, sf), "ts", "seq", f"{LATE_DELAY_DAYS} days")
+            .select("o_orderkey", F.unix_millis("ts").alias("o_ms"), "wm_ms"))
+
+
+def q_order_counts_late(spark, sf):
+    from eventide.operators.aggs import Count
+    from eventide.operators.late import admit_from
+    from eventide.operators.windows import sliding_agg
+    o = admit_from(_orders_arrival(spark, sf), "ts", "seq", f"{LATE_DELAY_DAYS} days",
+                   f"{LATE_LATENESS_DAYS} days")
+    return sliding_agg(o, "90 days", "30 days", [Count("cnt")], keys=["o_orderpriority"], admit="admit_ms")
+
+
 # ---------------------------------------------------------------------------------------
 # DuckDB oracle SQL.  `E` is the events table with ms / us time and k.
 E = """(select *, epoch_us(ts) as us, epoch_us(ts) // 1000 as ms,
@@ -295,6 +320,11 @@ def _unmatched(p, side, name):
                from {p} p where pending and not over and side = {side}"""
 
 
+_O_LATE = f"""(select o_orderkey, o_orderpriority, epoch_us(o_orderdate) // 1000 as ms,
+        max(epoch_us(o_orderdate) // 1000) over (order by o_orderkey rows between unbounded preceding
+                                                  and 1 preceding) - {LATE_DELAY_DAYS * 86_400_000} as wm
+     from orders)"""
+
 SQL = {
     "page_views": f"""
         select ms - ms % 3600000 + 3600000 as window_end, count(*) as pv
@@ -341,6 +371,11 @@ SQL = {
         from {E} p join {E} c on p.user_id = c.user_id
          and c.us between p.us - 3600000000 and p.us + 3600000000
         where p.event_type = 'purchase' and c.event_type = 'click'""",
+    "late_orders": f"select o_orderkey, ms as o_ms, wm as wm_ms from {_O_LATE} o where ms < wm",
+    "order_counts_late": f"""select o_orderpriority, window_end, count(*) as cnt from (
+          select o_orderpriority, ms - ms % 2592000000 + (u.j + 1) * 2592000000 as window_end, wm
+          from {_O_LATE} o, range(3) u(j))
+        where wm is null or window_end - 1 + {LATE_LATENESS_DAYS * 86_400_000} > wm group by all""",
     "interval_join_orders": """select o.o_orderkey, o.o_custkey, l.l_linenumber, l.l_partkey,
                epoch_us(o.o_orderdate) // 1000 as o_ms, epoch_us(l.l_shipdate) // 1000 as l_ms
         from orders o join lineitem l on o.o_orderkey = l.l_orderkey
@@ -377,4 +412,6 @@ QUERIES: dict[str, Query] = {
     "receipt_unmatched_receipts_timeout": q_receipt_unmatched_receipts_timeout,
     "interval_join": q_interval_join,
     "interval_join_orders": q_interval_join_orders,
+    "late_orders": q_late_orders,
+    "order_counts_late": q_order_counts_late,
 }

@@ -18,6 +18,7 @@ from eventide.operators.distinct import (
     approx_distinct_per_window, bitmap_distinct_per_window, distinct_per_window, running_distinct,
 )
 from eventide.operators.joins import PairResult, interval_join, pair_one_to_one
+from eventide.operators.late import admit_from
 from eventide.operators.limits import cap_per_key
 from eventide.operators.patterns import followed_by, strict_pairs
 from eventide.operators.topn import sliding_top_n, top_n_per_window
@@ -107,18 +108,28 @@ def url_counts(log: DataFrame, size="10 minutes", slide="5 seconds") -> DataFram
     return sliding_agg(log, size, slide, [Count("cnt")], keys=["url"])
 
 
-def top_urls(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -> DataFrame:
+def _late_log(log, delay, lateness, arrival):
+    if delay is None:
+        return log, None
+    return admit_from(log, "ts", arrival, delay, lateness or "0 seconds"), "admit_ms"
+
+
+def top_urls(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds", delay=None,
+             lateness=None, arrival: str = "seq") -> DataFrame:
     """Q12: top ``n`` URLs per sliding window -> window_end, rank, url, cnt.
 
-    The batch form counts every row (the final answer once all late rows are in);
-    apply ``operators.late`` first to reproduce the drop of rows later than the
-    watermark delay plus the allowed lateness."""
-    return sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt") \
+    Without ``delay`` every row counts (the final answer once all late rows are in).
+    With the reference's ``delay="5 seconds", lateness="60 seconds"`` a row counts only
+    in windows that were still open when it arrived (in ``arrival`` order)."""
+    log, admit = _late_log(log, delay, lateness, arrival)
+    return sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt", admit=admit) \
         .select("window_end", "rank", "url", "cnt")
 
 
-def top_urls_report(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -> DataFrame:
-    ranked = sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt")
+def top_urls_report(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds", delay=None,
+                    lateness=None, arrival: str = "seq") -> DataFrame:
+    log, admit = _late_log(log, delay, lateness, arrival)
+    ranked = sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt", admit=admit)
     return format_ranking(ranked, "url", "cnt", key_label=URL_LABEL, footer=URL_FOOTER,
                           group_extra=["_bkt"])
 
