@@ -77,6 +77,17 @@ def bitmap_distinct_per_window(df: DataFrame, col: str, size, keys=(), ts: str =
                 .agg(F.sum(F.bitmap_count("bitmap")).cast("long").alias(out)))
 
 
+def merge_bitmaps(bitmaps: DataFrame, keys=(), out: str = "uv") -> DataFrame:
+    """Counts from stored per-bucket bitmaps (``keep_bitmaps=True``), possibly written by
+    several runs or partitions: OR-merge per (keys, window_end, bucket), then count bits.
+    This is the reference's external bitmap store re-aimed as a mergeable table."""
+    keys = _keys(keys)
+    return (bitmaps.groupBy(*keys, "window_end", "bucket")
+                   .agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+                   .groupBy(*keys, "window_end")
+                   .agg(F.sum(F.bitmap_count("bitmap")).cast("long").alias(out)))
+
+
 def running_distinct(df: DataFrame, col: str, size, keys=(), ts: str = "ts", seq: str = "seq",
                      hashed: bool = True, sub_bucket=None, out: str = "uv") -> DataFrame:
     """Per event: (seq, keys, window_end, distinct values so far in the window).

@@ -88,18 +88,27 @@ def unique_visitors_running(behavior: DataFrame, size="1 hour", pv: str = "pv",
 
 # ---- Q5 / Q6 marketing ----------------------------------------------------------------
 
+def _text_bounds(df: DataFrame, text: bool) -> DataFrame:
+    # the reference's records carry window bounds as strings of epoch ms
+    if not text:
+        return df
+    return (df.withColumn("window_start", F.col("window_start").cast("string"))
+              .withColumn("window_end", F.col("window_end").cast("string")))
+
+
 def marketing_total(marketing: DataFrame, size="1 hour", slide="10 seconds",
-                    exclude: str = "UNINSTALL") -> DataFrame:
+                    exclude: str = "UNINSTALL", text_bounds: bool = False) -> DataFrame:
     """Q5: events per sliding window, ``behavior != exclude`` -> window_start, window_end, cnt."""
-    return sliding_agg(marketing.filter(F.col("behavior") != exclude), size, slide,
-                       [Count("cnt")], with_start=True)
+    return _text_bounds(sliding_agg(marketing.filter(F.col("behavior") != exclude), size, slide,
+                                    [Count("cnt")], with_start=True), text_bounds)
 
 
 def marketing_by_channel(marketing: DataFrame, size="1 hour", slide="10 seconds",
-                         exclude: str = "UNINSTALL") -> DataFrame:
+                         exclude: str = "UNINSTALL", text_bounds: bool = False) -> DataFrame:
     """Q6: the same per (behavior, channel) -> behavior, channel, window_start, window_end, cnt."""
-    return sliding_agg(marketing.filter(F.col("behavior") != exclude), size, slide,
-                       [Count("cnt")], keys=["behavior", "channel"], with_start=True)
+    return _text_bounds(sliding_agg(marketing.filter(F.col("behavior") != exclude), size, slide,
+                                    [Count("cnt")], keys=["behavior", "channel"], with_start=True),
+                        text_bounds)
 
 
 # ---- Q12 hot URLs ---------------------------------------------------------------------

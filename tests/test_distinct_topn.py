@@ -109,3 +109,13 @@ def test_hot_items_report_on_driver_table(spark):
     top = jobs.hot_items(b)
     rep = jobs.hot_items_report(b)
     assert rep.count() == top.select("window_end").distinct().count()
+
+
+def test_bitmaps_merge_across_runs(spark):
+    from eventide.operators.distinct import merge_bitmaps
+    df, data = _events(spark, n=200, seed=8)
+    half1, half2 = df.filter("user_id % 2 = 0"), df.filter("user_id % 2 = 1")
+    stored = bitmap_distinct_per_window(half1, "user_id", "1 hour", keep_bitmaps=True).unionByName(
+        bitmap_distinct_per_window(half2, "user_id", "1 hour", keep_bitmaps=True))
+    assert rows(merge_bitmaps(stored), "window_end", "uv") == \
+        rows(bitmap_distinct_per_window(df, "user_id", "1 hour"), "window_end", "uv")

@@ -165,3 +165,18 @@ def test_stream_pairing_equal_batch(spark, replay_dir, timeout):
     assert rows(got.filter("kind = 'left_only'"), "seq") == rows(res.left_only, "left_seq")
     assert rows(got.filter("kind = 'right_only'"), "seq") == rows(res.right_only, "right_seq")
     assert rows(got.filter("kind = 'overwritten'"), "seq") == rows(res.overwritten, "seq")
+
+
+def test_branch_writer_splits_kinds(spark, replay_dir):
+    from eventide.streaming import start_branches
+    d, _ = replay_dir
+    s = _stream(spark, d).filter("event_type = 'click'")
+    out = tempfile.mkdtemp(prefix="eventide-branches-")
+    paths = {"kept": os.path.join(out, "kept"), "warning": os.path.join(out, "warning")}
+    q = start_branches(stream_cap_per_key(s, ["user_id"], 2), paths, checkpoint_location(spark, "branches"))
+    _drain(q)
+    res = cap_per_key(_batch(spark, d).filter("event_type = 'click'"), ["user_id"], 2)
+    got_w = spark.read.parquet(paths["warning"]).filter("user_id <> -1")
+    assert rows(got_w, "user_id", "seq") == rows(res.warnings, "user_id", "seq")
+    got_k = spark.read.parquet(paths["kept"]).filter("user_id <> -1")
+    assert rows(got_k, "user_id", "seq") == rows(res.kept, "user_id", "seq")
