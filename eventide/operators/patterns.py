@@ -95,7 +95,10 @@ def followed_by(df: DataFrame, begin: Column, follow: Column, within, keys=(), t
     keys = _keys(keys)
     carry = list(carry)
     w_us = interval_micros(within) if within is not None else None
-    base = df.select(*keys, ts, seq, *carry, begin.alias("_p"), follow.alias("_q"))
+    # relaxed contiguity ignores rows that are neither begin nor follow: drop them first
+    # (simple predicates then reach the scan)
+    base = (df.filter(begin | follow)
+              .select(*keys, ts, seq, *carry, begin.alias("_p"), follow.alias("_q")))
     # only follow rows are looked at from the previous bucket
     base, bcol = _bucketed(base, ts, w_us, interval_micros(bucket) if bucket else None,
                            copy_if=F.col("_q"))

@@ -24,35 +24,35 @@ def _behavior(spark, sf):
 
 
 def q_page_views(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.page_views(_behavior(spark, sf), "1 hour")
+    return jobs.page_views(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
 
 def q_hot_items(spark, sf):
-    return jobs.hot_items(_behavior(spark, sf), 3, "1 hour", "5 minutes")
+    return jobs.hot_items(_behavior(spark, sf), 3, "1 hour", "5 minutes", pv=T.VIEW)
 
 
 def q_hot_items_avg_ts(spark, sf):
-    return jobs.hot_items(_behavior(spark, sf), 3, "1 hour", "5 minutes", metric="avg_ts")
+    return jobs.hot_items(_behavior(spark, sf), 3, "1 hour", "5 minutes", metric="avg_ts", pv=T.VIEW)
 
 
 def q_hot_items_report(spark, sf):
-    return jobs.hot_items_report(_behavior(spark, sf), 3, "1 hour", "5 minutes")
+    return jobs.hot_items_report(_behavior(spark, sf), 3, "1 hour", "5 minutes", pv=T.VIEW)
 
 
 def q_unique_visitors(spark, sf):
-    return jobs.unique_visitors(_behavior(spark, sf), "1 hour")
+    return jobs.unique_visitors(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
 
 def q_unique_visitors_hll(spark, sf):
-    return jobs.unique_visitors_approx(_behavior(spark, sf), "1 hour")
+    return jobs.unique_visitors_approx(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
 
 def q_unique_visitors_bitmap(spark, sf):
-    return jobs.unique_visitors_bitmap(_behavior(spark, sf), "1 hour")
+    return jobs.unique_visitors_bitmap(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
 
 def q_unique_visitors_running(spark, sf):
-    return jobs.unique_visitors_running(_behavior(spark, sf), "1 hour")
+    return jobs.unique_visitors_running(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
 
 def _marketing(spark, sf):
@@ -113,7 +113,8 @@ def q_login_failures_unkeyed(spark, sf):
 
 # ---- Q9 -------------------------------------------------------------------------------
 def _orders(spark, sf):
-    return jobs.order_timeout(T.as_order_events(T.events(spark, sf)), "12 hours")
+    return jobs.order_timeout(T.as_order_events(T.events(spark, sf)), "12 hours",
+                             create=T.VIEW, pay=T.PURCHASE)
 
 
 def q_order_paid(spark, sf):

@@ -106,9 +106,10 @@ def test_latest_per_key(spark):
 def test_hot_items_report_on_driver_table(spark):
     from eventide.plans import jobs
     b = T.as_user_behavior(T.events(spark, SF_SMALL))
-    top = jobs.hot_items(b)
-    rep = jobs.hot_items_report(b)
-    assert rep.count() == top.select("window_end").distinct().count()
+    top = jobs.hot_items(b, pv=T.VIEW)
+    rep = jobs.hot_items_report(b, pv=T.VIEW)
+    n = top.select("window_end").distinct().count()
+    assert n > 0 and rep.count() == n
 
 
 def test_bitmaps_merge_across_runs(spark):
