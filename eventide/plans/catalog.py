@@ -251,7 +251,7 @@ def _report(top: str, key: str, label: str, footer: str) -> str:
 
 _HOT = _top(_sliding("k as item_id", 3_600_000, 300_000, "event_type = 'view'"), 3, "item_id")
 _HOT_AVG = _top(_sliding("k as item_id", 3_600_000, 300_000, "event_type = 'view'",
-                         "sum(us // 1000000) // count(*) as cnt"), 3, "item_id")
+                         "cast(sum(us // 1000000) // count(*) as bigint) as cnt"), 3, "item_id")
 _URLS = _top(_sliding("'/item/' || k as url", 600_000, 5_000, "true"), 5, "url")
 _VIEWS = f"""(select *, ms - ms % 3600000 + 3600000 as window_end from {E} x
              where event_type = 'view')"""
@@ -342,7 +342,8 @@ SQL = {
         f as (select *, case when row_number() over (partition by window_end, o order by us, seq) = 1
                              then 1 else 0 end as new from b)
         select seq, window_end,
-               sum(new) over (partition by window_end order by us, seq rows unbounded preceding) as uv
+               cast(sum(new) over (partition by window_end order by us, seq rows unbounded preceding)
+                    as bigint) as uv
         from f""",
     "marketing_total": _sliding("", 3_600_000, 10_000, "event_type <> 'error'", start=True),
     "marketing_by_channel": _sliding(
