@@ -31,16 +31,33 @@ def top_n_per_window(df: DataFrame, n: int, metric: str, key: str | Sequence[str
               .withColumn(rank, F.col(rank).cast("long")))
 
 
+SALTS = 4
+
+
 def sliding_top_n(df: DataFrame, size, slide, aggs, key: str, n: int, metric: str, ts: str = "ts",
-                  rank: str = "rank", admit: str | None = None) -> DataFrame:
-    """Top ``n`` keys per sliding window by an aggregate (Q1, Q12) with one shuffle of
-    pane aggregates: panes are spread by time bucket only, so every key of a window
-    is counted and ranked inside one partition (the ranking's partition spec includes
-    the bucket, which the window end determines, so no exchange is added)."""
+                  rank: str = "rank", admit: str | None = None, salts: int = SALTS) -> DataFrame:
+    """Top ``n`` keys per sliding window by an aggregate (Q1, Q12).
+
+    Rows are pre-aggregated per (key, pane); only pane aggregates are shuffled,
+    spread by (time bucket, salt = hash(key) mod ``salts``).  Each partition expands
+    its panes to windows, merges them and keeps its own top ``n`` per window; a
+    second, small exchange by window end then ranks at most ``n * salts`` rows per
+    window.  The salt splits a time bucket that holds a large share of the rows
+    over ``salts`` tasks.  With ``salts=1`` all keys of a window meet in one
+    partition and the ranking needs no second exchange (the partition spec includes
+    the bucket, which the window end determines).
+    """
     from eventide.operators.windows import sliding_agg
-    counts = sliding_agg(df, size, slide, aggs, keys=[key], ts=ts, spread_keys=[], keep_bucket=True,
-                         admit=admit)
-    return top_n_per_window(counts, n, metric, key, window_end=["_bkt", "window_end"], rank=rank)
+    if salts <= 1:
+        counts = sliding_agg(df, size, slide, aggs, keys=[key], ts=ts, spread_keys=[], keep_bucket=True,
+                             admit=admit)
+        return top_n_per_window(counts, n, metric, key, window_end=["_bkt", "window_end"], rank=rank)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salts)))
+    counts = sliding_agg(salted, size, slide, aggs, keys=[key, "_salt"], ts=ts, spread_keys=["_salt"],
+                         keep_bucket=True, admit=admit)
+    local = top_n_per_window(counts, n, metric, key, window_end=["_bkt", "_salt", "window_end"], rank="_lr")
+    return top_n_per_window(local.drop("_lr", "_salt"), n, metric, key, window_end=["_bkt", "window_end"],
+                            rank=rank)
 
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], version: str | Sequence[str]) -> DataFrame:

@@ -88,10 +88,12 @@ def test_sliding_top_n_and_report(spark):
     base = T0 - T0 % 3600
     data = [(1, base + 10), (1, base + 20), (2, base + 30), (3, base + 40), (3, base + 50), (3, base + 60)]
     df = frame(spark, "item_id long, ts_s long", data)
-    ranked = sliding_top_n(df, "1 hour", "30 minutes", [Count("cnt")], "item_id", 2, "cnt")
-    got = rows(ranked, "window_end", "rank", "item_id", "cnt")
     e1, e2 = (base + 1800) * 1000, (base + 3600) * 1000
-    assert got == [(e1, 1, 3, 3), (e1, 2, 1, 2), (e2, 1, 3, 3), (e2, 2, 1, 2)]
+    for salts in (1, 3):
+        ranked = sliding_top_n(df, "1 hour", "30 minutes", [Count("cnt")], "item_id", 2, "cnt", salts=salts)
+        got = rows(ranked, "window_end", "rank", "item_id", "cnt")
+        assert got == [(e1, 1, 3, 3), (e1, 2, 1, 2), (e2, 1, 3, 3), (e2, 2, 1, 2)]
+    ranked = sliding_top_n(df, "1 hour", "30 minutes", [Count("cnt")], "item_id", 2, "cnt")
     rep = {r.window_end: r.report for r in format_ranking(ranked, "item_id", "cnt").collect()}
     assert rep[e1].startswith("时间：")
     assert "No1: 商品ID=3 浏览量=3\nNo2: 商品ID=1 浏览量=2\n" in rep[e1]
