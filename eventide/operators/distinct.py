@@ -21,30 +21,54 @@ from pyspark.sql import functions as F
 from eventide.functions.hashing import poly_hash
 from eventide.functions.time import floor_to, interval_millis, millis
 from eventide.operators.aggs import ApproxDistinct
-from eventide.operators.windows import _keys, pane_windows, row_windows, sliding_agg
+from eventide.operators.windows import BUCKET_WINDOWS, _keys, row_windows, sliding_agg
 
 
 def _window_end_col(ts: str, size_ms: int) -> F.Column:
     return floor_to(millis(ts), size_ms) + F.lit(size_ms)
 
 
+DISTINCT_SALTS = 8
+
+
 def distinct_per_window(df: DataFrame, col: str, size, slide=None, keys=(), ts: str = "ts",
-                        out: str = "uv") -> DataFrame:
-    """Exact number of distinct ``col`` values per (keys, window)."""
+                        out: str = "uv", salts: int = DISTINCT_SALTS) -> DataFrame:
+    """Exact number of distinct ``col`` values per (keys, window).
+
+    Tumbling: Spark's two-phase distinct aggregate.  Sliding: values are first
+    deduplicated per (keys, pane) with partial aggregation; the (pane, value) rows
+    are spread by (keys, time bucket, salt = hash(value) mod ``salts``), expanded to
+    their windows inside the partition and counted there; a salt holds a disjoint
+    set of values, so the window's count is the sum over salts (a small final
+    aggregate).  No exchange carries one row per (window, value).
+    """
     keys = _keys(keys)
     size_ms = interval_millis(size)
     slide_ms = interval_millis(slide) if slide else size_ms
     if slide_ms == size_ms:
         grouped = df.groupBy(*keys, _window_end_col(ts, size_ms).alias("window_end"))
-    elif size_ms % slide_ms == 0:
-        panes = (df.groupBy(*keys, floor_to(millis(ts), slide_ms).alias("_pane"), F.col(col))
-                   .agg(F.count(F.lit(1)).alias("_n")))
-        grouped = (panes.withColumn("window_end", F.explode(pane_windows(F.col("_pane"), size_ms, slide_ms)))
-                        .groupBy(*keys, "window_end"))
-    else:
+        return grouped.agg(F.count_distinct(col).alias(out))
+    if size_ms % slide_ms:
         grouped = (df.withColumn("window_end", F.explode(row_windows(millis(ts), size_ms, slide_ms)))
                      .groupBy(*keys, "window_end"))
-    return grouped.agg(F.count_distinct(col).alias(out))
+        return grouped.agg(F.count_distinct(col).alias(out))
+    b = BUCKET_WINDOWS * size_ms
+    panes = (df.groupBy(*keys, floor_to(millis(ts), slide_ms).alias("_pane"), F.col(col).alias("_v"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    pane = F.col("_pane")
+    first = floor_to(pane + F.lit(slide_ms - 1), b)
+    last = floor_to(pane + F.lit(size_ms - 1), b)
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = (panes.withColumn("_bkt", F.explode(F.array_distinct(F.array(first, last))))
+                   .withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(max(salts, 1))))
+                   .repartition(n_parts, *[F.col(k) for k in keys], "_bkt", "_salt"))
+    lo = F.greatest(pane + F.lit(slide_ms), F.col("_bkt") + F.lit(slide_ms))
+    hi = F.least(pane + F.lit(size_ms), F.col("_bkt") + F.lit(b))
+    per_salt = (spread.select(*keys, "_bkt", "_salt", "_v",
+                              F.explode(F.sequence(lo, hi, F.lit(slide_ms))).alias("window_end"))
+                      .groupBy(*keys, "_bkt", "_salt", "window_end")
+                      .agg(F.count_distinct("_v").alias("_d")))
+    return per_salt.groupBy(*keys, "window_end").agg(F.sum("_d").cast("long").alias(out))
 
 
 def approx_distinct_per_window(df: DataFrame, col: str, size, slide=None, keys=(), ts: str = "ts",

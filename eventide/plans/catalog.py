@@ -43,6 +43,10 @@ def q_unique_visitors(spark, sf):
     return jobs.unique_visitors(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
 
+def q_unique_visitors_sliding(spark, sf):
+    return jobs.unique_visitors_sliding(_behavior(spark, sf), "1 hour", "5 minutes", pv=T.VIEW)
+
+
 def q_unique_visitors_hll(spark, sf):
     return jobs.unique_visitors_approx(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
@@ -335,6 +339,10 @@ SQL = {
     "hot_items_report": _report(_HOT, "item_id", " 商品ID=", "=" * 24),
     "unique_visitors": f"""
         select window_end, count(distinct user_id) as uv from {_VIEWS} v group by 1""",
+    "unique_visitors_sliding": f"""
+        select window_end, count(distinct user_id) as uv from (
+          select user_id, ms - ms % 300000 + (u.j + 1) * 300000 as window_end
+          from {E} e, range(12) u(j) where event_type = 'view') group by 1""",
     "unique_visitors_bitmap": f"""
         select window_end, count(distinct {HASH.format(c="user_id")}) as uv from {_VIEWS} v group by 1""",
     "unique_visitors_running": f"""
@@ -390,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "hot_items_avg_ts": q_hot_items_avg_ts,
     "hot_items_report": q_hot_items_report,
     "unique_visitors": q_unique_visitors,
+    "unique_visitors_sliding": q_unique_visitors_sliding,
     "unique_visitors_hll": q_unique_visitors_hll,
     "unique_visitors_bitmap": q_unique_visitors_bitmap,
     "unique_visitors_running": q_unique_visitors_running,

@@ -69,6 +69,11 @@ def unique_visitors(behavior: DataFrame, size="1 hour", pv: str = "pv") -> DataF
     return distinct_per_window(behavior.filter(F.col("behavior") == pv), "user_id", size)
 
 
+def unique_visitors_sliding(behavior: DataFrame, size="1 hour", slide="5 minutes", pv: str = "pv") -> DataFrame:
+    """Exact distinct users per sliding window (panes deduplicated first) -> window_end, uv."""
+    return distinct_per_window(behavior.filter(F.col("behavior") == pv), "user_id", size, slide)
+
+
 def unique_visitors_approx(behavior: DataFrame, size="1 hour", pv: str = "pv") -> DataFrame:
     """Q4 with a standard sketch (A6): HLL estimate per window -> window_end, uv."""
     return approx_distinct_per_window(behavior.filter(F.col("behavior") == pv), "user_id", size)
