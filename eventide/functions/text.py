@@ -22,7 +22,8 @@ URL_FOOTER = "=" * 28
 def timestamp_text(ms: Column) -> Column:
     """``java.sql.Timestamp.toString`` of an epoch-ms instant in UTC:
     ``yyyy-MM-dd HH:mm:ss.f`` with the fraction's trailing zeros dropped (``.0`` if none)."""
-    ts = F.timestamp_millis(ms)
+    # UTC wall-clock time as TIMESTAMP_NTZ, so the text does not depend on the session zone
+    ts = F.timestamp_add("MILLISECOND", ms, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     frac = F.pmod(ms, F.lit(1000))
     frac_txt = F.when(frac == 0, F.lit("0")).otherwise(
         F.regexp_replace(F.lpad(frac.cast("string"), 3, "0"), "0+$", ""))
