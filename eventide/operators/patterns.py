@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from eventide.functions.time import interval_micros, micros
 
 BUCKETS_PER_WITHIN = 4
+CHAIN_BUCKET_US = 3_600_000_000  # chain buckets without a time limit: one hour
 
 
 def _keys(keys) -> list[str]:
@@ -56,23 +57,51 @@ def _bucketed(df: DataFrame, ts: str, within_us: int | None, bucket_us: int | No
     return out, ["_b"]
 
 
+def _chain_bucket(df: DataFrame, ts: str, bucket_us: int) -> DataFrame:
+    us = micros(ts)
+    return df.withColumn("_b", us - F.pmod(us, F.lit(bucket_us)))
+
+
 def strict_pairs(df: DataFrame, begin: Column, nxt: Column, within, keys=(), ts: str = "ts",
-                 seq: str = "seq", carry=(), bucket=None) -> DataFrame:
+                 seq: str = "seq", carry=(), bucket=None, method: str = "auto") -> DataFrame:
     """Pairs (row, next row) with ``begin`` on the first, ``nxt`` on the second and
     ``second.ts - first.ts < within``.
 
     Output: keys, first_ts, first_seq, second_ts, second_seq and ``first_<c>`` /
-    ``second_<c>`` for each column in ``carry``.  ``within=None`` means no limit
-    (whole keys per task; avoid without keys).
+    ``second_<c>`` for each column in ``carry``.  ``within=None`` means no limit.
+
+    ``method``: ``"copy"`` (H2: buckets of width ``bucket`` >= ``within``, rows near a
+    bucket start copied back), ``"chain"`` (buckets of any width; each bucket's last
+    row takes the first row of the key's next non-empty bucket from a per-bucket
+    summary), ``"auto"`` = copy when keyed with a time limit, else chain (so an
+    unkeyed pattern is split into fine buckets instead of time spans of 4 x within).
     """
     keys = _keys(keys)
     carry = list(carry)
     w_us = interval_micros(within) if within is not None else None
+    if method == "auto":
+        method = "copy" if keys and w_us is not None else "chain"
     base = df.select(*keys, ts, seq, *carry, begin.alias("_p"), nxt.alias("_q"))
-    base, bcol = _bucketed(base, ts, w_us, interval_micros(bucket) if bucket else None)
-    w = Window.partitionBy(*keys, *bcol).orderBy(F.col(ts), F.col(seq))
     nxt_cols = [ts, seq, "_q", *carry]
-    staged = base.select("*", *[F.lead(c).over(w).alias(f"_n_{c}") for c in nxt_cols])
+    if method == "copy":
+        base, bcol = _bucketed(base, ts, w_us, interval_micros(bucket) if bucket else None)
+        w = Window.partitionBy(*keys, *bcol).orderBy(F.col(ts), F.col(seq))
+        staged = base.select("*", *[F.lead(c).over(w).alias(f"_n_{c}") for c in nxt_cols])
+    elif method == "chain":
+        b_us = interval_micros(bucket) if bucket else (w_us or CHAIN_BUCKET_US)
+        base = _chain_bucket(base, ts, b_us).withColumn("_home", F.lit(True))
+        w = Window.partitionBy(*keys, "_b").orderBy(F.col(ts), F.col(seq))
+        local = base.select("*", *[F.lead(c).over(w).alias(f"_l_{c}") for c in nxt_cols])
+        first = (local.groupBy(*keys, "_b")
+                      .agg(F.min(F.struct(*[F.col(c) for c in nxt_cols])).alias("_first")))
+        wk = Window.partitionBy(*keys).orderBy("_b")
+        nb = first.select(*keys, "_b", F.lead("_first").over(wk).alias("_nb"))
+        joined = local.join(nb, [*keys, "_b"])
+        last = F.col(f"_l_{ts}").isNull()
+        staged = joined.select("*", *[F.when(last, F.col(f"_nb.{c}")).otherwise(F.col(f"_l_{c}"))
+                                      .alias(f"_n_{c}") for c in nxt_cols])
+    else:
+        raise ValueError(f"unknown method {method!r}")
     cond = F.col("_home") & F.col("_p") & F.coalesce(F.col("_n__q"), F.lit(False))
     if w_us is not None:
         cond = cond & ((micros(F.col(f"_n_{ts}")) - micros(F.col(ts))) < F.lit(w_us))
@@ -90,25 +119,50 @@ class PatternResult(NamedTuple):
 
 
 def followed_by(df: DataFrame, begin: Column, follow: Column, within, keys=(), ts: str = "ts",
-                seq: str = "seq", carry=(), bucket=None) -> PatternResult:
-    """Relaxed contiguity: each ``begin`` row takes the first later ``follow`` row."""
+                seq: str = "seq", carry=(), bucket=None, method: str = "auto") -> PatternResult:
+    """Relaxed contiguity: each ``begin`` row takes the first later ``follow`` row.
+
+    ``method`` as in ``strict_pairs``: ``"copy"`` (H2, buckets >= ``within``) or
+    ``"chain"`` (any bucket width: a begin row with no later follow row in its bucket
+    takes the first follow row of the key's next bucket that has one).
+    """
     keys = _keys(keys)
     carry = list(carry)
     w_us = interval_micros(within) if within is not None else None
+    if method == "auto":
+        method = "copy" if keys and w_us is not None else "chain"
     # relaxed contiguity ignores rows that are neither begin nor follow: drop them first
     # (simple predicates then reach the scan)
     base = (df.filter(begin | follow)
               .select(*keys, ts, seq, *carry, begin.alias("_p"), follow.alias("_q")))
-    # only follow rows are looked at from the previous bucket
-    base, bcol = _bucketed(base, ts, w_us, interval_micros(bucket) if bucket else None,
-                           copy_if=F.col("_q"))
+    payload = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"), *[F.col(c) for c in carry])
+    if method == "copy":
+        # only follow rows are looked at from the previous bucket
+        base, bcol = _bucketed(base, ts, w_us, interval_micros(bucket) if bucket else None,
+                               copy_if=F.col("_q"))
+    elif method == "chain":
+        base = _chain_bucket(base, ts, interval_micros(bucket) if bucket else (w_us or CHAIN_BUCKET_US)) \
+            .withColumn("_home", F.lit(True))
+        bcol = ["_b"]
+    else:
+        raise ValueError(f"unknown method {method!r}")
     # reversed order + frame (unbounded preceding, -1): "last" = nearest later follow row
     w = (Window.partitionBy(*keys, *bcol).orderBy(F.col(ts).desc(), F.col(seq).desc())
          .rowsBetween(Window.unboundedPreceding, -1))
-    payload = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"), *[F.col(c) for c in carry])
     nxt = F.last(F.when(F.col("_q"), payload), ignorenulls=True).over(w)
-    starts = (base.select(*keys, ts, seq, *carry, "_p", "_home", nxt.alias("_f"))
-                  .filter(F.col("_home") & F.col("_p")))
+    staged = base.select(*keys, *bcol, ts, seq, *carry, "_p", "_q", "_home", nxt.alias("_f"))
+    if method == "chain":
+        # first follow row of each bucket; a bucket's begin rows without a later follow
+        # inside it take the first follow row of the next bucket that has one (H3 again,
+        # over one summary row per bucket)
+        firsts = (staged.groupBy(*keys, "_b")
+                        .agg(F.min(F.when(F.col("_q"), payload)).alias("_fq")))
+        wk = (Window.partitionBy(*keys).orderBy(F.col("_b").desc())
+              .rowsBetween(Window.unboundedPreceding, -1))
+        nb = firsts.select(*keys, "_b", F.last("_fq", ignorenulls=True).over(wk).alias("_nb"))
+        staged = (staged.filter(F.col("_p")).join(nb, [*keys, "_b"])
+                        .withColumn("_f", F.coalesce(F.col("_f"), F.col("_nb"))))
+    starts = staged.filter(F.col("_home") & F.col("_p"))
     ok = F.col("_f").isNotNull()
     if w_us is not None:
         ok = ok & ((micros(F.col("_f.t")) - micros(F.col(ts))) < F.lit(w_us))

@@ -1,4 +1,5 @@
 import random
+import re
 
 from conftest import rows
 from helpers import T0, frame
@@ -79,16 +80,25 @@ def test_strict_pairs_buckets_equal_loop(spark):
     data = [(random.randint(1, 4), T0 + random.randint(0, 3000), random.random() < 0.6, i) for i in range(400)]
     df = frame(spark, "k long, ts_s long, p boolean, seq long", data)
     for keyed in (True, False):
-        for bucket in (None, "40 seconds", "17 seconds"):
+        for method, bucket in (("copy", None), ("copy", "40 seconds"), ("copy", "17 seconds"),
+                               ("chain", None), ("chain", "5 seconds"), ("chain", "300 seconds")):
             got = rows(strict_pairs(df, F.col("p"), F.col("p"), "17 seconds", keys=["k"] if keyed else [],
-                                    bucket=bucket), "first_seq", "second_seq")
-            assert got == _py_strict(data, 17, keyed), (keyed, bucket)
+                                    bucket=bucket, method=method), "first_seq", "second_seq")
+            assert got == _py_strict(data, 17, keyed), (keyed, method, bucket)
+    # no time limit: chain only
+    got = rows(strict_pairs(df, F.col("p"), F.col("p"), None, keys=["k"], bucket="60 seconds"),
+               "first_seq", "second_seq")
+    assert got == _py_strict(data, 10**9, True)
 
 
 def test_unkeyed_pattern_is_not_single_partition(spark):
     df = _logins(spark, [(1, "", "fail", T0, 0), (2, "", "fail", T0 + 1, 1)])
     plan = jobs.login_failures(df, "2 seconds", keyed=False)._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    # rows are windowed per time bucket; only the one-row-per-bucket summary meets in one task
+    lines = plan.splitlines()
+    singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+    assert len(singles) == 1
+    assert re.search(r"Aggregate\(keys?=\[_b", lines[singles[0] + 1])
 
 
 def _orders(spark, data):
@@ -134,7 +144,11 @@ def test_followed_by_buckets_equal_loop(spark):
         data.append((random.randint(1, 5), T0 + random.randint(0, 5000), p, (not p) and random.random() < 0.5, i))
     df = frame(spark, "k long, ts_s long, p boolean, q boolean, seq long", data)
     exp_m, exp_t = _py_followed(data, 60)
-    for bucket in (None, "60 seconds", "300 seconds"):
-        res = followed_by(df, F.col("p"), F.col("q"), "60 seconds", keys=["k"], bucket=bucket)
-        assert rows(res.matched, "begin_seq", "follow_seq") == exp_m
-        assert [r[0] for r in rows(res.timed_out, "begin_seq")] == exp_t
+    for method, bucket in (("copy", None), ("copy", "60 seconds"), ("copy", "300 seconds"),
+                           ("chain", None), ("chain", "7 seconds"), ("chain", "1000 seconds")):
+        res = followed_by(df, F.col("p"), F.col("q"), "60 seconds", keys=["k"], bucket=bucket, method=method)
+        assert rows(res.matched, "begin_seq", "follow_seq") == exp_m, (method, bucket)
+        assert [r[0] for r in rows(res.timed_out, "begin_seq")] == exp_t, (method, bucket)
+    exp_m, exp_t = _py_followed(data, 10**9)
+    res = followed_by(df, F.col("p"), F.col("q"), None, keys=["k"], bucket="30 seconds")
+    assert rows(res.matched, "begin_seq", "follow_seq") == exp_m

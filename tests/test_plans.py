@@ -24,12 +24,15 @@ def test_no_python_in_batch_queries(plans):
         assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|FlatMapGroupsInPandas", p), name
 
 
-def test_single_partition_only_for_arrival_blocks(plans):
-    # the late-data prefix over arrival blocks is the one un-partitioned window (one row per block)
+def test_single_partition_only_for_summaries(plans):
+    # un-partitioned windows only run over one row per arrival block (late data) or one row
+    # per time bucket (unkeyed pattern); no query moves its rows to one task
     for name, p in plans.items():
-        if name in ("late_orders", "order_counts_late"):
-            continue
-        assert "SinglePartition" not in p, name
+        lines = p.splitlines()
+        for i, ln in enumerate(lines):
+            if "Exchange SinglePartition" in ln:
+                assert name in ("late_orders", "order_counts_late", "login_failures_unkeyed"), name
+                assert re.search(r"Aggregate\(keys?=\[(_ab|_b)", lines[i + 1]), (name, lines[i + 1])
 
 
 def test_followed_by_has_one_exchange(plans):
