@@ -312,3 +312,74 @@ def stream_pair_one_to_one(left: DataFrame, right: DataFrame, on, timeout=None,
             .unionByName(right.select(*keys, ts, seq, F.lit(1).alias("_side"))))
     t_ms = interval_millis(timeout) if timeout is not None else None
     return _run(both, keys, PairMachine(t_ms), ts, seq, delay, side=F.col("_side"))
+
+
+class RunningDistinct(StatefulProcessor):
+    """A8/E8 on a stream: per window, one output row per event with the number of
+    distinct values seen so far.  Keyed by window end; rows wait in list state until
+    the watermark passes them and are then replayed in (ts, seq) order against a
+    map state of the values already seen (the reference's per-window bitmap)."""
+
+    ROW = T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("seq", T.LongType()),
+                        T.StructField("v", T.LongType())])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", self.ROW)
+        self.seen = handle.getMapState("seen", "v long", "x boolean")
+        self.count = handle.getValueState("n", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [(r["ts_ms"], r["seq"], r["v"]) for r in rows]
+        for t in {n[0] for n in new}:
+            self.handle.registerTimer(t + 1)
+        if new:
+            self.buf.appendList(new)
+        yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
+
+    def _drain(self, key, wm: int) -> Iterator[Row]:
+        rows = [_as_dict(r, ["ts_ms", "seq", "v"]) for r in self.buf.get()] if self.buf.exists() else []
+        ready = sorted((r for r in rows if r["ts_ms"] < wm), key=lambda r: (r["ts_ms"], r["seq"]))
+        if not ready:
+            return
+        rest = [(r["ts_ms"], r["seq"], r["v"]) for r in rows if r["ts_ms"] >= wm]
+        if rest:
+            self.buf.put(rest)
+        else:
+            self.buf.clear()
+        n = self.count.get()[0] if self.count.exists() else 0
+        window_end = key[0] if isinstance(key, (tuple, list)) else key
+        for r in ready:
+            if not self.seen.containsKey((r["v"],)):
+                self.seen.updateValue((r["v"],), (True,))
+                n += 1
+            yield Row(window_end=window_end, seq=r["seq"], uv=n)
+        self.count.update((n,))
+        if window_end + 1 > wm:
+            self.handle.registerTimer(window_end + 1)
+        elif not rest:
+            # the window is closed and drained: drop its state
+            self.seen.clear()
+            self.count.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def stream_running_distinct(df: DataFrame, col: str, size, ts: str = "ts", seq: str = "seq",
+                            delay="0 seconds", hashed: bool = True) -> DataFrame:
+    """Per event: (window_end, seq, distinct values so far in its tumbling window).
+    ``hashed=True`` counts the reference's bitmap offsets, else exact values."""
+    from eventide.functions.hashing import poly_hash
+    size_ms = interval_millis(size)
+    t = F.unix_millis(ts)
+    v = poly_hash(col) if hashed else F.col(col).cast("long")
+    staged = (df.withWatermark(ts, str(delay))
+                .select(ts, (t - F.pmod(t, F.lit(size_ms)) + F.lit(size_ms)).alias("window_end"),
+                        t.alias("ts_ms"), F.col(seq).cast("long").alias("seq"), v.alias("v")))
+    out_schema = "window_end long, seq long, uv long"
+    return staged.groupBy("window_end").transformWithState(
+        RunningDistinct(), out_schema, "append", "EventTime")

@@ -180,3 +180,13 @@ def test_branch_writer_splits_kinds(spark, replay_dir):
     assert rows(got_w, "user_id", "seq") == rows(res.warnings, "user_id", "seq")
     got_k = spark.read.parquet(paths["kept"]).filter("user_id <> -1")
     assert rows(got_k, "user_id", "seq") == rows(res.kept, "user_id", "seq")
+
+
+def test_stream_running_distinct_equal_batch(spark, replay_dir):
+    from eventide.operators.distinct import running_distinct
+    from eventide.streaming import stream_running_distinct
+    d, _ = replay_dir
+    s = _stream(spark, d).filter("event_type = 'view'")
+    got = _collect(spark, stream_running_distinct(s, "user_id", "1 hour"), "s_run")
+    exp = running_distinct(_batch(spark, d).filter("event_type = 'view'"), "user_id", "1 hour")
+    assert rows(got.filter("seq < 1000000000000"), "seq", "window_end", "uv") == rows(exp, "seq", "window_end", "uv")
