@@ -21,7 +21,7 @@ from eventide.operators.joins import PairResult, interval_join, pair_one_to_one
 from eventide.operators.late import admit_from
 from eventide.operators.limits import cap_per_key
 from eventide.operators.patterns import followed_by, strict_pairs
-from eventide.operators.topn import sliding_top_n, top_n_per_window
+from eventide.operators.topn import sliding_top_n
 from eventide.operators.windows import sliding_agg, tumbling_agg
 
 
@@ -36,9 +36,9 @@ def item_counts(behavior: DataFrame, size="1 hour", slide="5 minutes", metric: s
                 pv: str = "pv") -> DataFrame:
     """Per (item, sliding window): ``cnt`` = number of views (``metric="count"``), or the
     reference's as-shipped ``metric="avg_ts"`` = integer average of the epoch-second time."""
-    agg = Count("cnt") if metric == "count" else IntAvg("cnt", "ts_s")
     if metric not in ("count", "avg_ts"):
         raise ValueError("metric must be 'count' or 'avg_ts'")
+    agg = Count("cnt") if metric == "count" else IntAvg("cnt", "ts_s")
     return sliding_agg(behavior.filter(F.col("behavior") == pv), size, slide, [agg], keys=["item_id"])
 
 

@@ -31,6 +31,19 @@ DEFAULTS = {
 }
 
 
+# Settings for a large cluster (not applied here; pass them as ``extra`` or in the
+# launcher).  Sizes are per task: shuffle partitions so that a partition is
+# ~128-256 MB after map-side aggregation (AQE coalesces small ones), input splits
+# of 256 MB, and a higher AQE skew threshold than the local default.
+CLUSTER_HINTS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_session(master: str = "local[*]", app: str = "eventide",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine defaults.
