@@ -2,6 +2,7 @@
 
     python -m eventide.plans.run hot_items --input UserBehavior.csv --output out/
     python -m eventide.plans.run receipt_match --input OrderLog.csv --input2 ReceiptLog.csv --output out/
+    python -m eventide.plans.run --stream hot_items --input in_dir/ --output out/ --checkpoint ckpt/
 
 Each output branch (main output and side outputs) is written as parquet under
 ``<output>/<branch>``; ``--output -`` prints up to ``--show`` rows per branch
@@ -62,6 +63,9 @@ def run_job(spark: SparkSession, name: str, inputs: list[str]) -> dict[str, Data
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
     ap.add_argument("job", choices=sorted(JOBS))
+    ap.add_argument("--stream", action="store_true", help="run the Structured Streaming form")
+    ap.add_argument("--checkpoint", help="checkpoint folder (stream); default under spark.checkpoint.dir")
+    ap.add_argument("--continuous", action="store_true", help="keep running (stream); default availableNow")
     ap.add_argument("--input", required=True)
     ap.add_argument("--input2")
     ap.add_argument("--output", default="-")
@@ -69,7 +73,17 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     from eventide.session import get_session
     spark = get_session(master=os.environ.get("EVENTIDE_MASTER", "local[*]"))
-    outs = run_job(spark, a.job, [p for p in (a.input, a.input2) if p])
+    inputs = [p for p in (a.input, a.input2) if p]
+    if a.stream:
+        from eventide.plans import stream_jobs
+        from eventide.streaming.windows import checkpoint_location
+        if a.output == "-":
+            raise SystemExit("--stream needs --output")
+        q = stream_jobs.start(spark, a.job, inputs, a.output,
+                              a.checkpoint or checkpoint_location(spark, a.job), not a.continuous)
+        q.awaitTermination()
+        return
+    outs = run_job(spark, a.job, inputs)
     for branch, df in outs.items():
         if a.output == "-":
             print(f"== {branch}")

@@ -3,9 +3,10 @@
 All readers return ``ts`` (TIMESTAMP instant) and ``seq`` (arrival number).
 Spark does not expose line numbers, so ``seq`` is ``monotonically_increasing_id()``
 taken right at the scan: it follows file order inside one file split, which is
-the whole file for inputs below ``spark.sql.files.maxPartitionBytes``.  For
-streams, rows of later micro-batches get larger ``seq`` values only within a
-file; stateful stream operators order by (ts, seq) after buffering.
+the whole file for inputs below ``spark.sql.files.maxPartitionBytes``.  Streams
+cannot number rows: there ``seq`` is a hash of the file path and the row, a
+deterministic tie-break for rows with equal event times (stateful stream
+operators order by (ts, seq) after buffering).
 
 ``mode`` follows Spark's CSV modes: ``FAILFAST`` (the reference's behaviour: a
 bad number fails the job), ``PERMISSIVE`` (bad fields become null) or
@@ -31,13 +32,20 @@ def _csv(spark, path, schema, stream=False, trim=False, mode="FAILFAST") -> Data
          .option("header", "false").option("mode", mode)
          .option("ignoreLeadingWhiteSpace", str(trim).lower())
          .option("ignoreTrailingWhiteSpace", str(trim).lower()))
-    df = r.csv(path)
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    return _with_seq(r.csv(path), stream)
+
+
+def _with_seq(df: DataFrame, stream: bool) -> DataFrame:
+    if not stream:
+        return df.withColumn("seq", F.monotonically_increasing_id())
+    # streams cannot number rows; a hash of the file and the row's fields gives rows with
+    # equal event times a deterministic order (the same on every replay)
+    return df.withColumn("seq", F.xxhash64(F.col("_metadata.file_path"), *[F.col(c) for c in df.columns]))
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """One string per line (``value``) plus ``seq``."""
-    return _reader(spark, stream).text(path).withColumn("seq", F.monotonically_increasing_id())
+    return _with_seq(_reader(spark, stream).text(path), stream)
 
 
 def read_user_behavior(spark, path, stream=False, mode="FAILFAST") -> DataFrame:
