@@ -109,6 +109,11 @@ def pair_one_to_one(left: DataFrame, right: DataFrame, on, ts: str = "ts", seq:
                     F.struct(*lcols).alias("_l"), F.lit(None).cast(rtype).alias("_r")).unionByName(
         right.select(*keys, F.col(ts).alias("_t"), F.col(seq).alias("_s"), F.lit(1).alias("_side"),
                      F.lit(None).cast(ltype).alias("_l"), F.struct(*rcols).alias("_r")))
+    # rows without key or time cannot be ordered; dropping them here also keeps the
+    # bucket column non-nullable, so both uses of the bucketed rows share one shuffle
+    u = u.filter(F.col("_t").isNotNull() & F.col("_s").isNotNull())
+    for k in keys:
+        u = u.filter(F.col(k).isNotNull())
     t_us = interval_micros(timeout) if timeout is not None else None
     if bucket is None:
         b = _runs_plain(u, keys, t_us)
@@ -165,7 +170,7 @@ def _runs_plain(u: DataFrame, keys, t_us) -> DataFrame:
 
 def _runs_bucketed(u: DataFrame, keys, t_us, width_us: int) -> DataFrame:
     us = micros("_t")
-    u = u.withColumn("_b", us - F.pmod(us, F.lit(width_us)))
+    u = u.withColumn("_b", F.coalesce(us - F.pmod(us, F.lit(width_us)), F.lit(0)))
     wb = Window.partitionBy(*keys, "_b").orderBy("_t", "_s", "_side")
     lside = F.lag("_side").over(wb)
     brk_loc = F.when(lside.isNull(), F.lit(None)).otherwise(

@@ -28,20 +28,24 @@ ARRIVAL_BLOCK = 1 << 20
 def watermark_at_arrival(df: DataFrame, ts: str = "ts", arrival: str = "seq", delay="0 seconds",
                          out: str = "wm_ms", block: int = ARRIVAL_BLOCK) -> DataFrame:
     """Add ``out`` = max event time (epoch ms) of rows with a smaller ``arrival`` value,
-    minus ``delay``; null for the first row."""
+    minus ``delay``; null for the first row.  Rows without an arrival value are dropped.
+
+    One shuffle of the rows (by arrival block); the block maxima come from the same
+    partitions, and only one row per block goes through the un-partitioned prefix."""
     d_ms = interval_millis(delay)
     a = F.col(arrival)
-    t = millis(ts)
-    staged = df.withColumn("_ab", a - F.pmod(a, F.lit(block))).withColumn("_tm", t)
-    per_block = staged.groupBy("_ab").agg(F.max("_tm").alias("_bm"))
+    staged = (df.filter(a.isNotNull())
+                .withColumn("_ab", F.coalesce(a - F.pmod(a, F.lit(block)), F.lit(0)))
+                .withColumn("_tm", millis(ts)))
+    inside = F.max("_tm").over(Window.partitionBy("_ab").orderBy(a).rowsBetween(Window.unboundedPreceding, -1))
+    windowed = staged.withColumn("_im", inside)
+    per_block = windowed.groupBy("_ab").agg(F.max("_tm").alias("_bm"))
     # one row per arrival block: the un-partitioned window moves only these to one task
     prefix = per_block.select("_ab", F.max("_bm").over(
         Window.orderBy("_ab").rowsBetween(Window.unboundedPreceding, -1)).alias("_pm"))
-    inside = F.max("_tm").over(Window.partitionBy("_ab").orderBy(a).rowsBetween(Window.unboundedPreceding, -1))
-    return (staged.withColumn("_im", inside)
-                  .join(prefix, "_ab")
-                  .withColumn(out, F.greatest("_pm", "_im") - F.lit(d_ms))
-                  .drop("_ab", "_tm", "_im", "_pm"))
+    return (windowed.join(prefix, "_ab")
+                    .withColumn(out, F.greatest("_pm", "_im") - F.lit(d_ms))
+                    .drop("_ab", "_tm", "_im", "_pm"))
 
 
 def late_rows(df: DataFrame, ts: str = "ts", arrival: str = "seq", delay="0 seconds") -> DataFrame:

@@ -57,9 +57,15 @@ def _bucketed(df: DataFrame, ts: str, within_us: int | None, bucket_us: int | No
     return out, ["_b"]
 
 
-def _chain_bucket(df: DataFrame, ts: str, bucket_us: int) -> DataFrame:
+def _chain_bucket(df: DataFrame, ts: str, seq: str, keys, bucket_us: int) -> DataFrame:
+    """Rows without time, order or key cannot take part in a sequence; dropping them
+    keeps the bucket column non-nullable, so Spark reuses one shuffle of the rows for
+    both the per-bucket pass and the per-bucket summary."""
+    df = df.filter(F.col(ts).isNotNull() & F.col(seq).isNotNull())
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
     us = micros(ts)
-    return df.withColumn("_b", us - F.pmod(us, F.lit(bucket_us)))
+    return df.withColumn("_b", F.coalesce(us - F.pmod(us, F.lit(bucket_us)), F.lit(0)))
 
 
 def strict_pairs(df: DataFrame, begin: Column, nxt: Column, within, keys=(), ts: str = "ts",
@@ -89,7 +95,7 @@ def strict_pairs(df: DataFrame, begin: Column, nxt: Column, within, keys=(), ts:
         staged = base.select("*", *[F.lead(c).over(w).alias(f"_n_{c}") for c in nxt_cols])
     elif method == "chain":
         b_us = interval_micros(bucket) if bucket else (w_us or CHAIN_BUCKET_US)
-        base = _chain_bucket(base, ts, b_us).withColumn("_home", F.lit(True))
+        base = _chain_bucket(base, ts, seq, keys, b_us).withColumn("_home", F.lit(True))
         w = Window.partitionBy(*keys, "_b").orderBy(F.col(ts), F.col(seq))
         local = base.select("*", *[F.lead(c).over(w).alias(f"_l_{c}") for c in nxt_cols])
         first = (local.groupBy(*keys, "_b")
@@ -141,7 +147,8 @@ def followed_by(df: DataFrame, begin: Column, follow: Column, within, keys=(), t
         base, bcol = _bucketed(base, ts, w_us, interval_micros(bucket) if bucket else None,
                                copy_if=F.col("_q"))
     elif method == "chain":
-        base = _chain_bucket(base, ts, interval_micros(bucket) if bucket else (w_us or CHAIN_BUCKET_US)) \
+        base = _chain_bucket(base, ts, seq, keys,
+                             interval_micros(bucket) if bucket else (w_us or CHAIN_BUCKET_US)) \
             .withColumn("_home", F.lit(True))
         bcol = ["_b"]
     else:
