@@ -73,3 +73,17 @@ def test_plan_shuffles_only_pane_aggregates(spark):
     assert plan.count("Exchange") == 2
     last_exchange = plan.index("Exchange")
     assert plan.index("Generate explode(sequence") < last_exchange
+
+
+def test_random_window_parameters_equal_window_function(spark):
+    random.seed(13)
+    data = [(random.randint(0, 2), T0 + random.randint(0, 5_000), random.randint(0, 9)) for _ in range(200)]
+    df = frame(spark, "k long, ts_s long, v long", data)
+    for _ in range(4):
+        slide = random.choice([7, 30, 60, 120])
+        size = slide * random.randint(1, 6) + random.choice([0, 0, 3])
+        aggs = [Count("cnt"), Sum("s", "v"), Min("mn", "v"), Max("mx", "v"), IntAvg("avg", "v")]
+        cols = ["k", "window_end", "cnt", "s", "mn", "mx", "avg"]
+        expect = rows(_spark_window(df, f"{size} seconds", f"{slide} seconds", ["k"]), *cols)
+        got = rows(sliding_agg(df, f"{size} seconds", f"{slide} seconds", aggs, keys=["k"]), *cols)
+        assert got == expect, (size, slide)
