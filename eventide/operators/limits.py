@@ -8,6 +8,8 @@ before the shuffle: a key holding a third of all rows ships at most cap+1 rows
 per task.  (The session raises ``spark.sql.optimizer.windowGroupLimitThreshold``
 so this holds for caps up to that value.)
 
+Null keys form one group, as in SQL ``PARTITION BY``.
+
 ``reset="never"`` is the reference replayed on old data: its reset timer is set
 from processing time, so it never fires inside the input and the count runs
 over the key's whole history.  ``reset="event_day"`` counts per (key, UTC day).

@@ -57,13 +57,18 @@ def _bucketed(df: DataFrame, ts: str, within_us: int | None, bucket_us: int | No
     return out, ["_b"]
 
 
-def _chain_bucket(df: DataFrame, ts: str, seq: str, keys, bucket_us: int) -> DataFrame:
-    """Rows without time, order or key cannot take part in a sequence; dropping them
-    keeps the bucket column non-nullable, so Spark reuses one shuffle of the rows for
-    both the per-bucket pass and the per-bucket summary."""
+def _ordered_rows(df: DataFrame, ts: str, seq: str, keys) -> DataFrame:
+    """Rows without time, order or key cannot take part in a sequence: they are ignored
+    by every pattern (the reference cannot key or time such rows at all)."""
     df = df.filter(F.col(ts).isNotNull() & F.col(seq).isNotNull())
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
+    return df
+
+
+def _chain_bucket(df: DataFrame, ts: str, seq: str, keys, bucket_us: int) -> DataFrame:
+    """Time buckets for the chain strategy.  The bucket column is non-nullable, so Spark
+    reuses one shuffle of the rows for the per-bucket pass and the per-bucket summary."""
     us = micros(ts)
     return df.withColumn("_b", F.coalesce(us - F.pmod(us, F.lit(bucket_us)), F.lit(0)))
 
@@ -87,7 +92,7 @@ def strict_pairs(df: DataFrame, begin: Column, nxt: Column, within, keys=(), ts:
     w_us = interval_micros(within) if within is not None else None
     if method == "auto":
         method = "copy" if keys and w_us is not None else "chain"
-    base = df.select(*keys, ts, seq, *carry, begin.alias("_p"), nxt.alias("_q"))
+    base = _ordered_rows(df, ts, seq, keys).select(*keys, ts, seq, *carry, begin.alias("_p"), nxt.alias("_q"))
     nxt_cols = [ts, seq, "_q", *carry]
     if method == "copy":
         base, bcol = _bucketed(base, ts, w_us, interval_micros(bucket) if bucket else None)
@@ -139,7 +144,7 @@ def followed_by(df: DataFrame, begin: Column, follow: Column, within, keys=(), t
         method = "copy" if keys and w_us is not None else "chain"
     # relaxed contiguity ignores rows that are neither begin nor follow: drop them first
     # (simple predicates then reach the scan)
-    base = (df.filter(begin | follow)
+    base = (_ordered_rows(df, ts, seq, keys).filter(begin | follow)
               .select(*keys, ts, seq, *carry, begin.alias("_p"), follow.alias("_q")))
     payload = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"), *[F.col(c) for c in carry])
     if method == "copy":

@@ -152,3 +152,26 @@ def test_followed_by_buckets_equal_loop(spark):
     exp_m, exp_t = _py_followed(data, 10**9)
     res = followed_by(df, F.col("p"), F.col("q"), None, keys=["k"], bucket="30 seconds")
     assert rows(res.matched, "begin_seq", "follow_seq") == exp_m
+
+
+def test_null_keys(spark):
+    from eventide.operators import Count, tumbling_agg
+    from eventide.operators.joins import pair_one_to_one
+    data = [(None, T0, True, 0), (None, T0 + 1, True, 1), (1, T0 + 2, True, 2), (1, T0 + 3, True, 3)]
+    df = frame(spark, "k long, ts_s long, p boolean, seq long", data)
+    # aggregates and caps: null is one group (SQL semantics)
+    got = {(r.k, r.cnt) for r in tumbling_agg(df, "1 hour", [Count("cnt")], keys=["k"]).collect()}
+    assert got == {(None, 2), (1, 2)}
+    assert rows(cap_per_key(df, ["k"], 1).warnings, "seq") == [(1,), (3,)]
+    # sequence operators ignore rows without a key, whatever the strategy
+    for method in ("copy", "chain"):
+        got = rows(strict_pairs(df, F.col("p"), F.col("p"), "10 seconds", keys=["k"], method=method),
+                   "first_seq", "second_seq")
+        assert got == [(2, 3)], method
+        res = followed_by(df, F.col("p"), F.col("p"), "10 seconds", keys=["k"], method=method)
+        assert rows(res.matched, "begin_seq", "follow_seq") == [(2, 3)], method
+    left = frame(spark, "pay_id string, ts_s long, seq long", [(None, T0, 0), ("a", T0, 1)])
+    right = frame(spark, "pay_id string, ts_s long, seq long", [(None, T0 + 1, 2), ("a", T0 + 1, 3)])
+    res = pair_one_to_one(left, right, "pay_id")
+    assert rows(res.matched, "left_seq", "right_seq") == [(1, 3)]
+    assert res.left_only.count() == 0 and res.right_only.count() == 0
