@@ -12,7 +12,7 @@ from eventide.streaming.windows import (
     checkpoint_location,
 )
 from eventide.streaming.joins import stream_interval_join
-from eventide.streaming.runners import branch_writer, start_branches
+from eventide.streaming.runners import branch_writer, resolve_latest, start_branches, versioned_writer
 from eventide.streaming.processors import (
     stream_cap_per_key, stream_strict_pairs, stream_followed_by, stream_pair_one_to_one,
     stream_running_distinct,
@@ -22,5 +22,5 @@ __all__ = [
     "stream_window_agg", "stream_distinct_per_window", "stream_approx_distinct",
     "top_n_batch_writer", "checkpoint_location", "stream_interval_join", "stream_cap_per_key",
     "stream_strict_pairs", "stream_followed_by", "stream_pair_one_to_one", "branch_writer",
-    "start_branches", "stream_running_distinct",
+    "start_branches", "stream_running_distinct", "versioned_writer", "resolve_latest",
 ]

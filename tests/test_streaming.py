@@ -190,3 +190,42 @@ def test_stream_running_distinct_equal_batch(spark, replay_dir):
     got = _collect(spark, stream_running_distinct(s, "user_id", "1 hour"), "s_run")
     exp = running_distinct(_batch(spark, d).filter("event_type = 'view'"), "user_id", "1 hour")
     assert rows(got.filter("seq < 1000000000000"), "seq", "window_end", "uv") == rows(exp, "seq", "window_end", "uv")
+
+
+def test_update_mode_versions_resolve_to_final_counts(spark):
+    """Early results that late rows (within the allowed lateness) update: the newest
+    version per (window, url) equals the batch count, and so does its top-N."""
+    from eventide.plans import jobs
+    from eventide.streaming import resolve_latest, versioned_writer
+    from helpers import T0
+
+    d = tempfile.mkdtemp(prefix="eventide-late-")
+    batches = [
+        [("/a", T0 + 1, 0), ("/b", T0 + 2, 1), ("/a", T0 + 20, 2)],
+        [("/b", T0 + 40, 3), ("/a", T0 + 5, 4)],            # 35 s late, within 5 s + 60 s
+        [("/b", T0 + 70, 5), ("/b", T0 + 12, 6)],           # 58 s late
+        [("/z", FAR_FUTURE_MS // 1000, 7)],                 # sentinel
+    ]
+    for i, b in enumerate(batches):
+        pdf = pd.DataFrame(b, columns=["url", "ts_s", "seq"])
+        pdf["ts"] = pd.to_datetime(pdf["ts_s"], unit="s", utc=True).astype("datetime64[us, UTC]")
+        p = os.path.join(d, f"part-{i}.parquet")
+        pdf.to_parquet(p, index=False)
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    schema = spark.read.parquet(d).schema
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+    counts = stream_window_agg(s, "60 seconds", [F.count(F.lit(1)).alias("cnt")], keys=["url"],
+                               slide="20 seconds", delay="65 seconds")
+    out = tempfile.mkdtemp(prefix="eventide-versions-")
+    q = (counts.writeStream.outputMode("update").foreachBatch(versioned_writer(out))
+         .option("checkpointLocation", checkpoint_location(spark, "versions")).start())
+    _drain(q)
+    versions = spark.read.parquet(out).groupBy("url", "window_end").count()
+    assert versions.filter("count > 1").count() > 0  # windows were emitted early and then updated
+    latest = resolve_latest(spark, out, ["url", "window_end"]).filter("url <> '/z'")
+    batch = spark.read.parquet(d).filter("url <> '/z'")
+    expect = sliding_agg(batch, "60 seconds", "20 seconds", [Count("cnt")], keys=["url"])
+    assert rows(latest, "url", "window_end", "cnt") == rows(expect, "url", "window_end", "cnt")
+    ranked = top_n_per_window(latest, 1, "cnt", "url")
+    assert rows(ranked, "window_end", "url", "cnt") == \
+        rows(jobs.top_urls(batch, 1, "60 seconds", "20 seconds"), "window_end", "url", "cnt")
