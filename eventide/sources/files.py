@@ -9,8 +9,8 @@ deterministic tie-break for rows with equal event times (stateful stream
 operators order by (ts, seq) after buffering).
 
 ``mode`` follows Spark's CSV modes: ``FAILFAST`` (the reference's behaviour: a
-bad number fails the job), ``PERMISSIVE`` (bad fields become null) or
-``DROPMALFORMED``.
+bad number fails the job), ``PERMISSIVE`` (bad fields become null and the raw
+line is kept in ``_corrupt_record``) or ``DROPMALFORMED``.
 """
 
 from __future__ import annotations
@@ -27,9 +27,16 @@ def _reader(spark: SparkSession, stream: bool):
     return spark.readStream if stream else spark.read
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _csv(spark, path, schema, stream=False, trim=False, mode="FAILFAST") -> DataFrame:
+    if mode == "PERMISSIVE":
+        # keep the raw text of rows that do not parse next to the null fields
+        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     r = (_reader(spark, stream).schema(schema)
          .option("header", "false").option("mode", mode)
+         .option("columnNameOfCorruptRecord", CORRUPT)
          .option("ignoreLeadingWhiteSpace", str(trim).lower())
          .option("ignoreTrailingWhiteSpace", str(trim).lower()))
     return _with_seq(r.csv(path), stream)

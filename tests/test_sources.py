@@ -59,3 +59,11 @@ def test_malformed_rows(spark):
     assert len(read_user_behavior(spark, p, mode="DROPMALFORMED").collect()) == 1
     bad_log = _write("10.0.0.1 - - 99/99/2020:10:05:03 +0000 GET /a\n10.0.0.1 - - 17/05/2020:10:05:03 +0000 GET /b\n")
     assert rows(read_access_log(spark, bad_log, mode="DROPMALFORMED"), "url") == [("/b",)]
+
+
+def test_permissive_keeps_corrupt_text(spark):
+    p = _write("101,5001,77,pv,1600000000\nnot-a-number,1,1,pv,1600000001\n")
+    df = read_user_behavior(spark, p, mode="PERMISSIVE").cache()
+    bad = [r for r in df.collect() if r["_corrupt_record"] is not None]
+    assert [r["_corrupt_record"] for r in bad] == ["not-a-number,1,1,pv,1600000001"]
+    assert bad[0]["user_id"] is None
