@@ -15,11 +15,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.hashing import poly_hash
-from eventide.functions.time import floor_to, interval_millis, millis
+from eventide.functions.time import floor_to, interval_millis, micros, millis
 from eventide.operators.aggs import ApproxDistinct
 from eventide.operators.windows import BUCKET_WINDOWS, _keys, row_windows, sliding_agg
 
@@ -112,6 +114,25 @@ def merge_bitmaps(bitmaps: DataFrame, keys=(), out: str = "uv") -> DataFrame:
                    .agg(F.sum(F.bitmap_count("bitmap")).cast("long").alias(out)))
 
 
+# (ts, seq) order as one DECIMAL(38,0): (ts_us + 1e17) * 1e20 + (seq + 2^63).  Years
+# 1-9999 and every BIGINT seq fit; min() over it is a hash aggregate with partial
+# aggregation, where min() over a struct would sort all rows.
+_TS_SHIFT, _SEQ_SHIFT, _SCALE = 10**17, 2**63, 10**20
+_D38 = "decimal(38,0)"
+
+
+def _dec(v: int) -> F.Column:
+    return F.lit(Decimal(v)).cast(_D38)
+
+
+def _order_key(ts_us: F.Column, seq: F.Column) -> F.Column:
+    return ((ts_us.cast(_D38) + _dec(_TS_SHIFT)) * _dec(_SCALE) + (seq.cast(_D38) + _dec(_SEQ_SHIFT))).cast(_D38)
+
+
+def _order_key_seq(key: F.Column) -> F.Column:
+    return (F.pmod(key, _dec(_SCALE)) - _dec(_SEQ_SHIFT)).cast("long")
+
+
 def running_distinct(df: DataFrame, col: str, size, keys=(), ts: str = "ts", seq: str = "seq",
                      hashed: bool = True, sub_bucket=None, out: str = "uv") -> DataFrame:
     """Per event: (seq, keys, window_end, distinct values so far in the window).
@@ -133,8 +154,8 @@ def running_distinct(df: DataFrame, col: str, size, keys=(), ts: str = "ts", seq
                      _window_end_col(ts, size_ms).alias("window_end"),
                      floor_to(millis(ts), sub_ms).alias("_sub"), value.alias("_v"))
     firsts = (base.groupBy(*keys, "window_end", "_v")
-                  .agg(F.min(F.struct("_ts", "_seq")).alias("_f"))
-                  .select(*keys, "window_end", F.col("_f._seq").alias("_seq"), F.lit(1).alias("_new")))
+                  .agg(F.min(_order_key(micros("_ts"), F.col("_seq"))).alias("_f"))
+                  .select(*keys, "window_end", _order_key_seq(F.col("_f")).alias("_seq"), F.lit(1).alias("_new")))
     flagged = (base.join(firsts, [*keys, "window_end", "_seq"], "left")
                    .withColumn("_new", F.coalesce("_new", F.lit(0))))
     sub_tot = flagged.groupBy(*keys, "window_end", "_sub").agg(F.sum("_new").alias("_t"))

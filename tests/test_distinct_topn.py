@@ -122,3 +122,14 @@ def test_bitmaps_merge_across_runs(spark):
         bitmap_distinct_per_window(half2, "user_id", "1 hour", keep_bitmaps=True))
     assert rows(merge_bitmaps(stored), "window_end", "uv") == \
         rows(bitmap_distinct_per_window(df, "user_id", "1 hour"), "window_end", "uv")
+
+
+def test_order_key_roundtrip_and_order(spark):
+    from eventide.operators.distinct import _order_key, _order_key_seq
+    vals = [(-62_135_596_800_000_000, -(2**63)), (-1, 2**63 - 1), (0, 0), (0, 1),
+            (253_402_300_799_999_999, -5), (1_700_000_000_000_000, 2**62)]
+    df = spark.createDataFrame(vals, "us long, seq long")
+    got = df.select("us", "seq", _order_key(F.col("us"), F.col("seq")).alias("k")).collect()
+    assert [r.seq for r in df.select(_order_key_seq(_order_key(F.col("us"), F.col("seq"))).alias("seq")).collect()] \
+        == [v[1] for v in vals]
+    assert [(r.us, r.seq) for r in sorted(got, key=lambda r: r.k)] == sorted(vals)
