@@ -134,3 +134,25 @@ def test_stream_stateful_jobs_equal_batch(spark):
     assert got["matched"] == rows(exp["matched"], "pay_id")
     assert got["left_only"] == rows(exp["left_only"], "pay_id")
     assert got["right_only"] == rows(exp["right_only"], "pay_id")
+
+
+def test_stream_ranking_job_equals_batch(spark):
+    from eventide.plans import stream_jobs
+    from eventide.streaming.windows import checkpoint_location
+    from eventide.streaming.processors import FAR_FUTURE_MS
+    from test_streaming import _drain
+
+    far = FAR_FUTURE_MS // 1000
+    d = tempfile.mkdtemp(prefix="eventide-srank-")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("".join(f"{u},{i},1,pv,{T + s}\n" for u, i, s in
+                        [(1, 10, 5), (2, 10, 60), (3, 11, 70), (4, 12, 400), (5, 12, 500), (6, 12, 610)]))
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write(f"-1,-1,1,pv,{far}\n")
+    os.utime(os.path.join(d, "b.csv"), (2_000_000_000, 2_000_000_000))
+    out = tempfile.mkdtemp(prefix="eventide-srank-out-")
+    q = stream_jobs.start(spark, "hot_items", [d], out, checkpoint_location(spark, "srank"), available_now=False)
+    _drain(q)
+    got = spark.read.parquet(out).filter("item_id <> -1")
+    exp = run_job(spark, "hot_items", [os.path.join(d, "a.csv")])["result"]
+    assert rows(got, "window_end", "rank", "item_id", "cnt") == rows(exp, "window_end", "rank", "item_id", "cnt")
