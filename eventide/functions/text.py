@@ -43,9 +43,10 @@ def format_ranking(ranked: DataFrame, key: str, metric: str, window_end: str = "
                     F.lit(key_label), F.col(key).cast("string"),
                     F.lit(COUNT_LABEL), F.col(metric).cast("string"), F.lit("\n"))
     lines = F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), line.alias("l"))))
-    body = F.array_join(F.transform(lines, lambda x: x["l"]), "")
     return (ranked.groupBy(*group_extra, window_end)
-            .agg(body.alias("_body"))
+            .agg(lines.alias("_lines"))
+            # the field of an array of structs is an array (no lambda, code-generated)
+            .withColumn("_body", F.array_join(F.col("_lines.l"), ""))
             .select(window_end,
                     F.concat(F.lit(REPORT_HEADER), timestamp_text(F.col(window_end)), F.lit("\n"),
                              F.col("_body"), F.lit(footer)).alias("report")))
