@@ -19,6 +19,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.functions.hashing import poly_hash
 from eventide.functions.time import floor_to, interval_millis, micros, millis
@@ -79,9 +80,12 @@ def approx_distinct_per_window(df: DataFrame, col: str, size, slide=None, keys=(
     return sliding_agg(df, size, slide or size, [ApproxDistinct(out, col, lg_k)], keys, ts)
 
 
-def bitmap_offset(col: str) -> F.Column:
-    """The reference's bitmap offset of a value (hash of its decimal text)."""
-    return poly_hash(col)
+def bitmap_offset(col: str, df: DataFrame | None = None) -> F.Column:
+    """The reference's bitmap offset of a value (hash of its decimal text); integral
+    columns use the code-generated digit form."""
+    integral = df is not None and isinstance(df.schema[col].dataType, (T.LongType, T.IntegerType,
+                                                                       T.ShortType, T.ByteType))
+    return poly_hash(col, integral=integral)
 
 
 def bitmap_distinct_per_window(df: DataFrame, col: str, size, keys=(), ts: str = "ts",
@@ -93,7 +97,7 @@ def bitmap_distinct_per_window(df: DataFrame, col: str, size, keys=(), ts: str =
     """
     keys = _keys(keys)
     size_ms = interval_millis(size)
-    pos = bitmap_offset(col) + F.lit(1)  # bitmap functions want positive positions
+    pos = bitmap_offset(col, df) + F.lit(1)  # bitmap functions want positive positions
     bits = (df.groupBy(*keys, _window_end_col(ts, size_ms).alias("window_end"),
                        F.bitmap_bucket_number(pos).alias("bucket"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position(pos)).alias("bitmap")))
@@ -149,7 +153,7 @@ def running_distinct(df: DataFrame, col: str, size, keys=(), ts: str = "ts", seq
     keys = _keys(keys)
     size_ms = interval_millis(size)
     sub_ms = interval_millis(sub_bucket) if sub_bucket else max(size_ms // 60, 1)
-    value = bitmap_offset(col) if hashed else F.col(col)
+    value = bitmap_offset(col, df) if hashed else F.col(col)
     base = df.select(*keys, F.col(seq).alias("_seq"), F.col(ts).alias("_ts"),
                      _window_end_col(ts, size_ms).alias("window_end"),
                      floor_to(millis(ts), sub_ms).alias("_sub"), value.alias("_v"))

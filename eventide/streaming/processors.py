@@ -376,7 +376,8 @@ def stream_running_distinct(df: DataFrame, col: str, size, ts: str = "ts", seq:
     from eventide.functions.hashing import poly_hash
     size_ms = interval_millis(size)
     t = F.unix_millis(ts)
-    v = poly_hash(col) if hashed else F.col(col).cast("long")
+    integral = isinstance(df.schema[col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    v = poly_hash(col, integral=integral) if hashed else F.col(col).cast("long")
     staged = (df.withWatermark(ts, str(delay))
                 .select(ts, (t - F.pmod(t, F.lit(size_ms)) + F.lit(size_ms)).alias("window_end"),
                         t.alias("ts_ms"), F.col(seq).cast("long").alias("seq"), v.alias("v")))

@@ -23,10 +23,11 @@ def py_hash(value, base=61, bits=1 << 29):
 
 def test_poly_hash_matches_python(spark):
     from eventide.functions.hashing import poly_hash
-    vals = [0, 7, 543462, 10**17 + 3, -42]
+    vals = [0, 7, 543462, 10**17 + 3, -42, 2**63 - 1, -(2**63), 10**18, -(10**18) + 1]
     df = spark.createDataFrame([(v,) for v in vals], "v long")
-    got = {r.v: r.h for r in df.select("v", poly_hash("v").alias("h")).collect()}
-    assert got == {v: py_hash(v) for v in vals}
+    for integral in (False, True):
+        got = {r.v: r.h for r in df.select("v", poly_hash("v", integral=integral).alias("h")).collect()}
+        assert got == {v: py_hash(v) for v in vals}, integral
 
 
 def _events(spark, n=300, seed=3):
