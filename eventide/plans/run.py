@@ -1,7 +1,7 @@
 """Run one of the reference's jobs on its text inputs.
 
-    python -m eventide.plans.run hot_items --input UserBehavior.csv --output out/
-    python -m eventide.plans.run receipt_match --input OrderLog.csv --input2 ReceiptLog.csv --output out/
+    python -m eventide.plans.run hot_items --input behaviour.csv --output out/
+    python -m eventide.plans.run receipt_match --input orders.csv --input2 receipts.csv --output out/
     python -m eventide.plans.run --stream hot_items --input in_dir/ --output out/ --checkpoint ckpt/
 
 Each output branch (main output and side outputs) is written as parquet under
