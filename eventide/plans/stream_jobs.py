@@ -20,16 +20,17 @@ from eventide.streaming import (
     stream_pair_one_to_one, stream_running_distinct, stream_strict_pairs, stream_window_agg,
 )
 
-COUNT = F.count(F.lit(1))
+def _count(name: str):
+    return F.count(F.lit(1)).alias(name)
 
 
 def hot_items(b, n=3, size="1 hour", slide="5 minutes"):
     pv = b.filter(F.col("behavior") == "pv")
-    return stream_window_agg(pv, size, [COUNT.alias("cnt")], keys=["item_id"], slide=slide), (n, "cnt", "item_id")
+    return stream_window_agg(pv, size, [_count("cnt")], keys=["item_id"], slide=slide), (n, "cnt", "item_id")
 
 
 def page_views(b, size="1 hour"):
-    return stream_window_agg(b.filter(F.col("behavior") == "pv"), size, [COUNT.alias("pv")]), None
+    return stream_window_agg(b.filter(F.col("behavior") == "pv"), size, [_count("pv")]), None
 
 
 def unique_visitors(b, size="1 hour"):
@@ -41,12 +42,12 @@ def unique_visitors_bitmap(b, size="1 hour"):
 
 
 def marketing_total(m, size="1 hour", slide="10 seconds", exclude="UNINSTALL"):
-    return stream_window_agg(m.filter(F.col("behavior") != exclude), size, [COUNT.alias("cnt")],
+    return stream_window_agg(m.filter(F.col("behavior") != exclude), size, [_count("cnt")],
                              slide=slide, with_start=True), None
 
 
 def marketing_by_channel(m, size="1 hour", slide="10 seconds", exclude="UNINSTALL"):
-    return stream_window_agg(m.filter(F.col("behavior") != exclude), size, [COUNT.alias("cnt")],
+    return stream_window_agg(m.filter(F.col("behavior") != exclude), size, [_count("cnt")],
                              keys=["behavior", "channel"], slide=slide, with_start=True), None
 
 
@@ -81,7 +82,7 @@ def receipt_interval_join(o, r, lower="-15 seconds", upper="15 seconds"):
 
 
 def top_urls(log, n=5, size="10 minutes", slide="5 seconds", delay="65 seconds"):
-    return stream_window_agg(log, size, [COUNT.alias("cnt")], keys=["url"], slide=slide,
+    return stream_window_agg(log, size, [_count("cnt")], keys=["url"], slide=slide,
                              delay=delay), (n, "cnt", "url")
 
 
