@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from eventide.llm import mixing
-from eventide.llm.common import table
+from pyspark.sql import functions as F
+
+from eventide.llm import fingerprints, langid, mixing
+from eventide.llm.common import id_crc, table
+
+
+def op4_lz_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", id_crc(F.col("doc_id")) % 3 == 1)
+    model = langid.fit(docs.where(~F.col("held_out")))
+    return (langid.predict(docs.select("doc_id", "held_out", "text"), model)
+            .select("doc_id", "held_out", "lang_pred", "score", "code_bits"))
 
 
 def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_mix_sources,)}
+QUERIES = {f.__name__: f for f in (op4_lz_fingerprints, op8_language_id, op10_mix_sources)}
 
 SQL: dict[str, str] = {}

@@ -74,3 +74,24 @@ def prefix_sums(df: DataFrame, keys: list[str], bucket: str, order: list[Column]
 
 def schema(text: str) -> T.StructType:
     return T._parse_datatype_string(text)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound the Arrow batches handed to Python workers (whole texts may be long)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))
+
+
+def by_bytes(items: list, size, limit: int = 2 << 20):
+    """Cut a list into runs of about ``limit`` bytes; an item of more is a run of its own."""
+    run, total = [], 0
+    for x in items:
+        n = size(x)
+        if run and total + n > limit:
+            yield run
+            run, total = [], 0
+        run.append(x)
+        total += n
+    if run:
+        yield run
