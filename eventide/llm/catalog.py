@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import fingerprints, langid, lm, mixing
+from eventide.llm import fingerprints, langid, lm, mixing, near_dedup
 from eventide.llm.common import id_crc, table
 
 
@@ -17,6 +17,10 @@ def op5_ppm_scores(spark, sf_dir):
     return lm.score(docs, lm.fit(docs.where(~F.col("held_out"))))
 
 
+def op6_near_duplicates(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_crc(F.col("doc_id")) % 3 == 1)
     model = langid.fit(docs.where(~F.col("held_out")))
@@ -28,6 +32,6 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_lz_fingerprints, op5_ppm_scores, op8_language_id, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates, op8_language_id, op10_mix_sources)}
 
 SQL: dict[str, str] = {}
