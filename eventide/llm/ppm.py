@@ -127,7 +127,8 @@ class Model:
             row = np.repeat(np.arange(len(lv.ctx)), lv.kinds)
             self.pairs.append(CodeMap(lv.code))
             # as the longest seen context, and (below) under the exclusions of a longer one
-            self.hit.append((np.log(lv.n / whole[row]).astype(np.float32), np.log(lv.n).astype(np.float32)))
+            self.hit.append((np.log(lv.n / whole[row]).astype(np.float32),
+                             np.log(lv.n).astype(np.float32) if k < depth else None))
             self.ctxs.append(CodeMap(lv.ctx))
             self.escape.append(np.log(lv.kinds / whole).astype(np.float32))
             if k:
@@ -195,6 +196,19 @@ class Model:
         return out
 
 
+class Frozen:
+    """Counts as they travel to the workers; each worker process builds its model once."""
+
+    def __init__(self, code: np.ndarray, n: np.ndarray, depth: int):
+        self.code, self.n, self.depth, self._model = code, n, depth, None
+
+    def model(self) -> Model:
+        if self._model is None:
+            self._model = Model(self.code, self.n, self.depth)
+            self.code = self.n = None
+        return self._model
+
+
 def dense(model: Model) -> tuple[np.ndarray, np.ndarray]:
     """A model of depth 2 as a table: the row of every two-byte context, and the log
     probability of each symbol in each row.
