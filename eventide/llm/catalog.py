@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import fingerprints, langid, lm, mixing, near_dedup
+from eventide.llm import fingerprints, langid, lm, mixing, near_dedup, quality_rules
 from eventide.llm.common import id_crc, table
 
 
+def trusted(spark, sf_dir):
+    """Ids labelled as good and not as toxic."""
+    return table(spark, sf_dir, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
+
+
+def op1_likelihood_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, trusted(spark, sf_dir)))
+
+
 def op4_lz_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -32,6 +42,6 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates, op8_language_id, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_likelihood_rules, op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates, op8_language_id, op10_mix_sources)}
 
 SQL: dict[str, str] = {}
