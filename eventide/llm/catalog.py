@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import fingerprints, langid, lm, mixing, near_dedup, quality_rules
+from eventide.llm import (fingerprints, langid, line_dedup, lm, mixing, near_dedup, quality_rules,
+                          sentencepiece, site_quality)
 from eventide.llm.common import id_crc, table
 
 
@@ -18,6 +19,11 @@ def op1_likelihood_rules(spark, sf_dir):
     return quality_rules.judge(docs, quality_rules.fit(docs, trusted(spark, sf_dir)))
 
 
+def op3_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeats(docs)
+
+
 def op4_lz_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -31,6 +37,12 @@ def op6_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op7_site_quality(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
+    # the host is the document's source, its sections are the languages
+    return site_quality.rate(table(spark, sf_dir, "documents"), labels, F.col("source"), F.col("lang"))
+
+
 def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_crc(F.col("doc_id")) % 3 == 1)
     model = langid.fit(docs.where(~F.col("held_out")))
@@ -38,10 +50,17 @@ def op8_language_id(spark, sf_dir):
             .select("doc_id", "held_out", "lang_pred", "score", "code_bits"))
 
 
+def op9_pieces(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece.encode(docs).drop("text")
+
+
 def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_likelihood_rules, op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates, op8_language_id, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (
+    op1_likelihood_rules, op3_line_dedup, op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates,
+    op7_site_quality, op8_language_id, op9_pieces, op10_mix_sources)}
 
 SQL: dict[str, str] = {}

@@ -6,9 +6,10 @@
    minima of a band are hashed to a bucket; at the defaults two sets of Jaccard similarity 0.8
    share a bucket with probability 1 - 8e-6, two of 0.85 with 1 - 2e-9.
 3. Candidates, first round: every member of a bucket with the bucket's smallest id.  Second
-   round: all pairs of a bucket that are not yet connected.  So each pair of sets that share a
-   bucket is either confirmed, refuted, or already connected otherwise: no bucket is capped,
-   and a bucket of copies costs one pair a member.
+   round: the members of a bucket outside its most common component, with all other members
+   not yet connected to them, in blocks.  So each pair of sets that share a bucket is either
+   confirmed, refuted, or already connected otherwise: no bucket is capped, no pairs of a
+   bucket are emitted, and a bucket of copies costs one pair a member.
 4. A pair is verified on its signatures (an estimate clearly below the threshold refutes it),
    then on the full shingle sets: 100 * |A and B| >= percent * |A or B|.
 5. Components by alternating large-star and small-star steps over the confirmed links, each
@@ -20,7 +21,7 @@ meet their bucket's smallest id in a join that adaptive execution can split.
 Defined results: words are lower-cased (A-Z) runs of non-blanks; a text of fewer words than a
 shingle is one shingle of all its words; a null text or one without words has an empty set, is
 linked with nothing and is its own component; repeated rows of one id share a component, each
-keeping its row; rows of a null id are kept, and have a null component; an empty table gives an
+keeping its row (an id with different texts is verified on the smallest of them); rows of a null id are kept, and have a null component; an empty table gives an
 empty result; further columns are ignored.
 """
 
@@ -96,42 +97,27 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _lower(text) -> bytes:
-    return text.lower()
-
-
-def _sets(batches, size):
-    """(doc_id, n_shingles, set digest) of each document."""
-    memo: dict[bytes, int] = {}
-    for batch in batches:
-        n, hi, lo = [], [], []
-        for text in batch.column(1).to_pylist():
-            s = shingle_hashes(text.lower(), size, memo)
-            d = xxhash.xxh3_128_intdigest(s.tobytes())
-            n.append(len(s))
-            hi.append((d >> 64) - (1 << 63))
-            lo.append((d & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()),
-                                          pa.array(lo, pa.int64())], names=["doc_id", "n_shingles", "hi", "lo"])
-
-
 def _signatures(batches, size, bands, rows):
-    """(id, n, signature of 16-bit minima, bucket of each band) of class representatives."""
+    """(doc_id, n, set digest, signature of 16-bit minima, bucket of each band)."""
     memo: dict[bytes, int] = {}
     a, b = hash_family(bands * rows)
     for batch in batches:
-        n, sigs, keys = [], [], []
+        n, hi, lo, sigs, keys = [], [], [], [], []
         for text in batch.column(1).to_pylist():
             s = shingle_hashes(text.lower(), size, memo)
+            d = xxhash.xxh3_128_intdigest(s.tobytes())
             m = minima(s, a, b)
             n.append(len(s))
+            hi.append((d >> 64) - (1 << 63))
+            lo.append((d & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
             sigs.append((m >> np.uint32(16)).astype(np.uint16).tobytes())
             keys.append(band_keys(m, bands))
         offsets = np.arange(0, bands * len(n) + 1, bands, dtype=np.int32)
         flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(sigs, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "n", "sig", "keys"])
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
+             pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+            names=["doc_id", "n_shingles", "hi", "lo", "sig", "keys"])
 
 
 def _alike(batches, percent):
@@ -160,6 +146,51 @@ def _confirmed(batches, percent, size):
         yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
+def _cross_links(batches, percent, size):
+    """Links between the open members of a bucket and its other members.
+
+    Rows (key, block, chunk, role, id, c, text) arrive sorted; in each (key, block, chunk) the
+    open members (role 0) come first and are held, the others pass by one at a time.  The sizes
+    of all intersections with the held sets come from one look-up of a member's shingles.  One
+    link per open member and component is enough.
+    """
+    memo: dict[bytes, int] = {}
+    at, held, index, out = None, [], None, []
+    linked: set = set()
+
+    def build():
+        sets = [x[2] for x in held]
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        codes = np.concatenate(sets)
+        order = np.argsort(codes, kind="stable")
+        return codes[order], owner[order], np.array([len(x) for x in sets]), np.array([x[1] for x in held])
+
+    for batch in batches:
+        cols = [batch.column(i).to_pylist() for i in range(7)]
+        for key, block, chunk, role, doc, c, text in zip(*cols):
+            if (key, block, chunk) != at:
+                at, held, index = (key, block, chunk), [], None
+                linked.clear()
+            s = shingle_hashes(text.lower(), size, memo)
+            if role == 0:
+                held.append((doc, c, s))
+                continue
+            if index is None:
+                index = build()
+            codes, owner, sizes, comps = index
+            lo, hi = np.searchsorted(codes, s, "left"), np.searchsorted(codes, s, "right")
+            spans = hi - lo
+            flat = np.repeat(lo - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
+            both = np.bincount(owner[flat], minlength=len(held))
+            ok = (100 * both >= percent * (sizes + len(s) - both)) & (comps != c)
+            for j in np.flatnonzero(ok):
+                if (held[j][0], c) not in linked:
+                    linked.add((held[j][0], c))
+                    out.append((held[j][0], doc))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        out = []
+
+
 def components(links: DataFrame, stop: int = 50) -> DataFrame:
     """(id, component) for every id of ``links`` (a, b): the smallest id it is connected with.
 
@@ -194,29 +225,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    sets = stored(texts.mapInArrow(lambda it: _sets(it, size), schema("doc_id long, n_shingles long, hi long, lo long")),
-                  "sets")
+    sets = stored(texts.mapInArrow(
+        lambda it: _signatures(it, size, bands, rows),
+        schema("doc_id long, n_shingles long, hi long, lo long, sig binary, keys array<long>")), "sets")
     whole = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(whole.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
     # an id with several texts is one document: its classes are linked
-    ids = whole.join(classes, ["hi", "lo"]).select("doc_id", "rep")
+    ids = whole.select("doc_id", "hi", "lo").join(classes, ["hi", "lo"]).select("doc_id", "rep")
     per_id = stored(ids.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")), "class-ids")
-    shared_ids = per_id.where("rep < other").select(F.col("rep").alias("a"), F.col("other").alias("b"))
-    own = ids.join(per_id.where("rep < other").select("doc_id"), "doc_id").select(
+    several = per_id.where("rep < other")
+    shared_ids = several.select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    own = ids.join(several.select("doc_id"), "doc_id").select(
         F.least("doc_id", "rep").alias("a"), F.greatest("doc_id", "rep").alias("b")).where("a < b")
-    # texts of representatives: the id that named a class, with the text that did
-    reps = (texts.join(classes.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
-            .select(F.col("doc_id").alias("id"), "text").groupBy("id").agg(F.min("text").alias("text")))
-    signed = stored(reps.mapInArrow(lambda it: _signatures(it, size, bands, rows),
-                                    schema("id long, n long, sig binary, keys array<long>")), "signatures")
-    buckets = signed.select("id", F.explode("keys").alias("key"))
-    crowded = buckets.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("members")).where("members > 1")
-    members = stored(buckets.join(crowded.select("key", "lead"), "key"), "buckets")
-    texts_of = stored(reps.join(members.select("id").distinct(), "id", "left_semi"), "candidate-texts")
+    named = whole.select("hi", "lo", F.col("doc_id").alias("rep"), "keys").join(classes, ["hi", "lo", "rep"])
+    buckets = named.select(F.col("rep").alias("id"), F.explode("keys").alias("key"))
+    crowded = (buckets.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
+               .where("lead < last").select("key", "lead"))
+    members = stored(buckets.join(crowded, "key").distinct(), "buckets")
+    wanted = members.select("id").distinct()
+    signed = stored(whole.select(F.col("doc_id").alias("id"), "n_shingles", "sig").join(wanted, "id", "left_semi")
+                    .groupBy("id").agg(F.min(F.struct("n_shingles", "sig")).alias("s")), "signatures")
+    texts_of = stored(texts.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
+                      .groupBy("id").agg(F.min("text").alias("text")), "candidate-texts")
 
     def verified(pairs):
         few = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-        side = lambda s: signed.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("sig").alias(f"s{s}"))
+        side = lambda s: signed.select(F.col("id").alias(s), F.col("s.n_shingles").alias(f"n{s}"),
+                                       F.col("s.sig").alias(f"s{s}"))
         near = (pairs.join(side("a"), "a").join(side("b"), "b").where(few).select("a", "b", "sa", "sb")
                 .mapInArrow(lambda it: _alike(it, percent), schema("a long, b long")))
         near = (near.join(texts_of.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -227,16 +262,38 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     first = members.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     first = stored(verified(first).union(shared_ids).union(own), "links")
     part = components(first)
-    placed = members.join(part, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    mixed_keys = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
-    placed = stored(placed.join(mixed_keys, "key"), "open-buckets")
-    rest = (placed.select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
-            .join(placed.select("key", F.col("id").alias("b"), F.col("c").alias("cb")), "key")
-            .where("a < b AND ca != cb").select("a", "b").distinct())
-    second = stored(verified(rest), "links")
-    joined = components(first.union(second))
+    placed = stored(members.join(part, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")),
+                    "placed")
+    joined = components(first.union(stored(_second_round(placed, texts_of, size, percent), "links")))
     found = (per_id.join(joined, F.col("rep") == F.col("id"), "left")
              .select(F.col("doc_id").alias("_id"), F.coalesce("component", "rep").alias("_component")))
-    return (sets.join(found, F.col("doc_id") == F.col("_id"), "left")
+    return (sets.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("_id"), "left")
             .select("doc_id", "n_shingles", F.coalesce("_component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def _second_round(placed: DataFrame, texts_of: DataFrame, size: int, percent: int, block: int = 256,
+                  chunk: int = 4096) -> DataFrame:
+    """Links between members of one bucket that the first round left in different components.
+
+    Members outside a bucket's most common component are open.  They are dealt over blocks, all
+    members over chunks, and every (block, chunk) of a bucket is compared on its own, so a task
+    holds ``block`` sets whatever the size of the bucket.  A bucket of two was settled before.
+    """
+    sums = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
+    sums = sums.groupBy("key").agg(F.max(F.struct("n", "c")).alias("main"), F.sum("n").alias("n"))
+    sums = sums.where("main.n < n AND n > 2").select(
+        "key", F.col("main.c").alias("main"), F.expr(f"int(ceil((n - main.n) / {block}))").alias("blocks"),
+        F.expr(f"int(ceil(n / {chunk}))").alias("chunks"))
+    rows = placed.join(sums, "key")
+    pick = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    unit = lambda b, k, role: F.struct(b.alias("block"), k.alias("chunk"), F.lit(role).alias("role"))
+    all_of = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    opened = F.when(F.col("c") != F.col("main"), F.transform(all_of("chunks"), lambda k: unit(pick(F.col("blocks")), k, 0)))
+    passing = F.transform(all_of("blocks"), lambda b: unit(b, pick(F.col("chunks")), 1))
+    none = F.filter(passing, lambda x: F.lit(False))
+    units = rows.withColumn("u", F.explode(F.concat(F.coalesce(opened, none), passing)))
+    units = units.select("key", "u.block", "u.chunk", "u.role", "id", "c").join(texts_of, "id")
+    units = units.select("key", "block", "chunk", "role", "id", "c", "text")
+    units = units.repartition("key", "block", "chunk").sortWithinPartitions("key", "block", "chunk", "role", "id")
+    return units.mapInArrow(lambda it: _cross_links(it, percent, size), schema("a long, b long"))
