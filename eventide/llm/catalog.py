@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import (fingerprints, langid, line_dedup, lm, mixing, near_dedup, quality_rules,
+from eventide.llm import (fingerprints, langid, line_dedup, lm, mixing, near_dedup, pii, quality_rules,
                           sentencepiece, site_quality)
 from eventide.llm.common import id_crc, table
 
@@ -19,6 +19,10 @@ def op1_likelihood_rules(spark, sf_dir):
     return quality_rules.judge(docs, quality_rules.fit(docs, trusted(spark, sf_dir)))
 
 
+def op2_surrogates(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.remove_repeats(docs)
@@ -59,8 +63,14 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_likelihood_rules, op3_line_dedup, op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates,
-    op7_site_quality, op8_language_id, op9_pieces, op10_mix_sources)}
+    op1_likelihood_rules, op2_surrogates, op3_line_dedup, op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates,
+    op7_site_quality, op8_language_id, op9_pieces, op10_mix_sources,
+    pipeline)}
 
 SQL: dict[str, str] = {}
