@@ -69,11 +69,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a fresh scratch folder is created and registered.
+    (local tests) a fresh scratch folder is created and registered.  A cluster
+    without the setting is refused: a folder of the driver's machine is not shared.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="eventide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(d)
     return d

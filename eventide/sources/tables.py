@@ -18,8 +18,8 @@ from eventide.functions.time import to_event_time
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-# The marketing channels of the reference's generator, in its order.
-CHANNELS = ["HUAWEI", "XIAOMI", "OPPO", "APPLE", "SANXING"]
+# Labels of the five marketing channels that events are dealt over.
+CHANNELS = [f"channel_{k}" for k in range(5)]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
