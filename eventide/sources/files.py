@@ -1,12 +1,11 @@
 """Batch and streaming readers for the text inputs.
 
 All readers return ``ts`` (TIMESTAMP instant) and ``seq`` (arrival number).
-Spark does not expose line numbers, so ``seq`` is ``monotonically_increasing_id()``
-taken right at the scan: it follows file order inside one file split, which is
-the whole file for inputs below ``spark.sql.files.maxPartitionBytes``.  Streams
-cannot number rows: there ``seq`` is a hash of the file path and the row, a
-deterministic tie-break for rows with equal event times (stateful stream
-operators order by (ts, seq) after buffering).
+``seq`` follows the order of the files (``files``: by name, or by modification
+time), then the order of the lines in a file, whatever the sizes of files and
+splits.  Streams cannot number rows: there ``seq`` is a hash of the file path and
+the row, a deterministic tie-break for rows with equal event times (stateful
+stream operators order by (ts, seq) after buffering).
 
 ``mode`` follows Spark's CSV modes: ``FAILFAST`` (the reference's behaviour: a
 bad number fails the job), ``PERMISSIVE`` (bad fields become null and the raw
@@ -15,6 +14,8 @@ line is kept in ``_corrupt_record``) or ``DROPMALFORMED``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ def _reader(spark: SparkSession, stream: bool):
 CORRUPT = "_corrupt_record"
 
 
-def _csv(spark, path, schema, stream=False, trim=False, mode="FAILFAST") -> DataFrame:
+def _csv(spark, path, schema, stream=False, trim=False, mode="FAILFAST", files="name") -> DataFrame:
     if mode == "PERMISSIVE":
         # keep the raw text of rows that do not parse next to the null fields
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -39,53 +40,101 @@ def _csv(spark, path, schema, stream=False, trim=False, mode="FAILFAST") -> Data
          .option("columnNameOfCorruptRecord", CORRUPT)
          .option("ignoreLeadingWhiteSpace", str(trim).lower())
          .option("ignoreTrailingWhiteSpace", str(trim).lower()))
-    return _with_seq(r.csv(path), stream)
+    return _with_seq(r.csv(path), stream, path, files)
+
+
+ROW_BITS = 33               # a partition's rows: the low bits of monotonically_increasing_id()
+BROADCAST_FILES = 1 << 17   # a larger file list is joined as Catalyst likes
+FILE_ORDERS = {"name": "path", "modified": "modified, path"}
 
 
-def _with_seq(df: DataFrame, stream: bool) -> DataFrame:
+def _with_seq(df: DataFrame, stream: bool, path=None, files: str = "name") -> DataFrame:
     if not stream:
-        return df.withColumn("seq", F.monotonically_increasing_id())
+        return _arrival(df, path, files)
     # streams cannot number rows; a hash of the file and the row's fields gives rows with
     # equal event times a deterministic order (the same on every replay)
     return df.withColumn("seq", F.xxhash64(F.col("_metadata.file_path"), *[F.col(c) for c in df.columns]))
 
 
-def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """One string per line (``value``) plus ``seq``."""
-    return _with_seq(_reader(spark, stream).text(path), stream)
+def _bytes(setting: str) -> int:
+    """A Spark size setting ("134217728b", "4m") in bytes."""
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgt]?)b?", setting.strip().lower()).groups()
+    return int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def _least_split(spark: SparkSession) -> int:
+    """No two splits of a file start nearer to each other than this."""
+    sizes = (spark.conf.get(f"spark.sql.files.{k}") for k in ("maxPartitionBytes", "openCostInBytes"))
+    return max(1, min(map(_bytes, sizes)))
+
+
+def _file_places(spark: SparkSession, path, files: str, unit: int) -> DataFrame:
+    """(_path, _first): the number of split places in the files before this one (no content is read)."""
+    listed = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"),
+        (F.floor(F.col("length") / unit) + 1).alias("places"))
+    # one row per file in one task: the list that the driver holds as well
+    before = F.expr(f"sum(places) OVER (ORDER BY {FILE_ORDERS[files]} "
+                    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    return listed.select(F.col("path").alias("_path"), F.coalesce(before, F.lit(0)).alias("_first"))
+
+
+def _arrival(df: DataFrame, path, files: str) -> DataFrame:
+    """Add ``seq``: file order, then the split's place in its file, then the row's place in its split.
+
+    The rows of one split are read by one task in order, so their row numbers rise; the place of
+    the split comes from its file and offset, not from the way Spark packs splits into tasks.
+    """
+    spark = df.sparkSession
+    unit = _least_split(spark)
+    names = df.columns
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    rows = df.select(*names, F.col("_metadata.file_path").alias("_file"),
+                     F.floor(F.col("_metadata.file_block_start") / unit).alias("_place"), row.alias("_row"))
+    places = _file_places(spark, path, files, unit)
+    if places.count() <= BROADCAST_FILES:
+        places = F.broadcast(places)
+    rows = rows.join(places, F.col("_file") == F.col("_path"))
+    return rows.select(*names, F.shiftleft(F.col("_first") + F.col("_place"), ROW_BITS)
+                       .bitwiseOR(F.col("_row")).alias("seq"))
+
+
+def read_lines(spark: SparkSession, path: str, stream: bool = False, files: str = "name") -> DataFrame:
+    """One string per line (``value``) plus ``seq``; ``files``: "name" or "modified" order."""
+    return _with_seq(_reader(spark, stream).text(path), stream, path, files)
 
 
-def read_user_behavior(spark, path, stream=False, mode="FAILFAST") -> DataFrame:
+def read_user_behavior(spark, path, stream=False, mode="FAILFAST", files="name") -> DataFrame:
     """user_id, item_id, category_id, behavior, ts_s (fields trimmed)."""
-    df = _csv(spark, path, S.USER_BEHAVIOR, stream, trim=True, mode=mode)
+    df = _csv(spark, path, S.USER_BEHAVIOR, stream, trim=True, mode=mode, files=files)
     return to_event_time(df, "ts_s", "s")
 
 
-def read_ad_clicks(spark, path, stream=False, mode="FAILFAST") -> DataFrame:
+def read_ad_clicks(spark, path, stream=False, mode="FAILFAST", files="name") -> DataFrame:
     """S3: user_id, ad_id, province, city, ts_s (not trimmed)."""
-    return to_event_time(_csv(spark, path, S.AD_CLICK, stream, mode=mode), "ts_s", "s")
+    return to_event_time(_csv(spark, path, S.AD_CLICK, stream, mode=mode, files=files), "ts_s", "s")
 
 
-def read_logins(spark, path, stream=False, mode="FAILFAST") -> DataFrame:
+def read_logins(spark, path, stream=False, mode="FAILFAST", files="name") -> DataFrame:
     """user_id, ip, event_type, ts_s."""
-    return to_event_time(_csv(spark, path, S.LOGIN, stream, mode=mode), "ts_s", "s")
+    return to_event_time(_csv(spark, path, S.LOGIN, stream, mode=mode, files=files), "ts_s", "s")
 
 
-def read_orders(spark, path, stream=False, mode="FAILFAST") -> DataFrame:
+def read_orders(spark, path, stream=False, mode="FAILFAST", files="name") -> DataFrame:
     """order_id, pay_status, pay_id, ts_s; an empty pay_id stays ``""``."""
-    df = _csv(spark, path, S.ORDER_PAY, stream, mode=mode)
+    df = _csv(spark, path, S.ORDER_PAY, stream, mode=mode, files=files)
     df = df.withColumn("pay_id", F.coalesce(F.col("pay_id"), F.lit("")))
     return to_event_time(df, "ts_s", "s")
 
 
-def read_receipts(spark, path, stream=False, mode="FAILFAST") -> DataFrame:
+def read_receipts(spark, path, stream=False, mode="FAILFAST", files="name") -> DataFrame:
     """pay_id, pay_type, ts_s."""
-    return to_event_time(_csv(spark, path, S.RECEIPT, stream, mode=mode), "ts_s", "s")
+    return to_event_time(_csv(spark, path, S.RECEIPT, stream, mode=mode, files=files), "ts_s", "s")
 
 
-def read_marketing(spark, path, stream=False, mode="FAILFAST") -> DataFrame:
+def read_marketing(spark, path, stream=False, mode="FAILFAST", files="name") -> DataFrame:
     """Marketing events: user_id, behavior, channel, ts_ms (epoch milliseconds)."""
-    return to_event_time(_csv(spark, path, S.MARKETING, stream, mode=mode), "ts_ms", "ms")
+    return to_event_time(_csv(spark, path, S.MARKETING, stream, mode=mode, files=files), "ts_ms", "ms")
 
 
 def parse_access_log(lines: DataFrame, tz: str = "UTC", mode: str = "FAILFAST") -> DataFrame:
@@ -113,6 +162,6 @@ def parse_access_log(lines: DataFrame, tz: str = "UTC", mode: str = "FAILFAST")
     return df
 
 
-def read_access_log(spark, path, stream=False, tz="UTC", mode="FAILFAST") -> DataFrame:
+def read_access_log(spark, path, stream=False, tz="UTC", mode="FAILFAST", files="name") -> DataFrame:
     """S7 reader: ip, method, url, ts, seq."""
-    return parse_access_log(read_lines(spark, path, stream), tz, mode)
+    return parse_access_log(read_lines(spark, path, stream, files), tz, mode)
