@@ -75,6 +75,13 @@ def q_top_urls(spark, sf):
     return jobs.top_urls(T.as_access_log(T.events(spark, sf)), 5, "10 minutes", "5 seconds")
 
 
+def q_top_urls_late(spark, sf):
+    # arrival: every eight events in reverse order
+    log = T.as_access_log(T.events(spark, sf)).withColumn("arrival", F.expr("seq + 7 - 2 * (seq % 8)"))
+    return jobs.top_urls(log, 5, "10 minutes", "5 seconds", delay="5 seconds", lateness="60 seconds",
+                         arrival="arrival")
+
+
 def q_top_urls_report(spark, sf):
     return jobs.top_urls_report(T.as_access_log(T.events(spark, sf)), 5, "10 minutes", "5 seconds")
 
@@ -227,13 +234,13 @@ _TS_TEXT = "strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M:%S') ||
 
 
 def _sliding(key_cols: str, size_ms: int, slide_ms: int, where: str, agg: str = "count(*) as cnt",
-             start: bool = False) -> str:
+             start: bool = False, src: str = E) -> str:
     n = size_ms // slide_ms
     we = f"ms - ms % {slide_ms} + (u.j + 1) * {slide_ms}"
     ws = f"{we} - {size_ms} as window_start, " if start else ""
     keys = f"{key_cols}, " if key_cols else ""
     return f"""select {keys}{ws}{we} as window_end, {agg}
-        from {E} e, range({n}) u(j) where {where} group by all"""
+        from {src} e, range({n}) u(j) where {where} group by all"""
 
 
 def _top(counts: str, n: int, key: str, metric: str = "cnt") -> str:
@@ -257,6 +264,11 @@ _HOT = _top(_sliding("k as item_id", 3_600_000, 300_000, "event_type = 'view'"),
 _HOT_AVG = _top(_sliding("k as item_id", 3_600_000, 300_000, "event_type = 'view'",
                          "cast(sum(us // 1000000) // count(*) as bigint) as cnt"), 3, "item_id")
 _URLS = _top(_sliding("'/item/' || k as url", 600_000, 5_000, "true"), 5, "url")
+_ARRIVED = f"""(select *, max(ms) over (order by event_id + 7 - 2 * (event_id % 8)
+                                        rows between unbounded preceding and 1 preceding) - 5000 as wm
+               from {E} x)"""
+_URLS_LATE = _top(_sliding("'/item/' || k as url", 600_000, 5_000,
+                           "(wm is null or ms - ms % 5000 + (u.j + 1) * 5000 > wm - 60000)", src=_ARRIVED), 5, "url")
 _VIEWS = f"""(select *, ms - ms % 3600000 + 3600000 as window_end from {E} x
              where event_type = 'view')"""
 
@@ -358,6 +370,7 @@ SQL = {
         "event_type as behavior, 'channel_' || (k % 5) as channel",
         3_600_000, 10_000, "event_type <> 'error'", start=True),
     "top_urls": _URLS,
+    "top_urls_late": _URLS_LATE,
     "top_urls_report": _report(_URLS, "url", " url=", "=" * 28),
     "ad_clicks_by_province": _province(_CLICKS),
     "ad_blacklist": _blacklist(_CLICKS),
@@ -405,6 +418,7 @@ QUERIES: dict[str, Query] = {
     "marketing_total": q_marketing_total,
     "marketing_by_channel": q_marketing_by_channel,
     "top_urls": q_top_urls,
+    "top_urls_late": q_top_urls_late,
     "top_urls_report": q_top_urls_report,
     "ad_clicks_by_province": q_ad_clicks_by_province,
     "ad_blacklist": q_ad_blacklist,
