@@ -8,7 +8,9 @@ so the verdict ``rating >= threshold``, is the same in any order of evaluation.
 
 Everything is DataFrame expressions.  The model has ``buckets`` numbers at any corpus size and
 is put into the plan as one constant array.  Counting explodes n-grams and sums them by bin
-before any shuffle; rating a document needs no shuffle at all.
+before any shuffle; rating a document needs no shuffle at all.  The trusted texts are found where
+they lie while there are at most ``SHIPPED_IDS`` trusted ids (counted first); beyond that one
+join shuffles each text once.  Both count the same texts.
 
 Words: runs of anything but ASCII blanks; n-grams keep case.  Base measures of each text:
 word_chars, n_symbols, n_dup_lines, n_repeat_words.
@@ -27,6 +29,7 @@ from eventide.llm.common import let, literal_array, words
 
 BUCKETS = 1 << 14
 SCALE = 1_000_000
+SHIPPED_IDS = 1 << 21           # trusted ids (about 100 MB as a hash table) sent to every executor
 THRESHOLD = -0.06
 SYMBOLS = r"[^#*$%&|<>]+"
 BLANK = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -93,7 +96,10 @@ def bin_counts(docs: DataFrame, buckets: int) -> DataFrame:
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """Log ratio of each bin in millionths.  ``trusted``: (doc_id) of the target documents."""
     docs = docs.select("doc_id", "text").where("text IS NOT NULL")
-    target = docs.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = trusted.select("doc_id").distinct()
+    # the count of ids, not the planner's guess of their size, decides whether the texts stay in place
+    few = ids.limit(SHIPPED_IDS + 1).count() <= SHIPPED_IDS
+    target = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
     raw, good = bin_counts(docs, buckets), bin_counts(target, buckets)
     spark = docs.sparkSession
     both = (spark.range(buckets).withColumnRenamed("id", "bin")
