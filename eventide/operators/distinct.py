@@ -98,13 +98,12 @@ def bitmap_distinct_per_window(df: DataFrame, col: str, size, keys=(), ts: str =
     keys = _keys(keys)
     size_ms = interval_millis(size)
     pos = bitmap_offset(col, df) + F.lit(1)  # bitmap functions want positive positions
-    bits = (df.groupBy(*keys, _window_end_col(ts, size_ms).alias("window_end"),
-                       F.bitmap_bucket_number(pos).alias("bucket"))
-              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(pos)).alias("bitmap")))
-    if keep_bitmaps:
-        return bits
-    return (bits.groupBy(*keys, "window_end")
-                .agg(F.sum(F.bitmap_count("bitmap")).cast("long").alias(out)))
+    # distinct offsets by hash aggregation; a binary bitmap buffer could only be sorted
+    seen = df.select(*keys, _window_end_col(ts, size_ms).alias("window_end"), pos.alias("_pos")).distinct()
+    if not keep_bitmaps:
+        return seen.groupBy(*keys, "window_end").agg(F.count("_pos").alias(out))
+    return (seen.groupBy(*keys, "window_end", F.bitmap_bucket_number("_pos").alias("bucket"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_pos")).alias("bitmap")))
 
 
 def merge_bitmaps(bitmaps: DataFrame, keys=(), out: str = "uv") -> DataFrame:

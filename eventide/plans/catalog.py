@@ -13,11 +13,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.operators.distinct import bitmap_distinct_per_window, merge_bitmaps
 from eventide.plans import jobs
 from eventide.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# three standard errors of a sketch of 2^12 registers (1.04 / 64 each)
+HLL_ERROR = 3 * 1.04 / 64
+
 
 def _behavior(spark, sf):
     return T.as_user_behavior(T.events(spark, sf))
@@ -51,6 +55,25 @@ def q_unique_visitors_hll(spark, sf):
     return jobs.unique_visitors_approx(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
 
+def q_unique_visitors_hll_error(spark, sf):
+    """Exact count per window, and whether the sketch stays within 3 standard errors of it."""
+    views = _behavior(spark, sf)
+    exact = jobs.unique_visitors(views, "1 hour", pv=T.VIEW)
+    sketch = jobs.unique_visitors_approx(views, "1 hour", pv=T.VIEW).withColumnRenamed("uv", "estimate")
+    error = F.abs(F.col("estimate") - F.col("uv"))
+    return exact.join(sketch, "window_end").select(
+        "window_end", "uv", (error <= F.greatest(F.lit(1.0), HLL_ERROR * F.col("uv"))).alias("within_error"))
+
+
+def q_unique_visitors_bitmap_daily(spark, sf):
+    """Hourly bitmaps merged to daily counts: what a stored bitmap table is kept for."""
+    views = _behavior(spark, sf).filter(F.col("behavior") == T.VIEW)
+    hourly = bitmap_distinct_per_window(views, "user_id", "1 hour", keep_bitmaps=True)
+    start = F.col("window_end") - 3_600_000
+    day_end = start - F.pmod(start, F.lit(86_400_000)) + 86_400_000
+    return merge_bitmaps(hourly.withColumn("window_end", day_end))
+
+
 def q_unique_visitors_bitmap(spark, sf):
     return jobs.unique_visitors_bitmap(_behavior(spark, sf), "1 hour", pv=T.VIEW)
 
@@ -355,8 +378,13 @@ SQL = {
         select window_end, count(distinct user_id) as uv from (
           select user_id, ms - ms % 300000 + (u.j + 1) * 300000 as window_end
           from {E} e, range(12) u(j) where event_type = 'view') group by 1""",
+    "unique_visitors_hll_error": f"""
+        select window_end, count(distinct user_id) as uv, true as within_error from {_VIEWS} v group by 1""",
     "unique_visitors_bitmap": f"""
         select window_end, count(distinct {HASH.format(c="user_id")}) as uv from {_VIEWS} v group by 1""",
+    "unique_visitors_bitmap_daily": f"""
+        select ms - ms % 86400000 + 86400000 as window_end, count(distinct {HASH.format(c="user_id")}) as uv
+        from {_VIEWS} v group by 1""",
     "unique_visitors_running": f"""
         with b as (select event_id as seq, window_end, us, {HASH.format(c="user_id")} as o from {_VIEWS} v),
         f as (select *, case when row_number() over (partition by window_end, o order by us, seq) = 1
@@ -413,7 +441,9 @@ QUERIES: dict[str, Query] = {
     "unique_visitors": q_unique_visitors,
     "unique_visitors_sliding": q_unique_visitors_sliding,
     "unique_visitors_hll": q_unique_visitors_hll,
+    "unique_visitors_hll_error": q_unique_visitors_hll_error,
     "unique_visitors_bitmap": q_unique_visitors_bitmap,
+    "unique_visitors_bitmap_daily": q_unique_visitors_bitmap_daily,
     "unique_visitors_running": q_unique_visitors_running,
     "marketing_total": q_marketing_total,
     "marketing_by_channel": q_marketing_by_channel,
