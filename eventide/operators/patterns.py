@@ -84,14 +84,14 @@ def strict_pairs(df: DataFrame, begin: Column, nxt: Column, within, keys=(), ts:
     ``method``: ``"copy"`` (H2: buckets of width ``bucket`` >= ``within``, rows near a
     bucket start copied back), ``"chain"`` (buckets of any width; each bucket's last
     row takes the first row of the key's next non-empty bucket from a per-bucket
-    summary), ``"auto"`` = copy when keyed with a time limit, else chain (so an
-    unkeyed pattern is split into fine buckets instead of time spans of 4 x within).
+    summary), ``"auto"`` = copy with a time limit (keyed or not: no row or summary then
+    meets the others in one task), else chain.
     """
     keys = _keys(keys)
     carry = list(carry)
     w_us = interval_micros(within) if within is not None else None
     if method == "auto":
-        method = "copy" if keys and w_us is not None else "chain"
+        method = "copy" if w_us is not None else "chain"
     base = _ordered_rows(df, ts, seq, keys).select(*keys, ts, seq, *carry, begin.alias("_p"), nxt.alias("_q"))
     nxt_cols = [ts, seq, "_q", *carry]
     if method == "copy":

@@ -16,7 +16,7 @@ def _plan(spark, name):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: _plan(spark, name) for name in E.queries()}
+    return {name: _plan(spark, name) for name in E.catalog.QUERIES}
 
 
 def test_no_python_in_batch_queries(plans):
@@ -25,14 +25,18 @@ def test_no_python_in_batch_queries(plans):
 
 
 def test_single_partition_only_for_summaries(plans):
-    # un-partitioned windows only run over one row per arrival block (late data) or one row
-    # per time bucket (unkeyed pattern); no query moves its rows to one task
+    # un-partitioned windows only run over one row per arrival block (late data); no query
+    # moves its rows to one task
     for name, p in plans.items():
         lines = p.splitlines()
         for i, ln in enumerate(lines):
             if "Exchange SinglePartition" in ln:
-                assert name in ("late_orders", "order_counts_late", "login_failures_unkeyed"), name
-                assert re.search(r"Aggregate\(keys?=\[(_ab|_b)", lines[i + 1]), (name, lines[i + 1])
+                assert name in ("late_orders", "order_counts_late", "top_urls_late"), name
+                assert re.search(r"Aggregate\(keys?=\[_ab", lines[i + 1]), (name, lines[i + 1])
+
+
+def test_bitmap_counts_are_hash_aggregates(plans):
+    assert "SortAggregate" not in plans["unique_visitors_bitmap"]
 
 
 def test_followed_by_has_one_exchange(plans):
