@@ -171,14 +171,14 @@ LOGIN_FAIL_MSG = "two time next fail to login"
 
 
 def login_failures(logins: DataFrame, within="2 seconds", keyed: bool = True,
-                   fail: str = "fail") -> DataFrame:
+                   fail: str = "fail", bucket=None) -> DataFrame:
     """Q8: two consecutive failed logins less than ``within`` apart
     -> user_id, first_seq, second_seq, first_time, last_time (epoch s), msg.
 
     ``keyed=False`` is the reference as shipped: consecutive over all users, reported
     under the first failure's user."""
     is_fail = F.col("event_type") == fail
-    pairs = strict_pairs(logins, is_fail, is_fail, within,
+    pairs = strict_pairs(logins, is_fail, is_fail, within, bucket=bucket,
                          keys=["user_id"] if keyed else [], carry=[] if keyed else ["user_id"])
     user = F.col("user_id") if keyed else F.col("first_user_id").alias("user_id")
     return pairs.select(user, "first_seq", "second_seq",
@@ -200,11 +200,12 @@ class PayOutcome(NamedTuple):
 
 
 def order_timeout(orders: DataFrame, within="15 minutes", create: str = "create",
-                  pay: str = "pay") -> PayOutcome:
+                  pay: str = "pay", bucket=None) -> PayOutcome:
     """Q9: each create takes the first later pay of the same order; paid if less than
-    ``within`` later, else (or when no pay follows) timed out."""
+    ``within`` later, else (or when no pay follows) timed out.  ``bucket``: time span of a
+    hot key that one task holds (default four times ``within``)."""
     res = followed_by(orders, F.col("pay_status") == create, F.col("pay_status") == pay,
-                      within, keys=["order_id"])
+                      within, keys=["order_id"], bucket=bucket)
     paid = res.matched.select("order_id", F.col("begin_seq").alias("create_seq"),
                               F.col("follow_seq").alias("pay_seq"), F.lit(PAY_SUCCESS_MSG).alias("msg"))
     late = res.timed_out.select("order_id", F.col("begin_seq").alias("create_seq"),
@@ -214,10 +215,12 @@ def order_timeout(orders: DataFrame, within="15 minutes", create: str = "create"
 
 # ---- Q10 / Q11 payments and receipts --------------------------------------------------
 
-def receipt_match(pays: DataFrame, receipts: DataFrame, timeout=None, key: str = "pay_id") -> PairResult:
+def receipt_match(pays: DataFrame, receipts: DataFrame, timeout=None, key: str = "pay_id",
+                  bucket="1 hour") -> PairResult:
     """Q10: one-to-one pairing of payments and receipts by pay id; pending rows that are
-    never closed come out as unmatched pays / receipts (with ``timeout``: once it passes)."""
-    return pair_one_to_one(pays, receipts, key, timeout=timeout,
+    never closed come out as unmatched pays / receipts (with ``timeout``: once it passes).
+    ``bucket``: time span of a hot key that one task holds."""
+    return pair_one_to_one(pays, receipts, key, timeout=timeout, bucket=bucket,
                            left_prefix="pay_", right_prefix="receipt_")
 
 

@@ -5,8 +5,8 @@
     python -m eventide.plans.run --stream hot_items --input in_dir/ --output out/ --checkpoint ckpt/
 
 Each output branch (main output and side outputs) is written as parquet under
-``<output>/<branch>``; ``--output -`` prints up to ``--show`` rows per branch
-instead (the reference's print sink).  Parameters default to the reference's.
+``<output>/<branch>``; ``--output -`` prints every row of each branch instead
+(the reference's print sink).  Parameters default to the reference's.
 """
 
 from __future__ import annotations
@@ -69,7 +69,6 @@ def main(argv=None) -> None:
     ap.add_argument("--input", required=True)
     ap.add_argument("--input2")
     ap.add_argument("--output", default="-")
-    ap.add_argument("--show", type=int, default=20)
     a = ap.parse_args(argv)
     from eventide.session import get_session
     spark = get_session(master=os.environ.get("EVENTIDE_MASTER", "local[*]"))
@@ -87,7 +86,9 @@ def main(argv=None) -> None:
     for branch, df in outs.items():
         if a.output == "-":
             print(f"== {branch}")
-            df.show(a.show, truncate=False)
+            print(*df.columns, sep="\t")
+            for row in df.toLocalIterator():    # one partition at a time
+                print(*row, sep="\t")
         else:
             df.write.mode("overwrite").parquet(os.path.join(a.output, branch))
 
