@@ -3,8 +3,9 @@
 Spark hash-partitions the stream by key; per key a ``StatefulProcessor`` keeps a
 small buffer of rows that the watermark has not passed yet (rows of one
 micro-batch arrive in any order) and replays the others in (ts, seq) order through
-a tiny state machine kept in value state.  Event-time timers at each buffered row
-(and at timeouts) make progress without new input for the key.  The per-row work
+a tiny state machine kept in value state.  One event-time timer, at the earliest
+buffered row or timeout, makes progress without new input for the key; state is
+written only when it changed and cleared when empty.  The per-row work
 is a few comparisons; everything else (partitioning, state store, checkpoints,
 recovery after executor loss) is Spark's.
 
@@ -36,8 +37,7 @@ ITEM = T.StructType([
     T.StructField("home", T.BooleanType()),
 ])
 STATE_SCHEMA = T.StructType([
-    T.StructField("n", T.LongType()),                      # counter (cap)
-    T.StructField("flag", T.BooleanType()),                # warned (cap)
+    T.StructField("n", T.LongType()),           # number of the key's last row (cap)
     T.StructField("items", T.ArrayType(ITEM)),  # prev / open / pending rows
 ])
 BUF_NAMES = [f.name for f in BUF_SCHEMA.fields]
@@ -76,19 +76,18 @@ class _Machine:
 
 
 class CapMachine(_Machine):
-    """Keep rows 1..cap, warn once at row cap+1, drop the rest."""
+    """E13 by the batch rule: a key's rows are numbered, and the number alone decides.
+
+    Numbers from cap + 2 on are all alike, so the numbering stops there.
+    """
 
     def __init__(self, cap: int):
         self.cap = cap
 
     def step(self, st, r):
-        if st["n"] >= self.cap:
-            if not st["flag"]:
-                st["flag"] = True
-                return [("warning", r["seq"], r["ts_ms"], None, None)]
-            return []
-        st["n"] += 1
-        return [("kept", r["seq"], r["ts_ms"], None, None)]
+        number = st["n"] = min(st["n"] + 1, self.cap + 2)
+        kind = "kept" if number <= self.cap else "warning" if number == self.cap + 1 else None
+        return [(kind, r["seq"], r["ts_ms"], None, None)] if kind else []
 
 
 class StrictPairMachine(_Machine):
@@ -197,8 +196,6 @@ class OrderedReplay(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(r["ts_ms"], r["seq"], r["side"], r["p"], r["q"], r["home"]) for r in rows]
-        for t in {n[0] for n in new}:
-            self.handle.registerTimer(t + 1)
         if new:
             self.buf.appendList(new)
         yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
@@ -210,11 +207,11 @@ class OrderedReplay(StatefulProcessor):
         rows = [_as_dict(r, BUF_NAMES) for r in self.buf.get()] if self.buf.exists() else []
         ready = sorted((r for r in rows if r["ts_ms"] < wm), key=lambda r: (r["ts_ms"], r["seq"], r["side"]))
         rest = [tuple(r[f] for f in BUF_NAMES) for r in rows if r["ts_ms"] >= wm]
+        before = (0, [])
         if self.state.exists():
             s = self.state.get()
-            st = {"n": s[0], "flag": s[1], "items": [_as_dict(r, ITEM_NAMES) for r in (s[2] or [])]}
-        else:
-            st = {"n": 0, "flag": False, "items": []}
+            before = (s[0], [tuple(_as_dict(r, ITEM_NAMES)[f] for f in ITEM_NAMES) for r in (s[1] or [])])
+        st = {"n": before[0], "items": [dict(zip(ITEM_NAMES, i)) for i in before[1]]}
         out = []
         for r in ready:
             out += self.machine.step(st, r)
@@ -224,10 +221,16 @@ class OrderedReplay(StatefulProcessor):
                 self.buf.put(rest)
             else:
                 self.buf.clear()
-        self.state.update((st["n"], st["flag"], [tuple(i[f] for f in ITEM_NAMES) for i in st["items"]]))
-        for t in self.machine.timers(st):
-            if t > wm:
-                self.handle.registerTimer(t)
+        after = (st["n"], [tuple(i[f] for f in ITEM_NAMES) for i in st["items"]])
+        if after != before:
+            if after == (0, []):
+                self.state.clear()
+            else:
+                self.state.update(after)
+        # one timer, at the next time that can change anything for this key
+        later = [t for t in self.machine.timers(st) if t > wm] + [r[0] + 1 for r in rest]
+        if later:
+            self.handle.registerTimer(min(later))
         keys = tuple(key) if isinstance(key, (tuple, list)) else (key,)
         for o in out:
             yield Row(**dict(zip(self.names, (*keys[: self.n_keys], *o))))
