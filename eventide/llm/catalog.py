@@ -42,7 +42,8 @@ def op6_near_duplicates(spark, sf_dir):
 
 
 def op7_site_quality(spark, sf_dir):
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
+    good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", good.cast("int").alias("good"), "toxic")
     # the host is the document's source, its sections are the languages
     return site_quality.rate(table(spark, sf_dir, "documents"), labels, F.col("source"), F.col("lang"))
 

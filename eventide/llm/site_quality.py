@@ -1,7 +1,15 @@
 """Document quality from the text and from its site, by hierarchical empirical Bayes.
 
-A logistic regression on shape features of the text gives each document's evidence: its log
-odds of being good, over the base rate.  Sites are judged by the outcomes of their documents
+A logistic regression on shape and word features of the text gives each document's evidence:
+its log odds of being good, over the base rate.
+
+Word features: the distinct words of each whole text are hashed into ``BINS`` bins.  Of the
+labelled documents of each kind (good, bad, toxic) the number that hold a bin is counted; a bin's
+log ratio is that of its smoothed shares among bad (or toxic) and good documents.  A document has
+the sum (over the root of their number) and the largest of its bins' ratios, for bad and for
+toxic.  A labelled document is left out of the counts by which it is itself rated.
+
+Sites are judged by the outcomes of their documents
 (the label where there is one, else the classifier's probability) at three levels: all, host,
 and path of a host.  Each level is shrunk toward the one above,
 
@@ -13,31 +21,42 @@ so a site with few documents stays near its parent.  A document's own outcome is
 its path.  The posterior is sigmoid(logit(path) + evidence).
 
 Sites are counted by aggregates with map-side partial sums, and each level's spread is one row
-of sums.  The regression is Spark ML's, over all labelled rows.
+of sums.  The regression is Spark ML's, over all labelled rows.  Bins are summed inside each task
+first; labelled texts are found where they lie while their ids are few (counted), else moved once.
 
 Defined results: a null text counts as empty, with zero features; a null host or path is a site
 of its own; with labels of one kind only the evidence is 0; without labels every outcome is the
-base rate 1/2; several labels of one id count as their lowest; repeated rows are documents of
+base rate 1/2; several labels of one id count as their lowest, and as toxic if one is; without toxic labels the
+toxic features are 0; repeated rows are documents of
 their own; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventide.llm.common import stored, words
+from eventide.llm.common import schema, small_batches, stored, words
 
-FEATURES = ("symbols", "upper", "digits", "bars", "word_length", "same_as_last", "new_words", "log_words")
+SHAPES = ("symbols", "upper", "digits", "bars", "word_length", "same_as_last", "new_words", "log_words")
+WORDS = ("bad_sum", "bad_most", "toxic_sum", "toxic_most")
+FEATURES = SHAPES + WORDS
+KINDS = ("none", "good", "bad", "toxic")        # a document's own label
+BINS = 1 << 17
+SHIPPED_IDS = 1 << 21           # labelled ids sent to every executor
 LEAST, MOST = 1.0, 1e6          # bounds of a strength
 
 
 def features(text: Column) -> dict[str, Column]:
-    """Shape of a text; needs the word array as column ``_w``."""
+    """Shape of a text (``SHAPES``); needs the word array as column ``_w``."""
     n = F.greatest(F.length(text), F.lit(1))
     w, n_words = F.col("_w"), F.greatest(F.size("_w"), F.lit(1))
     share = lambda keep: F.length(F.regexp_replace(text, f"[^{keep}]+", "")) / n
@@ -48,6 +67,61 @@ def features(text: Column) -> dict[str, Column]:
             "log_words": F.log1p(F.size("_w"))}
 
 
+def bins(text: str | None) -> np.ndarray:
+    """Distinct bins of the words of a text."""
+    found = {crc32(w) % BINS for w in set((text or "").encode().split())}
+    return np.fromiter(found, np.int64, len(found))
+
+
+def _held(batches):
+    """Rows (bin, good, bad, toxic): documents of each kind that hold the bin, summed over the task."""
+    n = np.zeros((3, BINS + 1), np.int64)       # the last cell counts the documents
+    for batch in batches:
+        for text, good, toxic in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            at = np.append(bins(text), BINS)
+            n[0 if good else 1, at] += 1
+            if toxic and not good:
+                n[2, at] += 1
+    at = np.flatnonzero(n.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(x[at]) for x in n]], names=["bin", "good", "bad", "toxic"])
+
+
+def word_ratios(docs: DataFrame, marks: DataFrame) -> np.ndarray:
+    """Log ratios by contrast (bad, toxic), own kind (``KINDS``) and bin."""
+    # the count of ids decides whether the texts stay in place
+    few = marks.limit(SHIPPED_IDS + 1).count() <= SHIPPED_IDS
+    seen = docs.join(F.broadcast(marks) if few else marks, F.col("doc_id") == F.col("_id"))
+    small_batches(docs.sparkSession)
+    rows = (seen.where("label IS NOT NULL").select("text", F.expr("label = 1").alias("good"), "toxic")
+            .mapInArrow(_held, schema("bin long, good long, bad long, toxic long"))
+            .groupBy("bin").agg(*[F.sum(c).alias(c) for c in KINDS[1:]]).toArrow())
+    n = np.zeros((3, BINS + 1))
+    n[:, rows["bin"].to_numpy()] = [rows[c].to_numpy() for c in KINDS[1:]]
+    out = np.zeros((2, len(KINDS), BINS), np.float32)
+    for contrast, against, own in ((0, n[1], ("bad", "toxic")), (1, n[2], ("toxic",))):
+        if not against[BINS] or not n[0][BINS]:
+            continue
+        for k, kind in enumerate(KINDS):
+            a, g = np.maximum(against - (kind in own), 0), np.maximum(n[0] - (kind == "good"), 0)
+            out[contrast, k] = np.log((a[:BINS] + .5) / (a[BINS] + 1)) - np.log((g[:BINS] + .5) / (g[BINS] + 1))
+    return out
+
+
+def _word_features(batches, ratios):
+    """The rows with the word features for each own kind in place of the text (the last column)."""
+    for batch in batches:
+        made = np.zeros((len(KINDS) * len(WORDS), batch.num_rows))
+        for row, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            at = bins(text)
+            if len(at):
+                r = ratios[:, :, at].astype(np.float64)
+                both = np.stack([r.sum(axis=2) / math.sqrt(len(at) + 1), r.max(axis=2)], axis=1)
+                made[:, row] = both.transpose(2, 0, 1).ravel()      # own kind, contrast, sum or most
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], *[pa.array(x) for x in made]],
+            names=[*batch.schema.names[:-1], *[f"{w}_{k}" for k in KINDS for w in WORDS]])
+
+
 def strength(sites: DataFrame, parent: Column) -> float:
     """Prior strength of a level from its spread: columns n, total, squares; ``parent`` mean."""
     mean = F.col("total") / F.col("n")
@@ -66,15 +140,25 @@ def strength(sites: DataFrame, parent: Column) -> float:
 def rate(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """doc_id, host, path, evidence, host_posterior, path_posterior, score, kept.
 
-    ``labels``: (doc_id, good), 1 or 0.
+    ``labels``: (doc_id, good), 1 or 0; a column toxic, 1 or 0, says which of the bad are toxic.
     """
+    mark = F.max(F.coalesce(F.col("toxic"), F.lit(0)) > 0) if "toxic" in labels.columns else F.lit(False)
+    marks = labels.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.min(F.col("good").cast("double")).alias("label"), mark.alias("toxic"))
+    ratios = word_ratios(docs.select("doc_id", "text"), marks)
     text = F.coalesce(F.col("text"), F.lit(""))
     shaped = docs.select("doc_id", text.alias("text"), host.cast("string").alias("host"),
                          path.cast("string").alias("path")).withColumn("_w", words(F.col("text")))
-    shaped = stored(shaped.select("doc_id", "host", "path", *[
-        c.cast("double").alias(k) for k, c in features(F.col("text")).items()]), "shapes")
-    marks = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.col("good").cast("double")).alias("label"))
-    rows = shaped.join(marks, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    shaped = shaped.select("doc_id", "host", "path", *[
+        c.cast("double").alias(k) for k, c in features(F.col("text")).items()], "text")
+    made = [T.StructField(f"{w}_{k}", T.DoubleType()) for k in KINDS for w in WORDS]
+    shaped = shaped.mapInArrow(lambda it: _word_features(it, ratios), T.StructType(shaped.schema.fields[:-1] + made))
+    rows = shaped.join(marks, F.col("doc_id") == F.col("_id"), "left")
+    own = (F.when(F.col("label").isNull(), "none").when(F.col("label") == 1, "good")
+           .when(F.col("toxic"), "toxic").otherwise("bad"))
+    # joined once: the features of all own kinds are shuffled, those of a document's own are stored
+    rows = stored(rows.withColumn("_own", own).select("doc_id", "host", "path", "label", *SHAPES, *[
+        F.coalesce(*[F.when(F.col("_own") == k, F.col(f"{w}_{k}")) for k in KINDS]).alias(w) for w in WORDS]), "shapes")
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows)
     seen = rows.where("label IS NOT NULL")
     kinds = {r["label"]: r["n"] for r in seen.groupBy("label").agg(F.count("*").alias("n")).collect()}

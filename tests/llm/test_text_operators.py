@@ -97,6 +97,22 @@ def test_site_quality(spark, docs):
     assert site_quality.rate(docs([]), labels, F.col("source"), F.col("lang")).count() == 0
 
 
+def test_site_quality_toxic(spark, docs, tmp_path):
+    from eventide.llm import catalog
+    from pyspark.sql import functions as F
+    # toxic texts are of the same shape as the clean ones, and only some of them are labelled
+    rng = np.random.default_rng(3)
+    text = lambda i: " ".join(f"w{x:03d}" for x in rng.integers(0, 400, 60)) + (" nasty" if i % 4 == 0 else " sunny")
+    rows = [(i, text(i), "p", f"h{i % 3}") for i in range(400)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, int(i % 4 == 0) or None) for i in range(240)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = catalog.op7_site_quality(spark, str(tmp_path)).withColumn("toxic", F.col("doc_id") % 4 == 0).collect()
+    assert len(got) == len(rows)
+    assert np.mean([r["kept"] for r in got if r["toxic"]]) < 0.1
+    assert np.mean([r["kept"] for r in got if not r["toxic"]]) > 0.9
+
+
 def plain_score(v, text):
     best = [0.0] + [-np.inf] * len(text)
     for i in range(len(text)):
