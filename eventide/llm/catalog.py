@@ -9,14 +9,10 @@ from eventide.llm import (fingerprints, langid, line_dedup, lm, mixing, near_ded
 from eventide.llm.common import id_crc, table
 
 
-def trusted(spark, sf_dir):
-    """Ids labelled as good and not as toxic."""
-    return table(spark, sf_dir, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
-
-
 def op1_likelihood_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return quality_rules.judge(docs, quality_rules.fit(docs, trusted(spark, sf_dir)))
+    model = quality_rules.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+    return quality_rules.judge(docs, model.ratios, model.threshold, model.toxic, model.toxic_cut)
 
 
 def op2_surrogates(spark, sf_dir):

@@ -67,6 +67,26 @@ def test_quality_ratio_separates(spark, docs):
     assert len(quality_rules.fit(docs([]), spark.createDataFrame([], "doc_id long"), buckets=8)) == 8
 
 
+def test_quality_rules_refuse_toxic(spark, docs, tmp_path):
+    from eventide.llm import catalog
+    # toxic texts differ from the clean ones by one word; junk is refused at any share of the corpus
+    rng = np.random.default_rng(5)
+    text = lambda i: " ".join(f"w{x:03d}" for x in rng.integers(0, 300, 80)) + (" nasty" if i % 5 == 0 else " sunny")
+    rows = [(i, text(i)) for i in range(500)]
+    rows += [(1000 + i, " ".join(f"j{x:03d}" for x in rng.integers(0, 300, 80))) for i in range(60)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, int(i % 5 == 0) or None) for i in range(300)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = catalog.op1_likelihood_rules(spark, str(tmp_path)).collect()
+    kept = lambda part: np.mean([r["kept"] for r in got if part(r["doc_id"])])
+    assert len(got) == len(rows)
+    assert kept(lambda i: i < 500 and i % 5 == 0) < 0.05
+    assert kept(lambda i: i < 500 and i % 5) > 0.9
+    assert kept(lambda i: i >= 1000) == 0
+    bare = quality_rules.learn(docs(rows), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert (bare.threshold, bare.toxic_cut) == (-np.inf, np.inf)
+
+
 def test_line_dedup_keeps_first(spark, docs):
     line = "this very line has more than eight words in it"
     rows = [(3, f"a\n{line}\nb"), (1, f"{line.upper()}  \nown words"), (2, f"{line}\n{line}"), (4, "short one"),
