@@ -101,6 +101,27 @@ def test_line_dedup_keeps_first(spark, docs):
     assert line_dedup.remove_repeats(docs([])).count() == 0
 
 
+def test_line_dedup_inside_lines(spark, docs):
+    rng = np.random.default_rng(11)
+    some = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    own = [some(60) for _ in range(4)]
+    shared = some(400)
+    rows = [(i, " ".join([*own[i][:30], *shared, *own[i][30:]])) for i in range(3)]
+    rows.append((3, " ".join([*own[3][:30], *shared[:200]]) + "\n" + " ".join([*shared[200:], *own[3][30:]])))
+    got = {r["doc_id"]: r for r in line_dedup.remove_repeats(docs(rows)).collect()}
+    assert got[0]["text"] == rows[0][1] and got[0]["n_removed"] == 0
+    for i in (1, 2, 3):
+        words = got[i]["text"].split()
+        assert [w for w in words if w in own[i]] == own[i]
+        assert len(words) - 60 < 130         # edges of the passage: before the first cut, after the last
+        assert got[i]["n_removed"] == len(got[i]["removed"]) > 0
+        text = rows[i][1]
+        for r in got[i]["removed"]:
+            assert r["first_doc_id"] == 0
+            assert text[r["start"]:r["start"] + r["length"]] in " ".join(shared)
+            assert text[:r["start"]].count("\n") == r["unit"]
+
+
 def test_site_quality(spark, docs):
     from pyspark.sql import functions as F
     rows = [(i, ("good words in a row here " + f"w{i} ") * 5 if i % 3 else "## $$ || " * 10, "p", f"h{i % 6}") for i in range(90)]
