@@ -78,8 +78,10 @@ def targets(sized: DataFrame, weigh=by_position(), max_epochs: int = 3) -> DataF
 def slots(spark, plan: DataFrame, total: int, block: int) -> DataFrame:
     """(slot, source, rank, take): the schedule; ``take`` words of block ``rank`` of the source.
 
-    One and a quarter rounds of points are dealt, so that every source meets its quota; a
-    source takes no more once its target is reached.
+    One and a quarter rounds of points are dealt; a source takes no more once its target is
+    reached.  A source whose points fall short of its target (a share of few points may hold
+    none) gets the ranks it lacks as extra blocks, spread evenly over the schedule: such a slot
+    holds blocks of several sources.
     """
     n = -(-total // block) * 5 // 4 + 64 if total else 0
     one = 1 << 31
@@ -94,6 +96,17 @@ def slots(spark, plan: DataFrame, total: int, block: int) -> DataFrame:
              .select("slot", "source", "target", F.expr(f"slot div {RUN}").alias("_run"), F.lit(1).alias("_one")))
     ranked = prefix_sums(dealt, ["source"], "_run", [F.col("slot")], "_one", "rank")
     goal = F.round("target").cast("long")
+    counts = dealt.groupBy(F.col("source").alias("_src")).agg(F.count("*").alias("_n"))
+    short = (plan.where("target > 0").select("source", "target")
+             .join(counts, F.col("source").eqNullSafe(F.col("_src")), "left")
+             .withColumn("_n", F.coalesce("_n", F.lit(0)))
+             .withColumn("_lack", F.ceil(goal / block) - F.col("_n")).where("_lack > 0"))
+    # from a place of the source's own, in equal steps
+    place = F.pmod(F.xxhash64("source"), F.lit(max(n, 1))) + F.floor(F.col("_i") * F.lit(n) / F.col("_lack"))
+    extra = (short.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_lack") - 1)))
+             .select((place % F.lit(max(n, 1))).cast("long").alias("slot"), "source", "target",
+                     (F.col("_n") + F.col("_i")).alias("rank")))
+    ranked = ranked.select("slot", "source", "target", F.col("rank").cast("long").alias("rank")).unionByName(extra)
     return (ranked.withColumn("take", F.least(F.lit(block).cast("long"), goal - F.col("rank") * block))
             .where("take > 0").select("slot", "source", "rank", "take"))
 

@@ -42,6 +42,20 @@ def test_mixing_meets_targets(spark, docs):
     assert mixing.taken(docs([])).count() == 0
 
 
+def test_mixing_small_sources(spark, docs):
+    # sources of 1 to 10 blocks beside a large one
+    rows = [(i, "w " * 20000, None, "big") for i in range(50)]
+    rows += [(1000 + i, "w " * (4 + i), None, f"s{i:02d}" if i else None) for i in range(48)]
+    got = mixing.taken(docs(rows), block=16).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert r["taken"] <= 3 * r["size"]
+    assert len(target) == 49 and {-(-round(t) // 16) for s, t in target.items() if s != "big"} >= set(range(1, 11))
+    assert {s: taken[s] for s in target} == {s: round(t) for s, t in target.items()}
+
+
 def test_quality_measures(spark, docs):
     texts = ["a b c a b c d", "x\ny\nx\n\n \nx y", "#a $b |", "", None, "one two", "a a a a a a", "é ü\té ü é ü",
              "p q r s p q r t p q", " lead and  trail \x0b"]
