@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.llm import (fingerprints, langid, line_dedup, lm, mixing, near_dedup, pii, quality_rules,
-                          sentencepiece, site_quality)
+                          repeated_lines, sentencepiece, site_quality)
 from eventide.llm.common import id_crc, table
 
 
@@ -60,6 +60,11 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op13_common_lines(spark, sf_dir):
+    docs = repeated_lines.drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -68,6 +73,8 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_likelihood_rules, op2_surrogates, op3_line_dedup, op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates,
     op7_site_quality, op8_language_id, op9_pieces, op10_mix_sources,
-    pipeline)}
+    op13_common_lines, pipeline)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_common_lines": repeated_lines.LINE_SQL,
+}
