@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import (conversations, fingerprints, langid, line_dedup, lm, mixing, near_dedup, pii,
-                          quality_rules, repeated_lines, sentencepiece, site_quality)
+from eventide.llm import (conversations, fingerprints, langid, line_dedup, lm, mixing, near_dedup, phrases,
+                          pii, quality_rules, repeated_lines, sentencepiece, site_quality)
 from eventide.llm.common import id_crc, table
 
 
@@ -67,6 +67,10 @@ def op11_conversations(spark, sf_dir):
     return fixed.withColumn("repaired_sha256", F.sha2(F.array_join(shown, "\n"), 256)).drop("repaired")
 
 
+def op12_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op13_common_lines(spark, sf_dir):
     docs = repeated_lines.drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
@@ -80,9 +84,10 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_likelihood_rules, op2_surrogates, op3_line_dedup, op4_lz_fingerprints, op5_ppm_scores, op6_near_duplicates,
     op7_site_quality, op8_language_id, op9_pieces, op10_mix_sources,
-    op11_conversations, op13_common_lines, pipeline)}
+    op11_conversations, op12_collocations, op13_common_lines, pipeline)}
 
 SQL: dict[str, str] = {
     "op11_conversations": conversations.REPAIR_SQL,
+    "op12_collocations": phrases.PHRASE_SQL,
     "op13_common_lines": repeated_lines.LINE_SQL,
 }

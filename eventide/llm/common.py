@@ -34,14 +34,14 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     This cuts the lineage with a copy that outlives any executor.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -83,6 +83,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def bounded_batches(spark: SparkSession, limit: int = 32 << 20) -> None:
+    """Bound the bytes of Arrow batches handed to Python workers (rows may be megabytes)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+
+
 def by_bytes(items: list, size, limit: int = 2 << 20):
     """Cut a list into runs of about ``limit`` bytes; an item of more is a run of its own."""
     run, total = [], 0
