@@ -10,16 +10,17 @@ phrase is an interval of rows in both.  One step of backward search in the rever
 intervals by every word that follows, and with the order of these words inside the interval the
 forward interval follows too; its rows give the places in the text.
 
-Phrases grow word by word over the whole corpus: those of ``d`` words are summed across shards,
-those under ``least`` go, and each shard gets back which of its phrases are left.  It extends them
-to the right and keeps an extension only if its last ``d`` words are left too (in the reversed
-index, the row falls in a kept interval).  A shard's ids then shrink to the places of what was
-kept.  No phrase of ``least`` occurrences can be missed: all its parts have as many.
-
-How the work spreads: texts are not shuffled.  Longer phrases are first summed by a 64-bit digest,
-which only shortens the list (colliding phrases are counted too high), and the exact sums are
-taken over what is left.  A common phrase is at most one row a shard.  Shards hold about
-``SHARD_WORDS`` words; a piece is never cut, so a text of one huge piece is one larger shard.
+Phrases grow word by word over the whole corpus.  Those of ``d`` words are summed across shards,
+and each shard gets back which of its phrases reach ``least``.  It extends them to the right and
+keeps an extension only if its last ``d`` words reach it too (in the reversed index, the row falls
+in a kept interval).  A shard's ids then shrink to the places of what was kept.  No phrase of
+``least`` occurrences can be missed: all its parts have as many.
+
+How the work spreads: texts are not shuffled.  For the pruning, shards send 64-bit digests of
+their phrases with counts, and get digests back; phrases whose digests collide are at worst kept
+for longer.  The words themselves are sent, and summed exactly, only for what is left.  The
+commonest phrase is one row a shard.  Shards hold up to ``SHARD_WORDS`` words; a piece is never
+cut, so one huge piece makes a larger shard.
 
 Defined results: a null or empty text has no words; a null language is ``und``; repeated rows and
 ids count each time; an empty table gives an empty result; further columns are not used.
@@ -31,6 +32,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -39,12 +41,15 @@ from pyspark.sql import functions as F
 from eventide.llm.common import bounded_batches, schema, small_batches, stored
 
 LONGEST, LEAST, TOP = 5, 100, 2000
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 22
 TEXT_BYTES = 4 << 20                        # a longer text is read piece by piece
 BREAK = b"\xff"                             # no byte of UTF-8
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 READ = bytes.maketrans(bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + BREAK * len(_BREAKS))
-SHARD = "shard long, lang string, words array<string>, ids binary, phrases array<string>, counts array<long>"
+# a shard has one row with its words, ids and phrases (rows of ids), one per phrase with its digest and
+# count, and one per phrase that reached the least of the level before, in words, with its count
+SHARD = "shard long, lang string, phrase string, count long, digest long, words binary, ids binary, phrases binary"
+ROWS = 1 << 16                              # phrases an output batch
 
 
 class _Ids(dict):
@@ -68,12 +73,12 @@ def _parts(text: bytes):
         at = end
 
 
-def _pack(ids):
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(ids, np.int32).tobytes())
+def _pack(numbers) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers, np.int32).tobytes())
 
 
-def _unpack(data):
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32).astype(np.int64)
+def _unpack(data: bytes):
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32)
 
 
 def _squeeze(ids):
@@ -82,12 +87,33 @@ def _squeeze(ids):
     return ids[(ids > 0) | (np.append(0, ids[:-1]) > 0)]
 
 
-def _row(shard, lang, words, ids, phrases, counts):
-    kind = pa.list_(pa.string())
+def _rows(shard, lang, n, **columns):
+    kinds = {"phrase": pa.string(), "count": pa.int64(), "digest": pa.int64(), "words": pa.binary(),
+             "ids": pa.binary(), "phrases": pa.binary()}
     return pa.RecordBatch.from_arrays(
-        [pa.array([shard], pa.int64()), pa.array([lang], pa.string()), pa.array([words], kind),
-         pa.array([_pack(ids)], pa.binary()), pa.array([phrases], kind), pa.array([counts], pa.list_(pa.int64()))],
-        names=["shard", "lang", "words", "ids", "phrases", "counts"])
+        [pa.array([shard] * n, pa.int64()), pa.array([lang] * n, pa.string()),
+         *[pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in kinds.items()]],
+        names=["shard", "lang", *kinds])
+
+
+def digests(lang, words, phrases):
+    """64-bit digests of phrases (rows of ids into ``words``, from 1), the same in every shard."""
+    each = np.array([xxhash.xxh3_64_intdigest(w) for w in (lang, *words)], np.uint64)
+    out = np.full(len(phrases), each[0], np.uint64)
+    for ids in phrases.T:
+        out = out * np.uint64(0x9E3779B97F4A7C15) + each[ids]
+        out ^= out >> np.uint64(29)
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+        out ^= out >> np.uint64(32)
+    return out.view(np.int64)
+
+
+def _shard_rows(shard, lang, words, ids, phrases, counts):
+    yield _rows(shard, lang, 1, words=[zstandard.compress("\n".join(words).encode(), 1)], ids=[_pack(ids)], phrases=[_pack(phrases)])
+    named = digests(lang, words, phrases)
+    for at in range(0, len(named), ROWS):
+        part = named[at:at + ROWS]
+        yield _rows(shard, lang, len(part), digest=part, count=counts[at:at + ROWS])
 
 
 def _shards(batches, limit):
@@ -108,7 +134,8 @@ def _shards(batches, limit):
         names = list(numbers)
         words = [names[i].decode() for i in order[:-1]]
         made += 1
-        return _row(part << 32 | made, lang, words, _squeeze(place[ids]), words, counts[order[:-1]].tolist())
+        phrases = np.arange(1, len(words) + 1).reshape(-1, 1)
+        return _shard_rows(part << 32 | made, lang, words, _squeeze(place[ids]), phrases, counts[order[:-1]])
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
@@ -119,10 +146,10 @@ def _shards(batches, limit):
                 ids.append(0)
                 total += len(ids) - before
                 if total >= limit:
-                    yield close(max(open_, key=lambda x: len(open_[x][1])))
+                    yield from close(max(open_, key=lambda x: len(open_[x][1])))
     for lang in list(open_):
         if len(open_[lang][0]) > 1:
-            yield close(lang)
+            yield from close(lang)
 
 
 class FmIndex:
@@ -132,26 +159,28 @@ class FmIndex:
     """
 
     def __init__(self, text, depth):
-        rank, width = text, 1
+        rank, width = text.astype(np.int64), 1
         while width < depth:
             step = min(width, depth - width)
             key = rank * (rank.max() + 1) + np.roll(rank, -step)
             width += step
             if width < depth:
                 rank = np.unique(key, return_inverse=True)[1]
-        self.rows = np.argsort(key, kind="stable")      # text position of each row
+        self.rows = np.argsort(key, kind="stable").astype(np.int32)     # text position of each row
+        del key, rank
         self.bwt = text[self.rows - 1]                  # the id before it
-        order = np.argsort(self.bwt, kind="stable")
+        order = np.argsort(self.bwt, kind="stable").astype(np.int32)
         self.before = np.empty_like(order)              # the row of the text that starts one id earlier
-        self.before[order] = np.arange(len(order))
+        self.before[order] = np.arange(len(order), dtype=np.int32)
         self.starts = np.append(0, np.cumsum(np.bincount(text)))
-        self._seen = self.bwt[order] * len(text) + order
+        # (id, row) in order: how often an id comes before a row is a place in this list
+        self._seen = self.bwt[order].astype(np.int64) * len(text) + order if depth > 2 else None
 
     def find(self, phrases):
         """First row and number of rows of each phrase (a row of ids), by backward search."""
         low = self.starts[phrases[:, -1]]
         high = self.starts[phrases[:, -1] + 1]
-        for ids in phrases[:, -2::-1].T if phrases.shape[1] > 1 else ():
+        for ids in phrases[:, -2::-1].T.astype(np.int64) if phrases.shape[1] > 1 else ():
             low = np.searchsorted(self._seen, ids * len(self.bwt) + low)
             high = np.searchsorted(self._seen, ids * len(self.bwt) + high)
         return low, high - low
@@ -162,7 +191,8 @@ class FmIndex:
         owner = np.repeat(np.arange(len(low)), size)
         at = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
         ids = self.bwt[at]
-        order = np.lexsort((at, ids, owner))
+        # by owner, then id; the sort is stable, so rows stay in order
+        order = np.argsort(owner * len(self.starts) + ids, kind="stable")
         owner, ids, at = owner[order], ids[order], at[order]
         first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1]))) if len(at) else order
         rows = np.diff(np.append(first, len(at)))
@@ -185,8 +215,8 @@ def _spread(low, size):
 def extensions(ids, phrases, width):
     """Phrases of ``width`` + 1 ids whose first and last ``width`` are among ``phrases`` (rows of ids).
 
-    Returns the owner (a row of ``phrases``), the added id and the count of each, and the mask of
-    the positions they cover.
+    Returns the counts of ``phrases``; the owner (a row of ``phrases``), the added id and the count of
+    each extension, and the mask of the positions they cover.
     """
     forward, backward = FmIndex(ids, width + 1), FmIndex(ids[::-1], width + 1)
     low, size = forward.find(phrases)
@@ -197,36 +227,33 @@ def extensions(ids, phrases, width):
     good = kept[start]
     owner, added, count = owner[good], added[good], count[good]
     places = forward.rows[_spread(low[owner] + offset[good], count)]
-    return owner, added, count, _covered(len(ids), places, width + 1)
+    return size, owner, added, count, _covered(len(ids), places, width + 1)
+
 
+def _longer(batches, width, last):
+    """The shards' phrases that are ``known`` (by digest), and their extensions unless ``last``.
 
-def _longer(batches, width):
-    """Shard rows with the phrases of one word more; columns shard, lang, words, ids, known."""
+    Columns shard, lang, words, ids, phrases, known.
+    """
     for batch in batches:
         for i in range(batch.num_rows):
-            shard, lang, words, ids, known = (c[i].as_py() for c in batch.columns)
-            ids = _unpack(ids)
-            number = {w: k for k, w in enumerate(words, 1)}
-            phrases = np.array([[number[w] for w in p.split(" ")] for p in known], np.int64).reshape(-1, width)
-            owner, added, counts, covered = extensions(ids, phrases, width)
-            if not len(owner):
-                continue
-            longer = [f"{known[o]} {words[a - 1]}" for o, a in zip(owner.tolist(), added.tolist())]
-            ids = _squeeze(np.where(covered, ids, 0))
-            used, ids = np.unique(ids, return_inverse=True)     # 0 stays 0, the order of ids stays
-            yield _row(shard, lang, [words[k - 1] for k in used[1:]], ids, longer, counts.tolist())
-
-
-def _sums(level: DataFrame, least: int, digests: bool) -> tuple[DataFrame, DataFrame]:
-    """The shards' phrases in rows, and (lang, phrase, f) of those with ``least`` or more."""
-    rows = level.select("shard", "lang", F.explode(F.arrays_zip("phrases", "counts")).alias("p")).select(
-        "shard", "lang", F.col("p.phrases").alias("phrase"), F.col("p.counts").alias("count"))
-    if digests:
-        digest = F.xxhash64("lang", "phrase").alias("digest")
-        many = (rows.groupBy(digest).agg(F.sum("count").alias("f")).where(F.col("f") >= least).select("digest"))
-        rows = rows.select("*", digest).join(many, "digest", "left_semi").drop("digest")
-    sums = rows.groupBy("lang", "phrase").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    return rows, sums
+            shard, lang, words = (batch.column(c)[i].as_py() for c in range(3))
+            ids, phrases = (_unpack(batch.column(c)[i].as_py()) for c in (3, 4))
+            words = zstandard.decompress(words).decode().split("\n")
+            phrases = phrases.reshape(-1, width)
+            phrases = phrases[np.isin(digests(lang, words, phrases), batch.column(5)[i].values.to_numpy())]
+            if last:
+                counts, added = FmIndex(ids, width + 1).find(phrases)[1], ()
+            else:
+                counts, owner, added, more, covered = extensions(ids, phrases, width)
+            for at in range(0, len(phrases), ROWS):
+                part = [" ".join([words[k - 1] for k in p]) for p in phrases[at:at + ROWS].tolist()]
+                yield _rows(shard, lang, len(part), phrase=part, count=counts[at:at + ROWS])
+            if len(added):
+                ids = _squeeze(np.where(covered, ids, 0))
+                used, ids = np.unique(ids, return_inverse=True)     # 0 stays 0, the order of ids stays
+                phrases = np.searchsorted(used, np.column_stack([phrases[owner], added]))
+                yield from _shard_rows(shard, lang, [words[k - 1] for k in used[1:]], ids, phrases, more)
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
@@ -238,20 +265,18 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
     bounded_batches(spark)
     texts = docs.where("text IS NOT NULL").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     level = stored(texts.mapInArrow(lambda it: _shards(it, shard_words), schema(SHARD)), "phrase-shards", "zstd")
-    counted = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
-    totals = level.select("lang", counted.alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = level.where("digest IS NOT NULL").groupBy("lang").agg(F.sum("count").alias("n"))
+    totals = stored(totals, "phrase-totals")
     found = []
     for size in range(1, longest + 1):
-        rows, sums = _sums(level, least, size > 1)
-        sums = stored(sums, f"phrases-{size}")
-        found.append(sums.withColumn("size", F.lit(size)))
-        if size == longest or sums.isEmpty():
-            break
-        known = (rows.join(sums, ["lang", "phrase"], "left_semi").groupBy("shard")
-                 .agg(F.collect_list("phrase").alias("known")))
-        held = level.select("shard", "lang", "words", "ids").join(known, "shard")
-        level = stored(held.mapInArrow(lambda it, size=size: _longer(it, size), schema(SHARD)),
-                       f"phrase-shards-{size + 1}", "zstd")
+        over = F.sum("count").over(Window.partitionBy("digest"))
+        known = (level.where("digest IS NOT NULL").select("shard", "digest", over.alias("f"))
+                 .where(F.col("f") >= least).groupBy("shard").agg(F.collect_list("digest").alias("known")))
+        held = level.where("ids IS NOT NULL").select("shard", "lang", "words", "ids", "phrases").join(known, "shard")
+        level = stored(held.mapInArrow(lambda it, size=size: _longer(it, size, size == longest), schema(SHARD)),
+                       f"phrase-shards-{size}", "zstd")
+        sums = level.where("phrase IS NOT NULL").groupBy("lang", "phrase").agg(F.sum("count").alias("f"))
+        found.append(stored(sums.where(F.col("f") >= least).withColumn("size", F.lit(size)), f"phrases-{size}"))
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)

@@ -91,13 +91,24 @@ def test_scores_pass_64_bits(spark):
     assert row.s == 1000 * big * 3 * big // (big * (big - 9))
 
 
+def test_colliding_digests_do_no_harm(spark, docs, monkeypatch):
+    def coarse(lang, words, rows):
+        return np.array([len(words[p[0] - 1]) % 2 for p in rows], np.int64)
+    monkeypatch.setattr(phrases, "digests", coarse)
+    rng = random.Random(9)
+    rows = [("en", t) for t in texts(rng, 60, ["a", "bb", "cc", "d", "eee", "f"])]
+    frame = docs([(1, t, lang) for lang, t in rows])
+    assert got(phrases.collocations(frame, least=5, shard_words=100)) == plain(rows, least=5)
+
+
 def test_index_steps_equal_counting():
     rng = np.random.default_rng(4)
     ids = phrases._squeeze(rng.integers(0, 4, 400))
     for width in (1, 2, 3, 4):
         grams = Counter(tuple(ids[i:i + width]) for i in range(len(ids) - width) if 0 not in ids[i:i + width])
         kept = sorted(g for g, f in grams.items() if f >= 3)
-        owner, added, counts, covered = phrases.extensions(ids, np.array(kept), width)
+        sizes, owner, added, counts, covered = phrases.extensions(ids, np.array(kept), width)
+        assert sizes.tolist() == [grams[g] for g in kept]
         have = {(*kept[o], a): c for o, a, c in zip(owner.tolist(), added.tolist(), counts.tolist())}
         want, cover = Counter(), np.zeros(len(ids), bool)
         for i in range(len(ids) - width - 1):
@@ -106,3 +117,13 @@ def test_index_steps_equal_counting():
                 want[gram] += 1
                 cover[i:i + width + 1] = True
         assert have == want and (covered == cover).all()
+
+
+def test_index_of_many_ids():
+    # ids times rows pass 32 bits
+    ids = phrases._squeeze(np.concatenate([np.arange(1, 70_000), [0], np.arange(40_000, 70_000)])).astype(np.int32)
+    for width in (2, 4):
+        kept = np.array([range(i, i + width) for i in range(40_000, 70_000 - width)], np.int32)
+        sizes, owner, added, counts, covered = phrases.extensions(ids, kept, width)
+        assert (sizes == 2).all() and (counts == 2).all() and (added == kept[owner, -1] + 1).all()
+        assert len(owner) == 30_000 - width - 1 and covered.sum() == 2 * (30_000 - 1)
