@@ -178,8 +178,12 @@ def login_failures(logins: DataFrame, within="2 seconds", keyed: bool = True,
     ``keyed=False`` is the reference as shipped: consecutive over all users, reported
     under the first failure's user."""
     is_fail = F.col("event_type") == fail
-    pairs = strict_pairs(logins, is_fail, is_fail, within, bucket=bucket,
-                         keys=["user_id"] if keyed else [], carry=[] if keyed else ["user_id"])
+    return login_report(strict_pairs(logins, is_fail, is_fail, within, bucket=bucket,
+                                     keys=["user_id"] if keyed else [], carry=[] if keyed else ["user_id"]), keyed)
+
+
+def login_report(pairs: DataFrame, keyed: bool) -> DataFrame:
+    """Q8's columns from the matched pairs."""
     user = F.col("user_id") if keyed else F.col("first_user_id").alias("user_id")
     return pairs.select(user, "first_seq", "second_seq",
                         F.unix_seconds("first_ts").alias("first_time"),
@@ -206,10 +210,14 @@ def order_timeout(orders: DataFrame, within="15 minutes", create: str = "create"
     hot key that one task holds (default four times ``within``)."""
     res = followed_by(orders, F.col("pay_status") == create, F.col("pay_status") == pay,
                       within, keys=["order_id"], bucket=bucket)
-    paid = res.matched.select("order_id", F.col("begin_seq").alias("create_seq"),
-                              F.col("follow_seq").alias("pay_seq"), F.lit(PAY_SUCCESS_MSG).alias("msg"))
-    late = res.timed_out.select("order_id", F.col("begin_seq").alias("create_seq"),
-                                F.lit(PAY_TIMEOUT_MSG).alias("msg"))
+    return order_report(res.matched, res.timed_out)
+
+
+def order_report(matched: DataFrame, timed_out: DataFrame) -> PayOutcome:
+    """Q9's columns from the pattern's matched and timed-out rows."""
+    paid = matched.select("order_id", F.col("begin_seq").alias("create_seq"),
+                          F.col("follow_seq").alias("pay_seq"), F.lit(PAY_SUCCESS_MSG).alias("msg"))
+    late = timed_out.select("order_id", F.col("begin_seq").alias("create_seq"), F.lit(PAY_TIMEOUT_MSG).alias("msg"))
     return PayOutcome(paid, late)
 
 

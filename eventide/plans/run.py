@@ -4,7 +4,8 @@
     python -m eventide.plans.run receipt_match --input orders.csv --input2 receipts.csv --output out/
     python -m eventide.plans.run --stream hot_items --input in_dir/ --output out/ --checkpoint ckpt/
 
-Each output branch (main output and side outputs) is written as parquet under
+A ``--stream`` run reads the files that are there, ends, and then finishes what its operators still
+hold, so it gives the batch run's rows; ``--continuous`` keeps it running.  Each output branch (main output and side outputs) is written as parquet under
 ``<output>/<branch>``; ``--output -`` prints every row of each branch instead
 (the reference's print sink).  Parameters default to the reference's.
 """
@@ -78,9 +79,10 @@ def main(argv=None) -> None:
         from eventide.streaming.windows import checkpoint_location
         if a.output == "-":
             raise SystemExit("--stream needs --output")
-        q = stream_jobs.start(spark, a.job, inputs, a.output,
-                              a.checkpoint or checkpoint_location(spark, a.job), not a.continuous)
-        q.awaitTermination()
+        checkpoint = a.checkpoint or checkpoint_location(spark, a.job)
+        stream_jobs.start(spark, a.job, inputs, a.output, checkpoint, not a.continuous).awaitTermination()
+        if not a.continuous:
+            stream_jobs.finish(spark, a.job, inputs, a.output, checkpoint)
         return
     outs = run_job(spark, a.job, inputs)
     for branch, df in outs.items():

@@ -1,134 +1,235 @@
 """The reference's jobs as Structured Streaming queries.
 
-Each builder takes streaming DataFrames from the ``sources`` readers
-(``stream=True``) and returns ``(stream, topn)``: the streaming DataFrame to
-write, and for ranking jobs the ``(n, metric, key)`` applied per micro-batch
-(every window of an append-mode batch is complete).  Stateful jobs emit a
-``kind`` column naming their output branch (main output and side outputs).
-Watermark delays follow the reference: 0 for its ascending timestamps, 5 s for
-the access log, plus the allowed lateness of 60 s for the hot-URL windows.
+Each job has the readers of its inputs, a builder of the stream, a function that splits and
+shapes a micro-batch into the output branches of the batch job (same names, same columns), and a
+function that drains what the stopped query's state still holds (``streaming.bounded``) into the
+same branches.  Ranking jobs rank per micro-batch: every window of an append-mode batch is
+complete.  Watermark delays follow the reference: 0 for its ascending timestamps, 5 s for the
+access log, plus the allowed lateness of 60 s for the hot-URL windows.
+
+Streams cannot number rows in arrival order; there ``seq`` is a hash of the file and the row.
 """
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide import sources as S
-from eventide.plans.jobs import LOGIN_FAIL_MSG, PAY_SUCCESS_MSG, PAY_TIMEOUT_MSG
-from eventide.streaming import (
-    stream_cap_per_key, stream_distinct_per_window, stream_followed_by, stream_interval_join,
-    stream_pair_one_to_one, stream_running_distinct, stream_strict_pairs, stream_window_agg,
+from eventide.functions.text import URL_FOOTER, URL_LABEL, format_ranking
+from eventide.operators.aggs import Agg, Count, IntAvg
+from eventide.operators.limits import BLACKLIST_MSG
+from eventide.operators.topn import top_n_per_window
+from eventide.plans import jobs
+from eventide.streaming import bounded
+from eventide.streaming.joins import stream_interval_join
+from eventide.streaming.payload import payload_fields, unpack
+from eventide.streaming.processors import (
+    stream_capped_counts, stream_followed_by, stream_pair_one_to_one, stream_running_distinct, stream_strict_pairs,
 )
+from eventide.streaming.windows import stream_distinct_per_window, stream_sliding_agg
 
-def _count(name: str):
-    return F.count(F.lit(1)).alias(name)
+Branches = dict[str, DataFrame]
 
 
-def hot_items(b, n=3, size="1 hour", slide="5 minutes"):
-    pv = b.filter(F.col("behavior") == "pv")
-    return stream_window_agg(pv, size, [_count("cnt")], keys=["item_id"], slide=slide), (n, "cnt", "item_id")
+class StreamJob(NamedTuple):
+    readers: list[Callable]
+    stream: Callable[..., DataFrame]            # of the inputs
+    branches: Callable[..., Branches]           # of a micro-batch and the inputs
+    drain: Callable[..., Branches]              # of the session, the checkpoint and the inputs
 
 
-def page_views(b, size="1 hour"):
-    return stream_window_agg(b.filter(F.col("behavior") == "pv"), size, [_count("pv")]), None
+def _windows(reader, rows, size, aggs: list[Agg], shape, keys=(), slide=None, delay="0 seconds",
+             with_start=False) -> StreamJob:
+    """A job of one windowed aggregate; open windows are shaped like those of a micro-batch."""
+    def stream(df):
+        return stream_sliding_agg(rows(df), size, slide or size, aggs, keys, delay=delay, with_start=with_start)
 
+    def drain(spark, checkpoint, df):
+        return {"result": shape(bounded.drain_windows(spark, checkpoint, size, aggs, keys, slide, with_start))}
+    return StreamJob([reader], stream, lambda batch, df: {"result": shape(batch)}, drain)
 
-def unique_visitors(b, size="1 hour"):
-    return stream_distinct_per_window(b.filter(F.col("behavior") == "pv"), "user_id", size), None
 
+def _views(b):
+    return b.filter(F.col("behavior") == "pv")
 
-def unique_visitors_bitmap(b, size="1 hour"):
-    return stream_running_distinct(b.filter(F.col("behavior") == "pv"), "user_id", size), None
 
+def hot_items(n=3, size="1 hour", slide="5 minutes", metric="count", report=False) -> StreamJob:
+    def shape(counts):
+        ranked = top_n_per_window(counts, n, "cnt", "item_id")
+        return (format_ranking(ranked, "item_id", "cnt") if report
+                else ranked.select("window_end", "rank", "item_id", "cnt"))
+    agg = Count("cnt") if metric == "count" else IntAvg("cnt", "ts_s")
+    return _windows(S.read_user_behavior, _views, size, [agg], shape, ["item_id"], slide)
 
-def marketing_total(m, size="1 hour", slide="10 seconds", exclude="UNINSTALL"):
-    return stream_window_agg(m.filter(F.col("behavior") != exclude), size, [_count("cnt")],
-                             slide=slide, with_start=True), None
 
+def page_views(size="1 hour") -> StreamJob:
+    return _windows(S.read_user_behavior, _views, size, [Count("pv")], lambda w: w)
 
-def marketing_by_channel(m, size="1 hour", slide="10 seconds", exclude="UNINSTALL"):
-    return stream_window_agg(m.filter(F.col("behavior") != exclude), size, [_count("cnt")],
-                             keys=["behavior", "channel"], slide=slide, with_start=True), None
 
+def unique_visitors(size="1 hour") -> StreamJob:
+    return StreamJob([S.read_user_behavior], lambda b: stream_distinct_per_window(_views(b), "user_id", size),
+                     lambda batch, b: {"result": batch},
+                     lambda spark, checkpoint, b: {"result": bounded.drain_distinct(spark, checkpoint)})
 
-def ad_blacklist(a, cap=100):
-    return stream_cap_per_key(a, ["user_id", "ad_id"], cap), None
 
+def unique_visitors_bitmap(size="1 hour") -> StreamJob:
+    return StreamJob([S.read_user_behavior], lambda b: stream_running_distinct(_views(b), "user_id", size),
+                     lambda batch, b: {"result": batch.select("seq", "window_end", "uv")},
+                     lambda spark, checkpoint, b: {"result": bounded.drain_running_distinct(spark, checkpoint)
+                                                   .select("seq", "window_end", "uv")})
 
-def login_failures(lg, within="2 seconds", keyed=False):
-    fail = F.col("event_type") == "fail"
-    out = stream_strict_pairs(lg, fail, fail, within, keys=["user_id"] if keyed else [])
-    return out.withColumn("msg", F.lit(LOGIN_FAIL_MSG)), None
 
+def _text_bounds(windows):
+    return windows.withColumns({c: F.col(c).cast("string") for c in ("window_start", "window_end")})
 
-def order_timeout(o, within="15 minutes"):
-    out = stream_followed_by(o, F.col("pay_status") == "create", F.col("pay_status") == "pay", within,
-                             ["order_id"])
-    msg = F.when(F.col("kind") == "matched", F.lit(PAY_SUCCESS_MSG)).otherwise(F.lit(PAY_TIMEOUT_MSG))
-    return out.withColumn("msg", msg), None
 
+def marketing(keys=(), size="1 hour", slide="10 seconds", exclude="UNINSTALL") -> StreamJob:
+    return _windows(S.read_marketing, lambda m: m.filter(F.col("behavior") != exclude), size, [Count("cnt")],
+                    _text_bounds, keys, slide, with_start=True)
 
-def _pays(o):
-    return o.filter(F.col("pay_status") == "pay").select("pay_id", "ts", "seq")
 
+def ad_blacklist(cap=100, size="1 hour", keys=("user_id", "ad_id"), reset="never") -> StreamJob:
+    keys = list(keys)
 
-def receipt_match(o, r, timeout=None):
-    return stream_pair_one_to_one(_pays(o), r.select("pay_id", "ts", "seq"), "pay_id", timeout), None
+    def branches(batch, clicks):
+        # the salted parts of a window leave in one micro-batch
+        counts = batch.filter(F.col("window_end").isNotNull()).groupBy("province", "window_end").agg(F.sum("cnt").alias("cnt"))
+        warned = batch.filter(F.col("window_end").isNull()).select(*unpack("passed", payload_fields(clicks.schema, ())))
+        return {"province_counts": counts, "warnings": warned.select(*keys, "seq", F.lit(BLACKLIST_MSG).alias("msg"))}
 
+    def drain(spark, checkpoint, clicks):
+        counts, warnings = bounded.drain_capped_counts(spark, checkpoint, clicks, keys, cap, "province", size, reset=reset)
+        return {"province_counts": counts, "warnings": warnings.select(*keys, "seq", "msg")}
+    return StreamJob([S.read_ad_clicks], lambda a: stream_capped_counts(a, keys, cap, "province", size, reset=reset),
+                     branches, drain)
+
+
+def login_failures(within="2 seconds", keyed=False) -> StreamJob:
+    keys, carry = (["user_id"], []) if keyed else ([], ["user_id"])
+    fail = F.col("event_type") == "fail"
+    return StreamJob(
+        [S.read_logins], lambda lg: stream_strict_pairs(lg, fail, fail, within, keys, carry=carry),
+        lambda batch, lg: {"result": jobs.login_report(batch, keyed)},
+        lambda spark, checkpoint, lg: {"result": jobs.login_report(
+            bounded.drain_strict_pairs(spark, checkpoint, lg, within, keys, carry=carry), keyed)})
 
-def receipt_interval_join(o, r, lower="-15 seconds", upper="15 seconds"):
-    return stream_interval_join(_pays(o), r.drop("ts_s"), "pay_id", lower, upper,
-                                left_prefix="pay_", right_prefix="receipt_"), None
 
+def order_timeout(within="15 minutes") -> StreamJob:
+    def stream(o):
+        return stream_followed_by(o, F.col("pay_status") == "create", F.col("pay_status") == "pay", within, ["order_id"])
 
-def top_urls(log, n=5, size="10 minutes", slide="5 seconds", delay="65 seconds"):
-    return stream_window_agg(log, size, [_count("cnt")], keys=["url"], slide=slide,
-                             delay=delay), (n, "cnt", "url")
+    def drain(spark, checkpoint, o):
+        res = bounded.drain_followed_by(spark, checkpoint, o, within, ["order_id"])
+        return jobs.order_report(res.matched, res.timed_out)._asdict()
+    return StreamJob([S.read_orders], stream, lambda batch, o: jobs.order_report(
+        batch.filter("kind = 'matched'"), batch.filter("kind = 'timeout'"))._asdict(), drain)
 
 
-JOBS = {
-    "hot_items": ([S.read_user_behavior], hot_items),
-    "page_views": ([S.read_user_behavior], page_views),
-    "unique_visitors": ([S.read_user_behavior], unique_visitors),
-    "unique_visitors_bitmap": ([S.read_user_behavior], unique_visitors_bitmap),
-    "marketing_total": ([S.read_marketing], marketing_total),
-    "marketing_by_channel": ([S.read_marketing], marketing_by_channel),
-    "ad_blacklist": ([S.read_ad_clicks], ad_blacklist),
-    "login_failures": ([S.read_logins], login_failures),
-    "order_timeout": ([S.read_orders], order_timeout),
-    "receipt_match": ([S.read_orders, S.read_receipts], receipt_match),
-    "receipt_interval_join": ([S.read_orders, S.read_receipts], receipt_interval_join),
-    "top_urls": ([S.read_access_log], top_urls),
+def _pays(o):
+    return o.filter(F.col("pay_status") == "pay").select("pay_id", "ts", "seq", "order_id")
+
+
+def receipt_match(timeout=None) -> StreamJob:
+    def sides(o, r):
+        return _pays(o), r.drop("ts_s")
+
+    def stream(o, r):
+        return stream_pair_one_to_one(*sides(o, r), "pay_id", timeout, left_prefix="pay_", right_prefix="receipt_")
+
+    def branches(batch, o, r):
+        pay = [c for c in batch.columns if c.startswith("pay_") and c != "pay_id"]
+        # pay_type belongs to the receipt and comes as receipt_pay_type
+        receipt = [c for c in batch.columns if c.startswith("receipt_")]
+        over = batch.filter("kind = 'overwritten'")
+        late = F.lit("timeout").alias("reason")
+        return {
+            "matched": batch.filter("kind = 'matched'").select("pay_id", *pay, *receipt),
+            "left_only": batch.filter("kind = 'left_only'").select("pay_id", *pay, late),
+            "right_only": batch.filter("kind = 'right_only'").select("pay_id", *receipt, late),
+            "overwritten": over.select("pay_id", F.when(F.col("pay_ts").isNotNull(), "left").otherwise("right").alias("side"),
+                                       F.coalesce("pay_ts", "receipt_ts").alias("ts"),
+                                       F.coalesce("pay_seq", "receipt_seq").alias("seq")),
+        }
+
+    def drain(spark, checkpoint, o, r):
+        return bounded.drain_pair_one_to_one(spark, checkpoint, *sides(o, r), "pay_id", timeout,
+                                             left_prefix="pay_", right_prefix="receipt_")._asdict()
+    return StreamJob([S.read_orders, S.read_receipts], stream, branches, drain)
+
+
+def receipt_interval_join(lower="-15 seconds", upper="15 seconds") -> StreamJob:
+    # an inner join emits a pair as soon as both rows are there: nothing to drain
+    return StreamJob(
+        [S.read_orders, S.read_receipts], lambda o, r: stream_interval_join(
+            _pays(o), r.drop("ts_s"), "pay_id", lower, upper, left_prefix="pay_", right_prefix="receipt_"),
+        lambda batch, o, r: {"result": batch}, lambda spark, checkpoint, o, r: {})
+
+
+def top_urls(n=5, size="10 minutes", slide="5 seconds", delay="65 seconds", report=False) -> StreamJob:
+    def shape(counts):
+        ranked = top_n_per_window(counts, n, "cnt", "url")
+        return (format_ranking(ranked, "url", "cnt", key_label=URL_LABEL, footer=URL_FOOTER) if report
+                else ranked.select("window_end", "rank", "url", "cnt"))
+    return _windows(S.read_access_log, lambda log: log, size, [Count("cnt")], shape, ["url"], slide, delay)
+
+
+JOBS: dict[str, Callable[[], StreamJob]] = {
+    "hot_items": hot_items,
+    "hot_items_report": lambda: hot_items(report=True),
+    "page_views": page_views,
+    "unique_visitors": unique_visitors,
+    "unique_visitors_bitmap": unique_visitors_bitmap,
+    "marketing_total": marketing,
+    "marketing_by_channel": lambda: marketing(["behavior", "channel"]),
+    "ad_blacklist": ad_blacklist,
+    "login_failures": login_failures,
+    "order_timeout": order_timeout,
+    "receipt_match": receipt_match,
+    "receipt_interval_join": receipt_interval_join,
+    "top_urls": top_urls,
 }
 
 
-def build(spark, name: str, inputs: list[str]):
-    readers, job = JOBS[name]
-    if len(inputs) != len(readers):
-        raise SystemExit(f"{name} needs {len(readers)} input(s)")
-    return job(*[r(spark, p, stream=True) for r, p in zip(readers, inputs)])
+def _job(spark: SparkSession, name: str, inputs: list[str], job: StreamJob | None) -> tuple[StreamJob, list[DataFrame]]:
+    job = job or JOBS[name]()
+    if len(inputs) != len(job.readers):
+        raise SystemExit(f"{name} needs {len(job.readers)} input(s)")
+    return job, [r(spark, p, stream=True) for r, p in zip(job.readers, inputs)]
+
 
+def _write(branches: Branches, output: str, batch_id: int) -> None:
+    for branch, df in branches.items():
+        df.write.mode("overwrite").parquet(os.path.join(output, branch, f"batch={batch_id}"))
 
-def start(spark, name: str, inputs: list[str], output: str, checkpoint: str, available_now: bool = True):
-    """Start the streaming job; rows go to ``output`` (parquet), ranked per micro-batch
-    for top-N jobs, and split into ``output/<kind>`` for jobs with side outputs."""
-    import os
 
-    from eventide.operators.topn import top_n_per_window
-    from eventide.streaming.runners import branch_writer
+def start(spark: SparkSession, name: str, inputs: list[str], output: str, checkpoint: str,
+          available_now: bool = True, job: StreamJob | None = None):
+    """Start a streaming job; each branch goes to ``output/<branch>/batch=<id>`` as Parquet (a
+    replayed batch overwrites its own rows).  ``job``: the named job with other parameters."""
+    job, frames = _job(spark, name, inputs, job)
 
-    stream, topn = build(spark, name, inputs)
-    w = stream.writeStream.option("checkpointLocation", checkpoint)
+    def sink(batch, batch_id):
+        batch.persist()
+        try:
+            _write(job.branches(batch, *frames), output, batch_id)
+        finally:
+            batch.unpersist()
+    w = job.stream(*frames).writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
-    if topn is not None:
-        n, metric, key = topn
-
-        def rank(batch, batch_id):
-            (top_n_per_window(batch, n, metric, key).write.mode("overwrite")
-             .parquet(os.path.join(output, f"batch={batch_id}")))
-        return w.foreachBatch(rank).start()
-    if "kind" in stream.columns:
-        kinds = {"ad_blacklist": ["kept", "warning"], "order_timeout": ["matched", "timeout"],
-                 "receipt_match": ["matched", "left_only", "right_only", "overwritten"]}[name]
-        return w.foreachBatch(branch_writer({k: os.path.join(output, k) for k in kinds})).start()
-    return w.format("parquet").option("path", output).outputMode("append").start()
+    return w.foreachBatch(sink).start()
+
+
+def finish(spark: SparkSession, name: str, inputs: list[str], output: str, checkpoint: str,
+           job: StreamJob | None = None) -> None:
+    """Write what a stopped job's state still holds, as the batch that would come next.
+
+    The state is only read.  If the job is started again on the same checkpoint, its next batch
+    overwrites these rows and its operators give them again in their time.
+    """
+    job, frames = _job(spark, name, inputs, job)
+    _write(job.drain(spark, checkpoint, *frames), output, bounded.next_batch(spark, checkpoint))

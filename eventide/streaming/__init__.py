@@ -1,21 +1,20 @@
 """Structured Streaming forms of the operators.
 
-Once the watermark has passed, each stream form gives the same rows as the batch
-operator over the same input (tests replay files with ``availableNow``-style
-``processAllAvailable`` runs and compare).  A bounded replay needs a far-future
-sentinel row in each input to move the watermark past the last windows, which the
-reference's engine does implicitly at the end of a bounded input.
+Once the watermark has passed, each stream form gives the same rows and columns as the batch
+operator over the same input.  At the end of a bounded input, ``streaming.bounded`` reads what is
+left in the operators' state and finishes it by the batch rule, which the reference's engine does
+by a last watermark.
 """
 
 from eventide.streaming.windows import (
     stream_window_agg, stream_distinct_per_window, stream_approx_distinct, top_n_batch_writer,
-    checkpoint_location,
+    checkpoint_location, stream_sliding_agg,
 )
 from eventide.streaming.joins import stream_interval_join
 from eventide.streaming.runners import branch_writer, resolve_latest, start_branches, versioned_writer
 from eventide.streaming.processors import (
     stream_cap_per_key, stream_strict_pairs, stream_followed_by, stream_pair_one_to_one,
-    stream_running_distinct,
+    stream_running_distinct, stream_capped_counts,
 )
 
 __all__ = [
@@ -23,4 +22,5 @@ __all__ = [
     "top_n_batch_writer", "checkpoint_location", "stream_interval_join", "stream_cap_per_key",
     "stream_strict_pairs", "stream_followed_by", "stream_pair_one_to_one", "branch_writer",
     "start_branches", "stream_running_distinct", "versioned_writer", "resolve_latest",
+    "stream_sliding_agg", "stream_capped_counts",
 ]

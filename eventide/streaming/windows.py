@@ -15,6 +15,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.functions.time import interval_millis
+from eventide.operators.aggs import finish_exprs, merge_exprs, partial_exprs
 from eventide.operators.topn import top_n_per_window
 from eventide.session import checkpoint_dir
 
@@ -47,6 +49,28 @@ def stream_window_agg(df: DataFrame, size, aggs: Sequence[Column], keys=(), slid
                       *[c for c in out.columns if c not in keys and c != "w"])
 
 
+def stream_sliding_agg(df: DataFrame, size, slide, aggs, keys=(), ts: str = "ts", delay="0 seconds",
+                       with_start: bool = False) -> DataFrame:
+    """Sliding windows of a stream by panes (E5) -> keys, [window_start], window_end, aggregates.
+
+    Two chained aggregates: rows into tumbling panes of ``slide``, closed panes into the windows
+    they belong to (their event time handed on by ``window_time``).  A row is one state update; only
+    pane results are copied to ``size / slide`` windows.  ``aggs`` are the mergeable specs of
+    ``operators.aggs``; ``size`` must be a multiple of ``slide``.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if interval_millis(size) % interval_millis(slide):
+        raise ValueError("size must be a multiple of slide")
+    if interval_millis(size) == interval_millis(slide):
+        done = df.withWatermark(ts, str(delay)).groupBy(F.window(ts, str(size)).alias("w"), *keys).agg(*partial_exprs(aggs))
+    else:
+        panes = (df.withWatermark(ts, str(delay)).groupBy(F.window(ts, str(slide)).alias("pane"), *keys)
+                 .agg(*partial_exprs(aggs)))
+        done = panes.groupBy(F.window(F.window_time("pane"), str(size), str(slide)).alias("w"), *keys).agg(*merge_exprs(aggs))
+    start = [F.unix_millis("w.start").alias("window_start")] if with_start else []
+    return done.select(*keys, *start, F.unix_millis("w.end").alias("window_end"), *finish_exprs(aggs))
+
+
 def stream_distinct_per_window(df: DataFrame, col: str, size, ts: str = "ts", delay="0 seconds",
                                out: str = "uv") -> DataFrame:
     """Exact distinct count per tumbling window of a stream: ``count_distinct`` is not

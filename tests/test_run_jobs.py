@@ -71,88 +71,3 @@ def test_marketing_and_urls_jobs(spark):
                 f"10.0.0.3 - - 13/09/2020:12:26:42 +0000 GET /b\n")
     top = run_job(spark, "top_urls", [log])["result"]
     assert {(r.rank, r.url, r.cnt) for r in top.collect()} == {(1, "/a", 2), (2, "/b", 1)}
-
-
-def test_stream_jobs_equal_batch(spark):
-    """Bounded replay: a far-future sentinel line moves the watermark past every window."""
-    from eventide.plans import stream_jobs
-    from eventide.streaming.windows import checkpoint_location
-    from eventide.streaming.processors import FAR_FUTURE_MS
-    from test_streaming import _drain
-
-    far = FAR_FUTURE_MS // 1000
-    d = tempfile.mkdtemp(prefix="eventide-sjob-")
-    with open(os.path.join(d, "a.csv"), "w") as f:
-        f.write("".join(f"{u},{i},1,pv,{T + s}\n" for u, i, s in
-                        [(1, 10, 5), (2, 10, 60), (3, 11, 70), (1, 12, 4000), (2, 12, 4100)]))
-    with open(os.path.join(d, "b.csv"), "w") as f:
-        f.write(f"-1,-1,1,pv,{far}\n")
-    os.utime(os.path.join(d, "b.csv"), (2_000_000_000, 2_000_000_000))
-    for name, cols in (("page_views", ["window_end", "pv"]), ("unique_visitors", ["window_end", "uv"])):
-        out = tempfile.mkdtemp(prefix="eventide-sout-")
-        q = stream_jobs.start(spark, name, [d], out, checkpoint_location(spark, name), available_now=False)
-        _drain(q)
-        got = spark.read.parquet(out)
-        assert rows(got, *cols) == rows(run_job(spark, name, [os.path.join(d, "a.csv")])["result"], *cols)
-
-
-def test_stream_stateful_jobs_equal_batch(spark):
-    from eventide.plans import stream_jobs
-    from eventide.streaming.windows import checkpoint_location
-    from eventide.streaming.processors import FAR_FUTURE_MS
-    from test_streaming import _drain
-
-    far = FAR_FUTURE_MS // 1000 + 10
-    od, rd = tempfile.mkdtemp(prefix="eventide-so-"), tempfile.mkdtemp(prefix="eventide-sr-")
-    orders = f"a,create,,{T}\na,pay,p1,{T + 60}\nb,create,,{T + 1}\nb,pay,p2,{T + 902}\nc,pay,p3,{T + 2}\n"
-    receipts = f"p1,wechat,{T + 50}\np2,alipay,{T + 2000}\nzz,alipay,{T + 3}\n"
-    for d, body, tail in ((od, orders, f"s,create,,{far}\ns,pay,s1,{far + 1}\n"), (rd, receipts, f"s9,x,{far}\n")):
-        with open(os.path.join(d, "a.csv"), "w") as f:
-            f.write(body)
-        with open(os.path.join(d, "b.csv"), "w") as f:
-            f.write(tail)
-        os.utime(os.path.join(d, "b.csv"), (2_000_000_000, 2_000_000_000))
-    batch_o = os.path.join(od, "a.csv")
-    batch_r = os.path.join(rd, "a.csv")
-
-    out = tempfile.mkdtemp(prefix="eventide-sjo-")
-    q = stream_jobs.start(spark, "order_timeout", [od], out, checkpoint_location(spark, "sjo"), available_now=False)
-    _drain(q)
-    exp = run_job(spark, "order_timeout", [batch_o])
-    assert rows(spark.read.parquet(os.path.join(out, "matched")).filter("order_id <> 's'"), "order_id") == \
-        rows(exp["paid"], "order_id")
-    assert rows(spark.read.parquet(os.path.join(out, "timeout")).filter("order_id <> 's'"), "order_id") == \
-        rows(exp["timed_out"], "order_id")
-
-    out = tempfile.mkdtemp(prefix="eventide-sjr-")
-    q = stream_jobs.start(spark, "receipt_match", [od, rd], out, checkpoint_location(spark, "sjr"),
-                          available_now=False)
-    _drain(q)
-    exp = run_job(spark, "receipt_match", [batch_o, batch_r])
-    got = {k: rows(spark.read.parquet(os.path.join(out, k)).filter("pay_id not in ('s1', 's9')"), "pay_id")
-           for k in ("matched", "left_only", "right_only")}
-    assert got["matched"] == rows(exp["matched"], "pay_id")
-    assert got["left_only"] == rows(exp["left_only"], "pay_id")
-    assert got["right_only"] == rows(exp["right_only"], "pay_id")
-
-
-def test_stream_ranking_job_equals_batch(spark):
-    from eventide.plans import stream_jobs
-    from eventide.streaming.windows import checkpoint_location
-    from eventide.streaming.processors import FAR_FUTURE_MS
-    from test_streaming import _drain
-
-    far = FAR_FUTURE_MS // 1000
-    d = tempfile.mkdtemp(prefix="eventide-srank-")
-    with open(os.path.join(d, "a.csv"), "w") as f:
-        f.write("".join(f"{u},{i},1,pv,{T + s}\n" for u, i, s in
-                        [(1, 10, 5), (2, 10, 60), (3, 11, 70), (4, 12, 400), (5, 12, 500), (6, 12, 610)]))
-    with open(os.path.join(d, "b.csv"), "w") as f:
-        f.write(f"-1,-1,1,pv,{far}\n")
-    os.utime(os.path.join(d, "b.csv"), (2_000_000_000, 2_000_000_000))
-    out = tempfile.mkdtemp(prefix="eventide-srank-out-")
-    q = stream_jobs.start(spark, "hot_items", [d], out, checkpoint_location(spark, "srank"), available_now=False)
-    _drain(q)
-    got = spark.read.parquet(out).filter("item_id <> -1")
-    exp = run_job(spark, "hot_items", [os.path.join(d, "a.csv")])["result"]
-    assert rows(got, "window_end", "rank", "item_id", "cnt") == rows(exp, "window_end", "rank", "item_id", "cnt")
