@@ -143,11 +143,9 @@ def running_distinct(df: DataFrame, col: str, size, keys=(), ts: str = "ts", seq
     ``hashed=True`` counts distinct bitmap offsets like the reference; ``False``
     counts exact values.  Order inside a window is (ts, seq).
 
-    Plan: first sightings = ``min(struct(ts, seq))`` per (window, value) (partial
-    aggregation, so a hot value costs nothing); flag them by a join on ``seq``;
-    then a two-level prefix sum: totals per (window, sub-bucket of ``sub_bucket``
-    length, default size/60), an exclusive prefix over the few sub-buckets of a
-    window, and a running sum inside each sub-bucket plus that offset.
+    Plan: first sightings = ``min`` of the packed (ts, seq) key per (window, value), a hash
+    aggregate with partial aggregation, so a hot value costs nothing; they are flagged by a join
+    on ``seq``; ``running_flags`` counts them (sub-buckets of ``sub_bucket``, default size/60).
     """
     keys = _keys(keys)
     size_ms = interval_millis(size)
@@ -161,13 +159,20 @@ def running_distinct(df: DataFrame, col: str, size, keys=(), ts: str = "ts", seq
                   .select(*keys, "window_end", _order_key_seq(F.col("_f")).alias("_seq"), F.lit(1).alias("_new")))
     flagged = (base.join(firsts, [*keys, "window_end", "_seq"], "left")
                    .withColumn("_new", F.coalesce("_new", F.lit(0))))
-    sub_tot = flagged.groupBy(*keys, "window_end", "_sub").agg(F.sum("_new").alias("_t"))
-    w_sub = (Window.partitionBy(*keys, "window_end").orderBy("_sub")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sub_tot.select(*keys, "window_end", "_sub",
-                             F.coalesce(F.sum("_t").over(w_sub), F.lit(0)).alias("_off"))
-    w_in = (Window.partitionBy(*keys, "window_end", "_sub").orderBy("_ts", "_seq")
-            .rowsBetween(Window.unboundedPreceding, 0))
-    return (flagged.join(offsets, [*keys, "window_end", "_sub"])
-                   .select(F.col("_seq").alias(seq), *keys, "window_end",
-                           (F.col("_off") + F.sum("_new").over(w_in)).cast("long").alias(out)))
+    counted = running_flags(flagged, [*keys, "window_end"], "_sub", "_new", ["_ts", "_seq"], out)
+    return counted.select(F.col("_seq").alias(seq), *keys, "window_end", out)
+
+
+def running_flags(rows: DataFrame, groups: list[str], sub: str, flag: str, order: list[str], out: str) -> DataFrame:
+    """Add ``out``: the sum of ``flag`` over the group's rows up to this one, in ``order``.
+
+    ``sub`` cuts a group into spans that follow each other in ``order``.  Two levels: totals per
+    span, an exclusive prefix over the spans of a group, and a running sum inside each span plus
+    that offset, so a group is as many tasks as it has spans.
+    """
+    totals = rows.groupBy(*groups, sub).agg(F.sum(flag).alias("_t"))
+    spans = Window.partitionBy(*groups).orderBy(sub).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, sub, F.coalesce(F.sum("_t").over(spans), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*groups, sub).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.join(offsets, [*groups, sub])
+            .withColumn(out, (F.col("_off") + F.sum(flag).over(inside)).cast("long")).drop("_off"))

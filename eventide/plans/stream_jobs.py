@@ -29,18 +29,25 @@ from eventide.streaming import bounded
 from eventide.streaming.joins import stream_interval_join
 from eventide.streaming.payload import payload_fields, unpack
 from eventide.streaming.processors import (
-    stream_capped_counts, stream_followed_by, stream_pair_one_to_one, stream_running_distinct, stream_strict_pairs,
+    stream_capped_counts, stream_first_sightings, stream_followed_by, stream_pair_one_to_one, stream_strict_pairs,
 )
+from eventide.streaming.stores import running_counts
 from eventide.streaming.windows import stream_distinct_per_window, stream_sliding_agg
 
 Branches = dict[str, DataFrame]
 
 
+class Place(NamedTuple):
+    """A micro-batch's number, and the folder for what is carried from batch to batch."""
+    batch_id: int
+    folder: str
+
+
 class StreamJob(NamedTuple):
     readers: list[Callable]
     stream: Callable[..., DataFrame]            # of the inputs
-    branches: Callable[..., Branches]           # of a micro-batch and the inputs
-    drain: Callable[..., Branches]              # of the session, the checkpoint and the inputs
+    branches: Callable[..., Branches]           # of a micro-batch, its place and the inputs
+    drain: Callable[..., Branches]              # of the session, the checkpoint, the place and the inputs
 
 
 def _windows(reader, rows, size, aggs: list[Agg], shape, keys=(), slide=None, delay="0 seconds",
@@ -49,9 +56,9 @@ def _windows(reader, rows, size, aggs: list[Agg], shape, keys=(), slide=None, de
     def stream(df):
         return stream_sliding_agg(rows(df), size, slide or size, aggs, keys, delay=delay, with_start=with_start)
 
-    def drain(spark, checkpoint, df):
+    def drain(spark, checkpoint, at, df):
         return {"result": shape(bounded.drain_windows(spark, checkpoint, size, aggs, keys, slide, with_start))}
-    return StreamJob([reader], stream, lambda batch, df: {"result": shape(batch)}, drain)
+    return StreamJob([reader], stream, lambda batch, at, df: {"result": shape(batch)}, drain)
 
 
 def _views(b):
@@ -73,15 +80,18 @@ def page_views(size="1 hour") -> StreamJob:
 
 def unique_visitors(size="1 hour") -> StreamJob:
     return StreamJob([S.read_user_behavior], lambda b: stream_distinct_per_window(_views(b), "user_id", size),
-                     lambda batch, b: {"result": batch},
-                     lambda spark, checkpoint, b: {"result": bounded.drain_distinct(spark, checkpoint)})
+                     lambda batch, at, b: {"result": batch},
+                     lambda spark, checkpoint, at, b: {"result": bounded.drain_distinct(spark, checkpoint)})
 
 
-def unique_visitors_bitmap(size="1 hour") -> StreamJob:
-    return StreamJob([S.read_user_behavior], lambda b: stream_running_distinct(_views(b), "user_id", size),
-                     lambda batch, b: {"result": batch.select("seq", "window_end", "uv")},
-                     lambda spark, checkpoint, b: {"result": bounded.drain_running_distinct(spark, checkpoint)
-                                                   .select("seq", "window_end", "uv")})
+def unique_visitors_bitmap(size="1 hour", parts=16) -> StreamJob:
+    def branches(batch, at, b):
+        return {"result": running_counts(batch, at.batch_id, at.folder)}
+
+    def drain(spark, checkpoint, at, b):
+        return branches(bounded.drain_first_sightings(spark, checkpoint), at, b)
+    return StreamJob([S.read_user_behavior], lambda b: stream_first_sightings(_views(b), "user_id", size, parts=parts),
+                     branches, drain)
 
 
 def _text_bounds(windows):
@@ -96,13 +106,13 @@ def marketing(keys=(), size="1 hour", slide="10 seconds", exclude="UNINSTALL") -
 def ad_blacklist(cap=100, size="1 hour", keys=("user_id", "ad_id"), reset="never") -> StreamJob:
     keys = list(keys)
 
-    def branches(batch, clicks):
+    def branches(batch, at, clicks):
         # the salted parts of a window leave in one micro-batch
         counts = batch.filter(F.col("window_end").isNotNull()).groupBy("province", "window_end").agg(F.sum("cnt").alias("cnt"))
         warned = batch.filter(F.col("window_end").isNull()).select(*unpack("passed", payload_fields(clicks.schema, ())))
         return {"province_counts": counts, "warnings": warned.select(*keys, "seq", F.lit(BLACKLIST_MSG).alias("msg"))}
 
-    def drain(spark, checkpoint, clicks):
+    def drain(spark, checkpoint, at, clicks):
         counts, warnings = bounded.drain_capped_counts(spark, checkpoint, clicks, keys, cap, "province", size, reset=reset)
         return {"province_counts": counts, "warnings": warnings.select(*keys, "seq", "msg")}
     return StreamJob([S.read_ad_clicks], lambda a: stream_capped_counts(a, keys, cap, "province", size, reset=reset),
@@ -114,8 +124,8 @@ def login_failures(within="2 seconds", keyed=False) -> StreamJob:
     fail = F.col("event_type") == "fail"
     return StreamJob(
         [S.read_logins], lambda lg: stream_strict_pairs(lg, fail, fail, within, keys, carry=carry),
-        lambda batch, lg: {"result": jobs.login_report(batch, keyed)},
-        lambda spark, checkpoint, lg: {"result": jobs.login_report(
+        lambda batch, at, lg: {"result": jobs.login_report(batch, keyed)},
+        lambda spark, checkpoint, at, lg: {"result": jobs.login_report(
             bounded.drain_strict_pairs(spark, checkpoint, lg, within, keys, carry=carry), keyed)})
 
 
@@ -123,10 +133,10 @@ def order_timeout(within="15 minutes") -> StreamJob:
     def stream(o):
         return stream_followed_by(o, F.col("pay_status") == "create", F.col("pay_status") == "pay", within, ["order_id"])
 
-    def drain(spark, checkpoint, o):
+    def drain(spark, checkpoint, at, o):
         res = bounded.drain_followed_by(spark, checkpoint, o, within, ["order_id"])
         return jobs.order_report(res.matched, res.timed_out)._asdict()
-    return StreamJob([S.read_orders], stream, lambda batch, o: jobs.order_report(
+    return StreamJob([S.read_orders], stream, lambda batch, at, o: jobs.order_report(
         batch.filter("kind = 'matched'"), batch.filter("kind = 'timeout'"))._asdict(), drain)
 
 
@@ -141,7 +151,7 @@ def receipt_match(timeout=None) -> StreamJob:
     def stream(o, r):
         return stream_pair_one_to_one(*sides(o, r), "pay_id", timeout, left_prefix="pay_", right_prefix="receipt_")
 
-    def branches(batch, o, r):
+    def branches(batch, at, o, r):
         pay = [c for c in batch.columns if c.startswith("pay_") and c != "pay_id"]
         # pay_type belongs to the receipt and comes as receipt_pay_type
         receipt = [c for c in batch.columns if c.startswith("receipt_")]
@@ -156,7 +166,7 @@ def receipt_match(timeout=None) -> StreamJob:
                                        F.coalesce("pay_seq", "receipt_seq").alias("seq")),
         }
 
-    def drain(spark, checkpoint, o, r):
+    def drain(spark, checkpoint, at, o, r):
         return bounded.drain_pair_one_to_one(spark, checkpoint, *sides(o, r), "pay_id", timeout,
                                              left_prefix="pay_", right_prefix="receipt_")._asdict()
     return StreamJob([S.read_orders, S.read_receipts], stream, branches, drain)
@@ -167,7 +177,7 @@ def receipt_interval_join(lower="-15 seconds", upper="15 seconds") -> StreamJob:
     return StreamJob(
         [S.read_orders, S.read_receipts], lambda o, r: stream_interval_join(
             _pays(o), r.drop("ts_s"), "pay_id", lower, upper, left_prefix="pay_", right_prefix="receipt_"),
-        lambda batch, o, r: {"result": batch}, lambda spark, checkpoint, o, r: {})
+        lambda batch, at, o, r: {"result": batch}, lambda spark, checkpoint, at, o, r: {})
 
 
 def top_urls(n=5, size="10 minutes", slide="5 seconds", delay="65 seconds", report=False) -> StreamJob:
@@ -212,11 +222,12 @@ def start(spark: SparkSession, name: str, inputs: list[str], output: str, checkp
     """Start a streaming job; each branch goes to ``output/<branch>/batch=<id>`` as Parquet (a
     replayed batch overwrites its own rows).  ``job``: the named job with other parameters."""
     job, frames = _job(spark, name, inputs, job)
+    carried = os.path.join(checkpoint, "carried")
 
     def sink(batch, batch_id):
         batch.persist()
         try:
-            _write(job.branches(batch, *frames), output, batch_id)
+            _write(job.branches(batch, Place(batch_id, carried), *frames), output, batch_id)
         finally:
             batch.unpersist()
     w = job.stream(*frames).writeStream.option("checkpointLocation", checkpoint)
@@ -232,4 +243,5 @@ def finish(spark: SparkSession, name: str, inputs: list[str], output: str, check
     overwrites these rows and its operators give them again in their time.
     """
     job, frames = _job(spark, name, inputs, job)
-    _write(job.drain(spark, checkpoint, *frames), output, bounded.next_batch(spark, checkpoint))
+    at = Place(bounded.next_batch(spark, checkpoint), os.path.join(checkpoint, "carried"))
+    _write(job.drain(spark, checkpoint, at, *frames), output, at.batch_id)

@@ -117,20 +117,16 @@ def drain_pair_one_to_one(spark, checkpoint, left, right, on, timeout=None, ts:
     return pair_one_to_one(*sides, keys, ts, seq, timeout, left_prefix, right_prefix)
 
 
-def drain_running_distinct(spark, checkpoint) -> DataFrame:
-    """(window_end, seq, uv) of the rows that wait, counted on from their window's values."""
-    rows = _only(read_state(spark, checkpoint, "buf")).select("key.window_end", "list_element.*")
+def drain_first_sightings(spark, checkpoint) -> DataFrame:
+    """The rows that wait, flagged against the values their window has seen."""
+    rows = _only(read_state(spark, checkpoint, "buf")).select("key.*", "list_element.*")
     seen = _only(read_state(spark, checkpoint, "seen")).select(
         F.col("key.window_end").alias("_w"), F.col("user_map_key.v").alias("_v"))
-    counts = _only(read_state(spark, checkpoint, "st")).select(
-        F.col("key.window_end").alias("_cw"), F.col("value.n").alias("_n"))
-    first = F.row_number().over(Window.partitionBy("window_end", "v").orderBy("us", "seq")) == 1
+    first = F.row_number().over(Window.partitionBy("window_end", "part", "v").orderBy("us", "seq")) == 1
     rows = rows.withColumn("_first", first).join(
         seen, (F.col("window_end") == F.col("_w")) & F.col("v").eqNullSafe(F.col("_v")), "left")
-    new = (F.col("_first") & F.col("_w").isNull()).cast("long")
-    upto = Window.partitionBy("window_end").orderBy("us", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_new", F.sum(new).over(upto)).join(counts, F.col("window_end") == F.col("_cw"), "left")
-    return rows.select("window_end", "seq", (F.col("_new") + F.coalesce("_n", F.lit(0))).alias("uv"))
+    flag = (F.col("_first") & F.col("_w").isNull()).cast("long").alias("first")
+    return rows.select("window_end", "part", "us", "seq", flag)
 
 
 def _window_state(state: DataFrame, keys, partials) -> DataFrame:

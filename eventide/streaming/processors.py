@@ -491,11 +491,13 @@ def stream_capped_counts(df: DataFrame, keys, cap: int, by: str, size, ts: str =
     return counted.select(by, "_salt", "window_end", "cnt", "passed")
 
 
-class RunningDistinct(StatefulProcessor):
-    """A8/E8 on a stream: per window, one output row per event with the number of
-    distinct values seen so far.  Keyed by window end; rows wait in list state until
-    the watermark passes them and are then replayed in (ts, seq) order against a
-    map state of the values already seen (the reference's per-window bitmap)."""
+class FirstSightings(StatefulProcessor):
+    """A8/E8 on a stream: flags each event that brings a value its window has not seen.
+
+    Keyed by (window end, part of the values), so one window is many tasks and a value is always
+    judged in the same one.  Rows wait in list state until the watermark passes them and are then
+    judged in (ts, seq) order against a map state of the values seen (the reference's bitmap).
+    """
 
     ROW = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType()),
                         T.StructField("v", T.LongType())])
@@ -504,12 +506,9 @@ class RunningDistinct(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buf", self.ROW)
         self.seen = handle.getMapState("seen", "v long", "x boolean")
-        self.count = handle.getValueState("st", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(r["us"], r["seq"], r["v"]) for r in rows]
-        for t in {n[0] // 1000 for n in new}:
-            self.handle.registerTimer(t + 1)
         if new:
             self.buf.appendList(new)
         yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
@@ -518,7 +517,7 @@ class RunningDistinct(StatefulProcessor):
         yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
 
     def _drain(self, key, wm: int) -> Iterator[Row]:
-        window_end = key[0] if isinstance(key, (tuple, list)) else key
+        window_end, part = key[0], key[1]
         rows = [_plain(tuple(r)) for r in self.buf.get()] if self.buf.exists() else []
         ready = sorted((r for r in rows if r[0] < wm * 1000), key=lambda r: (r[0], r[1]))
         rest = [r for r in rows if r[0] >= wm * 1000]
@@ -527,36 +526,37 @@ class RunningDistinct(StatefulProcessor):
                 self.buf.put(rest)
             else:
                 self.buf.clear()
-            n = self.count.get()[0] if self.count.exists() else 0
-            for _, seq, v in ready:
-                if not self.seen.containsKey((v,)):
-                    self.seen.updateValue((v,), (True,))
-                    n += 1
-                yield Row(window_end=window_end, seq=seq, uv=n)
-            self.count.update((n,))
-        if window_end > wm:
+        for us, seq, v in ready:
+            first = not self.seen.containsKey((v,))
+            if first:
+                self.seen.updateValue((v,), (True,))
+            yield Row(window_end=window_end, part=part, us=us, seq=seq, first=int(first))
+        if rest:
+            self.handle.registerTimer(min(r[0] for r in rest) // 1000 + 1)
+        elif window_end > wm:
             self.handle.registerTimer(window_end)
-        elif not rest:
-            # the window is closed and drained: drop its state
-            self.seen.clear()
-            self.count.clear()
+        else:
+            self.seen.clear()       # the window is closed and drained
 
     def close(self) -> None:
         pass
 
 
-def stream_running_distinct(df: DataFrame, col: str, size, ts: str = "ts", seq: str = "seq",
-                            delay="0 seconds", hashed: bool = True) -> DataFrame:
-    """Per event: (window_end, seq, distinct values so far in its tumbling window).
-    ``hashed=True`` counts the reference's bitmap offsets, else exact values."""
+def stream_first_sightings(df: DataFrame, col: str, size, ts: str = "ts", seq: str = "seq", delay="0 seconds",
+                           hashed: bool = True, parts: int = 16) -> DataFrame:
+    """Per event: window_end, part, us, seq, first (1 if its value is new in its tumbling window).
+
+    ``hashed=True`` judges the reference's bitmap offsets, else exact (integral) values.  The
+    running count per event follows per micro-batch: ``streaming.stores.running_counts``.
+    """
     from eventide.functions.hashing import poly_hash
     size_ms = interval_millis(size)
     t = F.unix_millis(ts)
     integral = isinstance(df.schema[col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     v = poly_hash(col, integral=integral) if hashed else F.col(col).cast("long")
-    staged = (df.withWatermark(ts, str(delay))
+    staged = (df.filter(F.col(ts).isNotNull() & F.col(seq).isNotNull()).withWatermark(ts, str(delay))
                 .select(ts, (t - F.pmod(t, F.lit(size_ms)) + F.lit(size_ms)).alias("window_end"),
                         F.unix_micros(ts).alias("us"), F.col(seq).cast("long").alias("seq"), v.alias("v")))
-    out_schema = "window_end long, seq long, uv long"
-    return staged.groupBy("window_end").transformWithState(
-        RunningDistinct(), out_schema, "append", "EventTime")
+    staged = staged.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(parts)))
+    return staged.groupBy("window_end", "part").transformWithState(
+        FirstSightings(), "window_end long, part long, us long, seq long, first long", "append", "EventTime")

@@ -292,15 +292,96 @@ def test_branch_writer_splits_kinds(spark, replay_dir):
         assert rows(got) == rows(whole, "user_id", "seq")
 
 
-def test_stream_running_distinct_equal_batch(spark, replay_dir):
+@pytest.mark.parametrize("size, parts", [("1 hour", 16), ("40 days", 16), ("1 day", 1)])
+def test_stream_running_distinct_equal_batch(spark, replay_dir, size, parts):
     from eventide.operators.distinct import running_distinct
-    from eventide.streaming import stream_running_distinct
+    from eventide.streaming import running_counts, stream_first_sightings
     d, _ = replay_dir
     s = _stream(spark, d).filter("event_type = 'view'")
-    got, ckpt = _collect(spark, stream_running_distinct(s, "user_id", "1 hour"), "s_run")
-    exp = running_distinct(_batch(spark, d).filter("event_type = 'view'"), "user_id", "1 hour")
-    got = got.unionByName(bounded.drain_running_distinct(spark, ckpt))
+    out, ckpt = tempfile.mkdtemp(prefix="eventide-run-"), checkpoint_location(spark, "s_run")
+    firsts = {}
+
+    def sink(batch, batch_id):
+        # every batch twice, as after a failure between its write and its commit
+        for _ in range(2):
+            running_counts(batch, batch_id, f"{ckpt}/carried").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        firsts[batch_id] = batch.select("window_end", "part").distinct().count()
+    stream_first_sightings(s, "user_id", size, parts=parts).writeStream.foreachBatch(sink) \
+        .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+    sink(bounded.drain_first_sightings(spark, ckpt), bounded.next_batch(spark, ckpt))
+    exp = running_distinct(_batch(spark, d).filter("event_type = 'view'"), "user_id", size)
+    got = spark.read.parquet(out)
     assert rows(got, "seq", "window_end", "uv") == rows(exp, "seq", "window_end", "uv")
+    if size == "40 days":
+        assert max(firsts.values()) > 1         # one window, many keys
+
+
+def test_bitmap_store_of_a_stream(spark, replay_dir):
+    from eventide.operators.distinct import bitmap_distinct_per_window
+    from eventide.streaming import bitmap_writer, compact_bitmaps, store_counts
+    d, _ = replay_dir
+    store, ckpt = tempfile.mkdtemp(prefix="eventide-bitmaps-"), checkpoint_location(spark, "bitmaps")
+    write = bitmap_writer(store, "user_id", "1 day", ["event_type"])
+    kept = []
+
+    def sink(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 2:
+            assert compact_bitmaps(spark, store, ["event_type"]) == 2
+        kept.append(batch_id)
+        write(batch, batch_id)                  # replayed, also after the compaction
+    _stream(spark, d).writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True) \
+        .start().awaitTermination()
+    assert len(kept) == 5
+    expect = bitmap_distinct_per_window(_batch(spark, d), "user_id", "1 day", ["event_type"])
+    cols = ("event_type", "window_end", "uv")
+    assert rows(store_counts(spark, store, ["event_type"]), *cols) == rows(expect, *cols)
+    assert compact_bitmaps(spark, store, ["event_type"]) == 4 == compact_bitmaps(spark, store, ["event_type"])
+    assert rows(store_counts(spark, store, ["event_type"]), *cols) == rows(expect, *cols)
+    assert compact_bitmaps(spark, tempfile.mkdtemp()) is None
+
+
+def test_late_rows_fire_whole_rankings_again(spark):
+    """The lists after the last late row are those of ``top_urls`` with the same delay and lateness."""
+    from eventide.plans import jobs
+    from eventide.streaming import newest_rankings, ranking_writer
+    from helpers import T0
+
+    base = T0 - T0 % 60
+    d = tempfile.mkdtemp(prefix="eventide-refire-")
+    parts = [
+        [("/a", 1), ("/b", 2), ("/a", 20), ("/c", 21)],
+        [("/b", 40), ("/c", 5), ("/c", 30)],                    # 35 s late, within 5 s + 60 s
+        [("/b", 70), ("/b", 12), ("/d", 66), ("/d", 67)],       # 58 s late
+        # a watermark rejects late rows from the second batch after the one that set it
+        [("/a", 300), ("/a", 301)], [("/a", 302)], [("/c", 10), ("/b", 299)],   # far too late; in time
+    ]
+    seq = 0
+    for i, part in enumerate(parts):
+        pdf = pd.DataFrame([(u, base + s, seq + j) for j, (u, s) in enumerate(part)], columns=["url", "ts_s", "seq"])
+        seq += len(part)
+        pdf["ts"] = pd.to_datetime(pdf["ts_s"], unit="s", utc=True).astype("datetime64[us, UTC]")
+        p = os.path.join(d, f"part-{i}.parquet")
+        pdf.to_parquet(p, index=False)
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    counts = stream_window_agg(_stream(spark, d), "60 seconds", [F.count(F.lit(1)).alias("cnt")], keys=["url"],
+                               slide="20 seconds", delay="65 seconds")
+    path = tempfile.mkdtemp(prefix="eventide-refire-out-")
+    write = ranking_writer(path, 2, "cnt", "url", span="1 minute")
+
+    def sink(batch, batch_id):
+        batch.persist()
+        for _ in range(2 if batch_id == 1 else 1):              # one replay
+            write(batch, batch_id)
+        batch.unpersist()
+    counts.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint_location(spark, "refire")) \
+        .trigger(availableNow=True).start().awaitTermination()
+    lists = spark.read.parquet(f"{path}/rankings")
+    assert lists.groupBy("window_end").agg(F.count_distinct("_version").alias("n")).filter("n > 1").count() > 0
+    on_time = _batch(spark, d).filter(~((F.col("url") == "/c") & (F.col("ts_s") == base + 10)))
+    expect = jobs.top_urls(on_time, 2, "60 seconds", "20 seconds")
+    cols = ("window_end", "rank", "url", "cnt")
+    assert rows(newest_rankings(spark, path), *cols) == rows(expect, *cols)
 
 
 def test_update_mode_versions_resolve_to_final_counts(spark):
