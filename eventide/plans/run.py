@@ -54,11 +54,20 @@ JOBS: dict[str, tuple[list[Callable], Callable]] = {
 }
 
 
-def run_job(spark: SparkSession, name: str, inputs: list[str]) -> dict[str, DataFrame]:
+def run_job(spark: SparkSession, name: str, inputs: list[str], malformed: bool = False) -> dict[str, DataFrame]:
+    """The job's output branches.  A line that does not parse fails the job, or with ``malformed``
+    goes to a branch of that name (input, file, line, reason, value)."""
     readers, job = JOBS[name]
     if len(inputs) != len(readers):
         raise SystemExit(f"{name} needs {len(readers)} input(s)")
-    return _branches(job(*[r(spark, p) for r, p in zip(readers, inputs)]))
+    if not malformed:
+        return _branches(job(*[r(spark, p) for r, p in zip(readers, inputs)]))
+    read = [S.read_branches(r, spark, p) for r, p in zip(readers, inputs)]
+    bad = [x.malformed.select(F.lit(i).alias("input"), "*") for i, x in enumerate(read, 1)]
+    whole = bad[0]
+    for more in bad[1:]:
+        whole = whole.unionByName(more)
+    return {**_branches(job(*[x.rows for x in read])), "malformed": whole}
 
 
 def main(argv=None) -> None:
@@ -67,6 +76,7 @@ def main(argv=None) -> None:
     ap.add_argument("--stream", action="store_true", help="run the Structured Streaming form")
     ap.add_argument("--checkpoint", help="checkpoint folder (stream); default under spark.checkpoint.dir")
     ap.add_argument("--continuous", action="store_true", help="keep running (stream); default availableNow")
+    ap.add_argument("--malformed", action="store_true", help="lines that do not parse become a branch (batch)")
     ap.add_argument("--input", required=True)
     ap.add_argument("--input2")
     ap.add_argument("--output", default="-")
@@ -84,7 +94,7 @@ def main(argv=None) -> None:
         if not a.continuous:
             stream_jobs.finish(spark, a.job, inputs, a.output, checkpoint)
         return
-    outs = run_job(spark, a.job, inputs)
+    outs = run_job(spark, a.job, inputs, a.malformed)
     for branch, df in outs.items():
         if a.output == "-":
             print(f"== {branch}")

@@ -4,8 +4,9 @@ import tempfile
 import pytest
 
 from conftest import rows
+from eventide.plans.run import run_job
 from eventide.sources import (
-    read_access_log, read_ad_clicks, read_logins, read_marketing, read_orders, read_receipts,
+    read_access_log, read_ad_clicks, read_branches, read_logins, read_marketing, read_orders, read_receipts,
     read_user_behavior,
 )
 
@@ -61,6 +62,58 @@ def test_malformed_rows(spark):
     assert rows(read_access_log(spark, bad_log, mode="DROPMALFORMED"), "url") == [("/b",)]
 
 
+def test_bad_unused_field_fails(spark):
+    # the category is not read by these jobs, the city not by any
+    p = _write("101,5001,77,pv,1600000000\n101,5001,x7,pv,1600000001\n")
+    for columns in (["user_id"], ["behavior", "ts"], ["ts_s", "seq"]):
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_user_behavior(spark, p).select(*columns).collect()
+    with pytest.raises(Exception, match="MALFORMED"):
+        run_job(spark, "page_views", [p])["result"].collect()
+    for short in ("7,9,north,1600000000\n", "7,9,north,town,c,1600000000\n"):
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_ad_clicks(spark, _write(short)).select("user_id").collect()
+    with pytest.raises(Exception, match="too few fields"):
+        read_access_log(spark, _write("10.0.0.1 - - 17/05/2020:10:05:03 +0000 GET\n")).select("ip").collect()
+
+
+def test_malformed_lines_are_a_branch(spark):
+    d = tempfile.mkdtemp(prefix="eventide-bad-")
+    good = [f"{i},5001,77,pv,{1600000000 + i}" for i in range(3000)]
+    bad = {17: "x,1,1,pv,1600000000", 1500: "1,2,3,pv", 2999: "1,2,3,pv,17e", 2500: "1,2,,pv,1600000000,9"}
+    for name, marks in (("a.csv", bad), ("b.csv", {5: "1,2,z,pv,3"})):
+        lines = list(good)
+        for n, text in marks.items():
+            lines[n - 1] = text
+        lines[9] = ""                               # an empty line is no row, and counts as a line
+        with open(os.path.join(d, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")     # several splits a file
+    try:
+        res = read_branches(read_user_behavior, spark, d)
+        got = sorted((os.path.basename(r.file), r.line, r.reason, r.value) for r in res.malformed.collect())
+        assert res.rows.columns == read_user_behavior(spark, d).columns
+        assert res.rows.count() == 2 * 2999 - 5
+        outs = run_job(spark, "page_views", [d], malformed=True)
+        assert outs["malformed"].count() == 5 and sum(r.pv for r in outs["result"].collect()) == 2 * 2999 - 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [("a.csv", 17, "user_id is no bigint: x", bad[17]), ("a.csv", 1500, "5 fields expected, found 4", bad[1500]),
+                   ("a.csv", 2500, "5 fields expected, found 6", bad[2500]), ("a.csv", 2999, "ts_s is no bigint: 17e", bad[2999]),
+                   ("b.csv", 5, "category_id is no bigint: z", "1,2,z,pv,3")]
+
+
+def test_malformed_log_lines_are_a_branch(spark):
+    p = _write("10.0.0.1 - - 99/99/2020:10:05:03 +0000 GET /a\n10.0.0.1 - - 17/05/2020:10:05:03 +0000 GET /b\nshort line\n")
+    res = read_branches(read_access_log, spark, p, tz="UTC")
+    assert rows(res.rows, "url") == [("/b",)]
+    got = sorted((r.line, r.reason) for r in res.malformed.collect())
+    assert got == [(1, "no time: 99/99/2020:10:05:03"), (3, "7 fields expected, found 2")]
+    outs = run_job(spark, "top_urls", [p], malformed=True)
+    assert outs["malformed"].count() == 2 and {r.url for r in outs["result"].collect()} == {"/b"}
+
+
 def test_permissive_keeps_corrupt_text(spark):
     p = _write("101,5001,77,pv,1600000000\nnot-a-number,1,1,pv,1600000001\n")
     df = read_user_behavior(spark, p, mode="PERMISSIVE").cache()
