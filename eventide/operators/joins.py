@@ -101,6 +101,26 @@ def pair_one_to_one(left: DataFrame, right: DataFrame, on, ts: str = "ts", seq:
     is then spread over its buckets instead of landing in one task.
     """
     keys = _keys(on)
+    b, lcols, rcols = _judged_runs(left, right, keys, ts, seq, timeout, bucket)
+
+    def side_cols(struct: str, names, prefix):
+        return [F.col(f"{struct}.{c}").alias(prefix + c) for c in names]
+
+    matched = _matched(b, keys, lcols, rcols, left_prefix, right_prefix)
+    reason = F.when(F.col("_nside").isNull(), F.lit("end")).otherwise(F.lit("timeout"))
+    unmatched = b.filter(F.col("_pending") & ~F.col("_over"))
+    left_only = unmatched.filter(F.col("_side") == 0).select(
+        *keys, *side_cols("_l", lcols, left_prefix), reason.alias("reason"))
+    right_only = unmatched.filter(F.col("_side") == 1).select(
+        *keys, *side_cols("_r", rcols, right_prefix), reason.alias("reason"))
+    over = b.filter("_over").select(
+        *keys, F.when(F.col("_side") == 0, F.lit("left")).otherwise(F.lit("right")).alias("side"),
+        F.col("_t").alias(ts), F.col("_s").alias(seq))
+    return PairResult(matched, left_only, right_only, over)
+
+
+def _judged_runs(left, right, keys, ts, seq, timeout, bucket):
+    """The rows of both sides with _closes / _pending / _over, and the payload columns of each side."""
     lcols = [c for c in left.columns if c not in keys]
     rcols = [c for c in right.columns if c not in keys]
     ltype = left.select(F.struct(*lcols).alias("x")).schema["x"].dataType
@@ -130,21 +150,32 @@ def pair_one_to_one(left: DataFrame, right: DataFrame, on, ts: str = "ts", seq:
         # a same-side successor after the timeout means the timer fired first
         overwritten = overwritten & ((micros("_nt") - micros("_t")) <= F.lit(t_us))
     b = b.withColumn("_closes", closes).withColumn("_pending", pending).withColumn("_over", overwritten)
+    return b, lcols, rcols
 
-    def side_cols(struct: str, names, prefix):
-        return [F.col(f"{struct}.{c}").alias(prefix + c) for c in names]
 
-    matched = _matched(b, keys, lcols, rcols, left_prefix, right_prefix)
-    reason = F.when(F.col("_nside").isNull(), F.lit("end")).otherwise(F.lit("timeout"))
-    unmatched = b.filter(F.col("_pending") & ~F.col("_over"))
-    left_only = unmatched.filter(F.col("_side") == 0).select(
-        *keys, *side_cols("_l", lcols, left_prefix), reason.alias("reason"))
-    right_only = unmatched.filter(F.col("_side") == 1).select(
-        *keys, *side_cols("_r", rcols, right_prefix), reason.alias("reason"))
-    over = b.filter("_over").select(
-        *keys, F.when(F.col("_side") == 0, F.lit("left")).otherwise(F.lit("right")).alias("side"),
-        F.col("_t").alias(ts), F.col("_s").alias(seq))
-    return PairResult(matched, left_only, right_only, over)
+OUTCOME = "branch"
+
+
+def pair_outcome(left: DataFrame, right: DataFrame, on, ts: str = "ts", seq: str = "seq", timeout=None,
+                 left_prefix: str = "left_", right_prefix: str = "right_", bucket="1 hour") -> DataFrame:
+    """``pair_one_to_one`` as one frame (S10): each outcome is a row with ``branch`` and the columns
+    of its branch, null elsewhere.  Written once, partitioned by branch, it reads each input once.
+    """
+    keys = _keys(on)
+    b, lcols, rcols = _judged_runs(left, right, keys, ts, seq, timeout, bucket)
+    is_left, pair, over = F.col("_side") == 0, F.col("_closes"), F.col("_over")
+    branch = (F.when(pair, "matched").when(over, "overwritten").when(F.col("_pending") & is_left, "left_only")
+              .when(F.col("_pending"), "right_only"))
+    lrow = F.when(~over, F.when(is_left, F.col("_l")).when(pair, F.col("_pl")))
+    rrow = F.when(~over, F.when(~is_left, F.col("_r")).when(pair, F.col("_pr")))
+    end = F.when(F.col("_nside").isNull(), F.lit("end")).otherwise(F.lit("timeout"))
+    rows = b.select(*keys, branch.alias(OUTCOME), lrow.alias("_ml"), rrow.alias("_mr"),
+                    F.when(~pair & ~over, end).alias("reason"),
+                    F.when(over, F.when(is_left, F.lit("left")).otherwise(F.lit("right"))).alias("side"),
+                    F.when(over, F.col("_t")).alias(ts), F.when(over, F.col("_s")).alias(seq))
+    return rows.filter(F.col(OUTCOME).isNotNull()).select(
+        *keys, OUTCOME, *[F.col(f"_ml.{c}").alias(left_prefix + c) for c in lcols],
+        *[F.col(f"_mr.{c}").alias(right_prefix + c) for c in rcols], "reason", "side", ts, seq)
 
 
 def _starts_run(side, prev_side, gap_us, t_us):

@@ -36,14 +36,28 @@ class CapResult(NamedTuple):
 def cap_per_key(df: DataFrame, keys, cap: int, ts: str = "ts", seq: str = "seq",
                 reset: str = "never", msg: str = BLACKLIST_MSG) -> CapResult:
     keys = [keys] if isinstance(keys, str) else list(keys)
+    ranked = _ranked(df, keys, cap, ts, seq, reset)
+    kept = ranked.filter(F.col("_r") <= cap).drop("_r")
+    warnings = (ranked.filter(F.col("_r") == cap + 1)
+                .select(*keys, ts, seq, F.lit(msg).alias("msg")))
+    return CapResult(kept, warnings)
+
+
+def _ranked(df, keys, cap, ts, seq, reset) -> DataFrame:
     part = [F.col(k) for k in keys]
     if reset == "event_day":
         part.append(floor_to(millis(ts), 86_400_000).alias("_day"))
     elif reset != "never":
         raise ValueError("reset must be 'never' or 'event_day'")
     w = Window.partitionBy(*part).orderBy(F.col(ts), F.col(seq))
-    ranked = df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= cap + 1)
-    kept = ranked.filter(F.col("_r") <= cap).drop("_r")
-    warnings = (ranked.filter(F.col("_r") == cap + 1)
-                .select(*keys, ts, seq, F.lit(msg).alias("msg")))
-    return CapResult(kept, warnings)
+    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= cap + 1)
+
+
+def cap_outcome(df: DataFrame, keys, cap: int, ts: str = "ts", seq: str = "seq", reset: str = "never",
+                msg: str = BLACKLIST_MSG) -> DataFrame:
+    """``cap_per_key`` as one frame (S10): the rows with ``branch`` ('kept' or 'warnings') and msg."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    refused = F.col("_r") > cap
+    return _ranked(df, keys, cap, ts, seq, reset).select(
+        *df.columns, F.when(refused, F.lit("warnings")).otherwise(F.lit("kept")).alias("branch"),
+        F.when(refused, F.lit(msg)).alias("msg"))

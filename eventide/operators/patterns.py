@@ -137,6 +137,16 @@ def followed_by(df: DataFrame, begin: Column, follow: Column, within, keys=(), t
     ``"chain"`` (any bucket width: a begin row with no later follow row in its bucket
     takes the first follow row of the key's next bucket that has one).
     """
+    outcome = followed_by_outcome(df, begin, follow, within, keys, ts, seq, carry, bucket, method)
+    late = [c for c in outcome.columns if c != "branch" and not c.startswith("follow_")]
+    return PatternResult(outcome.filter("branch = 'matched'").drop("branch"),
+                         outcome.filter("branch = 'timed_out'").select(*late))
+
+
+def followed_by_outcome(df: DataFrame, begin: Column, follow: Column, within, keys=(), ts: str = "ts",
+                        seq: str = "seq", carry=(), bucket=None, method: str = "auto") -> DataFrame:
+    """``followed_by`` as one frame (S10): a row per begin row, its ``branch`` ('matched' or
+    'timed_out') and its follow row (null when timed out)."""
     keys = _keys(keys)
     carry = list(carry)
     w_us = interval_micros(within) if within is not None else None
@@ -178,10 +188,8 @@ def followed_by(df: DataFrame, begin: Column, follow: Column, within, keys=(), t
     ok = F.col("_f").isNotNull()
     if w_us is not None:
         ok = ok & ((micros(F.col("_f.t")) - micros(F.col(ts))) < F.lit(w_us))
-    begin_cols = [*keys, F.col(ts).alias("begin_ts"), F.col(seq).alias("begin_seq"),
-                  *[F.col(c).alias(f"begin_{c}") for c in carry]]
-    matched = starts.filter(ok).select(
-        *begin_cols, F.col("_f.t").alias("follow_ts"), F.col("_f.s").alias("follow_seq"),
-        *[F.col(f"_f.{c}").alias(f"follow_{c}") for c in carry])
-    timed_out = starts.filter(~ok).select(*begin_cols)
-    return PatternResult(matched, timed_out)
+    f = F.when(ok, F.col("_f"))
+    return starts.select(
+        *keys, F.col(ts).alias("begin_ts"), F.col(seq).alias("begin_seq"), *[F.col(c).alias(f"begin_{c}") for c in carry],
+        f["t"].alias("follow_ts"), f["s"].alias("follow_seq"), *[f[c].alias(f"follow_{c}") for c in carry],
+        F.when(ok, F.lit("matched")).otherwise(F.lit("timed_out")).alias("branch"))

@@ -29,6 +29,12 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def tumbling_end(ts: str, size) -> Column:
+    """End (epoch ms) of the tumbling window a row falls in."""
+    size_ms = interval_millis(size)
+    return floor_to(millis(ts), size_ms) + F.lit(size_ms)
+
+
 def tumbling_agg(df: DataFrame, size, aggs: Sequence[Agg], keys=(), ts: str = "ts",
                  offset=0, with_start: bool = False, admit: str | None = None) -> DataFrame:
     """Aggregate per (keys, tumbling window).  Output: keys, [window_start], window_end, aggs.

@@ -17,12 +17,12 @@ from eventide.operators.aggs import Count, IntAvg
 from eventide.operators.distinct import (
     approx_distinct_per_window, bitmap_distinct_per_window, distinct_per_window, running_distinct,
 )
-from eventide.operators.joins import PairResult, interval_join, pair_one_to_one
+from eventide.operators.joins import PairResult, interval_join, pair_one_to_one, pair_outcome
 from eventide.operators.late import admit_from
-from eventide.operators.limits import cap_per_key
-from eventide.operators.patterns import followed_by, strict_pairs
+from eventide.operators.limits import cap_outcome, cap_per_key
+from eventide.operators.patterns import followed_by, followed_by_outcome, strict_pairs
 from eventide.operators.topn import sliding_top_n
-from eventide.operators.windows import sliding_agg, tumbling_agg
+from eventide.operators.windows import sliding_agg, tumbling_agg, tumbling_end
 
 
 def page_views(behavior: DataFrame, size="1 hour", pv: str = "pv") -> DataFrame:
@@ -238,3 +238,46 @@ def receipt_interval_join(pays: DataFrame, receipts: DataFrame, lower="-15 secon
     ``pay.ts + lower <= receipt.ts <= pay.ts + upper``."""
     return interval_join(pays, receipts, key, lower, upper, left_prefix="pay_",
                          right_prefix="receipt_", bucket=bucket)
+
+
+# ---- several outputs in one pass ------------------------------------------------------
+
+class Outcome(NamedTuple):
+    """A job with side outputs as one frame (S10): ``branch`` names a row's output, ``branches``
+    gives each output's columns (the others are null in its rows)."""
+    frame: DataFrame
+    branches: dict[str, list[str]]
+
+
+def ad_outcome(clicks: DataFrame, cap: int = 100, size="1 hour", keys=("user_id", "ad_id"),
+               reset: str = "never") -> Outcome:
+    """Q7 in one pass: the kept clicks' province counts and the warnings, by one aggregate."""
+    keys = list(keys)
+    capped = cap_outcome(clicks, keys, cap, reset=reset)
+    kept = F.col("branch") == "kept"
+    own = [F.when(~kept, F.col(c)).alias(c) for c in (*keys, "seq", "msg")]
+    rows = capped.select(F.when(kept, "province_counts").otherwise("warnings").alias("branch"),
+                         F.when(kept, F.col("province")).alias("province"),
+                         F.when(kept, tumbling_end("ts", size)).alias("window_end"), *own)
+    frame = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("cnt"))
+    return Outcome(frame, {"province_counts": ["province", "window_end", "cnt"], "warnings": [*keys, "seq", "msg"]})
+
+
+def order_outcome(orders: DataFrame, within="15 minutes", create: str = "create", pay: str = "pay", bucket=None) -> Outcome:
+    """Q9 in one pass."""
+    found = followed_by_outcome(orders, F.col("pay_status") == create, F.col("pay_status") == pay, within,
+                                keys=["order_id"], bucket=bucket)
+    paid = F.col("branch") == "matched"
+    frame = found.select("order_id", F.col("begin_seq").alias("create_seq"), F.col("follow_seq").alias("pay_seq"),
+                         F.when(paid, F.lit(PAY_SUCCESS_MSG)).otherwise(F.lit(PAY_TIMEOUT_MSG)).alias("msg"),
+                         F.when(paid, F.lit("paid")).otherwise(F.lit("timed_out")).alias("branch"))
+    return Outcome(frame, {"paid": ["order_id", "create_seq", "pay_seq", "msg"], "timed_out": ["order_id", "create_seq", "msg"]})
+
+
+def receipt_outcome(pays: DataFrame, receipts: DataFrame, timeout=None, key: str = "pay_id", bucket="1 hour") -> Outcome:
+    """Q10 in one pass."""
+    frame = pair_outcome(pays, receipts, key, timeout=timeout, bucket=bucket, left_prefix="pay_", right_prefix="receipt_")
+    left = ["pay_" + c for c in pays.columns if c != key]
+    right = ["receipt_" + c for c in receipts.columns if c != key]
+    return Outcome(frame, {"matched": [key, *left, *right], "left_only": [key, *left, "reason"],
+                           "right_only": [key, *right, "reason"], "overwritten": [key, "side", "ts", "seq"]})

@@ -5,9 +5,10 @@
     python -m eventide.plans.run --stream hot_items --input in_dir/ --output out/ --checkpoint ckpt/
 
 A ``--stream`` run reads the files that are there, ends, and then finishes what its operators still
-hold, so it gives the batch run's rows; ``--continuous`` keeps it running.  Each output branch (main output and side outputs) is written as parquet under
-``<output>/<branch>``; ``--output -`` prints every row of each branch instead
-(the reference's print sink).  Parameters default to the reference's.
+hold, so it gives the batch run's rows; ``--continuous`` keeps it running.  A job's output is written as parquet under
+``<output>/<branch>``; a job with side outputs is computed and written in one pass, as
+``<output>/branch=<name>`` (``read_branch`` gives a branch's own columns).  ``--output -`` prints
+every row instead (the reference's print sink).  Parameters default to the reference's.
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ import argparse
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventide import sources as S
 from eventide.plans import jobs
+from eventide.streaming.stores import exists
 
 
 def _branches(result) -> dict[str, DataFrame]:
@@ -54,6 +56,45 @@ JOBS: dict[str, tuple[list[Callable], Callable]] = {
 }
 
 
+# the jobs with side outputs as one frame each
+OUTCOMES: dict[str, Callable] = {
+    "ad_blacklist": lambda a: jobs.ad_outcome(a),
+    "order_timeout": lambda o: jobs.order_outcome(o),
+    "receipt_match": lambda o, r: jobs.receipt_outcome(_orders_pays(o), r.drop("ts_s")),
+}
+
+
+def run_outcome(spark: SparkSession, name: str, inputs: list[str], output: str, malformed: bool = False) -> dict[str, int]:
+    """Run a job with side outputs once: one read of each input, one partitioned write, and the
+    branches' row counts taken on the way.  ``malformed``: as in ``run_job``; the lines that do not
+    parse go to ``<output>/branch=malformed``."""
+    readers, bad = JOBS[name][0], []
+    if malformed:
+        read = [S.read_branches(r, spark, p) for r, p in zip(readers, inputs)]
+        frames, bad = [x.rows for x in read], [x.malformed for x in read]
+    else:
+        frames = [r(spark, p) for r, p in zip(readers, inputs)]
+    outcome = OUTCOMES[name](*frames)
+    seen = Observation()
+    counts = [F.count(F.when(F.col("branch") == b, 1)).alias(b) for b in outcome.branches]
+    outcome.frame.observe(seen, *counts).write.mode("overwrite").partitionBy("branch").parquet(output)
+    found = dict(seen.get)
+    for i, lines in enumerate(bad, 1):
+        lines.select(F.lit(i).alias("input"), "*").write.mode("overwrite" if i == 1 else "append") \
+            .parquet(os.path.join(output, "branch=malformed"))
+    return found
+
+
+def read_branch(spark: SparkSession, name: str, inputs: list[str], output: str, branch: str) -> DataFrame:
+    """A branch written by ``run_outcome``, with its own columns."""
+    outcome = OUTCOMES[name](*[r(spark, p) for r, p in zip(JOBS[name][0], inputs)])
+    schema = outcome.frame.drop("branch").schema
+    path = os.path.join(output, f"branch={branch}")
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema).select(*outcome.branches[branch])
+    return spark.read.schema(schema).parquet(path).select(*outcome.branches[branch])
+
+
 def run_job(spark: SparkSession, name: str, inputs: list[str], malformed: bool = False) -> dict[str, DataFrame]:
     """The job's output branches.  A line that does not parse fails the job, or with ``malformed``
     goes to a branch of that name (input, file, line, reason, value)."""
@@ -94,6 +135,9 @@ def main(argv=None) -> None:
         if not a.continuous:
             stream_jobs.finish(spark, a.job, inputs, a.output, checkpoint)
         return
+    if a.job in OUTCOMES and a.output != "-":
+        print(run_outcome(spark, a.job, inputs, a.output, a.malformed))
+        return
     outs = run_job(spark, a.job, inputs, a.malformed)
     for branch, df in outs.items():
         if a.output == "-":

@@ -44,7 +44,8 @@ def _csv(spark, path, schema, stream=False, trim=False, mode="FAILFAST", files="
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
     # the raw text of a line that does not parse stands next to its null fields
     fields += "" if mode == "FAILFAST" else f", {CORRUPT} string"
-    rows = lines.withColumn("_row", F.from_csv("value", fields, options))
+    # a generator's output is computed once: filters and projections above it don't parse again
+    rows = lines.select("*", F.explode(F.array(F.from_csv("value", fields, options))).alias("_row"))
     reason = [_field_reason(schema, trim).alias(REASON)] if mode == MARKED else []
     out = rows.select("_row.*", *reason, *[c for c in lines.columns if c != "value"])
     if mode == "DROPMALFORMED":

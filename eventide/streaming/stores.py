@@ -17,7 +17,7 @@ from eventide.operators.distinct import bitmap_distinct_per_window, merge_bitmap
 from eventide.operators.topn import latest_per_key, top_n_per_window
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
@@ -30,7 +30,7 @@ def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
     return sorted(int(n[len(prefix):]) for n in names
-                  if n.startswith(prefix) and _exists(spark, f"{path}/{n}/_SUCCESS"))
+                  if n.startswith(prefix) and exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
 # ---- A8: running distinct counts ------------------------------------------------------
@@ -46,7 +46,7 @@ def running_counts(batch: DataFrame, batch_id: int, folder: str, sub="1 minute",
     """
     spark = batch.sparkSession
     before = spark.createDataFrame([], "window_end long, total long")
-    if _exists(spark, f"{folder}/batch={batch_id - 1}/_SUCCESS"):
+    if exists(spark, f"{folder}/batch={batch_id - 1}/_SUCCESS"):
         before = spark.read.schema(before.schema).parquet(f"{folder}/batch={batch_id - 1}")
     carried = before.select(F.col("window_end").alias("_w"), "total")
     now = batch.groupBy("window_end").agg(F.sum("first").alias("new"), F.max("us").alias("last"))

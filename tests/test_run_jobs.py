@@ -1,10 +1,13 @@
 """The reference's jobs end to end on small hand-written text files."""
 
 import os
+import re
 import tempfile
 
+import pytest
+
 from conftest import rows
-from eventide.plans.run import JOBS, run_job
+from eventide.plans.run import JOBS, OUTCOMES, read_branch, run_job, run_outcome
 
 T = 1_600_000_000
 
@@ -71,3 +74,41 @@ def test_marketing_and_urls_jobs(spark):
                 f"10.0.0.3 - - 13/09/2020:12:26:42 +0000 GET /b\n")
     top = run_job(spark, "top_urls", [log])["result"]
     assert {(r.rank, r.url, r.cnt) for r in top.collect()} == {(1, "/a", 2), (2, "/b", 1)}
+
+
+def _case(name):
+    import test_bounded as B
+    return [make() for make in B.INPUTS[name]]
+
+
+@pytest.mark.parametrize("name", sorted(OUTCOMES))
+def test_side_outputs_in_one_pass(spark, name):
+    inputs = _case(name)
+    readers = JOBS[name][0]
+    outcome = OUTCOMES[name](*[r(spark, p) for r, p in zip(readers, inputs)])
+    expected = run_job(spark, name, inputs)
+    assert set(outcome.branches) == set(expected)
+    out = tempfile.mkdtemp(prefix="eventide-outcome-")
+    counts = run_outcome(spark, name, inputs, out)
+    for branch, df in expected.items():
+        got = read_branch(spark, name, inputs, out, branch)
+        assert set(got.columns) == set(df.columns)
+        assert [got.schema[c].dataType for c in df.columns] == [df.schema[c].dataType for c in df.columns]
+        assert sorted(map(str, rows(got, *df.columns))) == sorted(map(str, rows(df, *df.columns))), branch
+        assert counts[branch] == df.count()
+    assert sum(counts.values()) > 0
+    # one scan of each input, all else reuses its shuffle
+    outcome.frame.collect()
+    plan = outcome.frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan text", plan)) == len(inputs)
+    # and one parse of each line
+    assert len(re.findall(r"explode\(array\(from_csv", plan)) == len(re.findall(r"from_csv\(", plan)) == len(inputs)
+
+
+def test_outcome_with_malformed_lines(spark):
+    p = _file(f"a,create,,{T}\na,pay,p1,{T + 60}\nb,create,,soon\nb,pay\n")
+    out = tempfile.mkdtemp(prefix="eventide-outcome-bad-")
+    assert run_outcome(spark, "order_timeout", [p], out, malformed=True) == {"paid": 1, "timed_out": 0}
+    bad = spark.read.parquet(os.path.join(out, "branch=malformed"))
+    assert rows(bad, "input", "line", "reason") == [(1, 3, "ts_s is no bigint: soon"), (1, 4, "4 fields expected, found 2")]
+    assert read_branch(spark, "order_timeout", [p], out, "timed_out").count() == 0
