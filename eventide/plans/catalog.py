@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.functions.time import to_event_time
 from eventide.operators.distinct import bitmap_distinct_per_window, merge_bitmaps
 from eventide.plans import jobs
+from eventide.sources import parse_access_log, parse_csv, schemas
 from eventide.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +100,22 @@ def q_top_urls(spark, sf):
     return jobs.top_urls(T.as_access_log(T.events(spark, sf)), 5, "10 minutes", "5 seconds")
 
 
+def q_access_log_top_urls(spark, sf):
+    # the events as text lines, read back by the access log's parser
+    log = parse_access_log(T.access_log_lines(T.events(spark, sf)))
+    return jobs.top_urls(log, 5, "10 minutes", "5 seconds")
+
+
+def q_csv_page_views(spark, sf):
+    rows = parse_csv(T.behavior_lines(T.events(spark, sf)), schemas.USER_BEHAVIOR, trim=True)
+    return jobs.page_views(to_event_time(rows, "ts_s", "s"), pv=T.VIEW)
+
+
+def q_csv_marketing_total(spark, sf):
+    rows = parse_csv(T.marketing_lines(T.events(spark, sf)), schemas.MARKETING)
+    return jobs.marketing_total(to_event_time(rows, "ts_ms", "ms"), exclude=T.ERROR)
+
+
 def q_top_urls_late(spark, sf):
     # arrival: every eight events in reverse order
     log = T.as_access_log(T.events(spark, sf)).withColumn("arrival", F.expr("seq + 7 - 2 * (seq % 8)"))
@@ -398,6 +416,7 @@ SQL = {
         "event_type as behavior, 'channel_' || (k % 5) as channel",
         3_600_000, 10_000, "event_type <> 'error'", start=True),
     "top_urls": _URLS,
+    "access_log_top_urls": _URLS,
     "top_urls_late": _URLS_LATE,
     "top_urls_report": _report(_URLS, "url", " url=", "=" * 28),
     "ad_clicks_by_province": _province(_CLICKS),
@@ -433,6 +452,9 @@ SQL = {
          and l.l_shipdate between o.o_orderdate - interval 15 day and o.o_orderdate + interval 15 day""",
 }
 
+SQL["csv_page_views"] = SQL["page_views"]
+SQL["csv_marketing_total"] = SQL["marketing_total"]
+
 QUERIES: dict[str, Query] = {
     "page_views": q_page_views,
     "hot_items": q_hot_items,
@@ -448,6 +470,9 @@ QUERIES: dict[str, Query] = {
     "marketing_total": q_marketing_total,
     "marketing_by_channel": q_marketing_by_channel,
     "top_urls": q_top_urls,
+    "access_log_top_urls": q_access_log_top_urls,
+    "csv_page_views": q_csv_page_views,
+    "csv_marketing_total": q_csv_marketing_total,
     "top_urls_late": q_top_urls_late,
     "top_urls_report": q_top_urls_report,
     "ad_clicks_by_province": q_ad_clicks_by_province,

@@ -38,7 +38,12 @@ PLACE = ("_file", "_place", "_at")
 
 
 def _csv(spark, path, schema, stream=False, trim=False, mode="FAILFAST", files="name") -> DataFrame:
-    lines = _lines(spark, path, stream, files, mode == MARKED).filter("trim(value) <> ''")
+    return parse_csv(_lines(spark, path, stream, files, mode == MARKED), schema, trim, mode)
+
+
+def parse_csv(lines: DataFrame, schema: T.StructType, trim: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """The fields of each line's ``value`` by position, and the other columns of ``lines``."""
+    lines = lines.filter("trim(value) <> ''")
     options = {"mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
                "ignoreLeadingWhiteSpace": str(trim).lower(), "ignoreTrailingWhiteSpace": str(trim).lower()}
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)

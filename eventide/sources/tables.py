@@ -95,3 +95,21 @@ def as_access_log(ev: DataFrame) -> DataFrame:
     """Access-log rows: url = '/item/' || k for every event."""
     return ev.select(F.col("user_id").cast("string").alias("ip"), F.lit("GET").alias("method"),
                      F.concat(F.lit("/item/"), F.col("k").cast("string")).alias("url"), "ts", "seq")
+
+
+def behavior_lines(ev: DataFrame) -> DataFrame:
+    """The events as lines of the behaviour input (blanks around its fields)."""
+    return ev.select(F.concat_ws(" , ", "user_id", "k", F.expr("k div 10"), "event_type", F.unix_seconds("ts")).alias("value"), "seq")
+
+
+def marketing_lines(ev: DataFrame) -> DataFrame:
+    """The events as lines of the marketing input."""
+    return as_marketing(ev).select(F.concat_ws(",", "user_id", "behavior", "channel", F.unix_millis("ts")).alias("value"), "seq")
+
+
+def access_log_lines(ev: DataFrame) -> DataFrame:
+    """The events as access-log lines (UTC)."""
+    log = as_access_log(ev)
+    wall = F.date_format(F.timestamp_add("MICROSECOND", F.unix_micros("ts"), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")),
+                         "dd/MM/yyyy:HH:mm:ss")
+    return log.select(F.concat_ws(" ", "ip", F.lit("-"), F.lit("-"), wall, F.lit("+0000"), "method", "url").alias("value"), "seq")
