@@ -37,7 +37,9 @@ FEMALE = r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Doña|Signora|госпожа|
 NEUTRAL = r"Dr|Prof"
 PATTERNS = {
     "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"',;]{6,}",
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # tried once a run of its characters, never taken back, labels and their number bounded as in the DNS: a
+    # longer run before the @ (mail allows 64) or a longer label is no address
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,256}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){0,126}\.[A-Za-z]{2,63}",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
@@ -86,14 +88,16 @@ def canonical(entity: Column, kind_: Column) -> Column:
 
 
 def _stream(seed: Column, n: Column) -> Column:
-    """Enough hex digits for ``n`` bytes of a keyed hash."""
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.floor(n / 32).cast("int")),
-                                    lambda j: F.sha2(F.concat_ws("#", seed, j.cast("string")), 256)), "")
+    """Blocks of a keyed hash, enough for ``n`` draws of 16 bits."""
+    return F.transform(F.sequence(F.lit(0), F.floor(n / 15).cast("int")),
+                       lambda j: F.sha2(F.concat_ws("#", seed, j.cast("string")), 256))
 
 
 def _byte(stream: Column, i: Column) -> Column:
-    """16 bits at place i, so that remainders are nearly even."""
-    return F.conv(F.substr(stream, i * 2 + 1, F.lit(4)), 16, 10).cast("int")
+    """Draw ``i``: 16 bits, so that remainders are nearly even (15 draws a block, found at once)."""
+    i = i if isinstance(i, Column) else F.lit(i)
+    block = F.get(stream, F.floor(i / 15).cast("int"))
+    return F.conv(F.substr(block, (i % 15) * 4 + 1, F.lit(4)), 16, 10).cast("int")
 
 
 def _luhn(digits: Column) -> Column:
@@ -125,8 +129,10 @@ def surrogate(kind_: Column, canon: Column, attempt: Column, key: str = KEY) ->
     head = F.when(kind_.isin("phone", "card"), 1).when(kind_ == "key", 4).otherwise(0)
 
     def spelt(s):
-        drawn = F.transform(chars, lambda c, i: F.when((i < head) | (i >= n - tail), c)
-                            .otherwise(_swap(c, _byte(s, i), hexed)))
+        # what does not depend on the character is found once
+        whole = F.struct(head.alias("head"), (n - tail).alias("end"), hexed.alias("hexed"))
+        drawn = let(whole, lambda w: F.transform(chars, lambda c, i: F.when((i < w["head"]) | (i >= w["end"]), c)
+                                                 .otherwise(_swap(c, _byte(s, i), w["hexed"]))))
         text = F.array_join(drawn, "")
         valid = (kind_ == "card") & _luhn(canon)
         body = F.substr(text, F.lit(1), n - 1)

@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -36,6 +37,40 @@ def test_surrogates(spark, docs):
     assert m and m[1] == m[3]
 
 
+LONG = {
+    "labels": "x@" + "a." * 20_000 + "com",
+    "run": "7 " + "a" * 1_000_000,
+    "runs": ("a" * 300 + "@") * 3_000,
+    "hex": "0123456789abcdef" * 60_000,
+    "digits": "4539 5787 " * 100_000,
+    "dots": "1." * 400_000,
+    "phones": "+1 499 " * 120_000,
+    "iban": "DE89" * 250_000,
+    "secret": "password=" + "b3d7f2a7" * 40_000,
+    "name": "Mr " + "A" * 500_000,
+    "names": "Mr A" + " Bb" * 300_000,
+    "key": "AKIA" * 200_000,
+    "label": "x@" + "a" * 500_000 + ".com",
+}
+
+
+def test_long_texts_of_every_pattern(spark, docs):
+    rows = list(enumerate(LONG.values()))
+    start = time.time()
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymise(docs(rows)).collect()}
+    assert time.time() - start < 120 and len(got) == len(rows)
+    of = dict(zip(LONG, (got[i] for i, _ in rows)))
+    assert of["secret"] != LONG["secret"] and len(of["secret"]) == len(LONG["secret"]) and "b3d7f2a7" * 3 not in of["secret"]
+    assert of["run"] == LONG["run"] and of["hex"] == LONG["hex"]
+
+
+def test_addresses_within_their_bounds(spark, docs):
+    deep = "user@" + ".".join(["ab"] * 100) + ".example.org"
+    got = [r["text"] for r in pii.pseudonymise(docs([(1, f"to {deep}, <{'l' * 64}@x-y.co.uk>; a@b.c, me@site.com1")])).collect()][0]
+    assert "example" not in got and "l" * 64 not in got and "x-y" not in got and "me@site" not in got
+    assert got.endswith("1") and "a@b.c," in got            # a one-letter domain is none
+
+
 def test_collisions_are_drawn_again(spark):
     # 1-digit octets leave 9**4 addresses; half of them are real
     rows = [("ip", f"{a}.{b}.{c}.{d}") for a in range(1, 6) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
