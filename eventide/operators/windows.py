@@ -10,17 +10,21 @@ Sliding windows use *pane aggregation* by default: rows are aggregated once per
 aggregated panes are expanded to the ``size/slide`` windows that contain them
 and merged again.  A plain ``window()``-style expansion copies every input row
 ``size/slide`` times before any aggregation (360x for 1 h / 10 s).
+
+Aggregates that are integer sums need no copies at all (``window_spans``): a pane is
+added at the first window end that holds it and subtracted after the last, and a
+running sum per key gives the spans of window ends over which nothing changes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.time import floor_to, interval_millis, millis
-from eventide.operators.aggs import Agg, finish_exprs, merge_exprs, partial_exprs
+from eventide.operators.aggs import Agg, Count, finish_exprs, merge_exprs, partial_exprs
 
 
 def _keys(keys) -> list[str]:
@@ -88,17 +92,10 @@ def pane_aggregates(df: DataFrame, slide_ms: int, aggs: Sequence[Agg], keys, ts:
     return df.groupBy(*keys, pane.alias("_pane"), first.alias("_first")).agg(*partial_exprs(aggs))
 
 
-def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequence[Agg], keys,
-                       spread_keys=None, bucket_ms: int | None = None, offset_ms: int = 0) -> DataFrame:
-    """Merge pane partials into sliding windows with one small shuffle.
-
-    Window ends are grouped in time buckets of ``bucket_ms`` (>= size).  A pane
-    reaches at most two buckets, so pane rows are copied at most twice, then
-    hash-partitioned by (spread_keys, bucket).  The expansion to ``size/slide``
-    window ends and the merge run inside each partition: the exchange carries
-    pane aggregates only, never one row per (key, window).  Output keeps the
-    bucket as ``_bkt`` so later operators (top-N) can stay in the same partitions.
-    """
+def _spread_panes(panes: DataFrame, size_ms: int, slide_ms: int, keys, spread_keys, bucket_ms: int | None,
+                  offset_ms: int) -> tuple[DataFrame, Column, Column]:
+    """Panes hash-partitioned by (spread_keys, time bucket ``_bkt``), at most two copies each,
+    and the first and last window end of a pane in its bucket."""
     spread_keys = list(keys if spread_keys is None else spread_keys)
     b = bucket_ms or BUCKET_WINDOWS * size_ms
     if b < size_ms or b % slide_ms:
@@ -106,7 +103,6 @@ def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequ
     pane = F.col("_pane")
     first = floor_to(F.col("_first") - F.lit(1), b, offset_ms)
     last = floor_to(pane + F.lit(size_ms - 1), b, offset_ms)
-    partial_cols = [n for a in aggs for n, _ in a.partials()]
     # a fixed partition count: the rows multiply after the exchange, so AQE must not
     # coalesce these partitions by their (small) shuffle size
     n_parts = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -115,12 +111,62 @@ def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequ
     # window ends e of this pane with bucket < e <= bucket + b, on the slide grid
     lo = F.greatest(F.col("_first"), F.col("_bkt") + F.lit(slide_ms))
     hi = F.least(pane + F.lit(size_ms), F.col("_bkt") + F.lit(b))
+    return spread, lo, hi
+
+
+def expand_panes_local(panes: DataFrame, size_ms: int, slide_ms: int, aggs: Sequence[Agg], keys,
+                       spread_keys=None, bucket_ms: int | None = None, offset_ms: int = 0) -> DataFrame:
+    """Merge pane partials into sliding windows with one small shuffle.
+
+    Window ends are grouped in time buckets of ``bucket_ms`` (>= size).  A pane
+    reaches at most two buckets, so pane rows are copied at most twice, then
+    hash-partitioned by (spread_keys, bucket).  The expansion to ``size/slide``
+    window ends and the merge run inside each partition: the exchange carries
+    pane aggregates only, never one row per (key, window).  Output keeps the
+    bucket as ``_bkt`` so later operators (top-N) can stay in the same partitions.
+    """
+    spread, lo, hi = _spread_panes(panes, size_ms, slide_ms, keys, spread_keys, bucket_ms, offset_ms)
+    partial_cols = [n for a in aggs for n, _ in a.partials()]
     return (spread.select(*keys, "_bkt", F.explode(F.sequence(lo, hi, F.lit(slide_ms))).alias("window_end"),
                           *partial_cols)
                   .groupBy(*keys, "_bkt", "window_end")
                   .agg(*merge_exprs(aggs)))
 
 
+def reversible(aggs: Sequence[Agg]) -> bool:
+    return all(a.reversible for a in aggs)
+
+
+def window_spans(df: DataFrame, size_ms: int, slide_ms: int, aggs: Sequence[Agg], keys, ts: str = "ts",
+                 spread_keys=None, offset_ms: int = 0, admit: str | None = None) -> DataFrame:
+    """Sliding windows as spans (keys, _bkt, _from, _to, partials): every window end of
+    ``[_from, _to)`` on the slide grid holds the same panes of the key.
+
+    Needs reversible aggregates and ``size % slide == 0``.  After the pane exchange (see
+    ``expand_panes_local``) each pane is two rows, whatever ``size / slide`` is: its partials
+    where it enters, and their negatives one slide after its last window end.  A key's running
+    sum over one bucket is the window's partials, up to the next step.  At the end of a bucket
+    all its panes leave, so no sum reaches beyond it."""
+    live = Count("_live")
+    panes = pane_aggregates(df, slide_ms, [*aggs, live], keys, ts, offset_ms, size_ms, admit)
+    spread, lo, hi = _spread_panes(panes, size_ms, slide_ms, keys, spread_keys, None, offset_ms)
+    cols = [n for a in (*aggs, live) for n, _ in a.partials()]
+    enter = F.struct(lo.alias("_from"), *[F.col(c).alias(c) for c in cols])
+    leave = F.struct((hi + F.lit(slide_ms)).alias("_from"), *[(-F.col(c)).alias(c) for c in cols])
+    steps = (spread.select(*keys, "_bkt", F.inline(F.array(enter, leave)))
+             .groupBy(*keys, "_bkt", "_from").agg(*[F.sum(c).alias(c) for c in cols]))
+    order = Window.partitionBy(*keys, "_bkt").orderBy("_from")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (steps.select(*keys, "_bkt", "_from", F.lead("_from").over(order).alias("_to"),
+                         *[F.sum(c).over(upto).alias(c) for c in cols])
+            .filter(F.col(live._p()) > 0).drop(live._p()))
+
+
+def span_ends(slide_ms: int, start: str = "_from", stop: str = "_to") -> Column:
+    """Window ends of a span, exploded."""
+    return F.explode(F.sequence(F.col(start), F.col(stop) - F.lit(slide_ms), F.lit(slide_ms)))
+
+
 def sliding_agg(df: DataFrame, size, slide, aggs: Sequence[Agg], keys=(), ts: str = "ts",
                 offset=0, method: str = "panes", with_start: bool = False,
                 spread_keys=None, keep_bucket: bool = False, admit: str | None = None) -> DataFrame:
@@ -128,7 +174,8 @@ def sliding_agg(df: DataFrame, size, slide, aggs: Sequence[Agg], keys=(), ts: st
 
     ``method="panes"`` (default, H1) needs ``size % slide == 0``: rows are aggregated
     per (keys, pane) with map-side partial aggregation, and only pane aggregates are
-    shuffled and expanded (see ``expand_panes_local``).  ``method="expand"`` (or a
+    shuffled; they become windows by running sums where all aggregates are reversible
+    (``window_spans``), else by expansion (``expand_panes_local``, also ``method="copies"``).  ``method="expand"`` (or a
     size that is not a multiple of the slide) copies every row to its windows first.
     ``spread_keys`` picks the partitioning of the expansion (default: the keys;
     ``[]`` = by time bucket only, so all keys of a window meet in one partition).
@@ -141,11 +188,15 @@ def sliding_agg(df: DataFrame, size, slide, aggs: Sequence[Agg], keys=(), ts: st
     if size_ms == slide_ms and not keep_bucket:
         return tumbling_agg(df, size, aggs, keys, ts, offset, with_start, admit)
     extra = []
-    if method == "panes" and size_ms % slide_ms == 0:
+    if method == "panes" and size_ms % slide_ms == 0 and reversible(aggs):
+        spans = window_spans(df, size_ms, slide_ms, aggs, keys, ts, spread_keys, off_ms, admit)
+        out = spans.withColumn("window_end", span_ends(slide_ms))
+        extra = ["_bkt"] if keep_bucket else []
+    elif method in ("panes", "copies") and size_ms % slide_ms == 0:
         panes = pane_aggregates(df, slide_ms, aggs, keys, ts, off_ms, size_ms, admit)
         out = expand_panes_local(panes, size_ms, slide_ms, aggs, keys, spread_keys, offset_ms=off_ms)
         extra = ["_bkt"] if keep_bucket else []
-    elif method in ("panes", "expand"):
+    elif method in ("panes", "copies", "expand"):
         if keep_bucket:
             raise ValueError("keep_bucket needs pane aggregation")
         exploded = df.withColumn("window_end", F.explode(row_windows(millis(ts), size_ms, slide_ms, off_ms)))

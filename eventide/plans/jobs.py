@@ -42,23 +42,24 @@ def item_counts(behavior: DataFrame, size="1 hour", slide="5 minutes", metric: s
     return sliding_agg(behavior.filter(F.col("behavior") == pv), size, slide, [agg], keys=["item_id"])
 
 
-def _hot_items(behavior, n, size, slide, metric, pv):
+def _hot_items(behavior, n, size, slide, metric, pv, salts):
     if metric not in ("count", "avg_ts"):
         raise ValueError("metric must be 'count' or 'avg_ts'")
     agg = Count("cnt") if metric == "count" else IntAvg("cnt", "ts_s")
-    return sliding_top_n(behavior.filter(F.col("behavior") == pv), size, slide, [agg], "item_id", n, "cnt")
+    return sliding_top_n(behavior.filter(F.col("behavior") == pv), size, slide, [agg], "item_id", n, "cnt",
+                         salts=salts)
 
 
 def hot_items(behavior: DataFrame, n: int = 3, size="1 hour", slide="5 minutes",
-              metric: str = "count", pv: str = "pv") -> DataFrame:
+              metric: str = "count", pv: str = "pv", salts: int | None = None) -> DataFrame:
     """Q1: top ``n`` items per sliding window -> window_end, rank, item_id, cnt."""
-    return _hot_items(behavior, n, size, slide, metric, pv).select("window_end", "rank", "item_id", "cnt")
+    return _hot_items(behavior, n, size, slide, metric, pv, salts).select("window_end", "rank", "item_id", "cnt")
 
 
 def hot_items_report(behavior: DataFrame, n: int = 3, size="1 hour", slide="5 minutes",
-                     metric: str = "count", pv: str = "pv") -> DataFrame:
+                     metric: str = "count", pv: str = "pv", salts: int | None = None) -> DataFrame:
     """Q1 as text: one ranking report per window (T3) -> window_end, report."""
-    return format_ranking(_hot_items(behavior, n, size, slide, metric, pv), "item_id", "cnt",
+    return format_ranking(_hot_items(behavior, n, size, slide, metric, pv, salts), "item_id", "cnt",
                           group_extra=["_bkt"])
 
 
@@ -129,21 +130,21 @@ def _late_log(log, delay, lateness, arrival):
 
 
 def top_urls(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds", delay=None,
-             lateness=None, arrival: str = "seq") -> DataFrame:
+             lateness=None, arrival: str = "seq", salts: int | None = None) -> DataFrame:
     """Q12: top ``n`` URLs per sliding window -> window_end, rank, url, cnt.
 
     Without ``delay`` every row counts (the final answer once all late rows are in).
     With the reference's ``delay="5 seconds", lateness="60 seconds"`` a row counts only
     in windows that were still open when it arrived (in ``arrival`` order)."""
     log, admit = _late_log(log, delay, lateness, arrival)
-    return sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt", admit=admit) \
+    return sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt", admit=admit, salts=salts) \
         .select("window_end", "rank", "url", "cnt")
 
 
 def top_urls_report(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds", delay=None,
-                    lateness=None, arrival: str = "seq") -> DataFrame:
+                    lateness=None, arrival: str = "seq", salts: int | None = None) -> DataFrame:
     log, admit = _late_log(log, delay, lateness, arrival)
-    ranked = sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt", admit=admit)
+    ranked = sliding_top_n(log, size, slide, [Count("cnt")], "url", n, "cnt", admit=admit, salts=salts)
     return format_ranking(ranked, "url", "cnt", key_label=URL_LABEL, footer=URL_FOOTER,
                           group_extra=["_bkt"])
 

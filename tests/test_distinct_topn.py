@@ -9,7 +9,7 @@ from eventide.operators.distinct import (
     approx_distinct_per_window, bitmap_distinct_per_window, distinct_per_window, running_distinct,
 )
 from eventide.operators.topn import latest_per_key, sliding_top_n, top_n_per_window
-from eventide.operators import Count
+from eventide.operators import Count, sliding_agg
 from eventide.sources import tables as T
 
 
@@ -134,3 +134,16 @@ def test_order_key_roundtrip_and_order(spark):
     assert [r.seq for r in df.select(_order_key_seq(_order_key(F.col("us"), F.col("seq"))).alias("seq")).collect()] \
         == [v[1] for v in vals]
     assert [(r.us, r.seq) for r in sorted(got, key=lambda r: r.k)] == sorted(vals)
+
+
+def test_sliding_top_n_by_spans_equals_ranking_every_window(spark):
+    random.seed(5)
+    data = [(random.choice([None, *range(9)]), T0 + random.randint(0, 9000)) for _ in range(400)]
+    data += [(1, T0 + 40_000), (2, T0 + 40_000), (2, T0 + 90_000)]          # long gaps and ties
+    df = frame(spark, "item_id long, ts_s long", data)
+    counts = sliding_agg(df, "10 minutes", "5 seconds", [Count("cnt")], keys=["item_id"], method="expand")
+    cols = ["window_end", "rank", "item_id", "cnt"]
+    expect = rows(top_n_per_window(counts, 3, "cnt", "item_id").fillna(-1), *cols)
+    for salts in (1, 3):
+        got = sliding_top_n(df, "10 minutes", "5 seconds", [Count("cnt")], "item_id", 3, "cnt", salts=salts)
+        assert rows(got.fillna(-1), *cols) == expect, salts

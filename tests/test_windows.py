@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, rows
 from helpers import T0, frame
 from eventide.operators import Count, IntAvg, Max, Min, Sum, sliding_agg, tumbling_agg
+from eventide.operators.windows import window_spans
 from eventide.sources import tables as T
 
 
@@ -42,6 +43,14 @@ def test_panes_equal_window_function(spark):
     for method in ("panes", "expand"):
         got = rows(sliding_agg(df, "1 hour", "5 minutes", aggs, keys=["k"], method=method), *cols)
         assert got == expect, method
+    # integer sums alone: running sums over entering and leaving panes, also with null values
+    sums = [Count("cnt"), IntAvg("avg", "v")]
+    odd = df.withColumn("v", F.when(F.col("v") % 3 != 0, F.col("v"))).withColumn("k", F.nullif("k", F.lit(1)))
+    some = ["k", "window_end", "cnt", "avg"]
+    want = rows(_spark_window(odd, "1 hour", "5 minutes", ["k"]).fillna(-9, ["k"]), *some)
+    for method in ("panes", "copies"):
+        got = sliding_agg(odd, "1 hour", "5 minutes", sums, keys=["k"], method=method)
+        assert rows(got.fillna(-9, ["k"]), *some) == want, method
     # size not a multiple of the slide falls back to the expansion
     expect = rows(_spark_window(df, "10 minutes", "3 minutes", ["k"]), *cols)
     assert rows(sliding_agg(df, "10 minutes", "3 minutes", aggs, keys=["k"]), *cols) == expect
@@ -87,3 +96,11 @@ def test_random_window_parameters_equal_window_function(spark):
         expect = rows(_spark_window(df, f"{size} seconds", f"{slide} seconds", ["k"]), *cols)
         got = rows(sliding_agg(df, f"{size} seconds", f"{slide} seconds", aggs, keys=["k"]), *cols)
         assert got == expect, (size, slide)
+
+
+def test_spans_hold_two_rows_a_pane(spark):
+    # one event a key: 360 windows, but one span (two where it reaches over a bucket's end)
+    df = frame(spark, "k long, ts_s long", [(k, T0 + 977 * k) for k in range(50)])
+    spans = window_spans(df, 3_600_000, 10_000, [Count("cnt")], ["k"])
+    assert 50 <= spans.count() <= 100
+    assert sliding_agg(df, "1 hour", "10 seconds", [Count("cnt")], keys=["k"]).count() == 50 * 360
