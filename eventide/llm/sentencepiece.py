@@ -6,14 +6,17 @@ As in the library, a space is put before the text and spaces become U+2581.
 
 A text longer than ``chunk`` characters is cut into chunks.  A piece may hang over a chunk's
 end by fewer characters than the longest piece has, so a chunk is a max-plus matrix from the
-overhang at its start to the overhang at its end.  Matrices are combined associatively into the
-best score for every state at every boundary; the states of the best path are read back from the
-last boundary; then each chunk is traced on its own between its two states.  Where a cut that
-no piece can cross lies in a chunk (a word start, a character outside the vocabulary), its
-matrix is head + middle + tail, and the middle is summed from memoised words.
-
-The matrices of one document take 2 KB a chunk (a sixteenth of its text), which is all that one
-task holds of it.  The vocabulary (a fixed file) is broadcast.
+overhang at its start to the overhang at its end.  Matrices are combined associatively, the
+states of the best path are read back from the last boundary, and each chunk is traced on its
+own between its two states.  Where a cut that no piece can cross lies in a chunk (a word start,
+a character outside the vocabulary), its matrix is head + middle + tail, and the middle is
+summed from memoised words.
+
+Matrices of ``BLOCK`` neighbouring chunks are multiplied in one group, products again, until a
+document's are one block; going back down, every block is traced between the states found
+above.  So no group holds more than ``BLOCK`` matrices, however long a document is.  The
+vocabulary (a fixed file) is broadcast as plain data.  Shorter texts are coded by their words,
+each distinct word of a batch once.
 
 Decoding concatenates the pieces.  decode(encode(t)) == t for every text without U+2581, which
 decodes as a space.
@@ -33,6 +36,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +46,7 @@ from eventide.llm.common import schema, small_batches, stored
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 CHUNK = 1 << 15
+BLOCK = 32                  # matrices multiplied in one group
 NONE = -np.inf
 
 
@@ -72,6 +77,16 @@ class Vocabulary:
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.pieces)
         self.lone_newline = "\n" not in letters
 
+    def plain(self) -> dict:
+        """Attributes of built-in types: what is broadcast, so that workers need no class of ours."""
+        return dict(vars(self))
+
+    @classmethod
+    def of(cls, plain: dict) -> Vocabulary:
+        v = cls.__new__(cls)
+        vars(v).update(plain)
+        return v
+
 
 class Coder:
     """Encoding and decoding with one vocabulary, memoising words."""
@@ -83,6 +98,7 @@ class Coder:
             self.words = re.compile(f"{SPACE}+[^{SPACE}{brk}]*|[^{SPACE}{brk}]+" + ("|\n" if brk else ""))
         else:
             self.words = re.compile(r"(?s).+")
+        self.start = re.compile(f"(?<!{SPACE}){SPACE}" + ("|\n|(?<=\n)(?s:.)" if brk else ""))
 
     def steps(self, text: str, start: int, end: int):
         """Best score, and length of the last piece, for each place from ``start`` on."""
@@ -136,19 +152,50 @@ class Coder:
             ids.extend(x)
         return score, ids
 
+    def texts(self, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """Ids of whole texts, and whether their words spell them.
+
+        The words of all texts are one array over the texts' own bytes; each distinct word is
+        coded, and decoded again, once, and its ids are copied to where it stands.
+        """
+        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), SPACE, " ")
+        full = pc.greater(pc.binary_length(texts), 0)
+        blank, none = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+        texts = pc.if_else(full, pc.binary_join_element_wise(blank, texts, none), texts)
+        first, data = _bytes(texts)
+        begins = _word_starts(data, first, self.v.lone_newline) if self.v.by_word else first[:-1][np.diff(first) > 0]
+        edges = np.append(begins, first[-1])
+        words = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+        coded = words.dictionary_encode()
+        kinds, same = [], []
+        for w in coded.dictionary.to_pylist():
+            w = w.decode()
+            kinds.append(self.word(w.replace(" ", SPACE))[1])
+            same.append(b"".join([self.v.spell[i] for i in kinds[-1]]) == w.encode())
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        size = np.array([len(x) for x in kinds], np.int64)
+        flat = np.concatenate([np.frombuffer(x, np.int32) for x in kinds]) if kinds else np.zeros(0, np.int32)
+        at, n = (np.cumsum(size) - size)[which], size[which]
+        ends = np.append(0, np.cumsum(n))
+        ids = flat[np.repeat(at - ends[:-1], n) + np.arange(ends[-1])]
+        # words before each text's first byte
+        word = np.searchsorted(begins, first)
+        wrong = np.append(0, np.cumsum(~np.array(same, bool)[which])) if kinds else np.zeros(1, np.int64)
+        out = pa.ListArray.from_arrays(pa.array(ends[word].astype(np.int32)), pa.array(ids, pa.int32()))
+        return out, wrong[word[1:]] == wrong[word[:-1]]
+
     def cuts(self, marked: str, end: int) -> tuple[int, int] | None:
-        """First and last place in 0..end that no piece can cross."""
-        first = last = None
-        for m in self.words.finditer(marked):
-            if m.start() > end:
-                break
-            if m.start() > 0 or self._cut_at_start(marked):
-                first = m.start() if first is None else first
-                last = m.start()
-        return None if first is None else (first, last)
-
-    def _cut_at_start(self, marked: str) -> bool:
-        return False            # what stands before the chunk is not known here
+        """First and last place in 1..end that no piece can cross (what stands before the
+        chunk is not known here, so its own start is none)."""
+        if not self.v.by_word:
+            return None
+        found = self.start.search(marked, 1, end + 1)
+        if not found:
+            return None
+        last = min(end, len(marked) - 1)
+        while not self.start.match(marked, last):
+            last -= 1
+        return found.start(), last
 
     def matrix(self, marked: str, size: int) -> np.ndarray:
         """Best score from each overhang at the start to each overhang at the end of a chunk.
@@ -202,24 +249,114 @@ def mark(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
-def boundary_states(matrices: list[np.ndarray]) -> list[int]:
-    """Overhang at every chunk boundary of the best path, from 0 to 0."""
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the texts of an array without nulls, and their bytes."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    _, offsets, data = texts.buffers()
+    first = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    body = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return first - first[0], body[first[0]:first[-1]]
+
+
+def _word_starts(data: np.ndarray, first: np.ndarray, lone_newline: bool) -> np.ndarray:
+    """Places where words begin: texts, blank runs, and newlines that stand alone and what follows."""
+    blank = data == 32
+    begin = blank.copy()
+    begin[1:] &= ~blank[:-1]
+    if lone_newline:
+        line = data == 10
+        begin |= line
+        begin[1:] |= line[:-1]
+    begin[first[:-1][np.diff(first) > 0]] = True
+    return np.flatnonzero(begin)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Max-plus product: best sum over the state between two stretches of text."""
+    return (a[:, :, None] + b[None, :, :]).max(axis=1)
+
+
+def path_states(matrices: list[np.ndarray], entry: int, leave: int) -> list[int]:
+    """State at every boundary of the best path through ``matrices`` between two states."""
     m = len(matrices[0])
-    forward = [np.where(np.arange(m) == 0, 0.0, NONE)]
-    for t in matrices:
+    forward = [np.where(np.arange(m) == entry, 0.0, NONE)]
+    for t in matrices[:-1]:
         forward.append((forward[-1][:, None] + t).max(axis=0))
-    states = [0]
-    for t, before in zip(matrices[::-1], forward[-2::-1]):
+    states = [leave]
+    for t, before in zip(matrices[::-1], forward[::-1]):
         states.append(int((before + t[:, states[-1]]).argmax()))
     return states[::-1]
 
 
+def _square(cells: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(cells).reshape(size, size)
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    return table.take(pa.array(np.argsort(table["chunk"].to_numpy(), kind="stable")))
+
+
+def scan(matrices: DataFrame, size: int, chunks: int, block: int = BLOCK) -> DataFrame:
+    """(k, c, entry, over): states of the best path at both ends of every chunk.
+
+    ``matrices`` (key, chunk, matrix) has at most ``chunks`` chunks a key.  Upwards, ``block``
+    neighbours are multiplied into one matrix a round, until a key's matrices are a block;
+    downwards, each block is traced on its own between the states of the round above.  A group
+    is one block, never a document.
+    """
+    levels = [matrices]
+    while chunks > block:
+        def multiply(table):
+            table = _in_order(table)
+            out = None
+            for cells in table["matrix"]:
+                m = _square(cells.as_py(), size)
+                out = m if out is None else product(out, m)
+            return pa.table({"key": table["key"][:1], "chunk": table["block"][:1],
+                             "matrix": pa.array([out.tobytes()], pa.binary())})
+        rows = levels[-1].withColumn("block", F.floor(F.col("chunk") / block).cast("long"))
+        levels.append(stored(rows.groupBy("key", "block").applyInArrow(
+            multiply, schema("key long, chunk long, matrix binary")), "products"))
+        chunks = -(-chunks // block)
+
+    def trace(table):
+        table = _in_order(table)
+        found = path_states([_square(x.as_py(), size) for x in table["matrix"]],
+                            table["enter"][0].as_py(), table["leave"][0].as_py())
+        return pa.table({"k": table["key"], "c": table["chunk"],
+                         "entry": pa.array(found[:-1], pa.int64()), "over": pa.array(found[1:], pa.int64())})
+
+    out = schema("k long, c long, entry long, over long")
+    zero = F.lit(0).cast("long")
+    states = None
+    for rows in levels[::-1]:
+        rows = rows.withColumn("block", F.floor(F.col("chunk") / block).cast("long"))
+        if states is None:
+            rows = rows.withColumns({"enter": zero, "leave": zero})
+        else:
+            above = states.select("k", "c", F.col("entry").alias("enter"), F.col("over").alias("leave"))
+            rows = rows.join(above, (F.col("key") == F.col("k")) & (F.col("block") == F.col("c"))).drop("k", "c")
+        states = rows.groupBy("key", "block").applyInArrow(trace, out)
+    return states
+
+
 def _list(ids: list) -> pa.ListArray:
     offsets = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
     flat = np.concatenate([np.frombuffer(x, np.int32) for x in ids if len(x)] or [np.zeros(0, np.int32)])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
 
 
+def _slices(batches, at, limit: int = 4 << 20):
+    """Batches cut to about ``limit`` bytes of text (a longer text is one of its own)."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        run = np.cumsum(size) // limit
+        edges = np.flatnonzero(np.append(True, run[1:] != run[:-1])) if len(run) else []
+        for i, j in zip(edges, [*edges[1:], len(run)]):
+            yield batch.slice(i, j - i)
+
+
 def _chunks(batches, at, size, reach):
     """(key, chunk, body size, characters of the chunk and of its reach)."""
     for batch in batches:
@@ -241,21 +378,22 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame
     small_batches(spark)
     vocabulary = Vocabulary(model)
     reach = vocabulary.longest - 1
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = spark.sparkContext.broadcast(vocabulary.plain())
     added = ("n_pieces", "ids", "n_chunks", "round_trip")
     docs = docs.select(*[c for c in docs.columns if c not in added])
     at = docs.columns.index("text")
     long_text = F.length(F.coalesce("text", F.lit(""))) >= chunk
 
     def whole(batches):
-        coder = Coder(shared.value)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            ids = [coder.encode(t) for t in texts]
-            same = [coder.decode(x) == t for x, t in zip(ids, texts)]
+        coder = Coder(Vocabulary.of(shared.value))
+        for batch in _slices(batches, at):
+            texts = pc.fill_null(batch.column(at), "")
+            ids, same = coder.texts(texts)
+            # the space mark itself is decoded as a space
+            same = pc.and_not(pa.array(same), pc.match_substring(texts, SPACE))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([len(x) for x in ids], pa.int64()), _list(ids),
-                 pa.array([1 if t else 0 for t in texts], pa.int64()), pa.array(same, pa.bool_())],
+                [*batch.columns, pc.list_value_length(ids).cast(pa.int64()), ids,
+                 pc.greater(pc.binary_length(texts), 0).cast(pa.int64()), same],
                 names=[*batch.schema.names, *added])
 
     more = schema("n_pieces long, ids array<int>, n_chunks long, round_trip boolean")
@@ -269,26 +407,20 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame
     parts = stored(parts.repartition("key", "chunk"), "chunks")
 
     def matrices(batches):
-        coder = Coder(shared.value)
+        coder = Coder(Vocabulary.of(shared.value))
         for batch in batches:
             out = [coder.matrix(t, n).tobytes() for n, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
                                              names=["key", "chunk", "matrix"])
 
-    def scan(table):
-        order = np.argsort(table["chunk"].to_numpy())
-        size = shared.value.longest
-        found = boundary_states([np.frombuffer(table["matrix"][int(i)].as_py()).reshape(size, size) for i in order])
-        return pa.table({"k": table["key"].take(pa.array(order)), "c": table["chunk"].take(pa.array(order)),
-                         "entry": pa.array(found[:-1], pa.int64()), "over": pa.array(found[1:], pa.int64())})
-
-    states = (parts.mapInArrow(matrices, schema("key long, chunk long, matrix binary")).groupBy("key")
-              .applyInArrow(scan, schema("k long, c long, entry long, over long")))
+    made = stored(parts.mapInArrow(matrices, schema("key long, chunk long, matrix binary")), "matrices")
+    most = made.agg(F.coalesce(F.max("chunk"), F.lit(0)) + 1).first()[0]
+    states = scan(made, vocabulary.longest, most)
     placed = parts.join(states, (F.col("key") == F.col("k")) & (F.col("chunk") == F.col("c")))
     placed = placed.select("key", "chunk", "body", "marked", "entry", "over")
 
     def traced(batches):
-        coder = Coder(shared.value)
+        coder = Coder(Vocabulary.of(shared.value))
         for batch in batches:
             ids, same = [], []
             for body, marked, entry, over in zip(*[batch.column(i).to_pylist() for i in range(2, 6)]):
@@ -314,11 +446,11 @@ def decode(coded: DataFrame, model: str = MODEL, ids: str = "ids", out: str = "d
     """``coded`` with the text of its piece ids (null ids: null)."""
     spark = coded.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(Vocabulary(model))
+    shared = spark.sparkContext.broadcast(Vocabulary(model).plain())
 
     @F.pandas_udf("string")
     def text(column):
-        coder = Coder(shared.value)
+        coder = Coder(Vocabulary.of(shared.value))
         return column.map(lambda x: None if x is None else coder.decode(x))
 
     return coded.withColumn(out, text(F.col(ids)))

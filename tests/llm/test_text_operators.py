@@ -209,6 +209,28 @@ def test_pieces_round_trip_and_best_score(spark, docs):
             want = plain_score(v, sentencepiece.mark(t or ""))
             assert abs(score_of(v, r["ids"]) - want) < 1e-6, (chunk, t)
             assert (r["n_chunks"] > 1) == (len(t or "") > chunk - 1 and len(t or "") >= chunk)
+    marked = sentencepiece.encode(docs([(1, "a\u2581b")])).first()
+    assert not marked["round_trip"] and sentencepiece.Coder(v).decode(marked["ids"]) == "a b"
     out = sentencepiece.decode(sentencepiece.encode(docs([(1, "x y"), (2, None)]))).collect()
     assert [r["decoded"] for r in sorted(out)] == ["x y", ""]
     assert sentencepiece.encode(docs([])).count() == 0
+
+
+def test_state_scan_by_blocks_equals_one_pass(spark):
+    rng = np.random.default_rng(3)
+    chain = {k: [np.where(rng.random((4, 4)) < 0.2, -np.inf, rng.integers(-9, 9, (4, 4)).astype(float))
+                 for _ in range(n)] for k, n in ((1, 1), (2, 9), (3, 70))}
+    for ms in chain.values():
+        for m in ms:
+            m[0, 0] = -20.0                     # a path always exists
+    rows = spark.createDataFrame([(k, i, m.tobytes()) for k, ms in chain.items() for i, m in enumerate(ms)],
+                                 "key long, chunk long, matrix binary")
+    got = {(r["k"], r["c"]): (r["entry"], r["over"]) for r in sentencepiece.scan(rows, 4, 70, block=3).collect()}
+    for k, ms in chain.items():
+        ends = [got[k, i] for i in range(len(ms))]
+        assert ends[0][0] == 0 and ends[-1][1] == 0
+        assert all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+        best = np.array([0.0, *[-np.inf] * 3])
+        for m in ms:
+            best = (best[:, None] + m).max(axis=0)
+        assert sum(m[e] for m, e in zip(ms, ends)) == best[0]
