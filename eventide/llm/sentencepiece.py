@@ -71,6 +71,8 @@ class Vocabulary:
                 self.pieces[piece] = (model.get_score(i), i)
                 self.spell.append(piece.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.pieces))
+        # each beginning of a piece, with the piece that it is itself, if any
+        self.begun = {p[:n]: self.pieces.get(p[:n]) for p in self.pieces for n in range(1, len(p) + 1)}
         self.unknown = min(s for s, _ in self.pieces.values()) - 10
         letters = set("".join(self.pieces))
         # no piece holds a space mark after another character: words are cut apart there
@@ -102,7 +104,7 @@ class Coder:
 
     def steps(self, text: str, start: int, end: int):
         """Best score, and length of the last piece, for each place from ``start`` on."""
-        get, longest = self.v.pieces.get, self.v.longest
+        get, longest = self.v.begun.get, self.v.longest
         best, back = [NONE] * (end - start + 1), [0] * (end - start + 1)
         best[0] = 0.0
         for i in range(start, end):
@@ -111,7 +113,9 @@ class Coder:
                 continue
             alone = False
             for n in range(1, min(longest, end - i) + 1):
-                found = get(text[i:i + n])
+                found = get(text[i:i + n], 0)
+                if found == 0:          # no piece begins like this
+                    break
                 if found:
                     alone |= n == 1
                     if here + found[0] >= best[i + n - start]:
