@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Agg:
-    """``reversible``: partial results are integer sums, so a pane that leaves a window is subtracted."""
+    """``reversible``: partial results are counts, never null, so a pane that leaves a window is subtracted."""
     name: str
 
     reversible = False
@@ -98,23 +98,18 @@ class Max(Agg):
 
 @dataclass(frozen=True)
 class IntAvg(Agg):
-    """Integer average ``sum(col) div count(*)`` (A2), truncating like integer division.
-
-    Null without a value of ``col``, which ``_c`` counts."""
+    """Integer average ``sum(col) div count(*)`` (A2), truncating like integer division."""
     col: str = ""
 
-    reversible = True
-
     def partials(self):
-        return [(self._p("_s"), F.coalesce(F.sum(F.col(self.col).cast("long")), F.lit(0).cast("long"))),
-                (self._p("_n"), F.count(F.lit(1))), (self._p("_c"), F.count(self.col))]
+        return [(self._p("_s"), F.sum(F.col(self.col).cast("long"))), (self._p("_n"), F.count(F.lit(1)))]
 
     def merges(self):
-        return [(self._p(x), F.sum(self._p(x))) for x in ("_s", "_n", "_c")]
+        return [(self._p("_s"), F.sum(self._p("_s"))), (self._p("_n"), F.sum(self._p("_n")))]
 
     def finish(self):
         # exact BIGINT division, truncating toward zero like the reference's Long division
-        return F.when(F.col(self._p("_c")) > 0, F.expr(f"`{self._p('_s')}` div `{self._p('_n')}`"))
+        return F.expr(f"`{self._p('_s')}` div `{self._p('_n')}`")
 
 
 @dataclass(frozen=True)

@@ -11,7 +11,7 @@ aggregated panes are expanded to the ``size/slide`` windows that contain them
 and merged again.  A plain ``window()``-style expansion copies every input row
 ``size/slide`` times before any aggregation (360x for 1 h / 10 s).
 
-Aggregates that are integer sums need no copies at all (``window_spans``): a pane is
+Counts need no copies at all (``window_spans``): a pane is
 added at the first window end that holds it and subtracted after the last, and a
 running sum per key gives the spans of window ends over which nothing changes.
 """
