@@ -116,19 +116,30 @@ def trie(code: np.ndarray, n: np.ndarray, depth: int) -> list[Level]:
 
 
 class Model:
-    """Frozen statistics, ready for scoring (natural logarithms)."""
+    """Frozen statistics, ready for scoring (natural logarithms).
 
-    def __init__(self, code: np.ndarray, n: np.ndarray, depth: int):
+    With ``base``, a shallower model of all counts, ``code`` may be a part of the trie: all codes
+    of some contexts one byte longer than those of ``base``.  Codes of these contexts are valued
+    as by the model of all counts.
+    """
+
+    def __init__(self, code: np.ndarray, n: np.ndarray, depth: int, base: Model | None = None):
         self.depth = depth
         levels = trie(code, n, depth)
         self.pairs, self.hit, self.ctxs, self.escape, self.step = [], [], [], [], []
-        for k, lv in enumerate(levels):
+        if base is not None:
+            for mine, theirs in zip((self.pairs, self.hit, self.ctxs, self.escape, self.step),
+                                    (base.pairs, base.hit, base.ctxs, base.escape, base.step)):
+                mine.extend(theirs)
+            levels[base.depth] = base.top
+        self.top = levels[-1]
+        for k in range(len(self.pairs), depth + 1):
+            lv = levels[k]
             whole = (lv.total + lv.kinds).astype(float)
             row = np.repeat(np.arange(len(lv.ctx)), lv.kinds)
             self.pairs.append(CodeMap(lv.code))
             # as the longest seen context, and (below) under the exclusions of a longer one
-            self.hit.append((np.log(lv.n / whole[row]).astype(np.float32),
-                             np.log(lv.n).astype(np.float32) if k < depth else None))
+            self.hit.append((np.log(lv.n / whole[row]).astype(np.float32), np.log(lv.n).astype(np.float32)))
             self.ctxs.append(CodeMap(lv.ctx))
             self.escape.append(np.log(lv.kinds / whole).astype(np.float32))
             if k:
@@ -145,8 +156,11 @@ class Model:
                                   np.where(kinds > 0, np.log(np.maximum(kinds, 1) / denom), 0.0).astype(np.float32)))
             else:
                 self.step.append(None)
-        known = len(levels[0].code) if len(code) else 0
-        self.unseen = np.float32(-np.log(max(SYMBOLS - known, 1)))
+        if base is None:
+            known = len(levels[0].code) if len(code) else 0
+            self.unseen = np.float32(-np.log(max(SYMBOLS - known, 1)))
+        else:
+            self.unseen = base.unseen
 
     def values(self, full: np.ndarray) -> np.ndarray:
         """Natural log probability of each (context, symbol) code of full depth."""

@@ -45,6 +45,27 @@ def test_depth_follows_the_node_limit(spark, docs):
     check(lm.score(docs(rows), fitted).orderBy("doc_id").collect(), rows, train, 2)
 
 
+def test_depth_is_the_same_at_any_size(spark, docs):
+    rnd = random.Random(5)
+    train = ["".join(rnd.choices("abcdeé ", k=rnd.randint(0, 200))) for _ in range(60)] + [None, ""]
+    rows = list(enumerate([*train[:20], "zzz top", "abcabc", "", None, "a" * 300, train[0]]))
+    table, frame = docs(list(enumerate(train))), docs(rows)
+    nodes = len(ppm.count_grams([(t or "").encode() for t in train], 5)[0])
+    for shipped in (0, 50, nodes // 3, nodes - 1, nodes):       # all joined, some sent, all sent
+        fitted = lm.fit(table, shipped=shipped)
+        assert fitted.depth == 5 and (fitted.grams is None) == (shipped == nodes)
+        assert fitted.near is None or len(fitted.near[0]) <= shipped
+        check(lm.score(frame, fitted).orderBy("doc_id").collect(), rows, train)
+
+
+def test_parts_of_a_trie_are_valued_in_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK", 16)
+    rnd = random.Random(6)
+    train = ["".join(rnd.choices("abcd ", k=100)) for _ in range(30)]
+    rows = list(enumerate([*train[:5], "dcba abcd zz"]))
+    check(lm.score(docs(rows), lm.fit(docs(list(enumerate(train))), shipped=20)).orderBy("doc_id").collect(), rows, train)
+
+
 def test_nothing_to_learn_from(spark, docs):
     fitted = lm.fit(docs([]))
     check(lm.score(docs([(1, "a b"), (2, None)]), fitted).orderBy("doc_id").collect(), [(1, "a b"), (2, None)], [])
