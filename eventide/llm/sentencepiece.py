@@ -10,13 +10,14 @@ overhang at its start to the overhang at its end.  Matrices are combined associa
 states of the best path are read back from the last boundary, and each chunk is traced on its
 own between its two states.  Where a cut that no piece can cross lies in a chunk (a word start,
 a character outside the vocabulary), its matrix is head + middle + tail, and the middle is
-summed from memoised words.
+summed from its words.
 
 Matrices of ``BLOCK`` neighbouring chunks are multiplied in one group, products again, until a
 document's are one block; going back down, every block is traced between the states found
 above.  So no group holds more than ``BLOCK`` matrices, however long a document is.  The
-vocabulary (a fixed file) is broadcast as plain data.  Shorter texts are coded by their words,
-each distinct word of a batch once.
+vocabulary (a fixed file) is broadcast as plain data.  Shorter texts, and the middles of chunks,
+are coded by their words, each distinct word of a batch once and all of them together: pieces are
+found from every character at once, and the best sums of all words grow character by character.
 
 Decoding concatenates the pieces.  decode(encode(t)) == t for every text without U+2581, which
 decodes as a space.
@@ -42,11 +43,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.llm.common import schema, small_batches, stored
+from eventide.llm.ppm import CodeMap
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 CHUNK = 1 << 15
 BLOCK = 32                  # matrices multiplied in one group
+LONG_WORD = 64              # characters; longer words are coded one by one
 NONE = -np.inf
 
 
@@ -73,6 +76,11 @@ class Vocabulary:
         self.longest = max(map(len, self.pieces))
         # each beginning of a piece, with the piece that it is itself, if any
         self.begun = {p[:n]: self.pieces.get(p[:n]) for p in self.pieces for n in range(1, len(p) + 1)}
+        # the same as arrays: beginnings are numbered from 1, 0 is the empty one
+        number = {p: k for k, p in enumerate(self.begun, 1)}
+        self.edges = np.array([number.get(p[:-1], 0) << 21 | ord(p[-1]) for p in self.begun], np.int64)
+        own = [(0.0, -1), *[x or (0.0, -1) for x in self.begun.values()]]
+        self.node_score, self.node_id = np.array([x[0] for x in own]), np.array([x[1] for x in own], np.int32)
         self.unknown = min(s for s, _ in self.pieces.values()) - 10
         letters = set("".join(self.pieces))
         # no piece holds a space mark after another character: words are cut apart there
@@ -91,16 +99,20 @@ class Vocabulary:
 
 
 class Coder:
-    """Encoding and decoding with one vocabulary, memoising words."""
+    """Encoding and decoding with one vocabulary."""
 
-    def __init__(self, vocabulary: Vocabulary, memo: int = 500_000):
-        self.v, self.limit, self.memo = vocabulary, memo, {}
+    def __init__(self, vocabulary: Vocabulary):
+        self.v = vocabulary
         brk = "\n" if vocabulary.lone_newline else ""
-        if vocabulary.by_word:
-            self.words = re.compile(f"{SPACE}+[^{SPACE}{brk}]*|[^{SPACE}{brk}]+" + ("|\n" if brk else ""))
-        else:
-            self.words = re.compile(r"(?s).+")
         self.start = re.compile(f"(?<!{SPACE}){SPACE}" + ("|\n|(?<=\n)(?s:.)" if brk else ""))
+        self.next = CodeMap(vocabulary.edges)
+        first = vocabulary.edges >> 21 == 0
+        self.first = np.zeros(0x110000, np.int32)
+        self.first[vocabulary.edges[first]] = np.flatnonzero(first) + 1
+        size = np.array([len(x) for x in vocabulary.spell], np.int64)
+        self.spell_size, self.spell_at = size, np.cumsum(size) - size
+        self.spell_bytes = np.frombuffer(b"".join(vocabulary.spell), np.uint8)
+        self.byte_ids = np.array(vocabulary.bytes, np.int32)
 
     def steps(self, text: str, start: int, end: int):
         """Best score, and length of the last piece, for each place from ``start`` on."""
@@ -137,24 +149,133 @@ class Coder:
         return out
 
     def word(self, word: str) -> tuple[float, array]:
-        found = self.memo.get(word)
-        if found is None:
-            best, back = self.steps(word, 0, len(word))
-            found = best[-1], array("i", self.trace(word, 0, len(word), back))
-            if len(word) <= 32:
-                if len(self.memo) >= self.limit:
-                    self.memo.clear()
-                self.memo[word] = found
-        return found
+        best, back = self.steps(word, 0, len(word))
+        return best[-1], array("i", self.trace(word, 0, len(word), back))
+
+    def many(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Score of each word, its number of ids, and the ids of all, one word after another.
+
+        ``words`` are UTF-8 with spaces for space marks.
+        """
+        first, data = _bytes(words)
+        letter = (data & 0xC0) != 0x80
+        ends = np.append(0, np.cumsum(letter))[first]       # characters before each word
+        chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+        chars[chars == 32] = ord(SPACE)
+        size = np.diff(ends)
+        scores, counts = np.zeros(len(size)), np.zeros(len(size), np.int64)
+        ids = [None] * len(size)
+        for k in np.flatnonzero(size > LONG_WORD):
+            scores[k], ids[k] = self.word("".join(map(chr, chars[ends[k]:ends[k + 1]])))
+            counts[k] = len(ids[k])
+        short = np.flatnonzero(size <= LONG_WORD)
+        if len(short) < len(size):
+            chars = chars[np.repeat(size <= LONG_WORD, size)]
+        scores[short], counts[short], flat = self._together(chars, size[short])
+        if len(short) == len(size):
+            return scores, counts, flat
+        cut = np.append(0, np.cumsum(counts[short]))
+        for k, i, j in zip(short, cut[:-1], cut[1:]):
+            ids[k] = flat[i:j]
+        return scores, counts, np.concatenate([np.frombuffer(x, np.int32) for x in ids])
+
+    def _together(self, chars: np.ndarray, size: np.ndarray):
+        """``many`` for short words, from their characters and lengths: as ``steps`` and ``trace``."""
+        starts = np.cumsum(size) - size
+        inside = np.arange(len(chars)) - np.repeat(starts, size)
+        left = np.repeat(size, size) - inside               # characters up to the word's end
+        at, node = np.arange(len(chars)), self.first[chars]
+        lone = self.v.node_id[node] >= 0
+        froms, lengths, nodes = [at[lone]], [np.ones(int(lone.sum()), np.int8)], [node[lone]]
+        for n in range(2, self.v.longest + 1):
+            on = (node > 0) & (left[at] >= n)
+            at, node = at[on], node[on]
+            if not len(at):
+                break
+            node = self.next.find(node.astype(np.int64) << 21 | chars[at + n - 1]) + 1
+            piece = self.v.node_id[node] >= 0
+            froms.append(at[piece])
+            lengths.append(np.full(len(froms[-1]), n, np.int8))
+            nodes.append(node[piece])
+        froms.append(np.flatnonzero(~lone))                 # node 0: a character that no piece spells
+        lengths.append(np.ones(len(froms[-1]), np.int8))
+        nodes.append(np.zeros(len(froms[-1]), np.int32))
+        froms, lengths, nodes = map(np.concatenate, (froms, lengths, nodes))
+        order = np.argsort(inside[froms].astype(np.int16), kind="stable")
+        froms, lengths, nodes = froms[order], lengths[order], nodes[order]
+        gain = np.where(nodes > 0, self.v.node_score[nodes], self.v.unknown)
+        # a word has a place before each character and one at its end
+        shift = np.repeat(np.arange(len(size)), size)
+        source = froms + shift[froms]
+        target = source + lengths
+        best, back = np.full(len(chars) + len(size), NONE), np.zeros(len(chars) + len(size), np.int8)
+        via = np.zeros(len(best), np.int32)
+        origin = starts + np.arange(len(size))
+        best[origin] = 0.0
+        edges = np.append(0, np.cumsum(np.bincount(inside[froms])) if len(froms) else [])
+        for i, j in zip(edges[:-1].astype(np.int64), edges[1:].astype(np.int64)):
+            to = target[i:j]
+            value = best[source[i:j]] + gain[i:j]
+            won = value >= best[to]
+            to = to[won]
+            best[to], back[to], via[to] = value[won], lengths[i:j][won], nodes[i:j][won]
+        used, now, begin = np.zeros(len(best), bool), origin + size, origin
+        scores = best[now]
+        while len(now):
+            on = now > begin
+            now, begin = now[on], begin[on]
+            used[now] = True
+            now = now - back[now]
+        ends = np.flatnonzero(used)
+        ids, word = self.v.node_id[via[ends]], np.searchsorted(origin, ends, "right") - 1
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown):
+            spelt = [chr(chars[k]).encode() for k in ends[unknown] - word[unknown] - 1]
+            width = np.ones(len(ids), np.int64)
+            width[unknown] = [len(x) for x in spelt]
+            wide = np.zeros(len(ids), bool)
+            wide[unknown] = True
+            ids, word, wide = np.repeat(ids, width), np.repeat(word, width), np.repeat(wide, width)
+            ids[wide] = self.byte_ids[np.frombuffer(b"".join(spelt), np.uint8)]
+        return scores, np.bincount(word, minlength=len(size)), ids
+
+    def _kinds(self, data: np.ndarray, begins: np.ndarray, end: int):
+        """Distinct words of a text's bytes, and which of them stands at each of ``begins``."""
+        edges = np.append(begins, end)
+        words = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+        coded = words.dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+
+    def _placed(self, size: np.ndarray, flat: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the kinds in the order ``which``, and where each one's end."""
+        at, n = (np.cumsum(size) - size)[which], size[which]
+        ends = np.append(0, np.cumsum(n))
+        return flat[np.repeat(at - ends[:-1], n) + np.arange(ends[-1])], ends
+
+    def _spelt(self, kinds: pa.Array, size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """Whether the ids of each word, decoded, are its bytes."""
+        first, data = _bytes(kinds)
+        out, ends = self._placed(self.spell_size, self.spell_bytes, flat)
+        ends = ends[np.append(0, np.cumsum(size))]
+        fits = np.diff(ends) == np.diff(first)
+        if fits.all():
+            differs = np.append(0, np.cumsum(out != data))
+            return differs[first[1:]] == differs[first[:-1]]
+        data, out = data.tobytes(), out.tobytes()
+        return np.array([out[i:j] == data[k:m] for i, j, k, m in zip(ends[:-1], ends[1:], first[:-1], first[1:])])
 
     def run(self, marked: str) -> tuple[float, array]:
         """Score and ids of a text between two cuts."""
-        score, ids = 0.0, array("i")
-        for w in self.words.findall(marked):
-            s, x = self.word(w)
-            score += s
-            ids.extend(x)
-        return score, ids
+        if not marked:
+            return 0.0, array("i")
+        if not self.v.by_word:
+            return self.word(marked)
+        data = np.frombuffer(marked.replace(SPACE, " ").encode(), np.uint8)
+        begins = _word_starts(data, np.array([0, len(data)]), self.v.lone_newline)
+        kinds, which = self._kinds(data, begins, len(data))
+        scores, size, flat = self.many(kinds)
+        # summed word by word, in order
+        return float(np.cumsum(scores[which])[-1]), array("i", self._placed(size, flat, which)[0].tobytes())
 
     def texts(self, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
         """Ids of whole texts, and whether their words spell them.
@@ -168,23 +289,12 @@ class Coder:
         texts = pc.if_else(full, pc.binary_join_element_wise(blank, texts, none), texts)
         first, data = _bytes(texts)
         begins = _word_starts(data, first, self.v.lone_newline) if self.v.by_word else first[:-1][np.diff(first) > 0]
-        edges = np.append(begins, first[-1])
-        words = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(edges), pa.py_buffer(data)])
-        coded = words.dictionary_encode()
-        kinds, same = [], []
-        for w in coded.dictionary.to_pylist():
-            w = w.decode()
-            kinds.append(self.word(w.replace(" ", SPACE))[1])
-            same.append(b"".join([self.v.spell[i] for i in kinds[-1]]) == w.encode())
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        size = np.array([len(x) for x in kinds], np.int64)
-        flat = np.concatenate([np.frombuffer(x, np.int32) for x in kinds]) if kinds else np.zeros(0, np.int32)
-        at, n = (np.cumsum(size) - size)[which], size[which]
-        ends = np.append(0, np.cumsum(n))
-        ids = flat[np.repeat(at - ends[:-1], n) + np.arange(ends[-1])]
+        kinds, which = self._kinds(data, begins, first[-1])
+        _, size, flat = self.many(kinds)
+        ids, ends = self._placed(size, flat, which)
         # words before each text's first byte
         word = np.searchsorted(begins, first)
-        wrong = np.append(0, np.cumsum(~np.array(same, bool)[which])) if kinds else np.zeros(1, np.int64)
+        wrong = np.append(0, np.cumsum(~self._spelt(kinds, size, flat)[which]))
         out = pa.ListArray.from_arrays(pa.array(ends[word].astype(np.int32)), pa.array(ids, pa.int32()))
         return out, wrong[word[1:]] == wrong[word[:-1]]
 

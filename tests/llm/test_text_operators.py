@@ -1,9 +1,11 @@
 """Mixing, quality rules, line deduplication, site quality and piece coding on small tables."""
 
+import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from eventide.llm import line_dedup, mixing, quality_rules, sentencepiece, site_quality
 
@@ -234,3 +236,22 @@ def test_state_scan_by_blocks_equals_one_pass(spark):
         for m in ms:
             best = (best[:, None] + m).max(axis=0)
         assert sum(m[e] for m, e in zip(ms, ends)) == best[0]
+
+
+def test_words_coded_together_are_coded_as_alone():
+    rnd = random.Random(9)
+    coder = sentencepiece.Coder(sentencepiece.Vocabulary())
+    words = [" " + "".join(rnd.choices("abcthe1é日😀\x00", k=rnd.randint(0, 80))) for _ in range(400)]
+    words += ["\n", "x", " ", "   ", " " + "é" * 64, " " + "日" * 300]
+    scores, counts, ids = coder.many(pa.array([w.encode() for w in words], pa.large_binary()))
+    at = 0
+    for w, s, n in zip(words, scores, counts):
+        w = w.replace(" ", sentencepiece.SPACE)
+        best, back = coder.steps(w, 0, len(w))
+        assert s == best[-1] and ids[at:at + n].tolist() == coder.trace(w, 0, len(w), back)
+        at += n
+    assert at == len(ids)
+    texts = ["the cat  sat\n\non a▁b", None, "", "日" * 100 + " x", " "]
+    coded, same = coder.texts(pa.array(texts))
+    assert [list(x) for x in coded.to_pylist()] == [list(coder.encode(t or "")) for t in texts] and same.all()
+    assert [len(x) for x in coder.texts(pa.array([None, ""]))] == [2, 2]
