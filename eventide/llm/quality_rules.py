@@ -63,40 +63,51 @@ def dup_lines(text: Column) -> Column:
                lambda a: F.size(a) - F.size(F.array_distinct(a))).cast("long")
 
 
-def windows(w: Column, size: int = 3) -> Column:
-    """Sorted (hash, position) of the word windows."""
+def window_hashes(w: Column, size: int = 3) -> Column:
+    """Hash of each word window."""
     at = lambda i, k: F.get(w, i + k)
-    return F.sort_array(F.transform(
-        F.slice(w, 1, F.greatest(F.size(w) - (size - 1), F.lit(0))),
-        lambda x, i: F.struct(F.xxhash64(x, *[at(i, k) for k in range(1, size)]).alias("h"), i.alias("i"))))
+    return F.transform(F.slice(w, 1, F.greatest(F.size(w) - (size - 1), F.lit(0))),
+                       lambda x, i: F.xxhash64(x, *[at(i, k) for k in range(1, size)]))
+
+
+def windows(hashes: Column) -> Column:
+    """Sorted (hash, position) of the word windows; null if all hashes differ."""
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes),
+                  F.sort_array(F.transform(hashes, lambda x, i: F.struct(x.alias("h"), i.alias("i")))))
 
 
 def covered(sorted_windows: str, size: int = 3) -> Column:
-    """Words that lie in a window which occurs twice or more."""
+    """Words that lie in a window which occurs twice or more (null: none does)."""
     s = F.col(sorted_windows)
     twice = F.filter(s, lambda x, k: F.get(s, k - 1)["h"].eqNullSafe(x["h"]) | F.get(s, k + 1)["h"].eqNullSafe(x["h"]))
     places = F.array_sort(F.transform(twice, lambda x: x["i"]))
     gaps = lambda p: F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p), F.lit(1))),
                                 lambda a, b: F.least(F.coalesce(b - a, F.lit(size)), F.lit(size)))
-    return let(places, lambda p: F.aggregate(gaps(p), F.lit(0), lambda acc, x: acc + x)).cast("long")
+    words_in = let(places, lambda p: F.aggregate(gaps(p), F.lit(0), lambda acc, x: acc + x))
+    return F.when(s.isNull(), F.lit(0)).otherwise(words_in).cast("long")
 
 
 def measures(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with _w (its words), n_words and the base measures."""
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     docs = docs.withColumn("_w", words(F.col("text")))
-    docs = docs.withColumn("_s", windows(F.col("_w")))
+    docs = docs.withColumn("_h", window_hashes(F.col("_w"))).withColumn("_s", windows(F.col("_h")))
     return (docs.withColumn("n_words", F.size("_w").cast("long"))
             .withColumn("word_chars", word_chars(F.col("text")))
             .withColumn("n_symbols", F.length(F.regexp_replace("text", SYMBOLS, "")).cast("long"))
             .withColumn("n_dup_lines", dup_lines(F.col("text")))
-            .withColumn("n_repeat_words", covered("_s")).drop("_s"))
+            .withColumn("n_repeat_words", covered("_s")).drop("_s", "_h"))
+
+
+def bin_of(h: Column, buckets: int) -> Column:
+    """Remainder of a hash."""
+    return h.bitwiseAND(buckets - 1) if buckets & (buckets - 1) == 0 else F.pmod(h, F.lit(buckets))
 
 
 def bins(word: Column, following: Column, buckets: int) -> tuple[Column, Column]:
     """Bins of a word, and of the pair it begins (null at the last word)."""
-    return (F.pmod(F.xxhash64(word), F.lit(buckets)),
-            F.when(following.isNotNull(), F.pmod(F.xxhash64(word, following), F.lit(buckets))))
+    return (bin_of(F.xxhash64(word), buckets),
+            F.when(following.isNotNull(), bin_of(F.xxhash64(word, following), buckets)))
 
 
 def bin_counts(docs: DataFrame, buckets: int, *by: str) -> DataFrame:
@@ -110,7 +121,7 @@ def bin_counts(docs: DataFrame, buckets: int, *by: str) -> DataFrame:
 
 def word_counts(docs: DataFrame, buckets: int, *by: str) -> DataFrame:
     """(by, bin, n): texts that hold a word of the bin."""
-    held = F.array_distinct(F.transform(words(F.col("text")), lambda x: F.pmod(F.xxhash64(x), F.lit(buckets))))
+    held = F.array_distinct(F.transform(words(F.col("text")), lambda x: bin_of(F.xxhash64(x), buckets)))
     return docs.select(*by, F.explode(held).alias("bin")).groupBy(*by, "bin").agg(F.count("*").alias("n"))
 
 
@@ -139,17 +150,17 @@ def rating(w: Column, ratios: list[int]) -> Column:
     at = lambda h: F.get(table, h.cast("int"))
 
     def both(a, b):
-        one, two = bins(a, b, len(ratios))
-        return at(one) + F.coalesce(at(two), F.lit(0).cast("long"))
-    sums = F.aggregate(F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), both),
-                       F.lit(0).cast("long"), lambda acc, x: acc + x)
+        return at(bin_of(F.xxhash64(a), len(ratios))) + at(bin_of(F.xxhash64(a, b), len(ratios)))
+    pairs = F.greatest(F.size(w) - 1, F.lit(0))
+    last = at(bin_of(F.xxhash64(F.get(w, F.size(w) - 1)), len(ratios)))
+    sums = F.aggregate(F.zip_with(F.slice(w, 1, pairs), F.slice(w, 2, pairs), both), last, lambda acc, x: acc + x)
     return F.when(F.size(w) > 0, sums / (2.0 * F.size(w) - 1) / SCALE).otherwise(0.0)
 
 
 def toxic_rating(w: Column, ratios: list[int]) -> Column:
     """Largest log ratio of the words of a word array (0 without words)."""
     table = literal_array(ratios, "int")
-    at = lambda x: F.get(table, F.pmod(F.xxhash64(x), F.lit(len(ratios))).cast("int"))
+    at = lambda x: F.get(table, bin_of(F.xxhash64(x), len(ratios)).cast("int"))
     return F.coalesce(F.array_max(F.transform(w, at)) / 1000.0, F.lit(0.0))
 
 

@@ -255,3 +255,28 @@ def test_words_coded_together_are_coded_as_alone():
     coded, same = coder.texts(pa.array(texts))
     assert [list(x) for x in coded.to_pylist()] == [list(coder.encode(t or "")) for t in texts] and same.all()
     assert [len(x) for x in coder.texts(pa.array([None, ""]))] == [2, 2]
+
+
+def test_rating_and_repeats_by_hand(spark, docs):
+    rnd = random.Random(12)
+    texts = [None, "", " \n", "a", "a b", "a b c", "a b c a b c", "a a a a"]
+    texts += [" ".join(rnd.choices("abcdefgh", k=rnd.randint(0, 30))) for _ in range(40)]
+    split = [W.findall(t or "") for t in texts]
+    grams = sorted({(w[i], w[i + 1] if i + 1 < len(w) else None) for w in split for i in range(len(w))} |
+                   {(x, None) for w in split for x in w}, key=str)
+    frame = spark.createDataFrame(grams, "a string, b string").selectExpr("a", "b", "if(b IS NULL, xxhash64(a), xxhash64(a, b)) AS h")
+    hashed = {(r["a"], r["b"]): r["h"] for r in frame.collect()}
+    for buckets in (64, 61):                # a power of two, and not
+        ratios = [rnd.randint(-10**6, 10**6) for _ in range(buckets)]
+        got = quality_rules.judge(docs(list(enumerate(texts))), ratios).orderBy("doc_id").collect()
+        for w, r in zip(split, got):
+            n_grams = [(x, None) for x in w] + list(zip(w, w[1:]))
+            want = sum(ratios[hashed[g] % buckets] for g in n_grams) / max(len(n_grams), 1) / quality_rules.SCALE
+            assert abs(r["rating"] - want) < 1e-12
+            windows = Counter(zip(w, w[1:], w[2:]))
+            inside = {i + k for i in range(len(w) - 2) if windows[tuple(w[i:i + 3])] > 1 for k in range(3)}
+            assert r["n_repeat_words"] == len(inside)
+    # texts without a repeated window are not sorted
+    rows = docs([(0, "a b c d"), (1, "a b c a b c"), (2, "a")]).withColumn("w", quality_rules.words(quality_rules.F.col("text")))
+    sorted_ = rows.select(quality_rules.windows(quality_rules.window_hashes(quality_rules.F.col("w"))).alias("s")).collect()
+    assert [r["s"] is None for r in sorted_] == [True, False, True]
