@@ -16,11 +16,13 @@ keeps an extension only if its last ``d`` words reach it too (in the reversed in
 in a kept interval).  A shard's ids then shrink to the places of what was kept.  No phrase of
 ``least`` occurrences can be missed: all its parts have as many.
 
-How the work spreads: texts are not shuffled.  For the pruning, shards send 64-bit digests of
-their phrases with counts, and get digests back; phrases whose digests collide are at worst kept
-for longer.  The words themselves are sent, and summed exactly, only for what is left.  The
-commonest phrase is one row a shard.  Shards hold up to ``SHARD_WORDS`` words; a piece is never
-cut, so one huge piece makes a larger shard.
+How the work spreads: texts are not shuffled.  For the pruning, shards send short digests of their
+phrases with counts, sorted and packed, a block for each range of digests, and get back a bit for
+each; phrases whose digests collide are at worst kept for longer.  A digest has more values than
+the texts have bytes.  The words themselves are sent, and summed exactly, only for what is left,
+also packed by range.  The commonest phrase is one digest a shard.  The number of ranges follows
+the bytes of the texts.  Shards hold up to ``SHARD_WORDS`` words; a piece is never cut, so one huge
+piece makes a larger shard.
 
 Defined results: a null or empty text has no words; a null language is ``und``; repeated rows and
 ids count each time; an empty table gives an empty result; further columns are not used.
@@ -29,6 +31,7 @@ ids count each time; an empty table gives an empty result; further columns are n
 from __future__ import annotations
 
 from array import array
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +49,15 @@ TEXT_BYTES = 4 << 20                        # a longer text is read piece by pie
 BREAK = b"\xff"                             # no byte of UTF-8
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 READ = bytes.maketrans(bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + BREAK * len(_BREAKS))
-# a shard has one row with its words, ids and phrases (rows of ids), one per phrase with its digest and
-# count, and one per phrase that reached the least of the level before, in words, with its count
-SHARD = "shard long, lang string, phrase string, count long, digest long, words binary, ids binary, phrases binary"
-ROWS = 1 << 16                              # phrases an output batch
+# a shard has one row with its words, ids and phrases (rows of ids) and the number of words, one per range
+# of digests with the digests and counts of its phrases, and one per range with those phrases of the level
+# before that reached the least, in words, and their counts
+SHARD = "shard long, lang string, n long, words binary, ids binary, phrases binary, deal int, digests binary, found binary, counts binary"
+KINDS = (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+REPLY = "shard long, deal int, known binary"
+SUMS = "lang string, phrase string, f long"
+ROWS = 1 << 16                              # rows an output batch
+DEAL_BYTES = 32 << 20                       # bytes of text for each range of digests
 
 
 class _Ids(dict):
@@ -73,12 +81,40 @@ def _parts(text: bytes):
         at = end
 
 
-def _pack(numbers) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers, np.int32).tobytes())
+def _pack(numbers, kind=np.int32) -> bytes:
+    """Numbers, first all their lowest bytes, then all the next."""
+    numbers = np.ascontiguousarray(numbers, kind)
+    return zstandard.compress(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes(), 1)
 
 
-def _unpack(data: bytes):
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32)
+def _unpack(data: bytes, kind=np.int32):
+    data = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return data.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def _pack_phrases(phrases) -> bytes:
+    """Column by column; they are in order, so the first ids differ by little."""
+    steps = phrases.T.astype(np.int32)
+    steps[0, 1:] = np.diff(steps[0])
+    return _pack(steps.ravel())
+
+
+def _unpack_phrases(data: bytes, width):
+    steps = _unpack(data).reshape(width, -1)
+    steps[0] = np.cumsum(steps[0])
+    return steps.T
+
+
+def _pack_digests(named, counts, least) -> bytes:
+    """Sorted digests by their differences, with counts; ``least`` stands for all counts above."""
+    kind = np.min_scalar_type(least)
+    steps = _pack(np.diff(named, prepend=np.uint64(0)), np.uint64)
+    return len(steps).to_bytes(8, "little") + steps + _pack(np.minimum(counts, least), kind)
+
+
+def _unpack_digests(data: bytes, least):
+    end = 8 + int.from_bytes(data[:8], "little")
+    return np.cumsum(_unpack(data[8:end], np.uint64)), _unpack(data[end:], np.min_scalar_type(least))
 
 
 def _squeeze(ids):
@@ -87,13 +123,11 @@ def _squeeze(ids):
     return ids[(ids > 0) | (np.append(0, ids[:-1]) > 0)]
 
 
-def _rows(shard, lang, n, **columns):
-    kinds = {"phrase": pa.string(), "count": pa.int64(), "digest": pa.int64(), "words": pa.binary(),
-             "ids": pa.binary(), "phrases": pa.binary()}
-    return pa.RecordBatch.from_arrays(
-        [pa.array([shard] * n, pa.int64()), pa.array([lang] * n, pa.string()),
-         *[pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in kinds.items()]],
-        names=["shard", "lang", *kinds])
+def _rows(shard, lang, count, /, **columns):
+    names = [c.split()[0] for c in SHARD.split(", ")]
+    columns |= {"shard": [shard] * count, "lang": [lang] * count}
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(count, k)
+                                       for c, k in zip(names, KINDS)], names=names)
 
 
 def digests(lang, words, phrases):
@@ -108,15 +142,53 @@ def digests(lang, words, phrases):
     return out.view(np.int64)
 
 
-def _shard_rows(shard, lang, words, ids, phrases, counts):
-    yield _rows(shard, lang, 1, words=[zstandard.compress("\n".join(words).encode(), 1)], ids=[_pack(ids)], phrases=[_pack(phrases)])
-    named = digests(lang, words, phrases)
-    for at in range(0, len(named), ROWS):
-        part = named[at:at + ROWS]
-        yield _rows(shard, lang, len(part), digest=part, count=counts[at:at + ROWS])
+def _dealt(lang, words, phrases, bits, deals):
+    """Short digests of phrases in order, the phrase of each, and where each of the ranges begins and ends."""
+    named = digests(lang, words, phrases).view(np.uint64) & np.uint64((1 << bits) - 1)
+    order = np.argsort(named, kind="stable")
+    named = named[order]
+    # range i has the digests d with d * deals >> bits = i
+    bounds = [-(-(i << bits) // deals) for i in range(deals)]
+    return named, order, np.append(np.searchsorted(named, np.array(bounds, np.uint64)), len(named))
+
 
+def _shard_rows(shard, lang, words, ids, phrases, counts, deal):
+    bits, deals, least = deal
+    yield _rows(shard, lang, 1, n=[np.count_nonzero(ids)], words=[zstandard.compress("\n".join(words).encode(), 1)],
+                ids=[_pack(ids)], phrases=[_pack_phrases(phrases)])
+    named, order, at = _dealt(lang, words, phrases, bits, deals)
+    counts = counts[order]
+    full = np.flatnonzero(np.diff(at))
+    blocks = [_pack_digests(named[at[i]:at[i + 1]], counts[at[i]:at[i + 1]], least) for i in full]
+    if blocks:
+        yield _rows(shard, lang, len(blocks), deal=full, digests=blocks)
 
-def _shards(batches, limit):
+
+def _frequent(batches, least):
+    """A bit for each digest of each block: whether it reaches ``least`` over all blocks of its range.
+
+    Columns shard, deal, digests; all blocks of a range.
+    """
+    blocks = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
+    if not blocks:
+        return
+    named, counts = zip(*(_unpack_digests(block, least) for _, _, block in blocks))
+    ends = np.cumsum([len(x) for x in named])[:-1]
+    named, counts = np.concatenate(named), np.concatenate(counts)
+    order = np.argsort(named, kind="stable")
+    first = np.append(True, np.diff(named[order]) > 0)
+    reached = np.add.reduceat(counts[order], np.flatnonzero(first), dtype=np.int64) >= least
+    known = np.empty(len(named), bool)
+    known[order] = reached[np.cumsum(first) - 1]
+    found = [(shard, deal, np.packbits(part).tobytes())
+             for (shard, deal, _), part in zip(blocks, np.split(known, ends)) if part.any()]
+    for at in range(0, len(found), ROWS):
+        columns = zip(*found[at:at + ROWS])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.binary()))],
+                                         names=["shard", "deal", "known"])
+
+
+def _shards(batches, limit, deal):
     """Shard rows of (lang, text) batches; the phrases of a shard's first level are its words."""
     part, made, open_, total = TaskContext.get().partitionId(), 0, {}, 0
 
@@ -135,7 +207,7 @@ def _shards(batches, limit):
         words = [names[i].decode() for i in order[:-1]]
         made += 1
         phrases = np.arange(1, len(words) + 1).reshape(-1, 1)
-        return _shard_rows(part << 32 | made, lang, words, _squeeze(place[ids]), phrases, counts[order[:-1]])
+        return _shard_rows(part << 32 | made, lang, words, _squeeze(place[ids]), phrases, counts[order[:-1]], deal)
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
@@ -230,30 +302,52 @@ def extensions(ids, phrases, width):
     return size, owner, added, count, _covered(len(ids), places, width + 1)
 
 
-def _longer(batches, width, last):
+def _longer(batches, width, last, deal):
     """The shards' phrases that are ``known`` (by digest), and their extensions unless ``last``.
 
     Columns shard, lang, words, ids, phrases, known.
     """
     for batch in batches:
         for i in range(batch.num_rows):
-            shard, lang, words = (batch.column(c)[i].as_py() for c in range(3))
-            ids, phrases = (_unpack(batch.column(c)[i].as_py()) for c in (3, 4))
+            shard, lang, words, ids, phrases = (batch.column(c)[i].as_py() for c in range(5))
+            ids, phrases = _unpack(ids), _unpack_phrases(phrases, width)
             words = zstandard.decompress(words).decode().split("\n")
-            phrases = phrases.reshape(-1, width)
-            phrases = phrases[np.isin(digests(lang, words, phrases), batch.column(5)[i].values.to_numpy())]
+            _, order, at = _dealt(lang, words, phrases, *deal[:2])
+            known, dealt = np.zeros(len(phrases), bool), {}
+            for part in batch.column(5)[i].as_py():
+                named = order[at[part["deal"]]:at[part["deal"] + 1]]
+                named = np.sort(named[np.unpackbits(np.frombuffer(part["known"], np.uint8), count=len(named)) > 0])
+                known[named], dealt[part["deal"]] = True, named
+            phrases, place = phrases[known], np.cumsum(known) - 1
             if last:
                 counts, added = FmIndex(ids, width + 1).find(phrases)[1], ()
             else:
                 counts, owner, added, more, covered = extensions(ids, phrases, width)
-            for at in range(0, len(phrases), ROWS):
-                part = [" ".join([words[k - 1] for k in p]) for p in phrases[at:at + ROWS].tolist()]
-                yield _rows(shard, lang, len(part), phrase=part, count=counts[at:at + ROWS])
+            found = []
+            for named in dealt.values():
+                part = [" ".join([words[k - 1] for k in p]) for p in phrases[place[named]].tolist()]
+                found.append((zstandard.compress("\n".join(part).encode(), 1), _pack(counts[place[named]], np.int64)))
+            yield _rows(shard, lang, len(found), deal=list(dealt), found=[x for x, _ in found], counts=[x for _, x in found])
             if len(added):
                 ids = _squeeze(np.where(covered, ids, 0))
                 used, ids = np.unique(ids, return_inverse=True)     # 0 stays 0, the order of ids stays
                 phrases = np.searchsorted(used, np.column_stack([phrases[owner], added]))
-                yield from _shard_rows(shard, lang, [words[k - 1] for k in used[1:]], ids, phrases, more)
+                yield from _shard_rows(shard, lang, [words[k - 1] for k in used[1:]], ids, phrases, more, deal)
+
+
+def _sums(batches, least):
+    """(lang, phrase, f) of the phrases that reach ``least`` over all blocks of a range.
+
+    Columns lang, found, counts; all blocks of a range.
+    """
+    sums = Counter()
+    for batch in batches:
+        for lang, found, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            for phrase, count in zip(zstandard.decompress(found).decode().split("\n"), _unpack(counts, np.int64).tolist()):
+                sums[lang, phrase] += count
+    rows = [(*key, f) for key, f in sums.items() if f >= least]
+    for at in range(0, len(rows), ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[at:at + ROWS])], names=["lang", "phrase", "f"])
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
@@ -264,19 +358,22 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
     small_batches(spark)
     bounded_batches(spark)
     texts = docs.where("text IS NOT NULL").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    level = stored(texts.mapInArrow(lambda it: _shards(it, shard_words), schema(SHARD)), "phrase-shards", "zstd")
-    totals = level.where("digest IS NOT NULL").groupBy("lang").agg(F.sum("count").alias("n"))
-    totals = stored(totals, "phrase-totals")
+    length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # digests of so many bits, dealt to so many ranges, counted up to least
+    deal = (length.bit_length() + 1, length // DEAL_BYTES + 1, least)
+    level = stored(texts.mapInArrow(lambda it: _shards(it, shard_words, deal), schema(SHARD)), "phrase-shards", "zstd")
+    totals = stored(level.where("ids IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     found = []
     for size in range(1, longest + 1):
-        over = F.sum("count").over(Window.partitionBy("digest"))
-        known = (level.where("digest IS NOT NULL").select("shard", "digest", over.alias("f"))
-                 .where(F.col("f") >= least).groupBy("shard").agg(F.collect_list("digest").alias("known")))
+        known = (level.where("digests IS NOT NULL").select("shard", "deal", "digests").repartitionById(deal[1], "deal")
+                 .mapInArrow(lambda it: _frequent(it, least), schema(REPLY))
+                 .groupBy("shard").agg(F.collect_list(F.struct("deal", "known")).alias("known")))
         held = level.where("ids IS NOT NULL").select("shard", "lang", "words", "ids", "phrases").join(known, "shard")
-        level = stored(held.mapInArrow(lambda it, size=size: _longer(it, size, size == longest), schema(SHARD)),
+        level = stored(held.mapInArrow(lambda it, size=size: _longer(it, size, size == longest, deal), schema(SHARD)),
                        f"phrase-shards-{size}", "zstd")
-        sums = level.where("phrase IS NOT NULL").groupBy("lang", "phrase").agg(F.sum("count").alias("f"))
-        found.append(stored(sums.where(F.col("f") >= least).withColumn("size", F.lit(size)), f"phrases-{size}"))
+        sums = (level.where("found IS NOT NULL").repartitionById(deal[1], "deal").select("lang", "found", "counts")
+                .mapInArrow(lambda it: _sums(it, least), schema(SUMS)))
+        found.append(stored(sums.withColumn("size", F.lit(size)), f"phrases-{size}"))
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)

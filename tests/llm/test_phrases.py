@@ -127,3 +127,50 @@ def test_index_of_many_ids():
         sizes, owner, added, counts, covered = phrases.extensions(ids, kept, width)
         assert (sizes == 2).all() and (counts == 2).all() and (added == kept[owner, -1] + 1).all()
         assert len(owner) == 30_000 - width - 1 and covered.sum() == 2 * (30_000 - 1)
+
+
+def test_few_rows_for_many_phrases(spark, docs, tmp_path, monkeypatch):
+    # what shards keep and send for the pruning is packed by ranges of digests, not one row or eight bytes a phrase
+    kept = {}
+
+    def stored(df, name, codec=None):
+        df.write.parquet(str(tmp_path / name))
+        kept[name] = spark.read.schema(df.schema).parquet(str(tmp_path / name))
+        return kept[name]
+    monkeypatch.setattr(phrases, "stored", stored)
+    rng = random.Random(6)
+    rows = [("en", " ".join(f"w{rng.randrange(300)}" for _ in range(20_000))) for _ in range(4)]
+    frame = docs([(1, t, lang) for lang, t in rows]).coalesce(1)
+    pairs = len({p for _, t in rows for p in zip(t.split(), t.split()[1:])})
+    assert pairs > 45_000
+    assert got(phrases.collocations(frame, 2, least=4)) == plain(rows, 2, least=4)
+    level = kept["phrase-shards-1"]
+    assert level.count() <= 3
+    sent = level.where("digests IS NOT NULL").selectExpr("sum(octet_length(digests))").first()[0]
+    assert sent < 3 * pairs
+
+
+def test_ranges_and_shards_meet(spark, docs, monkeypatch):
+    monkeypatch.setattr(phrases, "DEAL_BYTES", 100)
+    rng = random.Random(8)
+    rows = [(rng.choice(["en", "de"]), t) for t in texts(rng, 100, ["a", "bb", "cc", "d", "eee", "f"])]
+    frame = docs([(1, t, lang) for lang, t in rows]).repartition(2)
+    assert got(phrases.collocations(frame, least=5, shard_words=100)) == plain(rows, least=5)
+    # counts above a byte, one of them only over all shards
+    rows = [("en", "a b. " * 200)] * 3 + [("en", "a c. " * 250)]
+    frame = docs([(1, t, lang) for lang, t in rows]).repartition(2)
+    assert got(phrases.collocations(frame, least=300, shard_words=100)) == plain(rows, least=300)
+
+
+def test_packed_forms_return():
+    rng = np.random.default_rng(7)
+    for width in (1, 2, 4):
+        rows = rng.integers(1, 1 << 20, (500, width)).astype(np.int32)
+        rows = rows[np.lexsort(rows.T[::-1])]
+        assert (phrases._unpack_phrases(phrases._pack_phrases(rows), width) == rows).all()
+    for bits in (1, 31, 63):
+        named = np.sort(rng.integers(0, 1 << bits, 300, np.uint64))
+        counts = rng.integers(1, 1000, 300)
+        for least in (1, 100, 100_000):
+            back, capped = phrases._unpack_digests(phrases._pack_digests(named, counts, least), least)
+            assert (back == named).all() and (capped == np.minimum(counts, least)).all()
