@@ -22,7 +22,10 @@ its path.  The posterior is sigmoid(logit(path) + evidence).
 
 Sites are counted by aggregates with map-side partial sums, and each level's spread is one row
 of sums.  The regression is Spark ML's, over all labelled rows.  Bins are summed inside each task
-first; labelled texts are found where they lie while their ids are few (counted), else moved once.
+first.  While the labelled ids are few (counted), the labels are sent to the texts, which are rated
+where they lie; else labelled texts are moved once, and the features of every own kind after them.
+Features are written by the tasks that made them, and sites by no more tasks than there are cores:
+each file costs its executor a few processes (chmod), whatever its size.
 
 Defined results: a null text counts as empty, with zero features; a null host or path is a site
 of its own; with labels of one kind only the evidence is 0; without labels every outcome is the
@@ -86,12 +89,9 @@ def _held(batches):
     yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(x[at]) for x in n]], names=["bin", "good", "bad", "toxic"])
 
 
-def word_ratios(docs: DataFrame, marks: DataFrame) -> np.ndarray:
-    """Log ratios by contrast (bad, toxic), own kind (``KINDS``) and bin."""
-    # the count of ids decides whether the texts stay in place
-    few = marks.limit(SHIPPED_IDS + 1).count() <= SHIPPED_IDS
-    seen = docs.join(F.broadcast(marks) if few else marks, F.col("doc_id") == F.col("_id"))
-    small_batches(docs.sparkSession)
+def word_ratios(seen: DataFrame) -> np.ndarray:
+    """Log ratios by contrast (bad, toxic), own kind (``KINDS``) and bin.  ``seen``: (text, label, toxic)."""
+    small_batches(seen.sparkSession)
     rows = (seen.where("label IS NOT NULL").select("text", F.expr("label = 1").alias("good"), "toxic")
             .mapInArrow(_held, schema("bin long, good long, bad long, toxic long"))
             .groupBy("bin").agg(*[F.sum(c).alias(c) for c in KINDS[1:]]).toArrow())
@@ -107,19 +107,24 @@ def word_ratios(docs: DataFrame, marks: DataFrame) -> np.ndarray:
     return out
 
 
-def _word_features(batches, ratios):
-    """The rows with the word features for each own kind in place of the text (the last column)."""
+def _word_features(batches, ratios, known):
+    """The rows with the word features for each own kind in place of the text (the last column).
+
+    ``known``: the place of its own kind stands before the text; the features are of that kind alone.
+    """
+    names = WORDS if known else [f"{w}_{k}" for k in KINDS for w in WORDS]
     for batch in batches:
-        made = np.zeros((len(KINDS) * len(WORDS), batch.num_rows))
-        for row, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+        made = np.zeros((len(names), batch.num_rows))
+        *columns, texts = batch.columns
+        own = [slice(k, k + 1) for k in columns.pop().to_pylist()] if known else [slice(None)] * batch.num_rows
+        for row, text in enumerate(texts.to_pylist()):
             at = bins(text)
             if len(at):
-                r = ratios[:, :, at].astype(np.float64)
+                r = ratios[:, own[row]][:, :, at].astype(np.float64)
                 both = np.stack([r.sum(axis=2) / math.sqrt(len(at) + 1), r.max(axis=2)], axis=1)
                 made[:, row] = both.transpose(2, 0, 1).ravel()      # own kind, contrast, sum or most
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], *[pa.array(x) for x in made]],
-            names=[*batch.schema.names[:-1], *[f"{w}_{k}" for k in KINDS for w in WORDS]])
+        yield pa.RecordBatch.from_arrays([*columns, *[pa.array(x) for x in made]],
+                                         names=[*batch.schema.names[:len(columns)], *names])
 
 
 def strength(sites: DataFrame, parent: Column) -> float:
@@ -137,7 +142,7 @@ def strength(sites: DataFrame, parent: Column) -> float:
     return min(max(p * (1 - p) / spread - 1, LEAST), MOST) if spread > 0 else MOST
 
 
-def rate(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
+def rate(docs: DataFrame, labels: DataFrame, host: Column, path: Column, shipped_ids: int = SHIPPED_IDS) -> DataFrame:
     """doc_id, host, path, evidence, host_posterior, path_posterior, score, kept.
 
     ``labels``: (doc_id, good), 1 or 0; a column toxic, 1 or 0, says which of the bad are toxic.
@@ -145,20 +150,26 @@ def rate(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Data
     mark = F.max(F.coalesce(F.col("toxic"), F.lit(0)) > 0) if "toxic" in labels.columns else F.lit(False)
     marks = labels.groupBy(F.col("doc_id").alias("_id")).agg(
         F.min(F.col("good").cast("double")).alias("label"), mark.alias("toxic"))
-    ratios = word_ratios(docs.select("doc_id", "text"), marks)
+    # the count of ids decides whether the texts stay in place
+    few = marks.limit(shipped_ids + 1).count() <= shipped_ids
+    sent, at = F.broadcast(marks) if few else marks, F.col("doc_id") == F.col("_id")
+    ratios = word_ratios(docs.select("doc_id", "text").join(sent, at))
+    own = F.when(F.col("label").isNull(), 0).when(F.col("label") == 1, 1).when(F.col("toxic"), 3).otherwise(2)
     text = F.coalesce(F.col("text"), F.lit(""))
-    shaped = docs.select("doc_id", text.alias("text"), host.cast("string").alias("host"),
-                         path.cast("string").alias("path")).withColumn("_w", words(F.col("text")))
-    shaped = shaped.select("doc_id", "host", "path", *[
-        c.cast("double").alias(k) for k, c in features(F.col("text")).items()], "text")
-    made = [T.StructField(f"{w}_{k}", T.DoubleType()) for k in KINDS for w in WORDS]
-    shaped = shaped.mapInArrow(lambda it: _word_features(it, ratios), T.StructType(shaped.schema.fields[:-1] + made))
-    rows = shaped.join(marks, F.col("doc_id") == F.col("_id"), "left")
-    own = (F.when(F.col("label").isNull(), "none").when(F.col("label") == 1, "good")
-           .when(F.col("toxic"), "toxic").otherwise("bad"))
-    # joined once: the features of all own kinds are shuffled, those of a document's own are stored
-    rows = stored(rows.withColumn("_own", own).select("doc_id", "host", "path", "label", *SHAPES, *[
-        F.coalesce(*[F.when(F.col("_own") == k, F.col(f"{w}_{k}")) for k in KINDS]).alias(w) for w in WORDS]), "shapes")
+    rows = docs.select("doc_id", text.alias("text"), host.cast("string").alias("host"), path.cast("string").alias("path"))
+    if few:
+        rows = rows.join(sent, at, "left").withColumn("_own", own)
+    shaped = rows.withColumn("_w", words(F.col("text"))).select(
+        "doc_id", "host", "path", *(["label"] if few else []),
+        *[c.cast("double").alias(k) for k, c in features(F.col("text")).items()], *(["_own"] if few else []), "text")
+    made = WORDS if few else [f"{w}_{k}" for k in KINDS for w in WORDS]
+    rows = shaped.mapInArrow(lambda it: _word_features(it, ratios, few), T.StructType(
+        shaped.schema.fields[:-2 if few else -1] + [T.StructField(w, T.DoubleType()) for w in made]))
+    if not few:
+        # joined once: the features of all own kinds are shuffled, those of a document's own are stored
+        rows = rows.join(sent, at, "left").withColumn("_own", own).select("doc_id", "host", "path", "label", *SHAPES, *[
+            F.coalesce(*[F.when(F.col("_own") == k, F.col(f"{w}_{kind}")) for k, kind in enumerate(KINDS)]).alias(w) for w in WORDS])
+    rows = stored(rows, "shapes")
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows)
     seen = rows.where("label IS NOT NULL")
     kinds = {r["label"]: r["n"] for r in seen.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -179,8 +190,9 @@ def rate(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Data
     def sums(*by):
         return rows.groupBy(*by).agg(F.count("*").alias("n"), F.sum("outcome").alias("total"),
                                      F.sum(F.col("outcome") * F.col("outcome")).alias("squares"))
-    paths = stored(sums("host", "path"), "paths")
-    hosts = stored(paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")]), "hosts")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    paths = stored(sums("host", "path").coalesce(cores), "paths")
+    hosts = stored(paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")]).coalesce(cores), "hosts")
     whole = hosts.agg(F.sum("n").alias("n"), F.sum("total").alias("t")).first()
     mean = whole["t"] / whole["n"] if whole["n"] else base
     k_host = strength(hosts, F.lit(mean))
