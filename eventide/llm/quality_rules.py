@@ -20,6 +20,9 @@ before any shuffle; rating a document needs no shuffle at all.  The trusted text
 they lie while there are at most ``SHIPPED_IDS`` trusted ids (counted first); beyond that one
 join shuffles each text once.  Both count the same texts.
 
+Each word and each pair is hashed once: the bins of both ratings and the repeated windows (two
+neighbouring pairs) are taken from these two arrays.
+
 Words: runs of anything but ASCII blanks; n-grams keep case.  Base measures of each text:
 word_chars, n_symbols, n_dup_lines, n_repeat_words.
 
@@ -47,14 +50,11 @@ WORD_BUCKETS = 1 << 16
 FALSE_REJECT = 0.02             # share of the trusted that a cut may refuse
 CELLS = 10_000                  # cells of a rating, for the cuts
 SYMBOLS = r"[^#*$%&|<>]+"
-BLANK = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 
-def word_chars(text: Column) -> Column:
-    """Code points of the text that are not blanks."""
-    for b in BLANK:
-        text = F.replace(text, F.lit(b), F.lit(""))
-    return F.length(text).cast("long")
+def word_chars(w: Column) -> Column:
+    """Code points of the words of a word array."""
+    return F.length(F.array_join(w, "")).cast("long")
 
 
 def dup_lines(text: Column) -> Column:
@@ -63,8 +63,15 @@ def dup_lines(text: Column) -> Column:
                lambda a: F.size(a) - F.size(F.array_distinct(a))).cast("long")
 
 
+def hashed(docs: DataFrame) -> DataFrame:
+    """``docs`` (text) with _w (its words), _one (the hash of each) and _two (of each pair of neighbours)."""
+    pairs = F.greatest(F.size("_w") - 1, F.lit(0))
+    return (docs.withColumn("_w", words(F.col("text"))).withColumn("_one", F.transform("_w", lambda x: F.xxhash64(x)))
+            .withColumn("_two", F.zip_with(F.slice("_w", 1, pairs), F.slice("_w", 2, pairs), lambda a, b: F.xxhash64(a, b))))
+
+
 def window_hashes(w: Column, size: int = 3) -> Column:
-    """Hash of each word window."""
+    """Hash of each window of words (or, with 2, of pairs: the same windows as 3 of words)."""
     at = lambda i, k: F.get(w, i + k)
     return F.transform(F.slice(w, 1, F.greatest(F.size(w) - (size - 1), F.lit(0))),
                        lambda x, i: F.xxhash64(x, *[at(i, k) for k in range(1, size)]))
@@ -88,12 +95,11 @@ def covered(sorted_windows: str, size: int = 3) -> Column:
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with _w (its words), n_words and the base measures."""
-    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    docs = docs.withColumn("_w", words(F.col("text")))
-    docs = docs.withColumn("_h", window_hashes(F.col("_w"))).withColumn("_s", windows(F.col("_h")))
+    """``docs`` (doc_id, text) with the columns of ``hashed``, n_words and the base measures."""
+    docs = hashed(docs.withColumn("text", F.coalesce("text", F.lit(""))))
+    docs = docs.withColumn("_h", window_hashes(F.col("_two"), 2)).withColumn("_s", windows(F.col("_h")))
     return (docs.withColumn("n_words", F.size("_w").cast("long"))
-            .withColumn("word_chars", word_chars(F.col("text")))
+            .withColumn("word_chars", word_chars(F.col("_w")))
             .withColumn("n_symbols", F.length(F.regexp_replace("text", SYMBOLS, "")).cast("long"))
             .withColumn("n_dup_lines", dup_lines(F.col("text")))
             .withColumn("n_repeat_words", covered("_s")).drop("_s", "_h"))
@@ -144,24 +150,21 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int
     return [r["x"] for r in sorted(rows)]
 
 
-def rating(w: Column, ratios: list[int]) -> Column:
-    """Mean log ratio over the n-grams of a word array (0 without words)."""
+def rating(one: Column, two: Column, ratios: list[int]) -> Column:
+    """Mean log ratio over n-grams, by the hashes of words and of pairs (0 without words)."""
     table = literal_array(ratios, "bigint")
-    at = lambda h: F.get(table, h.cast("int"))
 
-    def both(a, b):
-        return at(bin_of(F.xxhash64(a), len(ratios))) + at(bin_of(F.xxhash64(a, b), len(ratios)))
-    pairs = F.greatest(F.size(w) - 1, F.lit(0))
-    last = at(bin_of(F.xxhash64(F.get(w, F.size(w) - 1)), len(ratios)))
-    sums = F.aggregate(F.zip_with(F.slice(w, 1, pairs), F.slice(w, 2, pairs), both), last, lambda acc, x: acc + x)
-    return F.when(F.size(w) > 0, sums / (2.0 * F.size(w) - 1) / SCALE).otherwise(0.0)
+    def total(hashes):
+        return F.aggregate(hashes, F.lit(0).cast("bigint"),
+                           lambda acc, h: acc + table[bin_of(h, len(ratios))])
+    sums = total(one) + total(two)
+    return F.when(F.size(one) > 0, sums / (2.0 * F.size(one) - 1) / SCALE).otherwise(0.0)
 
 
-def toxic_rating(w: Column, ratios: list[int]) -> Column:
-    """Largest log ratio of the words of a word array (0 without words)."""
+def toxic_rating(one: Column, ratios: list[int]) -> Column:
+    """Largest log ratio of words, by their hashes (0 without words)."""
     table = literal_array(ratios, "int")
-    at = lambda x: F.get(table, bin_of(F.xxhash64(x), len(ratios)).cast("int"))
-    return F.coalesce(F.array_max(F.transform(w, at)) / 1000.0, F.lit(0.0))
+    return F.coalesce(F.array_max(F.transform(one, lambda h: table[bin_of(h, len(ratios))])) / 1000.0, F.lit(0.0))
 
 
 class Model(NamedTuple):
@@ -216,11 +219,11 @@ def learn(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, word_bucke
         share = lambda k: np.log((n[k] + 0.5) / (size[k] + 1))
         return [int(x) for x in np.rint(1000 * (share(1) - share(0)))]
     ratios, words_of = ratio(good.sum(axis=0), raw), word_ratio(held.sum(axis=0), sizes.sum(axis=0))
-    w, first = words(F.col("text")), F.col("fold") == 0
-    crossed = seen.select("is_toxic", *[
-        F.floor(CELLS * F.when(first, by(w, of(1))).otherwise(by(w, of(0)))).alias(name) for name, by, of in (
-            ("a", rating, lambda k: ratio(good[k], raw)),
-            ("b", toxic_rating, lambda k: word_ratio(held[k], sizes[k])))])
+    one, two, first = F.col("_one"), F.col("_two"), F.col("fold") == 0
+    crossed = hashed(seen).select("is_toxic", *[
+        F.floor(CELLS * F.when(first, by(1)).otherwise(by(0))).alias(name) for name, by in (
+            ("a", lambda k: rating(one, two, ratio(good[k], raw))),
+            ("b", lambda k: toxic_rating(one, word_ratio(held[k], sizes[k]))))])
     crossed = crossed.select("is_toxic", F.expr("stack(2, 0, a, 1, -b)").alias("what", "cell"))
     cells = {(k, t): {} for k in (0, 1) for t in (False, True)}
     for r in crossed.groupBy("is_toxic", "what", "cell").agg(F.count("*").alias("n")).collect():
@@ -239,10 +242,11 @@ def learn(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, word_bucke
 def judge(docs: DataFrame, ratios: list[int], threshold: float = 0.0, toxic: list[int] | None = None,
           toxic_cut: float = math.inf) -> DataFrame:
     """doc_id, n_words, base measures, base_failed, kept, rating, and with ``toxic`` toxic_rating."""
-    rated = measures(docs.select("doc_id", "text")).withColumn("rating", rating(F.col("_w"), ratios))
+    rated = measures(docs.select("doc_id", "text")).withColumn(
+        "rating", rating(F.col("_one"), F.col("_two"), ratios))
     clean = F.lit(True)
     if toxic is not None:
-        rated = rated.withColumn("toxic_rating", toxic_rating(F.col("_w"), toxic))
+        rated = rated.withColumn("toxic_rating", toxic_rating(F.col("_one"), toxic))
         clean = F.col("toxic_rating") < toxic_cut
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (rated.withColumn("base_failed", failed)

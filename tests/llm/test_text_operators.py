@@ -83,6 +83,12 @@ def test_quality_ratio_separates(spark, docs):
     assert len(quality_rules.fit(docs([]), spark.createDataFrame([], "doc_id long"), buckets=8)) == 8
 
 
+def test_quality_rules_hash_each_word_once(docs):
+    rated = quality_rules.judge(docs([(0, "a b c d a b c")]), [0] * 16, 0.0, [0] * 16, 1.0)
+    # a word, a pair, and the two pairs of a window
+    assert rated._jdf.queryExecution().optimizedPlan().toString().count("xxhash64(") == 3
+
+
 def test_quality_rules_refuse_toxic(spark, docs, tmp_path):
     from eventide.llm import catalog
     # toxic texts differ from the clean ones by one word; junk is refused at any share of the corpus
