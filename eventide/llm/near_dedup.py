@@ -18,6 +18,10 @@
 Hot keys: classes and buckets are reduced by aggregates with map-side partial sums; members
 meet their bucket's smallest id in a join that adaptive execution can split.
 
+Files: each file written costs its executor a few processes (chmod), whatever its size, so tables
+are written by few tasks: the short ones (members of buckets, links, steps of the components) by
+no more than there are cores, the others by four a core.  The tasks that search keep their number.
+
 Defined results: words are lower-cased (A-Z) runs of non-blanks; a text of fewer words than a
 shingle is one shingle of all its words; a null text or one without words has an empty set, is
 linked with nothing and is its own component; repeated rows of one id share a component, each
@@ -228,11 +232,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     sets = stored(texts.mapInArrow(
         lambda it: _signatures(it, size, bands, rows),
         schema("doc_id long, n_shingles long, hi long, lo long, sig binary, keys array<long>")), "sets")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
     whole = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(whole.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = stored(whole.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")).coalesce(4 * cores), "classes")
     # an id with several texts is one document: its classes are linked
     ids = whole.select("doc_id", "hi", "lo").join(classes, ["hi", "lo"]).select("doc_id", "rep")
-    per_id = stored(ids.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")), "class-ids")
+    per_id = stored(ids.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
+                    .coalesce(4 * cores), "class-ids")
     several = per_id.where("rep < other")
     shared_ids = several.select(F.col("rep").alias("a"), F.col("other").alias("b"))
     own = ids.join(several.select("doc_id"), "doc_id").select(
@@ -241,12 +247,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     buckets = named.select(F.col("rep").alias("id"), F.explode("keys").alias("key"))
     crowded = (buckets.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
                .where("lead < last").select("key", "lead"))
-    members = stored(buckets.join(crowded, "key").distinct(), "buckets")
+    members = stored(buckets.join(crowded, "key").distinct().repartition(cores), "buckets")
     wanted = members.select("id").distinct()
     signed = stored(whole.select(F.col("doc_id").alias("id"), "n_shingles", "sig").join(wanted, "id", "left_semi")
-                    .groupBy("id").agg(F.min(F.struct("n_shingles", "sig")).alias("s")), "signatures")
+                    .groupBy("id").agg(F.min(F.struct("n_shingles", "sig")).alias("s")).coalesce(4 * cores), "signatures")
     texts_of = stored(texts.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
-                      .groupBy("id").agg(F.min("text").alias("text")), "candidate-texts")
+                      .groupBy("id").agg(F.min("text").alias("text")).coalesce(4 * cores), "candidate-texts")
 
     def verified(pairs):
         few = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent

@@ -84,3 +84,31 @@ def test_components_of_a_long_chain(spark):
     got = {r["id"]: r["component"] for r in nd.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(1, 201)) and got[501] == 500 and got[700] == 600
     assert nd.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_few_tasks_write(spark, docs, monkeypatch):
+    """Many shuffle partitions do not become as many small files."""
+    files = {}
+
+    def counted(df, name, codec=None):
+        out = nd_stored(df, name, codec)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    nd_stored = nd.stored
+    monkeypatch.setattr(nd, "stored", counted)
+    keys = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    rows = corpus(3, groups=60, loners=60)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = nd.near_duplicates(docs(rows).repartition(3), size=2).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, 2, 80)
+    cores = spark.sparkContext.defaultParallelism
+    assert max(files["buckets"]) <= cores, files
+    tables = ("classes", "class-ids", "signatures", "candidate-texts")
+    assert all(max(files[k]) <= 4 * cores for k in tables), files
