@@ -201,8 +201,9 @@ def components(links: DataFrame, stop: int = 50) -> DataFrame:
     Alternates large-star (every larger neighbour is linked to the smallest neighbour) and
     small-star (every smaller neighbour is) until the links no longer change.
     """
+    cores = links.sparkSession.sparkContext.defaultParallelism
     both = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
-    now = stored(both, "star")
+    now = stored(both.coalesce(cores), "star")
     before = None
     for _ in range(stop):
         large = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -213,7 +214,7 @@ def components(links: DataFrame, stop: int = 50) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
-        now = stored(small, "star")
+        now = stored(small.coalesce(cores), "star")
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if mark == before:
             break
@@ -266,11 +267,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
                                                             schema("a long, b long"))
 
     first = members.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    first = stored(verified(first).union(shared_ids).union(own), "links")
+    first = stored(verified(first).union(shared_ids).union(own).repartition(cores), "links")
     part = components(first)
-    placed = stored(members.join(part, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")),
-                    "placed")
-    joined = components(first.union(stored(_second_round(placed, texts_of, size, percent), "links")))
+    placed = stored(members.join(part, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+                    .coalesce(4 * cores), "placed")
+    second = _second_round(placed, texts_of, size, percent).repartition(cores)
+    joined = components(first.union(stored(second, "links")))
     found = (per_id.join(joined, F.col("rep") == F.col("id"), "left")
              .select(F.col("doc_id").alias("_id"), F.coalesce("component", "rep").alias("_component")))
     return (sets.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("_id"), "left")
